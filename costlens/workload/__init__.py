@@ -15,7 +15,7 @@ FAMILIES = (
     "rollups",
     "quality",
     "preparation",
-    # "features",
+    "features",
     # "evaluation",
     # "drift",
     # "forecasts",

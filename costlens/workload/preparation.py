@@ -6,7 +6,21 @@ from pyspark.sql import functions as F
 
 from costlens.operators import prepare as p
 from costlens.sources import cost_records
-from costlens.workload.base import COST, DAYS, ORDERS, SERIES, TOTAL, daily_by, daily_total, order_series, query, rounded, table
+from costlens.workload.base import (
+    COST,
+    DAYS,
+    ORDERS,
+    SERIES,
+    TOTAL,
+    daily_by,
+    daily_total,
+    order_series,
+    query,
+    rounded,
+    sig7,
+    sig7_sql,
+    table,
+)
 from costlens.workload.records import BALANCES, HOLED, balances, holed
 
 COST_COL = "cost_in_billing_currency"
@@ -131,11 +145,11 @@ _P99 = "b AS (SELECT segment, quantile_cont(y, 0.99) AS p99 FROM series GROUP BY
 
 @query(
     "p9_cap_outliers",
-    f"""WITH {SERIES}, {_P99} SELECT s.segment, ds, ROUND(LEAST(y, p99), 3) AS y
+    f"""WITH {SERIES}, {_P99} SELECT s.segment, ds, {sig7_sql("LEAST(y, p99)")} AS y
 FROM series s JOIN b ON s.segment = b.segment""",
 )
 def p9_cap(spark, sf):
-    return rounded(p.treat_outliers(daily_by(spark, sf).select("segment", "ds", "y"), "y", "cap"), 3)
+    return sig7(p.treat_outliers(daily_by(spark, sf).select("segment", "ds", "y"), "y", "cap"), "y")
 
 
 @query(
@@ -146,16 +160,17 @@ def p9_remove(spark, sf):
     return p.treat_outliers(daily_by(spark, sf).select("segment", "ds", "y"), "y", "remove")
 
 
-def _split_sql(train_end, validation_end):
+def _labelled(train_end, validation_end):
     return f"""n AS (SELECT segment, ds, y, ROW_NUMBER() OVER ({DAYS}) AS i, COUNT(*) OVER (PARTITION BY segment) AS n
-  FROM series), cut AS (SELECT *, {train_end} AS a, {validation_end} AS b FROM n)
-SELECT segment, ds, y, CASE WHEN i <= a THEN 'train' WHEN i <= b THEN 'validation' ELSE 'test' END AS split FROM cut"""
+  FROM series), cut AS (SELECT *, {train_end} AS a, {validation_end} AS b FROM n), labelled AS (SELECT segment, ds, y,
+  CASE WHEN i <= a THEN 'train' WHEN i <= b THEN 'validation' ELSE 'test' END AS split FROM cut)"""
 
 
-@query(
-    "p10_split",
-    f"WITH {SERIES}, " + _split_sql("floor(n * 0.7::DOUBLE)", "floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE)"),
-)
+LABELLED = _labelled("floor(n * 0.7::DOUBLE)", "floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE)")
+BOOSTED = _labelled("floor(n * (1::DOUBLE - 0.2::DOUBLE - 0.1::DOUBLE))", "floor(n * (1::DOUBLE - 0.2::DOUBLE))")
+
+
+@query("p10_split", f"WITH {SERIES}, {LABELLED} SELECT segment, ds, y, split FROM labelled")
 def p10(spark, sf):
     return p.split_by_fraction(daily_by(spark, sf).select("segment", "ds", "y"))
 
@@ -175,11 +190,7 @@ def p10_records(spark, sf):
     return p.split_records(rows, date_col="l_shipdate", tie_cols=keys).drop("l_shipdate")
 
 
-@query(
-    "p11_split_boosted",
-    f"WITH {SERIES}, "
-    + _split_sql("floor(n * (1::DOUBLE - 0.2::DOUBLE - 0.1::DOUBLE))", "floor(n * (1::DOUBLE - 0.2::DOUBLE))"),
-)
+@query("p11_split_boosted", f"WITH {SERIES}, {BOOSTED} SELECT segment, ds, y, split FROM labelled")
 def p11(spark, sf):
     return p.split_boosted(daily_by(spark, sf).select("segment", "ds", "y"))
 
@@ -239,8 +250,8 @@ def p17(spark, sf):
 
 @query(
     "p18_standardise",
-    f"""WITH {SERIES}, {_split_sql("floor(n * 0.7::DOUBLE)", "floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE)").replace("SELECT segment, ds, y, CASE", "labelled AS (SELECT segment, ds, y, CASE", 1).replace("), cut AS", "), cut AS").replace(" FROM cut", " FROM cut)").replace("FROM n) labelled", "FROM n), labelled").replace("FROM n)" + chr(10) + "labelled", "FROM n)," + chr(10) + "labelled")},
-s AS (SELECT segment, AVG(y) FILTER (split = 'train') AS m, STDDEV_POP(y) FILTER (split = 'train') AS d FROM labelled GROUP BY 1)
+    f"""WITH {SERIES}, {LABELLED}, s AS (SELECT segment, AVG(y) FILTER (split = 'train') AS m,
+    STDDEV_POP(y) FILTER (split = 'train') AS d FROM labelled GROUP BY 1)
 SELECT l.segment, ds, split, ROUND((y - m) / d, 6) AS y FROM labelled l JOIN s ON l.segment = s.segment""",
 )
 def p18(spark, sf):

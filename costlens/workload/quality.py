@@ -163,3 +163,23 @@ def q8(spark, sf):
         ]
     )
     return q.schema_check(records, RAW_SCHEMA).join(q.cast_failures(feed, declared), "column", "left")
+
+
+@query(
+    "q8_cast_failures",
+    """SELECT 'quantity' AS "column", COUNT_IF(TRY_CAST(CAST(l_quantity / 2 AS VARCHAR) AS DATE) IS NULL)::BIGINT AS failures
+FROM lineitem UNION ALL
+SELECT 'plan_name', COUNT_IF(TRY_CAST(l_returnflag AS DOUBLE) IS NULL)::BIGINT FROM lineitem UNION ALL
+SELECT 'usage_date', 0::BIGINT""",
+)
+def q8_feed(spark, sf):
+    feed = cost_records(spark, sf, ["usage_date", "quantity", "plan_name"])
+    text = feed.select(*[F.col(c).cast("string").alias(c) for c in feed.columns])
+    declared = T.StructType(
+        [
+            T.StructField("usage_date", T.DateType()),
+            T.StructField("quantity", T.DateType()),
+            T.StructField("plan_name", T.DoubleType()),
+        ]
+    )
+    return q.cast_failures(text, declared)
