@@ -16,8 +16,8 @@ FAMILIES = (
     "quality",
     "preparation",
     "features",
-    # "evaluation",
-    # "drift",
+    "evaluation",
+    "drift",
     # "forecasts",
     # "monitoring",
     # "versions",
