@@ -18,10 +18,10 @@ FAMILIES = (
     "features",
     "evaluation",
     "drift",
-    # "forecasts",
-    # "monitoring",
-    # "versions",
-    # "streams",
+    "forecasts",
+    "monitoring",
+    "versions",
+    "streams",
 )
 
 

@@ -101,12 +101,12 @@ def j3(spark, sf):
 c AS (SELECT segment, hi, unnest(range(0, ((hi - 30) - (lo + 180)) // 30 + 1)) AS i FROM b),
 k AS (SELECT segment, CAST(hi - 30 - CAST(i * 30 AS INT) AS DATE) AS cutoff FROM c)
 SELECT s.segment, cutoff, CASE WHEN ds <= cutoff THEN 'train' ELSE 'test' END AS role, COUNT(*) AS days,
-  ROUND(SUM(y), 2) AS total FROM series s JOIN k ON s.segment = k.segment AND ds <= cutoff + 30 GROUP BY 1, 2, 3""",
+  ROUND(SUM(y), 4) AS total FROM series s JOIN k ON s.segment = k.segment AND ds <= cutoff + 30 GROUP BY 1, 2, 3""",
 )
 def j9(spark, sf):
     folds = fold_frame(series_frame(spark, sf))
     return folds.groupBy("segment", "cutoff", "role").agg(
-        F.count(F.lit(1)).alias("days"), F.round(F.sum("y"), 2).alias("total")
+        F.count(F.lit(1)).alias("days"), F.round(F.sum("y"), 4).alias("total")
     )
 
 

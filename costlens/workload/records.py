@@ -22,7 +22,7 @@ from costlens.sources import (
     write_forecast_table,
     write_records,
 )
-from costlens.workload.base import COST, SERIES, TOTAL, daily_by, daily_total, query, r, table
+from costlens.workload.base import COST, SERIES, TOTAL, daily_by, daily_total, query, r, sig7, sig7_sql, table
 
 RECORD_COLUMNS = [
     "subscription_id",
@@ -179,8 +179,8 @@ def f1(spark, sf):
 @query(
     "f2_category",
     f"""WITH {COST} SELECT 'PROMO' AS chosen, COUNT(*) AS record_count,
-  ROUND(SUM(cost_in_billing_currency), 2) AS total_cost FROM cost WHERE meter_category = 'PROMO'
-UNION ALL SELECT 'Total', COUNT(*), ROUND(SUM(cost_in_billing_currency), 2) FROM cost""",
+  {sig7_sql("SUM(cost_in_billing_currency)")} AS total_cost FROM cost WHERE meter_category = 'PROMO'
+UNION ALL SELECT 'Total', COUNT(*), {sig7_sql("SUM(cost_in_billing_currency)")} FROM cost""",
 )
 def f2(spark, sf):
     records = cost_records(spark, sf, ["meter_category", "cost_in_billing_currency"])
@@ -189,10 +189,10 @@ def f2(spark, sf):
         return filter_records(records, category=name).agg(
             F.lit(name).alias("chosen"),
             F.count(F.lit(1)).alias("record_count"),
-            F.round(F.sum("cost_in_billing_currency"), 2).alias("total_cost"),
+            F.sum("cost_in_billing_currency").alias("total_cost"),
         )
 
-    return total("PROMO").unionByName(total("Total"))
+    return sig7(total("PROMO").unionByName(total("Total")), "total_cost")
 
 
 def holed(spark, sf):
@@ -317,12 +317,12 @@ def j7(spark, sf):
 
 @query(
     "j8_reconcile",
-    """WITH ours AS (SELECT date_trunc('month', CAST(l_shipdate AS DATE))::DATE AS period_start,
+    f"""WITH ours AS (SELECT date_trunc('month', CAST(l_shipdate AS DATE))::DATE AS period_start,
     SUM(l_extendedprice * (1 - l_discount)) AS our_total FROM lineitem GROUP BY 1),
 theirs AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS period_start,
     SUM(o_totalprice) AS statement_total FROM orders GROUP BY 1)
-SELECT period_start, ROUND(our_total, 2) AS our_total, ROUND(statement_total, 2) AS statement_total,
-  ROUND(COALESCE(our_total, 0) - COALESCE(statement_total, 0), 2) AS difference,
+SELECT period_start, {sig7_sql("our_total")} AS our_total, {sig7_sql("statement_total")} AS statement_total,
+  {sig7_sql("COALESCE(our_total, 0) - COALESCE(statement_total, 0)")} AS difference,
   ABS(COALESCE(our_total, 0) - COALESCE(statement_total, 0)) <= 0.5 * ABS(COALESCE(statement_total, 0)) AS within_tolerance
 FROM ours FULL JOIN theirs USING (period_start)""",
 )
@@ -332,4 +332,4 @@ def j8(spark, sf):
         F.to_date("o_orderdate").alias("usage_date"), F.col("o_totalprice").alias("cost_in_billing_currency")
     )
     out = reconcile(ours, statement, "month", 0.5)
-    return out.withColumns({c: r(F.col(c), 2) for c in ("our_total", "statement_total", "difference")})
+    return sig7(out, "our_total", "statement_total", "difference")

@@ -65,20 +65,20 @@ def g2(spark, sf):
 
 
 def _distribution_sql(key):
-    return f"""WITH {COST} SELECT {key}, COUNT(*) AS record_count, ROUND(SUM({COST_COL}), 2) AS total_cost,
+    return f"""WITH {COST} SELECT {key}, COUNT(*) AS record_count, {sig7_sql(f"SUM({COST_COL})")} AS total_cost,
   ROUND(SUM({COST_COL}) / SUM(SUM({COST_COL})) OVER (), 8) AS cost_share FROM cost GROUP BY 1"""
 
 
 @query("g3_region_distribution", _distribution_sql("resource_location"))
 def g3(spark, sf):
     out = agg.distribution(cost_records(spark, sf, ["resource_location", COST_COL]), "resource_location")
-    return rounded(rounded(out, 2, "total_cost"), 8, "cost_share")
+    return sig7(rounded(out, 8, "cost_share"), "total_cost")
 
 
 @query("g4_category_distribution", _distribution_sql("meter_category"))
 def g4(spark, sf):
     out = agg.distribution(cost_records(spark, sf, ["meter_category", COST_COL]), "meter_category")
-    return rounded(rounded(out, 2, "total_cost"), 8, "cost_share")
+    return sig7(rounded(out, 8, "cost_share"), "total_cost")
 
 
 @query(
@@ -198,13 +198,13 @@ def g15(spark, sf):
 @query(
     "k5_top_drivers",
     f"""WITH {COST}, d AS (SELECT meter_category, resource_id, SUM({COST_COL}) AS total_cost FROM cost GROUP BY 1, 2)
-SELECT meter_category, resource_id, ROUND(total_cost, 3) AS total_cost,
+SELECT meter_category, resource_id, {sig7_sql("total_cost")} AS total_cost,
   ROW_NUMBER() OVER (PARTITION BY meter_category ORDER BY total_cost DESC, resource_id)::INT AS position
 FROM d QUALIFY position <= 5""",
 )
 def k5(spark, sf):
     records = cost_records(spark, sf, ["meter_category", "resource_id", COST_COL])
-    return rounded(agg.top_drivers(records, "resource_id", 5), 3)
+    return sig7(agg.top_drivers(records, "resource_id", 5), "total_cost")
 
 
 @query(
