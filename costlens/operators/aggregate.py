@@ -88,26 +88,34 @@ def segment_daily_costs(
     )
 
 
+def _with_whole(grouped: DataFrame) -> DataFrame:
+    """Add the total over all groups. The subquery reads both aggregates of the
+    grouped frame, so Spark runs that aggregation once and reuses its shuffle."""
+    whole = grouped.agg(F.struct(F.sum("total_cost").alias("cost"), F.sum("record_count").alias("n"))).scalar()
+    return grouped.withColumn("_whole", whole)
+
+
 def distribution(df: DataFrame, key: str, cost_col: str = TARGET) -> DataFrame:
     """Record count, cost and cost share per value of ``key``."""
     grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("record_count"), F.sum(cost_col).alias("total_cost"))
-    whole = grouped.agg(F.sum("total_cost")).scalar()
-    return grouped.withColumn("cost_share", F.try_divide(F.col("total_cost"), whole))
+    return (
+        _with_whole(grouped)
+        .withColumn("cost_share", F.try_divide(F.col("total_cost"), F.col("_whole.cost")))
+        .drop("_whole")
+    )
 
 
 def region_share_deviation(
     df: DataFrame, expected: Mapping[str, float], region_col: str = REGION, cost_col: str = TARGET
 ) -> DataFrame:
     """Cost share per expected region against its weight."""
-    grouped = df.groupBy(region_col).agg(F.sum(cost_col).alias("total_cost"))
-    whole = grouped.agg(F.sum("total_cost")).scalar()
     weights = df.sparkSession.createDataFrame(
         [(name, float(weight)) for name, weight in expected.items()], "region string, expected_share double"
     )
-    share = F.coalesce(F.try_divide(F.col("total_cost"), whole), F.lit(0.0))
+    shares = distribution(df, region_col, cost_col).select(F.col(region_col).alias("region"), "cost_share")
     return (
-        weights.join(grouped, F.col("region") == F.col(region_col), "left")
-        .withColumn("actual_share", share)
+        weights.join(shares, "region", "left")
+        .withColumn("actual_share", F.coalesce("cost_share", F.lit(0.0)))
         .select(
             "region",
             "expected_share",

@@ -70,7 +70,8 @@ def _summary(counts: DataFrame) -> DataFrame:
             "mean_current": F.try_divide("_sum_cur", "n_current"),
         }
     ).drop("_sum_base", "_sum_cur")
-    centred = counts.join(means.select("feature", "mean_baseline"), "feature")
+    # One row per tested column.
+    centred = counts.join(F.broadcast(means.select("feature", "mean_baseline")), "feature")
     squares = centred.groupBy("feature").agg(
         F.sum(base * (value - F.col("mean_baseline")) * (value - F.col("mean_baseline"))).alias("_ss")
     )
@@ -91,14 +92,10 @@ def ks_drift(
     counts = sample_counts(baseline, current, shared)
     summary = _summary(counts)
     gap = F.abs(
-        F.try_divide(F.col("cum_n_base"), F.col("n_baseline").cast("double"))
-        - F.try_divide(F.col("cum_n_cur"), F.col("n_current").cast("double"))
-    )
-    statistic = (
-        counts.join(summary.select("feature", "n_baseline", "n_current"), "feature")
-        .groupBy("feature")
-        .agg(F.max(gap).alias("statistic"))
+        F.try_divide(F.col("cum_n_base"), F.col("total_n_base").cast("double"))
+        - F.try_divide(F.col("cum_n_cur"), F.col("total_n_cur").cast("double"))
     )
+    statistic = counts.groupBy("feature").agg(F.max(gap).alias("statistic"))
     magnitude = F.when(
         F.col("std_baseline") > 0, F.abs(F.col("mean_current") - F.col("mean_baseline")) / F.col("std_baseline")
     ).otherwise(F.lit(0.0))
@@ -167,15 +164,11 @@ def chi2_drift(
 def psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
     """Population stability index over baseline quantile buckets."""
     counts = sample_counts(baseline, current, columns)
-    cuts = quantiles_from_counts(
-        counts.select("feature", "value", F.col("n_base").alias("n"), F.col("cum_n_base").alias("cum_n")),
-        [i / buckets for i in range(1, buckets)],
-        ["feature"],
-    )
-    # At most ``buckets - 1`` cuts per feature.
+    cuts = quantiles_from_counts(counts, [i / buckets for i in range(1, buckets)], ["feature"], "n_base")
+    # One row per tested column, with ``buckets - 1`` cuts.
     bucket = F.size(F.filter("quantiles", lambda q: q < F.col("value")))
     shares = (
-        counts.join(cuts, "feature")
+        counts.join(F.broadcast(cuts), "feature")
         .groupBy("feature", bucket.alias("bucket"))
         .agg(F.sum("n_base").alias("b"), F.sum("n_cur").alias("c"))
     )

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from costlens.session import materialise
+from costlens.operators.attach import attach
+
+# Relative rank error of the sketch is one over this.
+SKETCH_ACCURACY = 10_000
 
 
 def cumulative_counts(
@@ -22,87 +26,140 @@ def cumulative_counts(
     """Distinct values per key with counts and running counts.
 
     Output: keys, ``value``, and for every weight ``w`` (``n`` when none is
-    given: plain row counts) the columns ``w`` and ``cum_w``, the total over all
-    values up to and including this one. The partition number must be the same
-    in both branches of the plan, so the partitioned counts are checkpointed:
-    this operator runs one job when called.
+    given: plain row counts) the columns ``w``, ``cum_w``, the total over all
+    values up to and including this one, and ``total_w``, the total of the key.
+
+    The partition number must be the same in both branches of the plan, so the
+    partitioned counts are checkpointed: this operator runs one job when called.
+    A hot key spreads over as many range partitions as its values need.
     """
     weights = list(weight_cols) or ["n"]
     source = df if weight_cols else df.withColumn("n", F.lit(1).cast("long"))
     value = F.col(value_col)
+    # A struct never is null and equals itself also with null fields, so the
+    # join below is a plain equality on the partitioning the window already has.
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     counts = (
         source.filter(value.isNotNull())
-        .groupBy(*keys, value.alias("value"))
+        .groupBy(key.alias("_key"), value.alias("value"))
         .agg(*[F.sum(w).alias(w) for w in weights])
     )
     ranged = materialise(
-        counts.repartitionByRange(*[F.col(k) for k in keys], F.col("value")).withColumn("_part", F.spark_partition_id())
+        counts.repartitionByRange("_key", "value").withColumn("_part", F.spark_partition_id())
     )
-    inside = W.partitionBy(*keys, "_part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    # One row per key and range partition.
-    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1) if keys else W.partitionBy(
-        F.lit(0)
-    ).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    totals = ranged.groupBy(*keys, "_part").agg(*[F.sum(w).alias(f"_t_{w}") for w in weights])
+    inside = W.partitionBy("_key", "_part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    # One row per key and range partition from here on.
+    totals = ranged.groupBy("_key", "_part").agg(*[F.sum(w).alias(f"_t_{w}") for w in weights])
+    before = W.partitionBy("_key").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy("_key")
     offsets = totals.select(
-        *keys, "_part", *[F.coalesce(F.sum(f"_t_{w}").over(before), F.lit(0)).alias(f"_o_{w}") for w in weights]
+        "_key",
+        "_part",
+        *[F.coalesce(F.sum(f"_t_{w}").over(before), F.lit(0)).alias(f"_o_{w}") for w in weights],
+        *[F.sum(f"_t_{w}").over(whole).alias(f"total_{w}") for w in weights],
     )
     running = ranged.select("*", *[F.sum(w).over(inside).alias(f"_c_{w}") for w in weights])
-    match = [F.col(f"r.{name}").eqNullSafe(F.col(f"o.{name}")) for name in (*keys, "_part")]
-    joined = running.alias("r").join(offsets.alias("o"), match)
-    out = [F.col(f"r.{k}").alias(k) for k in keys] + [F.col("r.value").alias("value")]
+    joined = running.join(offsets, ["_key", "_part"])
+    out = [F.col(f"_key.{k}").alias(k) for k in keys] + [F.col("value")]
     for w in weights:
-        out.append(F.col(f"r.{w}").alias(w))
-        out.append((F.col(f"r._c_{w}") + F.col(f"o._o_{w}")).alias(f"cum_{w}"))
+        out += [F.col(w), (F.col(f"_c_{w}") + F.col(f"_o_{w}")).alias(f"cum_{w}"), F.col(f"total_{w}")]
     return joined.select(*out)
 
 
 def exact_quantiles(
-    df: DataFrame, value_col: str, probabilities: Sequence[float], keys: Sequence[str] = ()
+    df: DataFrame,
+    value_col: str,
+    probabilities: Sequence[float],
+    keys: Sequence[str] = (),
+    narrow: bool = False,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per key: one row per key with an
-    array ``quantiles`` in the order of ``probabilities``.
+    array ``quantiles`` in the order of ``probabilities``. Runs jobs.
 
-    Only the two order statistics around each probability are kept, found by
-    comparing ranks with the running counts. Runs the job of
-    ``cumulative_counts``.
+    ``narrow=True`` is for raw rows: a mergeable sketch brackets every quantile
+    first, then one more scan keeps single values only inside the brackets and
+    lumps the rest into a count on either side. The result stays exact while the
+    shuffle carries a few ten-thousandths of the rows.
     """
-    return quantiles_from_counts(cumulative_counts(df, value_col, keys), probabilities, keys)
+    if not narrow:
+        return quantiles_from_counts(cumulative_counts(df, value_col, keys), probabilities, keys)
+    compressed = _compress(df, value_col, probabilities, keys)
+    counts = cumulative_counts(compressed, "value", [*keys, "_i"], ["n"])
+    chances = F.array(*[F.lit(float(p)) for p in probabilities])
+    wanted = F.array(F.struct(F.col("_i").alias("i"), (chances[F.col("_i")] * (F.col("total_n") - 1)).alias("at")))
+    return _pick(counts, wanted, keys, "n")
 
 
 def quantiles_from_counts(
     counts: DataFrame, probabilities: Sequence[float], keys: Sequence[str] = (), weight: str = "n"
 ) -> DataFrame:
     """Quantiles of one weight of a ``cumulative_counts`` frame."""
-    cumulative = F.col(f"cum_{weight}")
-    sizes = counts.groupBy(*keys).agg(F.sum(weight).alias("_size"))
-    if keys:
-        match = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        sized = counts.alias("c").join(sizes.alias("s"), match).select("c.*", "s._size")
-    else:
-        sized = counts.withColumn("_size", sizes.select("_size").scalar())
+    size = F.col(f"total_{weight}")
     wanted = F.array(
         *[
-            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("_size") - 1)).alias("at"))
+            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (size - 1)).alias("at"))
             for i, p in enumerate(probabilities)
         ]
     )
+    return _pick(counts, wanted, keys, weight)
+
+
+def _compress(df: DataFrame, value_col: str, probabilities: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """``keys, _i, value, n``: single values inside the bracket of probability
+    ``_i``, and everything below (above) it as one entry at its largest
+    (smallest) value.
+
+    The bracket is two sketch errors wide on both sides. The wanted ranks lie
+    inside it or are the next rank outside, which the lumped entries hold.
+    """
+    margin = 2.0 / SKETCH_ACCURACY
+    low = [max(float(p) - margin, 0.0) for p in probabilities]
+    high = [min(float(p) + margin, 1.0) for p in probabilities]
+    rows = df.filter(F.col(value_col).isNotNull()).select(*keys, F.col(value_col).alias("_v"))
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", low + high, SKETCH_ACCURACY).alias("_bounds"))
+    bounded = attach(rows, sketch, keys)
+    m, v = len(low), F.col("_v")
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"),
+                F.when(v < F.col("_bounds")[i], -1).when(v > F.col("_bounds")[m + i], 1).otherwise(0).alias("side"),
+            )
+            for i in range(m)
+        ]
+    )
+    placed = bounded.select(*keys, "_v", F.explode(sides).alias("_s")).select(*keys, "_v", "_s.i", "_s.side")
+    grouped = placed.groupBy(
+        *keys, F.col("i").alias("_i"), "side", F.when(F.col("side") == 0, v).alias("_single")
+    ).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    value = F.when(F.col("side") == 0, F.col("_single")).when(F.col("side") < 0, F.col("_max")).otherwise(F.col("_min"))
+    return grouped.select(*keys, "_i", value.alias("value"), "n")
+
+
+def _pick(counts: DataFrame, wanted: Column, keys: Sequence[str], weight: str) -> DataFrame:
+    """The order statistics around every wanted rank, interpolated."""
     # A value covers the zero-based ranks [cum - n, cum - 1].
-    first, last = cumulative - F.col(weight), cumulative - 1
-    hit = lambda at: ((F.floor(at) >= first) & (F.floor(at) <= last)) | ((F.ceil(at) >= first) & (F.ceil(at) <= last))
+    first, last = F.col(f"cum_{weight}") - F.col(weight), F.col(f"cum_{weight}") - 1
+
+    def covers(rank: Column, lo: Column, hi: Column) -> Column:
+        return (rank >= lo) & (rank <= hi)
+
+    hits = F.filter(
+        wanted, lambda x: covers(F.floor(x["at"]), first, last) | covers(F.ceil(x["at"]), first, last)
+    )
     picked = (
-        sized.filter(F.col(weight) > 0)
-        .withColumn("_hits", F.filter(wanted, lambda x: hit(x["at"])))
+        counts.filter(F.col(weight) > 0)
+        .withColumn("_hits", hits)
         .filter(F.size("_hits") > 0)
         .select(*keys, "value", first.alias("_first"), last.alias("_last"), F.explode("_hits").alias("_hit"))
     )
     at = F.col("_hit.at")
-    low = F.max(F.when((F.floor(at) >= F.col("_first")) & (F.floor(at) <= F.col("_last")), F.col("value")))
-    high = F.max(F.when((F.ceil(at) >= F.col("_first")) & (F.ceil(at) <= F.col("_last")), F.col("value")))
+    side = lambda rank: F.max(F.when(covers(rank, F.col("_first"), F.col("_last")), F.col("value")))
     solved = picked.groupBy(*keys, F.col("_hit.i").alias("_i"), at.alias("_at")).agg(
-        low.alias("_low"), high.alias("_high")
+        side(F.floor(at)).alias("_low"), side(F.ceil(at)).alias("_high")
     )
     point = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))
+    # At most one entry per probability.
     return solved.groupBy(*keys).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(F.col("_i"), point.alias("q")))), lambda x: x["q"]

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from costlens.functions.nulls import clean, is_missing, nan_to_null, present
 from costlens.operators.aggregate import CATEGORY, TARGET
+from costlens.operators.attach import attach
 from costlens.operators.order_stats import exact_quantiles
 
 NUMERIC_FILL = (TARGET, "quantity", "effective_price")
@@ -63,15 +64,17 @@ def flag_outliers(
     keys: Sequence[str] = ("segment",),
     exact: bool = True,
     factor: float | None = None,
+    raw: bool = False,
 ) -> DataFrame:
-    """Add ``is_outlier``.
+    """Add ``is_outlier`` (runs jobs for the statistics).
 
     ``p99``: strictly above the 99th percentile. ``iqr``: outside the quartiles
     by ``factor`` (1.5) times their distance. ``zscore``: more than ``factor``
     (3) sample standard deviations from the mean; no spread means no outlier.
     A null value gets a null flag under ``p99`` and ``iqr``, false under
-    ``zscore``. ``exact=False`` takes approximate percentiles, lazily; exact
-    ones run one job.
+    ``zscore``. ``exact=False`` takes approximate percentiles. ``raw=True`` says
+    that the rows are raw records and not a daily series; exact percentiles are
+    then narrowed by a sketch first.
     """
     value = clean(df, value_col)
     if method == "zscore":
@@ -83,7 +86,7 @@ def flag_outliers(
     elif method in ("p99", "iqr"):
         probabilities = [0.99] if method == "p99" else [0.25, 0.75]
         if exact:
-            stats = exact_quantiles(df.withColumn("_value", value), "_value", probabilities, keys)
+            stats = exact_quantiles(df.withColumn("_value", value), "_value", probabilities, keys, narrow=raw)
         else:
             stats = df.groupBy(*keys).agg(
                 F.percentile_approx(value, [float(p) for p in probabilities], 10000).alias("quantiles")
@@ -97,12 +100,7 @@ def flag_outliers(
     else:
         raise ValueError(f"unknown outlier method: {method}")
     helper = [name for name in stats.columns if name not in keys]
-    valued = df.withColumn("_value", value)
-    if keys:
-        match = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        joined = valued.alias("d").join(stats.alias("s"), match, "left").select("d.*", *[f"s.{h}" for h in helper])
-    else:
-        joined = valued.withColumn("_stats", stats.select(F.struct(*helper)).scalar()).select("*", "_stats.*").drop("_stats")
+    joined = attach(df.withColumn("_value", value), stats, keys)
     return joined.withColumn("is_outlier", flag).drop("_value", *helper)
 
 
@@ -119,8 +117,7 @@ def treat_outliers(
         )
     if treatment == "cap":
         bounds = exact_quantiles(df.withColumn(value_col, clean(df, value_col)), value_col, [0.99], keys)
-        match = [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-        joined = df.alias("d").join(bounds.alias("b"), match, "left").select("d.*", "b.quantiles")
+        joined = attach(df, bounds, keys)
         capped = F.when(
             F.col(value_col) > F.col("quantiles")[0], F.col("quantiles")[0]
         ).otherwise(F.col(value_col))
@@ -368,19 +365,13 @@ def standardise(
 ) -> DataFrame:
     """Centre and scale by mean and population deviation of the fitting split.
 
-    A column without spread is only centred.
+    A column without spread is only centred. With ``keys`` one job runs.
     """
     stats = []
     for name in columns:
         fitted = F.when(F.col(split_col) == fit_on, F.col(name))
         stats += [F.avg(fitted).alias(f"_mean_{name}"), F.stddev_pop(fitted).alias(f"_std_{name}")]
-    fitted_stats = df.groupBy(*keys).agg(*stats)
-    if keys:
-        match = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        helper = [f"s._{kind}_{name}" for name in columns for kind in ("mean", "std")]
-        joined = df.alias("d").join(fitted_stats.alias("s"), match, "left").select("d.*", *helper)
-    else:
-        joined = df.withColumn("_stats", fitted_stats.select(F.struct("*")).scalar()).select("*", "_stats.*").drop("_stats")
+    joined = attach(df, df.groupBy(*keys).agg(*stats), keys)
     scaled = {
         name: (F.col(name) - F.col(f"_mean_{name}"))
         / F.when(F.col(f"_std_{name}") > 0, F.col(f"_std_{name}")).otherwise(F.lit(1.0))

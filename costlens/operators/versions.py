@@ -82,15 +82,19 @@ def retained_versions(
 ) -> DataFrame:
     """Versions that the retention rule keeps: every Production version, the
     newest of the other stages up to their limits."""
+    limits = {STAGING: staging, NONE: unstaged}
+    if archived is not None:
+        limits[ARCHIVED] = archived
+    limited = F.col("stage").isin(*limits)
     order = W.partitionBy("name", "stage").orderBy(F.col("version").cast("int").desc())
-    position = F.row_number().over(order)
-    keep = (
-        F.when(F.col("stage") == PRODUCTION, F.lit(True))
-        .when(F.col("stage") == STAGING, F.col("_position") <= staging)
-        .when(F.col("stage") == NONE, F.col("_position") <= unstaged)
-        .otherwise(F.lit(True) if archived is None else F.col("_position") <= archived)
+    # The plain rank filter lets Spark cut every group before the shuffle.
+    newest = (
+        view.filter(limited).withColumn("_position", F.row_number().over(order)).filter(F.col("_position") <= max(limits.values()))
     )
-    return view.withColumn("_position", position).filter(keep).drop("_position")
+    limit = F.lit(None).cast("int")
+    for stage, count in limits.items():
+        limit = F.when(F.col("stage") == stage, count).otherwise(limit)
+    return view.filter(~limited).unionByName(newest.filter(F.col("_position") <= limit).drop("_position"))
 
 
 def version_tags(frame: DataFrame) -> DataFrame:

@@ -9,23 +9,17 @@ from pyspark.sql import functions as F
 
 
 def write_records(
-    df: DataFrame,
-    path: str,
-    date_col: str = "usage_date",
-    fmt: str = "parquet",
-    mode: str = "overwrite",
-    files_per_month: int = 8,
-    tie_cols: Sequence[str] = (),
+    df: DataFrame, path: str, date_col: str = "usage_date", fmt: str = "parquet", mode: str = "overwrite"
 ) -> None:
     """Store records in one folder per usage month, so that date bounds prune
-    folders. Rows of a month spread over ``files_per_month`` writers by a hash
-    of ``tie_cols`` (all columns by default), so a hot month or key is not one
-    task."""
-    month = F.date_format(F.col(date_col), "yyyy-MM")
-    spread = F.pmod(F.xxhash64(*(tie_cols or df.columns)), F.lit(files_per_month))
+    folders.
+
+    The rebalance hint gathers the rows of a month, and adaptive execution
+    splits a large month into writers of the advisory partition size.
+    """
     (
-        df.withColumn("usage_month", month)
-        .repartition(F.col("usage_month"), spread)
+        df.withColumn("usage_month", F.date_format(F.col(date_col), "yyyy-MM"))
+        .hint("rebalance", "usage_month")
         .write.mode(mode)
         .partitionBy("usage_month")
         .format(fmt)

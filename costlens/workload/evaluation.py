@@ -8,9 +8,8 @@ from costlens.models.baseline import rolling_naive
 from costlens.models.seasonal import fold_frame
 from costlens.operators import evaluate as e
 from costlens.operators.features import rolling_features
-from costlens.operators.order_stats import exact_quantiles
 from costlens.operators.prepare import flag_outliers
-from costlens.workload.base import DAYS, SERIES, TOTAL, daily_by, daily_total, query, rounded, sig7, sig7_sql
+from costlens.workload.base import DAYS, SERIES, TOTAL, daily_by, daily_total, query, rounded, sig7, sig7_sql, table
 
 MODELS = ("lag1", "lag7", "mean7")
 
@@ -246,22 +245,22 @@ def e9(spark, sf):
 
 @query(
     "w10_average_rank",
-    """WITH c AS (SELECT n_regionkey AS segment, CAST(s_suppkey AS VARCHAR) AS model, floor(s_acctbal / 1000)::DOUBLE AS mape
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-SELECT segment, model, CASE WHEN mape <> 3 THEN RANK() OVER (PARTITION BY segment ORDER BY CASE WHEN mape <> 3 THEN mape END NULLS LAST)
-  + (COUNT(*) OVER (PARTITION BY segment, mape) - 1) / 2.0::DOUBLE END AS mape_rank FROM c""",
+    """WITH c AS (SELECT n_regionkey AS segment, n_name AS model, (COUNT(s_suppkey) % 4)::DOUBLE AS m
+  FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2),
+k AS (SELECT segment, model, CASE WHEN m <> 3 THEN m END AS mape FROM c)
+SELECT segment, model, CASE WHEN mape IS NOT NULL THEN RANK() OVER (PARTITION BY segment ORDER BY mape NULLS LAST)
+  + (COUNT(*) OVER (PARTITION BY segment, mape) - 1) / 2.0::DOUBLE END AS mape_rank FROM k""",
 )
 def w10(spark, sf):
-    suppliers = spark.read.parquet(f"{sf}/supplier.parquet").join(
-        spark.read.parquet(f"{sf}/nation.parquet"), F.col("s_nationkey") == F.col("n_nationkey")
+    """Ranks with ties and NaN: nations by their number of suppliers modulo 4."""
+    suppliers = table(spark, sf, "nation").join(
+        table(spark, sf, "supplier"), F.col("s_nationkey") == F.col("n_nationkey"), "left"
     )
-    level = F.floor(F.col("s_acctbal") / 1000).cast("double")
-    measured_ = suppliers.select(
-        F.col("n_regionkey").alias("segment"),
-        F.col("s_suppkey").cast("string").alias("model"),
-        F.when(level == 3, F.lit(float("nan"))).otherwise(level).alias("mape"),
+    counted = suppliers.groupBy(F.col("n_regionkey").alias("segment"), F.col("n_name").alias("model")).agg(
+        (F.count("s_suppkey") % 4).cast("double").alias("m")
     )
-    return measured_.withColumn("mape_rank", e.average_rank("mape")).drop("mape")
+    scored = counted.withColumn("mape", F.when(F.col("m") == 3, F.lit(float("nan"))).otherwise(F.col("m")))
+    return scored.withColumn("mape_rank", e.average_rank("mape")).drop("m", "mape")
 
 
 def _best_sql(metric, order):

@@ -117,7 +117,7 @@ FROM cost c JOIN b ON c.meter_category = b.meter_category""",
 )
 def p6(spark, sf):
     records = cost_records(spark, sf, ["subscription_id", "line_number", "meter_category", COST_COL])
-    return p.flag_outliers(records, COST_COL, "p99", ["meter_category"]).drop(COST_COL)
+    return p.flag_outliers(records, COST_COL, "p99", ["meter_category"], raw=True).drop(COST_COL)
 
 
 @query(

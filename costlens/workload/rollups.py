@@ -180,7 +180,7 @@ FROM cost GROUP BY 1""",
 )
 def g13(spark, sf):
     records = cost_records(spark, sf, ["meter_category", COST_COL])
-    q = exact_quantiles(records, COST_COL, [0.25, 0.5, 0.99], ["meter_category"])
+    q = exact_quantiles(records, COST_COL, [0.25, 0.5, 0.99], ["meter_category"], narrow=True)
     return rounded(q.select("meter_category", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("p25", "p50", "p99"))]))
 
 
