@@ -103,10 +103,10 @@ def p4(spark, sf):
     FIRST_VALUE(y IGNORE NULLS) OVER a AS y1, FIRST_VALUE(CASE WHEN y IS NOT NULL THEN ds END IGNORE NULLS) OVER a AS d1
   FROM gaps WINDOW b AS ({DAYS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
     a AS ({DAYS} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT segment, ds, ROUND(COALESCE(y, y0 + (y1 - y0) * ((ds - d0)::DOUBLE / (d1 - d0)::DOUBLE)), 3) AS y FROM n""",
+SELECT segment, ds, {sig7_sql('COALESCE(y, y0 + (y1 - y0) * ((ds - d0)::DOUBLE / (d1 - d0)::DOUBLE))')} AS y FROM n""",
 )
 def p5(spark, sf):
-    return rounded(p.interpolate(p.densify(sparse_series(spark, sf), fill=None)).select("segment", "ds", "y"), 3)
+    return sig7(p.interpolate(p.densify(sparse_series(spark, sf), fill=None)).select("segment", "ds", "y"), "y")
 
 
 @query(

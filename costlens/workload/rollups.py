@@ -174,14 +174,15 @@ def g12(spark, sf):
 
 @query(
     "g13_exact_percentiles",
-    f"""WITH {COST} SELECT meter_category, ROUND(quantile_cont({COST_COL}, 0.25), 4) AS p25,
-  ROUND(quantile_cont({COST_COL}, 0.5), 4) AS p50, ROUND(quantile_cont({COST_COL}, 0.99), 4) AS p99
+    f"""WITH {COST} SELECT meter_category, {sig7_sql(f"quantile_cont({COST_COL}, 0.25)")} AS p25,
+  {sig7_sql(f"quantile_cont({COST_COL}, 0.5)")} AS p50, {sig7_sql(f"quantile_cont({COST_COL}, 0.99)")} AS p99
 FROM cost GROUP BY 1""",
 )
 def g13(spark, sf):
     records = cost_records(spark, sf, ["meter_category", COST_COL])
     q = exact_quantiles(records, COST_COL, [0.25, 0.5, 0.99], ["meter_category"], narrow=True)
-    return rounded(q.select("meter_category", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("p25", "p50", "p99"))]))
+    names = ("p25", "p50", "p99")
+    return sig7(q.select("meter_category", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)]), *names)
 
 
 @query(

@@ -18,6 +18,9 @@ def con(sf):
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, sf, con, name):
     df = queries()[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan
     sql = oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0
