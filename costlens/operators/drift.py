@@ -13,7 +13,8 @@ from pyspark.sql import Window as W
 
 from costlens.functions.nulls import is_floating, nan_to_null
 from costlens.functions.probability import chi2_sf, kolmogorov_pvalue, normal_two_sided
-from costlens.operators.order_stats import cumulative_counts, quantiles_from_counts
+from costlens.operators.attach import attach
+from costlens.operators.order_stats import cumulative_counts, exact_quantiles
 
 ALPHA = 0.05
 PSI_FLOOR = 1e-4
@@ -55,29 +56,17 @@ def sample_counts(baseline: DataFrame, current: DataFrame, columns: Sequence[str
     return cumulative_counts(_samples(baseline, current, columns), "value", ["feature"], ["n_base", "n_cur"])
 
 
-def _summary(counts: DataFrame) -> DataFrame:
-    """Sizes, means and baseline deviation per feature, from value counts."""
-    value, base, current = F.col("value"), F.col("n_base"), F.col("n_cur")
-    sums = counts.groupBy("feature").agg(
-        F.sum("n_base").alias("n_baseline"),
-        F.sum("n_cur").alias("n_current"),
-        F.sum(value * base).alias("_sum_base"),
-        F.sum(value * current).alias("_sum_cur"),
-    )
-    means = sums.withColumns(
-        {
-            "mean_baseline": F.try_divide("_sum_base", "n_baseline"),
-            "mean_current": F.try_divide("_sum_cur", "n_current"),
-        }
-    ).drop("_sum_base", "_sum_cur")
-    # One row per tested column.
-    centred = counts.join(F.broadcast(means.select("feature", "mean_baseline")), "feature")
-    squares = centred.groupBy("feature").agg(
-        F.sum(base * (value - F.col("mean_baseline")) * (value - F.col("mean_baseline"))).alias("_ss")
+def _summary(samples: DataFrame) -> DataFrame:
+    """Sizes, means and baseline deviation per feature, from a plain scan."""
+    base = F.when(F.col("n_base") == 1, F.col("value"))
+    current = F.when(F.col("n_cur") == 1, F.col("value"))
+    return samples.groupBy("feature").agg(
+        F.count(base).alias("n_baseline"),
+        F.count(current).alias("n_current"),
+        F.avg(base).alias("mean_baseline"),
+        F.avg(current).alias("mean_current"),
+        F.stddev_samp(base).alias("std_baseline"),
     )
-    return means.join(squares, "feature").withColumn(
-        "std_baseline", F.sqrt(F.try_divide(F.col("_ss"), F.col("n_baseline") - 1))
-    ).drop("_ss")
 
 
 def ks_drift(
@@ -90,7 +79,6 @@ def ks_drift(
     """
     shared = [c for c in columns if c in baseline.columns and c in current.columns]
     counts = sample_counts(baseline, current, shared)
-    summary = _summary(counts)
     gap = F.abs(
         F.try_divide(F.col("cum_n_base"), F.col("total_n_base").cast("double"))
         - F.try_divide(F.col("cum_n_cur"), F.col("total_n_cur").cast("double"))
@@ -100,7 +88,8 @@ def ks_drift(
         F.col("std_baseline") > 0, F.abs(F.col("mean_current") - F.col("mean_baseline")) / F.col("std_baseline")
     ).otherwise(F.lit(0.0))
     return (
-        summary.join(statistic, "feature")
+        _summary(_samples(baseline, current, shared))
+        .join(statistic, "feature")
         .withColumn("pvalue", kolmogorov_pvalue(F.col("statistic"), F.col("n_baseline"), F.col("n_current")))
         .withColumn("is_drift", F.col("pvalue") < alpha)
         .withColumn("drift_magnitude", magnitude)
@@ -162,16 +151,15 @@ def chi2_drift(
 
 
 def psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
-    """Population stability index over baseline quantile buckets."""
-    counts = sample_counts(baseline, current, columns)
-    cuts = quantiles_from_counts(counts, [i / buckets for i in range(1, buckets)], ["feature"], "n_base")
-    # One row per tested column, with ``buckets - 1`` cuts.
+    """Population stability index over baseline quantile buckets (runs jobs for
+    the quantiles). Rows meet the cuts by broadcast, one row per column."""
+    _require(baseline, columns)
+    _require(current, columns)
+    chances = [i / buckets for i in range(1, buckets)]
+    cuts = exact_quantiles(melt(baseline, columns), "value", chances, ["feature"], narrow=True)
+    placed = attach(_samples(baseline, current, columns), cuts, ["feature"])
     bucket = F.size(F.filter("quantiles", lambda q: q < F.col("value")))
-    shares = (
-        counts.join(F.broadcast(cuts), "feature")
-        .groupBy("feature", bucket.alias("bucket"))
-        .agg(F.sum("n_base").alias("b"), F.sum("n_cur").alias("c"))
-    )
+    shares = placed.groupBy("feature", bucket.alias("bucket")).agg(F.sum("n_base").alias("b"), F.sum("n_cur").alias("c"))
     totals = shares.groupBy("feature").agg(F.sum("b").alias("_b"), F.sum("c").alias("_c"))
     return (
         shares.join(totals, "feature")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from costlens.functions.calendar import temporal_columns
 from costlens.functions.nulls import clean, is_floating
+from costlens.operators.attach import BROADCAST_ROWS
 from costlens.operators.prepare import days
 
 LAGS = (1, 2, 3, 7, 14, 30)
@@ -151,12 +152,14 @@ def top_levels(
 ) -> DataFrame:
     """Keep the ``n`` most frequent (or costliest) levels, group the others.
 
-    The kept levels are ``n`` rows at most, so their join side is broadcast.
+    The kept levels are ``n`` rows at most, so their join side is broadcast up
+    to a limit on ``n``.
     """
     weight = F.count(F.lit(1)) if rank_by is None else F.sum(rank_by)
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(weight.alias("_weight"))
     top = counted.orderBy(F.col("_weight").desc(), F.col(column)).limit(n).select(F.col(column).alias("_level"))
-    joined = df.join(F.broadcast(top), F.col(column) == F.col("_level"), "left")
+    side = F.broadcast(top) if n <= BROADCAST_ROWS else top
+    joined = df.join(side, F.col(column) == F.col("_level"), "left")
     name = out_col or column
     kept = F.coalesce(F.col("_level"), F.lit(other))
     return joined.withColumn(name, kept).drop("_level")

@@ -81,9 +81,19 @@ def x3(spark, sf):
     return rounded(out.select("feature", "dof", "statistic"), 6)
 
 
-@query("x3_chi2_pvalue")
+# With two degrees of freedom the tail is exp(-x / 2).
+@query(
+    "x3_chi2_pvalue",
+    f"""WITH lv AS ({_LEVELS}), c AS (SELECT feature, level, SUM(b)::DOUBLE AS b, SUM(1 - b)::DOUBLE AS c FROM lv
+  WHERE feature = 'l_returnflag' GROUP BY 1, 2),
+t AS (SELECT *, SUM(b) OVER f AS tb, SUM(c) OVER f AS tc, COUNT(*) OVER f - 1 AS dof FROM c WINDOW f AS (PARTITION BY feature)),
+x AS (SELECT feature, dof, SUM((b - (b + c) * tb / (tb + tc)) ** 2 / ((b + c) * tb / (tb + tc))
+  + (c - (b + c) * tc / (tb + tc)) ** 2 / ((b + c) * tc / (tb + tc))) AS x FROM t GROUP BY 1, 2)
+SELECT feature, dof, ROUND(x, 6) AS statistic, ROUND(exp(-x / 2), 8) AS pvalue, exp(-x / 2) < 0.05 AS is_drift FROM x""",
+)
 def x3_pvalue(spark, sf):
-    return d.distribution_drift(*halves(spark, sf), "l_returnflag", "chi2")
+    out = d.distribution_drift(*halves(spark, sf), "l_returnflag", "chi2")
+    return rounded(rounded(out, 6, "statistic"), 8, "pvalue")
 
 
 @query(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from costlens.functions.calendar import hours_between, months_by_days
 from costlens.operators import features as f
-from costlens.operators.prepare import complete_series
+from costlens.operators.prepare import complete_series, difference
 from costlens.sources import cost_records
 from costlens.workload.base import COST, DAYS, SERIES, TOTAL, daily_by, daily_total, query, rounded, sig7, sig7_sql, table
 
@@ -111,8 +112,6 @@ def w7(spark, sf):
     f"WITH {SERIES} SELECT segment, ds, ROUND(y - LAG(y) OVER ({DAYS}), 4) AS y_diff FROM series",
 )
 def w13(spark, sf):
-    from costlens.operators.prepare import difference
-
     return rounded(difference(daily_by(spark, sf).select("segment", "ds", "y")).drop("y"))
 
 
@@ -233,8 +232,6 @@ def s7(spark, sf):
   floor((epoch(TIMESTAMP '2001-11-08') - epoch(o_orderdate)) / 86400.0) / 30.0 AS months_old FROM orders""",
 )
 def s8(spark, sf):
-    from costlens.functions.calendar import hours_between, months_by_days
-
     now = F.lit("2001-11-08 00:00:00").cast("timestamp")
     placed = F.col("o_orderdate")
     return table(spark, sf, "orders").select(

@@ -95,16 +95,18 @@ def w16(spark, sf):
 
 
 def model_states(spark, sf):
-    """One model per customer segment and priority: last order as the last
-    retraining, a share of open orders as the error."""
-    orders = table(spark, sf, "orders").join(
-        table(spark, sf, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
+    """A customer is a model: the last order is the last retraining, the share
+    of open orders the error. Orders are summed up before they meet customers."""
+    orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("model")).agg(
+        (F.avg((F.col("o_orderstatus") == "O").cast("double")) * 100.0).alias("error"),
+        F.max("o_orderdate").alias("last_order"),
     )
-    kept = F.when(F.col("c_nationkey") % 5 > 0, F.col("o_orderdate"))
-    error = F.avg((F.col("o_orderstatus") == "O").cast("double")) * 100.0
-    return orders.groupBy(F.col("o_custkey").alias("model")).agg(
-        F.when(F.max("c_nationkey") % 7 == 0, F.lit(float("nan"))).otherwise(error).alias("current_mape"),
-        F.date_sub(F.max(kept), F.max("c_nationkey") * 10).cast("timestamp").alias("last_retraining"),
+    nation = F.col("c_nationkey")
+    known = orders.join(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), F.col("model") == F.col("c_custkey"))
+    return known.select(
+        "model",
+        F.when(nation % 7 == 0, F.lit(float("nan"))).otherwise(F.col("error")).alias("current_mape"),
+        F.when(nation % 5 > 0, F.date_sub("last_order", nation * 10)).cast("timestamp").alias("last_retraining"),
     )
 
 

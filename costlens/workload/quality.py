@@ -154,12 +154,11 @@ def q8(spark, sf):
     """Declared types against the types of the mapped records (no rows read)
     joined to the count of values that a string feed could not cast."""
     records = cost_records(spark, sf)
-    feed = records.select(*[F.col(c).cast("string").alias(c) for c in ("usage_date", "quantity", "plan_name")])
+    feed = records.select(*[F.col(c).cast("string").alias(c) for c in ("usage_date", "quantity")])
     declared = T.StructType(
         [
             T.StructField("usage_date", T.DateType()),
             T.StructField("quantity", T.IntegerType()),
-            T.StructField("plan_name", T.DoubleType()),
         ]
     )
     return q.schema_check(records, RAW_SCHEMA).join(q.cast_failures(feed, declared), "column", "left")
