@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from costlens.session import materialise
 from costlens.operators.attach import attach
+from costlens.session import materialise
 
 # Relative rank error of the sketch is one over this.
 SKETCH_ACCURACY = 10_000
@@ -78,39 +78,23 @@ def exact_quantiles(
 
     ``narrow=True`` is for raw rows: a mergeable sketch brackets every quantile
     first, then one more scan keeps single values only inside the brackets and
-    lumps the rest into a count on either side. The result stays exact while the
-    shuffle carries a few ten-thousandths of the rows.
+    lumps the values between them. The result stays exact while the shuffle
+    carries a few ten-thousandths of the rows.
     """
     if not narrow:
         return quantiles_from_counts(cumulative_counts(df, value_col, keys), probabilities, keys)
     compressed = _compress(df, value_col, probabilities, keys)
-    counts = cumulative_counts(compressed, "value", [*keys, "_i"], ["n"])
-    chances = F.array(*[F.lit(float(p)) for p in probabilities])
-    wanted = F.array(F.struct(F.col("_i").alias("i"), (chances[F.col("_i")] * (F.col("total_n") - 1)).alias("at")))
-    return _pick(counts, wanted, keys, "n")
-
-
-def quantiles_from_counts(
-    counts: DataFrame, probabilities: Sequence[float], keys: Sequence[str] = (), weight: str = "n"
-) -> DataFrame:
-    """Quantiles of one weight of a ``cumulative_counts`` frame."""
-    size = F.col(f"total_{weight}")
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (size - 1)).alias("at"))
-            for i, p in enumerate(probabilities)
-        ]
-    )
-    return _pick(counts, wanted, keys, weight)
+    return quantiles_from_counts(cumulative_counts(compressed, "value", keys, ["n"]), probabilities, keys)
 
 
 def _compress(df: DataFrame, value_col: str, probabilities: Sequence[float], keys: Sequence[str]) -> DataFrame:
-    """``keys, _i, value, n``: single values inside the bracket of probability
-    ``_i``, and everything below (above) it as one entry at its largest
-    (smallest) value.
+    """``keys, value, n``: single values inside a bracket, and each stretch
+    between brackets as its smallest value once and its largest value for the
+    rest.
 
-    The bracket is two sketch errors wide on both sides. The wanted ranks lie
-    inside it or are the next rank outside, which the lumped entries hold.
+    A bracket is two sketch errors wide on both sides, so the wanted ranks lie
+    inside it or are the next rank outside, and the ends of a stretch are true
+    values at their true ranks.
     """
     margin = 2.0 / SKETCH_ACCURACY
     low = [max(float(p) - margin, 0.0) for p in probabilities]
@@ -119,25 +103,40 @@ def _compress(df: DataFrame, value_col: str, probabilities: Sequence[float], key
     sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", low + high, SKETCH_ACCURACY).alias("_bounds"))
     bounded = attach(rows, sketch, keys)
     m, v = len(low), F.col("_v")
-    sides = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.when(v < F.col("_bounds")[i], -1).when(v > F.col("_bounds")[m + i], 1).otherwise(0).alias("side"),
-            )
-            for i in range(m)
-        ]
+    inside, stretch = F.lit(False), F.lit(0)
+    for i in range(m):
+        inside = inside | ((v >= F.col("_bounds")[i]) & (v <= F.col("_bounds")[m + i]))
+        stretch = stretch + (v > F.col("_bounds")[m + i]).cast("int")
+    grouped = (
+        bounded.select(*keys, "_v", inside.alias("_inside"), stretch.alias("_stretch"))
+        .groupBy(
+            *keys,
+            F.when(F.col("_inside"), v).alias("_single"),
+            F.when(~F.col("_inside"), F.col("_stretch")).alias("_stretch"),
+        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     )
-    placed = bounded.select(*keys, "_v", F.explode(sides).alias("_s")).select(*keys, "_v", "_s.i", "_s.side")
-    grouped = placed.groupBy(
-        *keys, F.col("i").alias("_i"), "side", F.when(F.col("side") == 0, v).alias("_single")
-    ).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    value = F.when(F.col("side") == 0, F.col("_single")).when(F.col("side") < 0, F.col("_max")).otherwise(F.col("_min"))
-    return grouped.select(*keys, "_i", value.alias("value"), "n")
+    entry = lambda value, n: F.struct(F.col(value).alias("value"), n.cast("long").alias("n"))
+    entries = (
+        F.when(F.col("_single").isNotNull(), F.array(entry("_single", F.col("_n"))))
+        .when(F.col("_n") == 1, F.array(entry("_min", F.lit(1))))
+        .otherwise(F.array(entry("_min", F.lit(1)), entry("_max", F.col("_n") - 1)))
+    )
+    return grouped.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.value", "_e.n")
 
 
-def _pick(counts: DataFrame, wanted: Column, keys: Sequence[str], weight: str) -> DataFrame:
-    """The order statistics around every wanted rank, interpolated."""
+def quantiles_from_counts(
+    counts: DataFrame, probabilities: Sequence[float], keys: Sequence[str] = (), weight: str = "n"
+) -> DataFrame:
+    """Quantiles of one weight of a ``cumulative_counts`` frame: the order
+    statistics around every wanted rank, interpolated."""
+    size = F.col(f"total_{weight}")
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (size - 1)).alias("at"))
+            for i, p in enumerate(probabilities)
+        ]
+    )
     # A value covers the zero-based ranks [cum - n, cum - 1].
     first, last = F.col(f"cum_{weight}") - F.col(weight), F.col(f"cum_{weight}") - 1
 

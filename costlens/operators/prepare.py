@@ -272,41 +272,47 @@ def split_records(
     counts only: first per day, then by a hash prefix inside the one day that
     holds the cut, then by row key inside that prefix. The labels are a
     comparison of every row with the two keys. Equal keys are one unit and fall
-    on the earlier side of a cut.
+    on the earlier side of a cut; rows without a date get no label.
     """
     keys = list(tie_cols) or records.columns
-    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    keyed = records.withColumn("_key", F.md5(text)).withColumn("_day", F.to_date(date_col))
+    day = F.to_date(date_col)
+    key = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    rows = records.filter(day.isNotNull())
     # One row per calendar day.
-    per_day = keyed.groupBy("_day").agg(F.count(F.lit(1)).alias("n"))
+    per_day = rows.groupBy(day.alias("unit")).agg(F.count(F.lit(1)).alias("n"))
     size = per_day.agg(F.sum("n")).scalar()
     first = F.floor(size * F.lit(float(train)))
     second = first + F.floor(size * F.lit(float(validation)))
 
-    def cut(rank: Column) -> Column:
-        """The (day, key) that holds the one-based ``rank``."""
-
-        def locate(counts: DataFrame, unit: str, target: Column) -> Column:
-            order = W.partitionBy(F.lit(0)).orderBy(unit)
-            so_far = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))
-            return (
-                counts.withColumn("_cum", so_far)
-                .filter(F.col("_cum") >= target)
-                .agg(F.min(F.struct(unit, (target - F.col("_cum") + F.col("n")).alias("rest"))))
-                .scalar()
-            )
+    def locate(counts: DataFrame, target: Column) -> Column:
+        """The unit that holds a rank, and the rank inside it."""
+        so_far = F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("unit").rowsBetween(W.unboundedPreceding, 0))
+        return (
+            counts.withColumn("_cum", so_far)
+            .filter(F.col("_cum") >= target)
+            .agg(F.min(F.struct("unit", (target - F.col("_cum") + F.col("n")).alias("rest"))))
+            .scalar()
+        )
+
+    def up_to(rank: Column) -> Column:
+        """Rows on or before the row key that holds the one-based rank. The hash
+        is computed for rows of the one day only."""
+        cut_day = locate(per_day, rank)
+        count_by = lambda df, unit: df.groupBy(unit.alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+        in_day = rows.filter(day == cut_day["unit"])
+        prefix = F.substring(key, 1, 5)
+        cut_prefix = locate(count_by(in_day, prefix), cut_day["rest"])
+        in_prefix = in_day.filter(prefix == cut_prefix["unit"])
+        cut_key = locate(count_by(in_prefix, key), cut_prefix["rest"])
+        return (day < cut_day["unit"]) | ((day == cut_day["unit"]) & (key <= cut_key["unit"]))
 
-        day = locate(per_day, "_day", rank)
-        in_day = keyed.filter(F.col("_day") == day["_day"])
-        prefix_counts = in_day.groupBy(F.substring("_key", 1, 5).alias("_prefix")).agg(F.count(F.lit(1)).alias("n"))
-        prefix = locate(prefix_counts, "_prefix", day["rest"])
-        in_prefix = in_day.filter(F.substring("_key", 1, 5) == prefix["_prefix"])
-        key = locate(in_prefix.groupBy("_key").agg(F.count(F.lit(1)).alias("n")), "_key", prefix["rest"])
-        return F.struct(day["_day"].alias("_day"), key["_key"].alias("_key"))
-
-    here = F.struct("_day", "_key")
-    label = F.when(here <= cut(first), "train").when(here <= cut(second), "validation").otherwise("test")
-    return keyed.withColumn("split", label).drop("_key", "_day")
+    label = (
+        F.when(day.isNull(), F.lit(None).cast("string"))
+        .when(up_to(first), "train")
+        .when(up_to(second), "validation")
+        .otherwise("test")
+    )
+    return records.withColumn("split", label)
 
 
 # ---- model inputs ---------------------------------------------------------

@@ -105,7 +105,8 @@ def train(
     if stacked is None:
         raise ValueError(f"no model could be fitted: {failures}")
     result.forecasts = materialise(stacked)
-    result.comparison = compare_models(result.forecasts, test)
+    # One row per segment and model; read again by every later step.
+    result.comparison = materialise(compare_models(result.forecasts, test))
     result.best = best_model(result.comparison)
     return result
 

@@ -13,6 +13,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go when the frame that reads them is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
