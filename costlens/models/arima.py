@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costlens.functions.checks import within
 from costlens.models.stationarity import integration_order
 
 MODEL = (
@@ -41,8 +42,11 @@ class ArimaOptions:
     def __post_init__(self):
         if self.criterion not in ("aic", "bic"):
             raise ValueError("criterion must be aic or bic")
-        if min(self.max_p, self.max_d, self.max_q, self.seasonal_d) < 0 or self.seasonal_period < 1:
-            raise ValueError("orders must not be negative")
+        within("max_p", self.max_p, 0, 10)
+        within("max_q", self.max_q, 0, 10)
+        within("max_d", self.max_d, 0, 5)
+        within("seasonal_d", self.seasonal_d, 0, 2)
+        within("seasonal_period", self.seasonal_period, 1)
 
 
 def candidate_orders(options: ArimaOptions) -> list[tuple[int, int, int, int]]:

@@ -17,6 +17,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costlens.functions.checks import within
 from costlens.models.baseline import future_dates
 from costlens.operators.evaluate import align_on_date, metrics
 from costlens.operators.features import (
@@ -51,8 +52,8 @@ class BoostedOptions:
     seed: int = 42
 
     def __post_init__(self):
-        if self.n_estimators < 1 or self.max_depth < 1:
-            raise ValueError("trees and depth must be at least one")
+        within("n_estimators", self.n_estimators, 1)
+        within("max_depth", self.max_depth, 1, 20)
         for name in ("learning_rate", "subsample", "colsample"):
             if not 0 < getattr(self, name) <= 1:
                 raise ValueError(f"{name} must lie in (0, 1]")

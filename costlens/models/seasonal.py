@@ -33,6 +33,7 @@ class SeasonalOptions:
     multiplicative: bool = True
     changepoint_prior_scale: float = 0.05
     seasonality_prior_scale: float = 10.0
+    holidays_prior_scale: float = 10.0
     changepoints: int = 25
     changepoint_range: float = 0.8
     yearly_order: int = 10
@@ -40,7 +41,7 @@ class SeasonalOptions:
     interval_width: float = 0.8
 
     def __post_init__(self):
-        if self.changepoint_prior_scale <= 0 or self.seasonality_prior_scale <= 0:
+        if min(self.changepoint_prior_scale, self.seasonality_prior_scale, self.holidays_prior_scale) <= 0:
             raise ValueError("prior scales must be positive")
         if not 0 < self.interval_width < 1:
             raise ValueError("interval width must lie between zero and one")
@@ -79,7 +80,8 @@ def _solve(pdf: pd.DataFrame, options: SeasonalOptions) -> dict:
         [
             np.full(sizes[0], 1e4),
             np.full(sizes[1], options.changepoint_prior_scale),
-            np.full(sizes[2] + sizes[3] + sizes[4], options.seasonality_prior_scale),
+            np.full(sizes[2] + sizes[3], options.seasonality_prior_scale),
+            np.full(sizes[4], options.holidays_prior_scale),
         ]
     )
     gram = design.T @ design + np.diag(noise / scale**2)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from costlens.functions.calendar import hours_between, period_start
+from costlens.functions.checks import within
 
 TARGET = "cost_in_billing_currency"
 DATE = "usage_date"
@@ -24,14 +25,21 @@ def daily_costs(
     quantity_col: str = "quantity",
     price_col: str = "effective_price",
 ) -> DataFrame:
-    """One row per day and key: summed cost and quantity, unweighted mean price."""
+    """One row per day and key: summed cost and quantity, unweighted mean price.
+
+    Quantity and price are optional columns; their results are null without them.
+    """
     return df.groupBy(F.to_date(date_col).alias("usage_date"), *keys).agg(
         F.sum(cost_col).alias("daily_cost"),
-        F.sum(quantity_col).alias("total_quantity"),
-        F.avg(price_col).alias("avg_rate"),
+        F.sum(_optional(df, quantity_col)).alias("total_quantity"),
+        F.avg(_optional(df, price_col)).alias("avg_rate"),
     )
 
 
+def _optional(df: DataFrame, name: str) -> Column:
+    return F.col(name) if name in df.columns else F.lit(None).cast("double")
+
+
 def segment_daily_costs(
     df: DataFrame,
     category_col: str = CATEGORY,
@@ -53,9 +61,9 @@ def segment_daily_costs(
         F.col(region_col).alias("region"),
     ).agg(
         F.sum(cost_col).alias("cost"),
-        F.sum(quantity_col).alias("quantity"),
-        F.sum(price_col).alias("price_sum"),
-        F.count(price_col).alias("price_count"),
+        F.sum(_optional(df, quantity_col)).alias("quantity"),
+        F.sum(_optional(df, price_col)).alias("price_sum"),
+        F.count(_optional(df, price_col)).alias("price_count"),
     )
     day, category, region = F.col("usage_date"), F.col("category"), F.col("region")
     levels = finest.groupingSets(
@@ -109,6 +117,8 @@ def region_share_deviation(
     df: DataFrame, expected: Mapping[str, float], region_col: str = REGION, cost_col: str = TARGET
 ) -> DataFrame:
     """Cost share per expected region against its weight."""
+    for name, weight in expected.items():
+        within(f"the weight of {name}", weight, 0.0, 1.0)
     weights = df.sparkSession.createDataFrame(
         [(name, float(weight)) for name, weight in expected.items()], "region string, expected_share double"
     )
@@ -136,6 +146,7 @@ def data_profile(df: DataFrame, date_col: str = DATE) -> DataFrame:
 
 def data_availability(df: DataFrame, as_of: str, max_age_hours: float = 168.0, date_col: str = DATE) -> DataFrame:
     """One row: count, latest date, age at ``as_of`` and whether it is fresh."""
+    within("the maximum age", max_age_hours, 0)
     age = hours_between(F.lit(as_of).cast("timestamp"), F.col("latest_date"))
     return (
         df.agg(F.count(F.lit(1)).alias("record_count"), F.max(F.to_date(date_col)).alias("latest_date"))
@@ -159,6 +170,7 @@ def minimum_history(
     daily: DataFrame, months: int = 12, keys: Sequence[str] = ("segment",), date_col: str = "ds"
 ) -> DataFrame:
     """Length of history per segment in thirty-day months against a minimum."""
+    within("the minimum history", months, 1)
     span = F.datediff(F.max(date_col), F.min(date_col)) / F.lit(30.0)
     return (
         daily.groupBy(*keys)

@@ -115,11 +115,6 @@ def fill_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(zero)
 
 
-def category_levels(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Distinct sorted levels of every categorical column, one row."""
-    return df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns if c in df.columns])
-
-
 def one_hot(df: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
     """``{column}_{level}`` indicators, the first sorted level dropped.
 

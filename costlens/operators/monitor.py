@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from costlens.functions.calendar import months_by_days, period_start
+from costlens.functions.checks import within
 from costlens.functions.nulls import nan_to_null
 from costlens.operators.evaluate import align_on_date, metrics
 
@@ -20,6 +21,8 @@ RETRAINING_MAPE = 15.0
 
 def alert_level(mape: Column, warning: float = WARNING_MAPE, critical: float = CRITICAL_MAPE) -> Column:
     """An accuracy that cannot be computed counts as OK."""
+    within("the warning level", warning, 0)
+    within("the critical level", critical, 0)
     value = nan_to_null(mape)
     return F.when(value > critical, "CRITICAL").when(value > warning, "WARNING").otherwise("OK")
 
@@ -141,6 +144,8 @@ def retraining_decision(
     ``models`` is ``model, current_mape, last_retraining``. ``drift`` is
     ``model, is_drift`` and adds the trigger ``data_drift``.
     """
+    within("the triggering error", trigger_mape, 0)
+    within("the months without retraining", max_months, 1)
     months = months_by_days(F.lit(as_of).cast("timestamp"), F.col("last_retraining"))
     mape = nan_to_null(F.col("current_mape"))
     frame = models.withColumn("months_since", months)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from costlens.functions.checks import within
 from costlens.functions.nulls import clean, is_missing, nan_to_null, present
 from costlens.operators.aggregate import CATEGORY, TARGET
 from costlens.operators.attach import attach
@@ -252,6 +253,8 @@ def split_by_months(
     date_col: str = "ds",
 ) -> DataFrame:
     """The last months of every segment are test, those before validation."""
+    within("the test months", test_months, 1)
+    within("the validation months", validation_months, 1)
     newest = F.max(date_col).over(W.partitionBy(*keys))
     day = F.col(date_col)
     label = (

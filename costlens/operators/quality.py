@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costlens.functions.calendar import hours_between
+from costlens.functions.checks import within
 from costlens.functions.nulls import is_missing, present
 from costlens.operators.aggregate import DATE, TARGET, count_if
 
@@ -26,6 +27,7 @@ def _missing_counts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 
 
 def _completeness_columns(columns: Sequence[str], threshold_pct: float) -> dict[str, Column]:
+    within("the missing-data threshold", threshold_pct, 0, 100)
     missing = F.lit(0).cast("long")
     for name in columns:
         missing = missing + F.col(f"missing_{name}")
@@ -75,6 +77,8 @@ def missing_by_column(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS) -> Da
 def missing_alert(
     pct: Column, warning: float = MISSING_WARNING_PCT, critical: float = MISSING_CRITICAL_PCT
 ) -> Column:
+    within("the warning level", warning, 0, 100)
+    within("the critical level", critical, 0, 100)
     return F.when(pct > critical, "CRITICAL").when(pct > warning, "WARNING").otherwise("OK")
 
 
@@ -129,6 +133,7 @@ def timeliness(df: DataFrame, as_of: str, max_age_hours: float = 168.0, date_col
 
 
 def _timeliness_columns(as_of: str, max_age_hours: float) -> dict[str, Column]:
+    within("the maximum age", max_age_hours, 0)
     age = hours_between(F.lit(as_of).cast("timestamp"), F.col("latest_date"))
     return {
         "hours_old": age,

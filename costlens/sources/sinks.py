@@ -4,27 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
+def _store(writer: DataFrameWriter, target: str, as_table: bool) -> None:
+    writer.saveAsTable(target) if as_table else writer.save(target)
+
+
 def write_records(
-    df: DataFrame, path: str, date_col: str = "usage_date", fmt: str = "parquet", mode: str = "overwrite"
+    df: DataFrame,
+    target: str,
+    date_col: str = "usage_date",
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    as_table: bool = False,
 ) -> None:
     """Store records in one folder per usage month, so that date bounds prune
-    folders.
+    folders. ``target`` is a path, or a catalog name with ``as_table``.
 
     The rebalance hint gathers the rows of a month, and adaptive execution
     splits a large month into writers of the advisory partition size.
     """
-    (
-        df.withColumn("usage_month", F.date_format(F.col(date_col), "yyyy-MM"))
-        .hint("rebalance", "usage_month")
-        .write.mode(mode)
-        .partitionBy("usage_month")
-        .format(fmt)
-        .save(path)
-    )
+    months = df.withColumn("usage_month", F.date_format(F.col(date_col), "yyyy-MM")).hint("rebalance", "usage_month")
+    _store(months.write.mode(mode).partitionBy("usage_month").format(fmt), target, as_table)
 
 
 def write_forecast_csv(forecasts: DataFrame, path: str, mode: str = "append") -> None:
@@ -39,17 +42,18 @@ def write_forecast_csv(forecasts: DataFrame, path: str, mode: str = "append") ->
 
 
 def write_forecast_table(
-    forecasts: DataFrame, path: str, generated_at: Column, fmt: str = "parquet", mode: str = "append"
+    forecasts: DataFrame,
+    target: str,
+    generated_at: Column,
+    fmt: str = "parquet",
+    mode: str = "append",
+    as_table: bool = False,
 ) -> None:
     """Forecasts with intervals and model metadata, one folder per run date."""
-    (
-        forecasts.withColumn("generated_at", generated_at.cast("timestamp"))
-        .withColumn("generated_date", F.to_date("generated_at"))
-        .write.mode(mode)
-        .partitionBy("generated_date")
-        .format(fmt)
-        .save(path)
+    run = forecasts.withColumn("generated_at", generated_at.cast("timestamp")).withColumn(
+        "generated_date", F.to_date("generated_at")
     )
+    _store(run.write.mode(mode).partitionBy("generated_date").format(fmt), target, as_table)
 
 
 def latest_forecast_run(

@@ -9,7 +9,7 @@ from costlens.operators.drift import ks_drift
 from costlens.operators.evaluate import metrics
 from costlens.workload.base import AS_OF, query, rounded, sig7, sig7_sql, table
 from costlens.workload.drift import _KS, FEATURES, halves
-from costlens.workload.evaluation import PAIRS, metrics_sql, pairs, shown, SHOWN
+from costlens.workload.evaluation import PAIRS, SHOWN, metrics_sql, pairs, shown
 
 WARN, CRIT, TARGET = 80.0, 90.0, 70.0
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from costlens.models import seasonal
 from costlens.operators import versions as v
 from costlens.session import scratch_path
-from costlens.workload.base import query, rounded, sig7, table
+from costlens.workload.base import query, table
 from costlens.workload.evaluation import series_frame
 from costlens.workload.monitoring import _utc
 
@@ -26,9 +26,13 @@ def versions(spark, sf):
 
 def events(spark, sf):
     """An order line is a stage event of its part; the flag is the stage."""
-    lines = table(spark, sf, "lineitem").filter(F.col("l_partkey") % 4 > 0)
+    lines = table(spark, sf, "lineitem")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     stage = (
-        F.when(F.col("l_returnflag") == "A", "Archived").when(F.col("l_returnflag") == "N", "Production").otherwise("Staging")
+        F.when(flag == "A", "Archived")
+        .when(flag == "N", "Production")
+        .when(status == "O", "Staging")
+        .otherwise("None")
     )
     parts = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("name"))
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
@@ -39,9 +43,9 @@ def events(spark, sf):
     )
 
 
-VIEW = """ev AS (SELECT p_brand AS name, CAST(l_partkey AS VARCHAR) AS version, CASE l_returnflag WHEN 'A' THEN 'Archived'
-    WHEN 'N' THEN 'Production' ELSE 'Staging' END AS stage, l_shipdate AS "at"
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % 4 > 0),
+VIEW = """ev AS (SELECT p_brand AS name, CAST(l_partkey AS VARCHAR) AS version, CASE WHEN l_returnflag = 'A' THEN 'Archived'
+    WHEN l_returnflag = 'N' THEN 'Production' WHEN l_linestatus = 'O' THEN 'Staging' ELSE 'None' END AS stage, l_shipdate AS "at"
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
 st AS (SELECT name, version, stage, "at" AS since FROM ev
   QUALIFY ROW_NUMBER() OVER (PARTITION BY name, version ORDER BY "at" DESC, stage DESC) = 1),
 ver AS (SELECT p_brand AS name, CAST(p_partkey AS VARCHAR) AS version, p_type AS model_type,

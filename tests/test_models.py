@@ -289,3 +289,21 @@ def test_saved_model_loads(spark, fitted, tmp_path):
     model.save(path)
     rows = boosted.one_hot(boosted.feature_rows(daily), model.levels)
     assert PipelineModel.load(path).transform(rows).select("yhat").count() == 480
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda: arima.ArimaOptions(max_p=11),
+        lambda: arima.ArimaOptions(max_d=6),
+        lambda: arima.ArimaOptions(seasonal_period=0),
+        lambda: boosted.BoostedOptions(max_depth=21),
+        lambda: boosted.BoostedOptions(n_estimators=0),
+        lambda: boosted.BoostedOptions(subsample=1.1),
+        lambda: seasonal.SeasonalOptions(holidays_prior_scale=0),
+        lambda: seasonal.SeasonalOptions(interval_width=1.0),
+    ],
+)
+def test_option_bounds(make):
+    with pytest.raises(ValueError):
+        make()

@@ -120,3 +120,25 @@ def test_tags(spark):
     df = spark.createDataFrame([('{"env": "prod"}', 2.0), (None, 1.0), ('{"env": "prod", "t": "1"}', 3.0)], "tags string, c double")
     out = {(r["tag_key"], r["tag_value"]): r["total_cost"] for r in agg.cost_by_tag(df, "tags", "c").collect()}
     assert out == {("env", "prod"): 5.0, ("t", "1"): 3.0}
+
+
+def test_optional_measures(spark):
+    df = spark.createDataFrame([(DAY, 2.0)], "usage_date date, cost_in_billing_currency double")
+    row = agg.daily_costs(df).first()
+    assert row["daily_cost"] == 2 and row["total_quantity"] is None and row["avg_rate"] is None
+
+
+@pytest.mark.parametrize(
+    "call",
+    [
+        lambda df: q.completeness(df, threshold_pct=101),
+        lambda df: q.missing_alert(1, 5, -1),
+        lambda df: q.timeliness(df, "2024-01-01 00:00:00", -1),
+        lambda df: agg.data_availability(df, "2024-01-01 00:00:00", -0.5),
+        lambda df: agg.minimum_history(df, 0),
+        lambda df: agg.region_share_deviation(df, {"x": 1.5}),
+    ],
+)
+def test_bounds(spark, call):
+    with pytest.raises(ValueError):
+        call(frame(spark, []))

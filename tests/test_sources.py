@@ -126,3 +126,11 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_unknown_format_is_an_error(spark, tmp_path):
     with pytest.raises(Exception):
         load_records(spark, str(tmp_path / "nothing"), fmt="parquet").count()
+
+
+def test_catalog_tables(spark, tmp_path):
+    df = spark.sql("select explode(sequence(date'2024-01-01', date'2024-02-10', interval 1 day)) as usage_date").withColumn("meter_category", F.lit("a"))
+    spark.sql(f"create database if not exists costs location '{tmp_path / 'db'}'")
+    write_records(df, "costs.records", as_table=True)
+    assert load_records(spark, "costs.records", "2024-02-01").count() == 10
+    spark.sql("drop table costs.records")
