@@ -8,7 +8,7 @@ from costlens.models.stationarity import diagnose_residuals, make_stationary, sh
 from costlens.operators import drift as d
 from costlens.operators.prepare import difference
 from costlens.operators.residuals import autocorrelation, jarque_bera, ljung_box
-from costlens.workload.base import DAYS, SERIES, daily_by, query, rounded, sig7, sig7_sql, table
+from costlens.workload.base import DAYS, SERIES, daily_by, query, rounded, table
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
 _LONG = " UNION ALL ".join(

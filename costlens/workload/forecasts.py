@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from costlens.models import arima, baseline, boosted, seasonal
 from costlens.operators.evaluate import align_on_date, best_model, metrics
-from costlens.operators.prepare import split_boosted, split_by_fraction
+from costlens.operators.prepare import split_boosted
 from costlens.plans import forecast, train
 from costlens.sources import cost_records
-from costlens.workload.base import AS_OF, DAYS, SERIES, query, rounded, sig7, sig7_sql, table
-from costlens.workload.evaluation import MEASURED, measured, series_frame, shown
+from costlens.workload.base import AS_OF, DAYS, SERIES, query, sig7, sig7_sql
+from costlens.workload.evaluation import MEASURED, measured, series_frame
 
 LAST = "last AS (SELECT segment, MAX(ds) AS last_ds FROM series GROUP BY 1)"
 STEPS = f"{LAST}, fut AS (SELECT segment, last_ds, CAST(last_ds + CAST(s AS INT) AS DATE) AS ds, s AS step FROM last, (SELECT unnest(range(1, 91)) AS s))"

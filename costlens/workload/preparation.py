@@ -205,12 +205,12 @@ def p12(spark, sf):
     return p.split_by_months(daily_by(spark, sf).select("segment", "ds", "y"))
 
 
-@query("p13_prophet_frame", f"WITH {BALANCES} SELECT ds, y FROM balances WHERE y > 0")
+@query("p13_positive_frame", f"WITH {BALANCES} SELECT ds, y FROM balances WHERE y > 0")
 def p13(spark, sf):
     return p.positive_series(balances(spark, sf), keys=())
 
 
-@query("p14_arima_frame", f"WITH {TOTAL} SELECT segment, ds, y FROM series WHERE y IS NOT NULL")
+@query("p14_complete_frame", f"WITH {TOTAL} SELECT segment, ds, y FROM series WHERE y IS NOT NULL")
 def p14(spark, sf):
     return p.complete_series(daily_total(spark, sf))
 

@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from costlens.models.arima import ArimaOptions
 from costlens.models.boosted import BoostedOptions
