@@ -331,3 +331,31 @@ def test_saved_model_loads(spark, fitted, tmp_path):
 def test_option_bounds(make):
     with pytest.raises(ValueError):
         make()
+
+
+def test_workers_do_not_need_the_package(tmp_path):
+    """A session started elsewhere, whose workers cannot import the package."""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[1]
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+from costlens.models import arima, seasonal, stationarity
+from costlens.functions.probability import chi2_sf
+daily = spark.range(60).select(F.lit("s").alias("segment"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("ds"), (F.rand(1) + 1).alias("y"))
+assert seasonal.fit(daily).count() == 1
+assert stationarity.test_stationarity(daily).count() == 1
+assert arima.predict(arima.fit(daily, options=arima.ArimaOptions(max_p=1, max_q=0, seasonal=False)), 2).count() == 2
+assert spark.range(1).select(chi2_sf(F.lit(1.0), F.lit(1.0))).first()[0] > 0
+print("done")
+"""
+    )
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
