@@ -29,3 +29,10 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.passages import remove_repeats
 
     return remove_repeats(table(spark, sf, "documents"), texts=False).drop("kept_text")
+
+
+@query("op9_minhash_near_dedup")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents"), width=4)
