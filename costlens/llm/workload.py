@@ -36,3 +36,10 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf, "documents"), width=4)
+
+
+@query("op1_scaled_fingerprints")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf, "documents"))
