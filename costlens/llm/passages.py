@@ -28,25 +28,35 @@ from costlens.llm.textops import FAMILIES, U64, batches, mix, span_hashes, text_
 
 BUCKET_BYTES = 8 << 20
 SEGMENT_BITS = 24
-ESCAPE = 0xFFFF
+ESCAPE = 0xFFF
+BUCKET_ROWS = 200_000
+RUN = (1 << 12) - 1  # windows of one removed run
 
 SKETCH = "depth int, segment long, bucket long, slots binary"
-FOUND = "h1 long, h2 int, doc_id long, pos int, start int, n int, done boolean"
+# A span is a row's position in its bucket (20 bits), a start (31) and a number of
+# windows (12). Runs that are removed already have no second hash.
+FOUND = "h1 long, h2 int, doc_id long, span long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Ascending values as 16-bit steps; a step of 65535 continues."""
+    """Ascending values as 12-bit steps, two in three bytes; a step of 4095 continues."""
     steps = np.diff(values.astype(np.int64), prepend=0)
     long, rest = np.divmod(steps, ESCAPE)
-    out = np.full(int(long.sum()) + len(steps), ESCAPE, dtype=np.uint16)
+    size = int(long.sum()) + len(steps)
+    out = np.full(size + size % 2, ESCAPE, dtype=np.uint32)
     out[np.cumsum(long + 1) - 1] = rest
-    return out.tobytes()
+    pair = out[0::2] | out[1::2] << 12
+    return pair.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    steps = np.frombuffer(raw, dtype=np.uint16)
-    return np.cumsum(steps.astype(np.int64))[steps != ESCAPE]
+    wide = np.zeros((len(raw) // 3, 4), dtype=np.uint8)
+    wide[:, :3] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3)
+    pair = wide.view("<u4").ravel()
+    steps = np.empty(2 * len(pair), dtype=np.int64)
+    steps[0::2], steps[1::2] = pair & 0xFFF, pair >> 12
+    return np.cumsum(steps)[steps != ESCAPE]
 
 
 def slots(h: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -54,6 +64,10 @@ def slots(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(h + U64(row * 0x9E3779B97F4A7C15 % (1 << 64))) >> U64(64 - bits)).astype(np.int64)
 
 
+def spans(pos: np.ndarray, start: np.ndarray, n) -> np.ndarray:
+    return pos << 43 | start << 12 | n
+
+
 def in_order(group: pd.DataFrame) -> pd.DataFrame:
     """Rows of a bucket by doc_id, then text; the order gives each row its position."""
     return group.sort_values(["doc_id", "text"], kind="stable", na_position="first", ignore_index=True)
@@ -126,19 +140,16 @@ def _finder(width: int, depth: int, bits: int):
         later = np.zeros(len(one), dtype=bool)
         later[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
         # Windows removed here and now travel as runs under a key of their own.
+        pos, start = pos.astype(np.int64), start.astype(np.int64)
         p, s = pos[later], start[later]
-        head = np.flatnonzero((np.diff(p, prepend=-1) != 0) | (np.diff(s, prepend=-2) != 1))
+        fresh = (np.diff(p, prepend=-1) != 0) | (np.diff(s, prepend=-2) != 1)
+        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(p)), 0))
+        head = np.flatnonzero((np.arange(len(p)) - begin) % RUN == 0)
         n = np.diff(np.append(head, len(p)))
-        ids = docs["doc_id"].to_numpy(dtype=object)
-        first = pd.DataFrame(
-            {"h1": one[~later].view(np.int64), "h2": two[~later].view(np.int32), "pos": pos[~later], "start": start[~later], "n": 1, "done": False}
-        )
-        runs = pd.DataFrame(
-            {"h1": (p[head].astype(np.int64) << 32) + s[head], "h2": 0, "pos": p[head], "start": s[head], "n": n, "done": True}
-        )
-        out = pd.concat([first, runs], ignore_index=True)
-        out["doc_id"] = pd.array(ids[out["pos"].to_numpy(dtype=np.int64)], dtype="Int64")
-        return out[["h1", "h2", "doc_id", "pos", "start", "n", "done"]]
+        ids = pd.array(docs["doc_id"], dtype="Int64")
+        firsts = pd.DataFrame({"h1": one[~later].view(np.int64), "h2": two[~later].view(np.int32), "doc_id": ids[pos[~later]], "span": spans(pos[~later], start[~later], 1)})
+        runs = pd.DataFrame({"h1": mix(p[head].astype(U64) << U64(32) | s[head].astype(U64)).view(np.int64), "h2": None, "doc_id": ids[p[head]], "span": spans(p[head], s[head], n)})
+        return pd.concat([firsts.astype({"h2": "Int32"}), runs.astype({"h2": "Int32"})], ignore_index=True)
 
     return find
 
@@ -146,14 +157,16 @@ def _finder(width: int, depth: int, bits: int):
 def _cutter(width: int, texts: bool):
     def cut(docs: pd.DataFrame, removed: pd.DataFrame) -> pd.DataFrame:
         docs = in_order(docs)
-        spans = {int(p): g for p, g in removed.groupby("pos")} if len(removed) else {}
+        span = np.sort(removed["span"].to_numpy(dtype=np.int64))
+        cuts = np.searchsorted(span >> 43, np.arange(len(docs) + 1))
         rows = []
         for i, (doc_id, text) in enumerate(zip(docs["doc_id"], docs["text"])):
             words = text.encode("utf-8", "surrogatepass").split() if isinstance(text, str) else []
             total, gone = len(words), 0
-            if i in spans:
+            own = span[cuts[i] : cuts[i + 1]]
+            if len(own):
                 edge = np.zeros(total + 1, dtype=np.int64)
-                start, n = spans[i]["start"].to_numpy(), spans[i]["n"].to_numpy()
+                start, n = own >> 12 & 0x7FFFFFFF, own & RUN
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + n + width - 1, -1)
                 covered = np.cumsum(edge[:-1]) > 0
@@ -168,7 +181,7 @@ def _cutter(width: int, texts: bool):
     return cut
 
 
-def remove_repeats(docs: DataFrame, width: int = 20, depth: int = 2, slots_per_word: int = 8, texts: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 20, depth: int = 2, slots_per_word: int = 4, texts: bool = True) -> DataFrame:
     """Remove words covered by a window of ``width`` words that also starts earlier.
 
     Earlier means a smaller ``doc_id``, or an earlier start in the same document.
@@ -181,8 +194,8 @@ def remove_repeats(docs: DataFrame, width: int = 20, depth: int = 2, slots_per_w
     """
     if width < 1 or depth < 1:
         raise ValueError("width and depth must be positive")
-    _, size = text_bytes(docs)
-    buckets = max(32, math.ceil(size / BUCKET_BYTES))
+    rows, size = text_bytes(docs)
+    buckets = max(32, math.ceil(size / BUCKET_BYTES), math.ceil(rows / BUCKET_ROWS))
     bits = max(SEGMENT_BITS + 2, math.ceil(math.log2(slots_per_word * max(1, size / 6))))
     bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(buckets)).alias("bucket")
     dealt = docs.select(bucket, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -190,10 +203,6 @@ def remove_repeats(docs: DataFrame, width: int = 20, depth: int = 2, slots_per_w
     sketches = dealt.groupBy("bucket").applyInPandas(_sketcher(width, depth, bits), SKETCH)
     answers = sketches.groupBy("depth", "segment").applyInPandas(merge, SKETCH)
     found = dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_finder(width, depth, bits), FOUND)
-    same = Window.partitionBy("h1", "h2", "done").orderBy("doc_id", "pos", "start")
-    removed = (
-        found.withColumn("later", F.row_number().over(same) > 1)
-        .filter("done OR later")
-        .select(bucket, "pos", "start", "n")
-    )
+    same = Window.partitionBy("h1", "h2").orderBy("doc_id", "span")
+    removed = found.withColumn("turn", F.row_number().over(same)).filter("h2 IS NULL OR turn > 1").select(bucket, "span")
     return dealt.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInPandas(_cutter(width, texts), RESULT)
