@@ -43,3 +43,12 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.fingerprints import fingerprint_documents
 
     return fingerprint_documents(table(spark, sf, "documents"))
+
+
+@query("op5_differencing_packing")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from costlens.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
