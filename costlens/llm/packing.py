@@ -1,7 +1,8 @@
 """Packing of token sequences by multiway differencing.
 
 Each document is tokenised where it is read. Whole windows of it are sequences of their
-own; what is left is cut into a few pieces. Groups of pieces, dealt by a hash, are then
+own; what is left is cut into pieces of one size and a last one of any size, which
+evens windows out. Groups of pieces, dealt by a hash, are then
 divided over windows: every piece starts as a partial partition with one filled window,
 and the two partial partitions of the largest imbalance are merged, the fullest window
 of one with the emptiest of the other, until one is left. If a window overflows, the
@@ -91,10 +92,7 @@ def _cutter(path: str, rule: str, end: int, capacity: int, piece: int):
                 for doc_id, x, y in zip(part["doc_id"].astype("Int64"), offsets[:-1], offsets[1:]):
                     own = np.append(ids[x:y], np.uint32(end)).astype("<u4")
                     whole = len(own) // capacity * capacity
-                    rest = len(own) - whole
-                    cuts = [*range(0, whole, capacity)]
-                    n = math.ceil(rest / piece)
-                    cuts += [whole + rest * i // n for i in range(n)] + [len(own)]
+                    cuts = [*range(0, whole, capacity), *range(whole, len(own), piece), len(own)]
                     for s, e in zip(cuts[:-1], cuts[1:]):
                         rows.append((doc_id, s, e - s, zlib.crc32(own[s:e].tobytes()), len(own)))
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])

@@ -52,3 +52,15 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_token_id_files")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from costlens.llm.idfiles import read_token_ids, write_token_ids
+    from costlens.session import scratch_path
+
+    folder = scratch_path(spark, "ids")
+    manifest = write_token_ids(table(spark, sf, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_ids(spark, folder, manifest)
