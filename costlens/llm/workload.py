@@ -64,3 +64,27 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "ids")
     manifest = write_token_ids(table(spark, sf, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
     return read_token_ids(spark, folder, manifest)
+
+
+OP4_SQL = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op4_pivot_top_k", OP4_SQL)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.nearest import top_products
+
+    vectors = table(spark, sf, "embeddings")
+    return top_products(vectors, vectors.filter("vec_id % 50 = 0"))
