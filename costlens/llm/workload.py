@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +89,21 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 
     vectors = table(spark, sf, "embeddings")
     return top_products(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query("op2_weak_toxicity")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.toxicity import THRESHOLD, held_out, score_toxicity, train
+
+    docs = table(spark, sf, "documents")
+    model = train(docs, table(spark, sf, "labels").filter(~held_out("doc_id")))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+@query("op8_personal_data")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.pii import KINDS, find_personal_data
+
+    return find_personal_data(table(spark, sf, "documents")).drop(*KINDS)
