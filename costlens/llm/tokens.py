@@ -8,44 +8,68 @@ special strings make cuts unsafe goes to the library whole.
 
 from __future__ import annotations
 
+import itertools
 import re
 import sys
 import types
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
 
-MEMORY = 400_000  # pieces a worker remembers
+MEMORY = 800_000  # pieces a worker remembers
 
-# White space followed by a space and by more white space or the end: a run that the
-# byte-level rule takes together. A special string ends a run as well.
+# A special string, or white space followed by a space and by more white space or the
+# end, which the byte-level rule takes together.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)|<\|")
-_CHUNK = re.compile(r"(?s)(?:^| )[^ ]*")
+# Besides, two white-space characters in a row, the separator, or a full stop or comma
+# that does not follow a letter or digit (a dotted capital I ends in a mark when lowered).
+_PLAIN = re.compile(r"\s\s|<\||\x01|İ|(?:\A|[\W_])[.,](?:\s|\Z)")
+# A mark that could combine with what stands before the white space; characters on which
+# definitions of white space differ.
+_MARK = re.compile(r"\s[\u0300-\u036f\u0483-\u0487\u0591-\u05bd\u0610-\u061a\u064b-\u065f\u0900-\u0dff\u1100-\u11ff\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]|[\x1c-\x1f]")
 
 
 def _byte_level(text: str) -> list[str] | None:
-    """Pieces that begin with a space; a space after text always starts a token."""
+    """Pieces that begin with a space; a space after text always starts a token.
+
+    A line feed between words and a mark behind a word are pieces of their own.
+    """
+    if not _PLAIN.search(text):
+        cut = text.replace(" ", "\x01 ").replace(",\x01", "\x01,\x01").replace("\n", "\x01\n\x01")
+        return cut.replace(".\x01", "\x01.\x01").split("\x01")
     if _UNSAFE.search(text):
         return None
     parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]] if parts[0] else [" " + p for p in parts[1:]]
+    return [parts[0], *[" " + p for p in parts[1:]]]
 
 
 def _word_level(text: str) -> list[str] | None:
-    """Runs without white space; the tokenizer drops white space altogether.
-
-    Normalisation works on neighbouring characters, but no composition reaches over an
-    ASCII letter or space; texts beyond are cut at spaces only if their first characters
-    cannot combine, which holds unless a mark follows a space.
-    """
-    if _UNSAFE_MARK.search(text) or "<|" in text:
+    """Runs without white space, which the tokenizer drops, and marks behind words."""
+    if _MARK.search(text) or "<|" in text:
         return None
+    if not _PLAIN.search(text):
+        text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
     return text.split()
 
 
-_UNSAFE_MARK = re.compile(r"\s[̀-ͯ҃-֑҇-ֽؐ-ًؚ-ٟऀ-෿ᄀ-ᇿ᪰-᫿᷀-᷿⃐-⃿゙゚︠-︯\x1c-\x1f]|[\x1c-\x1f]")
+def _byte_word(piece: str) -> str | None:
+    """A piece that is a single token candidate, as the model sees it."""
+    core = piece[1:] if piece[:1] == " " else piece
+    return piece.encode().decode("latin-1").translate(_BYTES) if core.isalpha() else None
+
+
+def _word_word(piece: str) -> str | None:
+    # A final sigma depends on its place, and a letter may fall apart in lower case.
+    lower = unicodedata.normalize("NFC", piece).lower()
+    return lower.encode().decode("latin-1").translate(_BYTES) if piece.isalpha() and lower.isalpha() and "\u03a3" not in piece else None
+
+
+# The byte-level alphabet: printable bytes stand for themselves, others for 256 and on.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _OWN)}
 
-RULES = {"byte": _byte_level, "word": _word_level}
+RULES = {"byte": (_byte_level, _byte_word), "word": (_word_level, _word_word)}
 
 
 def _shelf() -> dict:
@@ -63,8 +87,8 @@ def encoder(path: str, rule: str, memory: int = MEMORY) -> Callable[[list[str]],
     shelf = _shelf()
     held = shelf.get((path, rule))
     if held is None:
-        held = shelf[(path, rule)] = _Pieces(Tokenizer.from_file(path))
-    cut = RULES[rule]
+        held = shelf[(path, rule)] = _Pieces(Tokenizer.from_file(path), RULES[rule][1])
+    cut = RULES[rule][0]
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(held.number) > memory:
@@ -78,7 +102,7 @@ def encoder(path: str, rule: str, memory: int = MEMORY) -> Callable[[list[str]],
             if None in found:
                 held.learn(dict.fromkeys(p for p, n in zip(pieces, found) if n is None))
                 found = list(map(held.number.get, pieces))
-            numbers.append(np.array(found, dtype=np.int64))
+            numbers.append(np.fromiter(found, np.int64, len(found)))
             lengths.append(len(found))
         return held.ids(numbers, lengths)
 
@@ -98,8 +122,8 @@ class _Whole(str):
 
 
 class _Pieces:
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, single: Callable[[str], str | None]):
+        self.tokenizer, self.model, self.single = tokenizer, tokenizer.model, single
         self.clear()
 
     def clear(self):
@@ -110,7 +134,13 @@ class _Pieces:
 
     def learn(self, pieces) -> None:
         pieces = list(pieces)
-        coded = [x.ids for x in self.tokenizer.encode_batch_fast([str(p) for p in pieces], add_special_tokens=False)]
+        coded: list = []
+        for piece in pieces:
+            word = None if isinstance(piece, _Whole) else self.single(piece)
+            coded.append(None if word is None else [t.id for t in self.model.tokenize(word)])
+        other = [i for i, c in enumerate(coded) if c is None]
+        for i, x in zip(other, self.tokenizer.encode_batch_fast([str(pieces[i]) for i in other], add_special_tokens=False)):
+            coded[i] = x.ids
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
         first = len(self.number)
         begin = self.at[first - 1] if first else 0
@@ -120,7 +150,7 @@ class _Pieces:
         end = int(begin + sizes.sum())
         while end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[begin:end] = [i for c in coded for i in c]
+        self.flat[begin:end] = list(itertools.chain.from_iterable(coded))
         self.number.update(zip(pieces, range(first, first + len(pieces))))
 
     def ids(self, numbers: list[np.ndarray], lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
