@@ -107,3 +107,51 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.pii import KINDS, find_personal_data
 
     return find_personal_data(table(spark, sf, "documents")).drop(*KINDS)
+
+
+def mixing_sql(share: float = 0.75) -> str:
+    from costlens.llm.mixing import DIMENSIONS, ROUNDS, SCALE, TOPICS, UNKNOWN
+
+    cases = " ".join(f"WHEN regexp_matches(text, '{pattern}') THEN '{name}'" for name, pattern in TOPICS)
+    parts = [
+        f"""named AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '{UNKNOWN}') AS source, coalesce(lang, '{UNKNOWN}') AS lang,
+    CASE {cases} ELSE 'prose' END AS topic,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens
+  FROM documents
+), cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens FROM named GROUP BY ALL)"""
+    ]
+    for d in DIMENSIONS:
+        parts.append(
+            f"goal_{d} AS (SELECT {d}, p / sum(p) OVER () AS target FROM (SELECT {d}, pow(sum(tokens), 0.5) AS p FROM cells GROUP BY {d}))"
+        )
+    parts.append("w0 AS (SELECT *, CAST(tokens AS DOUBLE) AS weight FROM cells WHERE tokens > 0)")
+    last = "w0"
+    for turn in range(ROUNDS):
+        for d in DIMENSIONS:
+            new = f"w{turn}_{d}"
+            parts.append(
+                f"{new} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, tokens, weight * target / sum(weight) OVER (PARTITION BY c.{d}) AS weight FROM {last} c JOIN goal_{d} g ON c.{d} = g.{d})"
+            )
+            last = new
+    parts.append(f"fair AS (SELECT *, weight / tokens * sum(tokens) OVER () * {share} / sum(weight) OVER () AS f FROM {last})")
+    parts.append("chances AS (SELECT *, f / greatest(1.0, max(f) OVER ()) AS chance FROM fair)")
+    body = ",\n".join(parts)
+    return f"""WITH {body}
+SELECT doc_id, n.tokens, n.topic AS topic_class, round(coalesce(weight, 0), 9) AS weight, round(coalesce(chance, 0), 9) AS chance,
+  n.tokens > 0 AND CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(text)), 1, 13)) AS BIGINT) / {float(SCALE)} < coalesce(chance, 0) AS kept
+FROM named n LEFT JOIN chances c ON n.source = c.source AND n.lang = c.lang AND n.topic = c.topic"""
+
+
+@query("op6_raked_mixture", mixing_sql())
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf, "documents")).withColumns({c: F.round(c, 9) for c in ("weight", "chance")})
+
+
+@query("op3_page_text")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.pages import extract_main_text
+
+    return extract_main_text(table(spark, sf, "pages"))
