@@ -2,8 +2,8 @@
 
 Token weights are raked: the cells of source, language and topic start with their token
 counts and are scaled in turn until each marginal meets its target (iterative
-proportional fitting). A document is then kept with the probability of its cell, the
-largest of which is the wanted share, decided by a hash of its id and text.
+proportional fitting). A document is then kept with the probability of its cell, scaled
+so that the wanted share of all tokens is expected, decided by a hash of its id and text.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from costlens.operators.attach import attach
 from costlens.session import materialise
 
 ROUNDS = 12
+FILL_ROUNDS = 6
+SHARE = 0.9
 DIMENSIONS = ("source", "lang", "topic")
 UNKNOWN = "(none)"
 SCALE = 1 << 52
@@ -85,16 +87,21 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return out
 
 
-def chances(cells: DataFrame, share: float) -> DataFrame:
+def chances(cells: DataFrame, share: float, rounds: int = FILL_ROUNDS) -> DataFrame:
     """Chance of keeping a document of each cell.
 
-    The expected tokens are ``share`` of all tokens, or as many as the scarcest cell
-    allows; chances are in proportion to weight over tokens.
+    In proportion to weight over tokens, at most 1, so that ``share`` of all tokens is
+    expected: what cells that are kept whole cannot give is taken from the others, a
+    round at a time.
     """
     whole = Window.partitionBy(F.lit(1))
-    ratio = F.col("weight") / F.col("tokens")
-    fair = ratio * F.sum("tokens").over(whole) * F.lit(share) / F.sum("weight").over(whole)
-    return cells.withColumn("chance", fair / F.greatest(F.lit(1.0), F.max(fair).over(whole)))
+    out = cells.withColumn("fair", F.col("weight") / F.col("tokens") * F.sum("tokens").over(whole) * F.lit(share) / F.sum("weight").over(whole))
+    for _ in range(rounds):
+        full, part = F.col("fair") >= 1, F.col("fair") * F.col("tokens")
+        left = F.sum("tokens").over(whole) * F.lit(share) - F.sum(F.when(full, F.col("tokens")).otherwise(0)).over(whole)
+        open_ = F.sum(F.when(full, 0.0).otherwise(part)).over(whole)
+        out = out.withColumn("fair", F.when(full | (open_ <= 0), F.col("fair")).otherwise(F.col("fair") * F.greatest(left, F.lit(0.0)) / open_))
+    return out.withColumn("chance", F.least(F.lit(1.0), "fair")).drop("fair")
 
 
 def draw(doc_id: Column, text: Column) -> Column:
@@ -103,7 +110,7 @@ def draw(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(SCALE))
 
 
-def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = 0.75, rounds: int = ROUNDS) -> DataFrame:
+def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """Sample documents by calibrated probabilities; see ``rake`` and ``chances``.
 
     Adds ``tokens, topic_class, weight, chance`` and ``kept`` to ``doc_id``; one row per
@@ -133,7 +140,7 @@ def _kept() -> Column:
     return (F.col("tokens") > 0) & (F.col("draw") < F.coalesce("chance", F.lit(0.0)))
 
 
-def sample_mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = 0.75) -> DataFrame:
+def sample_mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE) -> DataFrame:
     """The documents that ``mix_sources`` keeps, with their own columns."""
     names = docs.columns
     named = described(docs, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))

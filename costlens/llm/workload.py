@@ -109,8 +109,10 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return find_personal_data(table(spark, sf, "documents")).drop(*KINDS)
 
 
-def mixing_sql(share: float = 0.75) -> str:
-    from costlens.llm.mixing import DIMENSIONS, ROUNDS, SCALE, TOPICS, UNKNOWN
+def mixing_sql() -> str:
+    from costlens.llm.mixing import DIMENSIONS, FILL_ROUNDS, ROUNDS, SCALE, SHARE, TOPICS, UNKNOWN
+
+    share = SHARE
 
     cases = " ".join(f"WHEN regexp_matches(text, '{pattern}') THEN '{name}'" for name, pattern in TOPICS)
     parts = [
@@ -134,8 +136,16 @@ def mixing_sql(share: float = 0.75) -> str:
                 f"{new} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, tokens, weight * target / sum(weight) OVER (PARTITION BY c.{d}) AS weight FROM {last} c JOIN goal_{d} g ON c.{d} = g.{d})"
             )
             last = new
-    parts.append(f"fair AS (SELECT *, weight / tokens * sum(tokens) OVER () * {share} / sum(weight) OVER () AS f FROM {last})")
-    parts.append("chances AS (SELECT *, f / greatest(1.0, max(f) OVER ()) AS chance FROM fair)")
+    parts.append(f"fill0 AS (SELECT *, weight / tokens * sum(tokens) OVER () * {share} / sum(weight) OVER () AS f FROM {last})")
+    for turn in range(FILL_ROUNDS):
+        left = f"greatest(sum(tokens) OVER () * {share} - sum(CASE WHEN f >= 1 THEN tokens ELSE 0 END) OVER (), 0.0)"
+        parts.append(
+            f"open{turn} AS (SELECT *, {left} AS l, sum(CASE WHEN f >= 1 THEN 0.0 ELSE f * tokens END) OVER () AS o FROM fill{turn})"
+        )
+        parts.append(
+            f"fill{turn + 1} AS (SELECT source, lang, topic, tokens, weight, CASE WHEN f >= 1 OR o <= 0 THEN f ELSE f * l / o END AS f FROM open{turn})"
+        )
+    parts.append(f"chances AS (SELECT *, least(1.0, f) AS chance FROM fill{FILL_ROUNDS})")
     body = ",\n".join(parts)
     return f"""WITH {body}
 SELECT doc_id, n.tokens, n.topic AS topic_class, round(coalesce(weight, 0), 9) AS weight, round(coalesce(chance, 0), 9) AS chance,
