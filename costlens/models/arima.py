@@ -24,7 +24,8 @@ from costlens.models.stationarity import integration_order
 
 MODEL = (
     "p int, d int, q int, seasonal_p int, seasonal_d int, seasonal_q int, score double, constant double, "
-    "ar array<double>, ma array<double>, sigma double, last_ds date, y_tail array<double>, e_tail array<double>, n long"
+    "ar array<double>, ma array<double>, sigma double, last_ds date, y_tail array<double>, e_tail array<double>, n long, "
+    "fallback boolean"
 )
 
 
@@ -38,6 +39,8 @@ class ArimaOptions:
     max_order: int = 5
     seasonal_d: int = 0
     criterion: str = "aic"
+    # Days on which candidates are scored, at least; deeper candidates drop out.
+    minimum_days: int = 20
 
     def __post_init__(self):
         if self.criterion not in ("aic", "bic"):
@@ -110,7 +113,14 @@ def _with_differences(ar: np.ndarray, d: int, seasonal_d: int, m: int) -> np.nda
     return -poly[1:]
 
 
-def _fit_series(pdf: pd.DataFrame, orders, options: ArimaOptions) -> dict:
+def _depth(order, m: int) -> int:
+    return max(order[0], order[1], m * order[2], m * order[3])
+
+
+def _fit_series(pdf: pd.DataFrame, orders, options: ArimaOptions, depths: Sequence[int]) -> dict:
+    """``depths`` are the longest lags of all candidates, deepest first, not of
+    these orders alone: every candidate is scored on the same days, however they
+    are dealt. ``fallback`` tells that the series was too short for the deepest."""
     pdf = pdf.sort_values("ds")
     y = pdf["y"].to_numpy(float)
     m = options.seasonal_period
@@ -120,11 +130,13 @@ def _fit_series(pdf: pd.DataFrame, orders, options: ArimaOptions) -> dict:
         w = w[m:] - w[:-m]
     d = integration_order(w, options.max_d)
     w = np.diff(w, n=d)
-    deepest = max((max(o[0], o[1], m * o[2], m * o[3]) for o in orders), default=0)
-    long_order = min(max(2 * deepest, 10), len(w) // 4)
-    start = long_order + deepest
-    if len(w) - start < 20:
-        orders, long_order, start = [(0, 0, 0, 0)], 0, 0
+    for deepest in depths:
+        long_order = min(max(2 * deepest, 10), len(w) // 4) if deepest else 0
+        start = long_order + deepest
+        if len(w) - start >= options.minimum_days:
+            break
+    short = deepest < depths[0]
+    orders = [o for o in orders if _depth(o, m) <= deepest] or [(0, 0, 0, 0)]
     shocks = np.zeros_like(w)
     if long_order:
         x = np.hstack([np.ones((len(w) - long_order, 1)), _lagged(w, range(1, long_order + 1), long_order)])
@@ -140,7 +152,7 @@ def _fit_series(pdf: pd.DataFrame, orders, options: ArimaOptions) -> dict:
         "seasonal_p": order[2], "seasonal_d": seasonal_d, "seasonal_q": order[3],
         "score": score, "constant": constant, "ar": level.tolist(), "ma": ma.tolist(), "sigma": sigma,
         "last_ds": pd.Timestamp(pdf["ds"].iloc[-1]).date(),
-        "y_tail": tail(y, len(level)), "e_tail": tail(error, len(ma)), "n": len(y),
+        "y_tail": tail(y, len(level)), "e_tail": tail(error, len(ma)), "n": len(y), "fallback": bool(short),
     }
 
 
@@ -156,11 +168,13 @@ def fit(
     known = history.filter(F.col("y").isNotNull() & ~F.isnan("y")).select(*names, "ds", F.col("y").cast("double").alias("y"))
     orders = candidate_orders(options)
     batches = max(1, min(batches, len(orders)))
+    m = options.seasonal_period
+    depths = sorted({0, *(_depth(o, m) for o in orders)}, reverse=True)
     spread = known.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         chosen = orders[int(pdf["_batch"].iloc[0]) :: batches]
-        return pd.DataFrame([{name: pdf[name].iloc[0] for name in names} | _fit_series(pdf, chosen, options)])
+        return pd.DataFrame([{name: pdf[name].iloc[0] for name in names} | _fit_series(pdf, chosen, options, depths)])
 
     types = {f.name: f.dataType.simpleString() for f in known.schema}
     schema = ", ".join(f"{name} {types[name]}" for name in names) + ", " + MODEL

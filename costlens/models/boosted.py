@@ -7,11 +7,11 @@ or ``search`` run jobs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import product
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
@@ -19,18 +19,18 @@ from pyspark.sql import functions as F
 
 from costlens.functions.checks import within
 from costlens.models.baseline import future_dates
+from costlens.operators.attach import attach
 from costlens.operators.evaluate import align_on_date, metrics
 from costlens.operators.features import (
     LAGS,
     WINDOWS,
     fill_features,
-    fit_levels,
     lag_features,
-    one_hot,
     rolling_features,
     temporal_features,
 )
 from costlens.operators.prepare import days, split_boosted
+from costlens.session import materialise
 
 CALENDAR = (
     "Year", "Month", "Day", "DayOfWeek", "DayOfYear", "WeekOfYear", "Quarter", "IsWeekend", "IsMonthStart",
@@ -75,14 +75,26 @@ class BoostedOptions:
         return trees.setValidationIndicatorCol(validation_col) if validation_col else trees
 
 
+SEGMENT = ("segment_mean", "segment_std", "segment_trend")
+
+
 @dataclass
 class BoostedModel:
     trees: GBTRegressionModel
     features: list[str]
-    levels: dict[str, list[str]] = field(default_factory=dict)
+    statistics: DataFrame
 
     def save(self, path: str) -> None:
-        PipelineModel([assembler(self.features), self.trees]).write().overwrite().save(path)
+        """Everything that prediction needs, below one path."""
+        self.trees.write().overwrite().save(f"{path}/trees")
+        self.statistics.write.mode("overwrite").parquet(f"{path}/statistics")
+        named = self.statistics.sparkSession.createDataFrame([(self.features,)], "features array<string>")
+        named.write.mode("overwrite").parquet(f"{path}/features")
+
+    @classmethod
+    def load(cls, spark, path: str) -> BoostedModel:
+        features = list(spark.read.parquet(f"{path}/features").first()["features"])
+        return cls(GBTRegressionModel.load(f"{path}/trees"), features, spark.read.parquet(f"{path}/statistics"))
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -99,9 +111,28 @@ def feature_rows(daily: DataFrame, keys: Sequence[str] = ("segment",), lags=LAGS
     return fill_features(frame, names)
 
 
-def _feature_names(frame: DataFrame, levels: Mapping[str, Sequence[str]]) -> list[str]:
+def segment_statistics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Level, spread and trend of every series on its training days; they tell
+    segments apart whatever their number."""
+    day = F.unix_date("ds").cast("double")
+    y = F.col("y").cast("double")
+    trained = rows.filter((F.col("split") == "train") & F.col("y").isNotNull() & ~F.isnan(y))
+    return materialise(
+        trained.groupBy(*keys).agg(
+            F.avg(y).alias("segment_mean"), F.stddev_pop(y).alias("segment_std"), F.regr_slope(y, day).alias("segment_trend")
+        )
+    )
+
+
+def with_statistics(rows: DataFrame, statistics: DataFrame) -> DataFrame:
+    """``rows`` with the statistics of their segment, zero for an unseen one."""
+    keys = [c for c in statistics.columns if c not in SEGMENT]
+    return fill_features(attach(rows, statistics, keys), list(SEGMENT))
+
+
+def _feature_names(frame: DataFrame) -> list[str]:
     history = [c for c in frame.columns if c.startswith(("y_lag_", "y_rolling_"))]
-    return [*CALENDAR, *history, *[f"{c}_{v}" for c, values in levels.items() for v in sorted(values)[1:]]]
+    return [*CALENDAR, *history, *SEGMENT]
 
 
 def labelled_rows(daily: DataFrame, options: BoostedOptions, keys: Sequence[str] = ("segment",)) -> DataFrame:
@@ -118,21 +149,21 @@ def fit(
 
 
 def _fit_rows(rows: DataFrame, options: BoostedOptions, keys: Sequence[str]) -> BoostedModel:
-    levels = fit_levels(rows, keys)
-    frame = one_hot(rows, levels)
-    names = _feature_names(rows, levels)
+    statistics = segment_statistics(rows, keys)
+    frame = with_statistics(rows, statistics)
+    names = _feature_names(rows)
     used = frame.filter(F.col("split").isin("train", "validation") & F.col("y").isNotNull()).withColumn(
         "is_validation", F.col("split") == "validation"
     )
     vectors = assembler(names).transform(used).select("features", F.col("y").cast("double").alias("y"), "is_validation")
     early = options.validation > 0
     trees = options.regressor("is_validation" if early else None).fit(vectors)
-    return BoostedModel(trees, names, levels)
+    return BoostedModel(trees, names, statistics)
 
 
 def predict(model: BoostedModel, rows: DataFrame, keys: Sequence[str] = ("segment",)) -> DataFrame:
     """``keys, ds, yhat``. A feature column the rows lack counts as zero."""
-    frame = one_hot(rows, model.levels)
+    frame = with_statistics(rows, model.statistics)
     aligned = frame.withColumns({c: F.lit(0) for c in model.features if c not in frame.columns})
     return model.trees.transform(assembler(model.features).transform(aligned)).select(*keys, "ds", "yhat")
 
@@ -154,7 +185,7 @@ def grid_search(
 ) -> tuple[BoostedOptions, list[dict]]:
     """Try every option combination, fitted on the training days and scored on
     the validation days; the split is chronological, never random."""
-    rows = labelled_rows(daily, options, keys).cache()
+    rows = materialise(labelled_rows(daily, options, keys))
     results = []
     for values in product(*grid.values()):
         chosen = dict(zip(grid, values))
@@ -163,15 +194,15 @@ def grid_search(
         test = rows.filter(F.col("split") == "validation")
         scored = metrics(align_on_date(predict(model, test, keys), test.select(*keys, "ds", "y"), keys), ())
         results.append({**chosen, metric: scored.select(metric).first()[0]})
-    rows.unpersist()
-    best = min(results, key=lambda r: r[metric])
+    # A score that cannot be computed never wins.
+    best = min(results, key=lambda r: math.inf if r[metric] is None or math.isnan(r[metric]) else r[metric])
     return BoostedOptions(**{**options.__dict__, **{k: best[k] for k in grid}}), results
 
 
 def learning_curve(model: BoostedModel, rows: DataFrame, spark) -> DataFrame:
     """``trees, train_error, validation_error``: squared error per number of
     trees on both splits."""
-    frame = assembler(model.features).transform(one_hot(rows.filter(F.col("y").isNotNull()), model.levels)).withColumn(
+    frame = assembler(model.features).transform(with_statistics(rows.filter(F.col("y").isNotNull()), model.statistics)).withColumn(
         "y", F.col("y").cast("double")
     )
     errors = [

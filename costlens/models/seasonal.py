@@ -64,13 +64,14 @@ def _solve(pdf: pd.DataFrame, options: SeasonalOptions) -> dict:
     t = (day - day[0]) / span
     count = min(options.changepoints, max(len(y) - 2, 0))
     hinges = np.linspace(0, options.changepoint_range, count + 1)[1:] if count else np.empty(0)
-    names = sorted(pdf["holiday"].dropna().unique()) if "holiday" in pdf else []
+    held = [() if h is None else tuple(h) for h in pdf["holiday"]] if "holiday" in pdf else []
+    names = sorted({name for day_names in held for name in day_names})
     blocks = [
         np.column_stack([np.ones_like(t), t]),
         np.maximum(0.0, t[:, None] - hinges[None, :]),
         _fourier(day, YEAR, options.yearly_order if options.yearly else 0),
         _fourier(day, WEEK, options.weekly_order if options.weekly else 0),
-        np.column_stack([(pdf["holiday"] == h).to_numpy(float) for h in names]) if names else np.empty((len(y), 0)),
+        np.array([[float(h in day_names) for h in names] for day_names in held]) if names else np.empty((len(y), 0)),
     ]
     design = np.hstack(blocks)
     sizes = [b.shape[1] for b in blocks]
@@ -126,8 +127,8 @@ def fit(
 
 
 def _with_holidays(frame: DataFrame, holidays: DataFrame) -> DataFrame:
-    """One holiday name per day; days without one stay null."""
-    named = holidays.groupBy("ds").agg(F.min("holiday").alias("holiday"))
+    """All holiday names of each day as an array; days without one stay null."""
+    named = holidays.filter("holiday IS NOT NULL").groupBy("ds").agg(F.array_sort(F.collect_set("holiday")).alias("holiday"))
     return frame.join(named, "ds", "left")
 
 
@@ -158,7 +159,7 @@ def predict(
     """
     z = NormalDist().inv_cdf(0.5 + interval_width / 2)
     frame = dates.select(*keys, "ds")
-    frame = _with_holidays(frame, holidays) if holidays is not None else frame.withColumn("holiday", F.lit(None).cast("string"))
+    frame = _with_holidays(frame, holidays) if holidays is not None else frame.withColumn("holiday", F.lit(None).cast("array<string>"))
     joined = frame.join(coefficients, list(keys), "inner")
     day = F.unix_date("ds").cast("double")
     t = F.datediff("ds", "start") / F.col("span")
@@ -172,7 +173,10 @@ def predict(
             "_trend": F.col("intercept") + F.col("slope") * F.col("_t") + bend,
             "_yearly": _waves("yearly", day, YEAR),
             "_weekly": _waves("weekly", day, WEEK),
-            "_holiday": F.coalesce(F.try_element_at("holidays", "holiday"), F.lit(0.0)),
+            "_holiday": F.coalesce(
+                F.aggregate("holiday", F.lit(0.0), lambda total, name: total + F.coalesce(F.try_element_at(F.col("holidays"), name), F.lit(0.0))),
+                F.lit(0.0),
+            ),
         }
     )
     total = F.col("_trend") + F.col("_yearly") + F.col("_weekly") + F.col("_holiday")

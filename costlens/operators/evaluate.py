@@ -189,8 +189,10 @@ def stack_models(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def performance_weights(measured: DataFrame, keys: Sequence[str] = ("segment",)) -> DataFrame:
-    """Weights inverse to the MAPE, summing to one per key."""
-    inverse = F.try_divide(F.lit(1.0), nan_to_null(F.col("mape")))
+    """Weights inverse to the MAPE, summing to one per key. A perfect model
+    counts with the smallest MAPE that is told from zero."""
+    mape = nan_to_null(F.col("mape"))
+    inverse = F.when(mape.isNotNull(), F.lit(1.0) / F.greatest(mape, F.lit(EPSILON)))
     total = F.sum("_inverse").over(W.partitionBy(*keys))
     return (
         measured.withColumn("_inverse", inverse)

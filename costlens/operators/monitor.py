@@ -111,9 +111,11 @@ def consecutive_alerts(
     date_col: str = "ds",
 ) -> DataFrame:
     """Runs of days above the warning level. A run of ``days`` or more is a
-    WARNING; one day above the critical level makes any run CRITICAL."""
+    WARNING; one day above the critical level makes any run CRITICAL. Of
+    several checks on one day the worst counts."""
     order = W.partitionBy(*keys).orderBy(date_col)
-    high = daily_checks.filter(nan_to_null(F.col("mape")) > warning)
+    worst = daily_checks.groupBy(*keys, date_col).agg(F.max(nan_to_null(F.col("mape"))).alias("mape"))
+    high = worst.filter(F.col("mape") > warning)
     island = F.date_sub(F.col(date_col), F.row_number().over(order))
     runs = (
         high.withColumn("_island", island)

@@ -119,11 +119,11 @@ def version_tags(frame: DataFrame) -> DataFrame:
 
 
 def rollback_events(view: DataFrame, name: str, target: str, at: str) -> DataFrame:
-    """The stage events of a rollback: current Production to Archived, the
-    target version to Production."""
+    """The stage events of a rollback: every other Production version to
+    Archived, the target version to Production."""
     when = F.lit(at).cast("timestamp")
     mine = view.filter(F.col("name") == name)
-    current = latest_versions(mine, PRODUCTION).filter(F.col("version") != target).select(
+    current = mine.filter((F.col("stage") == PRODUCTION) & (F.col("version") != target)).select(
         "name", "version", F.lit(ARCHIVED).alias("stage"), when.alias("at")
     )
     promoted = mine.filter(F.col("version") == target).select(
@@ -190,8 +190,13 @@ class VersionTables:
     def promote(self, name: str, version: str, stage: str, at: str) -> None:
         if self.versions().filter((F.col("name") == name) & (F.col("version") == version)).isEmpty():
             raise ValueError(f"{name} has no version {version}")
-        row = self.spark.createDataFrame([(name, version, stage)], "name string, version string, stage string")
-        self._append(row.withColumn("at", F.lit(at).cast("timestamp")), "stage_events")
+        if stage == PRODUCTION:
+            # One version at most is in production.
+            events = rollback_events(self.view(), name, version, at)
+        else:
+            row = self.spark.createDataFrame([(name, version, stage)], "name string, version string, stage string")
+            events = row.withColumn("at", F.lit(at).cast("timestamp"))
+        self._append(events, "stage_events")
 
     def latest(self, name: str, stage: str = PRODUCTION) -> str | None:
         row = latest_versions(self.view().filter(F.col("name") == name), stage).select("version").first()

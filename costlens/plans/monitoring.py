@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costlens.functions.nulls import nan_to_null
 from costlens.operators import monitor as m
 
 
@@ -35,7 +36,7 @@ def monitor(
     known = history.unionByName(checks, allowMissingColumns=True)
     states = (
         checks.groupBy("model")
-        .agg(F.max("mape").alias("current_mape"))
+        .agg(F.max(nan_to_null(F.col("mape"))).alias("current_mape"))
         .join(m.last_retraining(retrainings), "model", "left")
     )
     return MonitoringResult(

@@ -141,7 +141,7 @@ def j4(spark, sf):
 @query(
     "v8_rollback",
     f"""WITH {VIEW}, t AS (SELECT CAST(MIN(CAST(version AS INT)) AS VARCHAR) AS version FROM vw WHERE name = 'Brand#4'),
-c AS (SELECT {_LATEST} WHERE name = 'Brand#4' AND stage = 'Production')
+c AS (SELECT version FROM vw WHERE name = 'Brand#4' AND stage = 'Production')
 SELECT 'Brand#4' AS name, version, 'Archived' AS stage, TIMESTAMP '2001-11-08' AS "at" FROM c
 WHERE version IS NOT NULL AND version <> (SELECT version FROM t)
 UNION ALL SELECT 'Brand#4', version, 'Production', TIMESTAMP '2001-11-08' FROM t""",

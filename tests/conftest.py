@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from costlens.session import build_session
 
     session = build_session(
@@ -22,6 +22,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -180,3 +180,11 @@ def test_scenario_frames(series_of):
     assert 130 < kept < 190 and kept == e.drop_days(daily, 20).count()
     assert e.delay_days(daily, 3).count() == 197
     assert e.inflate_days(daily, 100, 2.0).agg(F.sum("y")).first()[0] == 2 * sum(range(1, 201))
+
+
+def test_a_perfect_model_takes_the_weight(spark):
+    from costlens.operators.evaluate import performance_weights
+
+    rows = [("s", "perfect", 0.0), ("s", "good", 5.0), ("s", "none", float("nan"))]
+    out = {r["model"]: r["weight"] for r in performance_weights(spark.createDataFrame(rows, "segment string, model string, mape double")).collect()}
+    assert out["perfect"] > 0.99 and 0 < out["good"] < 0.01 and out["none"] is None

@@ -306,13 +306,55 @@ def test_direct_forecast_needs_no_recursion(fitted):
 
 
 def test_saved_model_loads(spark, fitted, tmp_path):
-    from pyspark.ml import PipelineModel
-
     daily, _, model = fitted
     path = str(tmp_path / "boosted")
     model.save(path)
-    rows = boosted.one_hot(boosted.feature_rows(daily), model.levels)
-    assert PipelineModel.load(path).transform(rows).select("yhat").count() == 480
+    loaded = boosted.BoostedModel.load(spark, path)
+    rows = boosted.feature_rows(daily)
+    want = {(r["segment"], r["ds"]): r["yhat"] for r in boosted.predict(model, rows).collect()}
+    got = {(r["segment"], r["ds"]): r["yhat"] for r in boosted.predict(loaded, rows).collect()}
+    assert len(got) == 480 and got == want
+
+
+def test_boosted_takes_many_segments(spark):
+    daily = spark.range(5000).selectExpr("CAST(id AS string) AS segment", "id", "explode(sequence(0, 23)) AS k").selectExpr(
+        "segment", "date_add(DATE'2024-01-01', k) AS ds", "CAST(id % 50 + k AS double) AS y"
+    )
+    model = boosted.fit(daily, boosted.BoostedOptions(n_estimators=3, max_depth=3, validation=0.0))
+    out = boosted.predict(model, boosted.feature_rows(daily).filter("ds = DATE'2024-01-24'"))
+    assert out.select("segment").distinct().count() == 5000
+
+
+def test_two_holidays_on_one_day(spark, series_of):
+    values = [10.0 + 5.0 * (i % 10 == 0) + 3.0 * (i % 15 == 0) for i in range(120)]
+    daily = series_of({"s": values})
+    names = daily.selectExpr("ds", "datediff(ds, DATE'2024-01-01') AS i")
+    holidays = names.filter("i % 10 = 0").selectExpr("ds", "'A' AS holiday").unionByName(names.filter("i % 15 = 0").selectExpr("ds", "'B' AS holiday"))
+    options = seasonal.SeasonalOptions(yearly=False, weekly=False, multiplicative=False, changepoints=0)
+    fitted = seasonal.fit(daily, options=options, holidays=holidays)
+    effects = fitted.first()["holidays"]
+    assert effects["A"] == pytest.approx(5, rel=0.05) and effects["B"] == pytest.approx(3, rel=0.05)
+    first = seasonal.predict(fitted, daily, holidays=holidays).orderBy("ds").first()
+    assert first["yhat"] == pytest.approx(18, rel=0.02)
+
+
+def test_arima_order_does_not_depend_on_batches(spark):
+    import numpy as np
+
+    rng, rows = np.random.default_rng(4), []
+    for s in range(50):
+        a, b, y, e0 = rng.uniform(-0.7, 0.7), rng.uniform(-0.7, 0.7), 0.0, 0.0
+        for i in range(60 if s % 5 == 0 else 200):
+            e = rng.normal()
+            y, e0 = a * y + e + b * e0, e
+            rows.append((f"s{s}", D(2023, 1, 1) + dt.timedelta(days=i), 50 + y))
+    daily = spark.createDataFrame(rows, "segment string, ds date, y double").cache()
+    options = arima.ArimaOptions(max_p=2, max_q=2, max_order=3)
+    seen = [
+        {r["segment"]: (r["p"], r["q"], r["seasonal_p"], r["seasonal_q"], r["fallback"]) for r in arima.fit(daily, options=options, batches=n).collect()}
+        for n in (1, 3, 8)
+    ]
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 50
 
 
 @pytest.mark.parametrize(

@@ -95,3 +95,13 @@ def test_monitoring_run(spark, series_of):
     assert result.decision.first()["triggers"] == ["performance_degradation"]
     assert result.report.first()["total_checks"] == 9
     assert result.trends.count() == 9
+
+
+def test_several_checks_on_one_day_make_one_day(spark):
+    import datetime as dt
+
+    from costlens.operators import monitor as m
+
+    rows = [("a", dt.date(2024, 1, 1), 13.0), ("a", dt.date(2024, 1, 1), 13.5), ("a", dt.date(2024, 1, 2), 13.0), ("a", dt.date(2024, 1, 3), float("nan"))]
+    out = m.consecutive_alerts(spark.createDataFrame(rows, "model string, ds date, mape double")).collect()
+    assert [(r["run_days"], r["worst_mape"], r["alert_level"]) for r in out] == [(2, 13.5, "WARNING")]

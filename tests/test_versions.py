@@ -46,7 +46,7 @@ def test_rollback(tables):
     tables.promote("cost", "3", v.PRODUCTION, AT.format(5))
     tables.rollback("cost", "2", AT.format(6))
     stages = {r["version"]: r["stage"] for r in tables.view().collect()}
-    assert stages == {"1": "Production", "2": "Production", "3": "Archived"}
+    assert stages == {"1": "Archived", "2": "Production", "3": "Archived"}
     assert tables.latest("cost") == "2"
     with pytest.raises(ValueError):
         tables.rollback("cost", "42", AT.format(7))
@@ -87,3 +87,11 @@ def test_tags_default_to_not_available(spark):
     df = spark.createDataFrame([("Total", "2024-01-01", "7", {"mape": 9.5})], "category string, training_date string, data_version string, metrics map<string,double>")
     tags = v.version_tags(df).first()["tags"]
     assert tags["mape"] == "9.5" and tags["r2"] == "N/A" and tags["category"] == "Total"
+
+
+def test_rollback_archives_every_other_production_version(spark):
+    from costlens.operators import versions as v
+
+    view = spark.createDataFrame([("m", "1", "Archived"), ("m", "2", "Production"), ("m", "3", "Production")], "name string, version string, stage string")
+    events = v.rollback_events(view, "m", "1", "2024-01-05 00:00:00")
+    assert {(r["version"], r["stage"]) for r in events.collect()} == {("1", "Production"), ("2", "Archived"), ("3", "Archived")}
