@@ -38,8 +38,13 @@ def segment_series(records: DataFrame, levels: Sequence[str] = ("total", "catego
     """``segment, ds, y`` without gaps. The frame holds one row per segment and
     day and is checkpointed, because every model reads it."""
     daily = segment_daily_costs(fill_missing(records)).filter(F.col("segment_level").isin(*levels))
-    # Regions get a prefix: a region may be named like a category.
-    name = F.when(F.col("segment_level") == "region", F.concat(F.lit("region:"), "segment")).otherwise(F.col("segment"))
+    # Regions get a prefix, and so does a category named like another kind of segment.
+    mistaken = (F.col("segment") == "Total") | F.col("segment").rlike(r"\||^region:|^category:")
+    name = (
+        F.when(F.col("segment_level") == "region", F.concat(F.lit("region:"), "segment"))
+        .when((F.col("segment_level") == "category") & mistaken, F.concat(F.lit("category:"), "segment"))
+        .otherwise(F.col("segment"))
+    )
     series = daily.select(name.alias("segment"), F.col("usage_date").alias("ds"), F.col("daily_cost").alias("y"))
     return materialise(densify(series.filter(F.col("ds").isNotNull())))
 
@@ -75,32 +80,40 @@ def train(
     frames: dict[str, DataFrame] = {}
     failures: dict[str, str] = {}
     result = TrainingResult(quality_report(records, as_of), daily, daily, daily, daily, failures=failures)
-    if "naive" in models:
-        frames["naive"] = baseline.naive(history, periods)
-    if "seasonal_naive" in models:
-        frames["seasonal_naive"] = baseline.seasonal_naive(history, periods)
-    if "linear_trend" in models:
-        frames["linear_trend"] = baseline.linear_trend(history, periods)
-    if "seasonal" in models:
-        result.coefficients = seasonal.fit(history, options=seasonal_options)
-        frames["seasonal"] = seasonal.predict(
-            result.coefficients, test, interval_width=seasonal_options.interval_width
-        ).select("segment", "ds", "yhat", "yhat_lower", "yhat_upper")
-    if "arima" in models:
-        result.arima_models = arima.fit(history, options=arima_options)
-        frames["arima"] = arima.predict(result.arima_models, periods)
-    if "boosted" in models:
+
+    def seasonal_forecast() -> DataFrame:
+        result.coefficients = materialise(seasonal.fit(history, options=seasonal_options))
+        out = seasonal.predict(result.coefficients, test, interval_width=seasonal_options.interval_width)
+        return out.select("segment", "ds", "yhat", "yhat_lower", "yhat_upper")
+
+    def arima_forecast() -> DataFrame:
+        result.arima_models = materialise(arima.fit(history, options=arima_options))
+        return arima.predict(result.arima_models, periods)
+
+    def boosted_forecast() -> DataFrame:
+        # From the same last day as the others: no test day sees another.
+        result.boosted_model = boosted.fit(history, boosted_options)
+        return boosted.direct_forecast(history, periods, boosted_options)
+
+    makers = {
+        "naive": lambda: baseline.naive(history, periods),
+        "seasonal_naive": lambda: baseline.seasonal_naive(history, periods),
+        "linear_trend": lambda: baseline.linear_trend(history, periods),
+        "seasonal": seasonal_forecast,
+        "arima": arima_forecast,
+        "boosted": boosted_forecast,
+    }
+    for name in (m for m in MODELS if m in models):
         try:
-            result.boosted_model = boosted.fit(daily, boosted_options)
-            rows = boosted.labelled_rows(daily, boosted_options).join(test.select("segment", "ds"), ["segment", "ds"], "left_semi")
-            frames["boosted"] = boosted.predict(result.boosted_model, rows)
+            # Run here, so that a model that fails ends alone.
+            frames[name] = materialise(_forecast_columns(makers[name]()))
         except Exception as error:  # noqa: BLE001 - one model must not end the run
-            log.warning("boosted model failed: %s", error)
-            failures["boosted"] = str(error)
+            log.warning("%s failed: %s", name, error)
+            failures[name] = str(error)
 
     stacked = None
     for name, frame in frames.items():
-        tagged = _forecast_columns(frame).withColumn("model", F.lit(name))
+        tagged = frame.withColumn("model", F.lit(name))
         stacked = tagged if stacked is None else stacked.unionByName(tagged)
     if stacked is None:
         raise ValueError(f"no model could be fitted: {failures}")

@@ -86,3 +86,16 @@ def test_arguments(records):
         train(records, AS_OF, models=("oracle",))
     with pytest.raises(ValueError):
         train(records.limit(0), AS_OF)
+
+
+def test_a_failing_model_ends_alone(spark, records, monkeypatch):
+    from costlens.models import seasonal
+    from costlens.plans import train
+
+    def broken(pdf, options):
+        raise ValueError("no fit")
+
+    monkeypatch.setattr(seasonal, "_solve", broken)
+    result = train(records, as_of="2024-12-31 00:00:00", models=("naive", "seasonal", "linear_trend"))
+    assert set(result.failures) == {"seasonal"}
+    assert {r["model"] for r in result.comparison.select("model").distinct().collect()} == {"naive", "linear_trend"}
