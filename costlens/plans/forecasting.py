@@ -27,7 +27,6 @@ FORECASTERS: dict[str, Callable[[DataFrame, int], DataFrame]] = {
     "linear_trend": baseline.linear_trend,
     "seasonal": _seasonal,
     "arima": _arima,
-    "boosted": boosted.direct_forecast,
 }
 
 
@@ -43,19 +42,27 @@ def forecast(
     is_preliminary``.
 
     ``best`` is ``segment, model``. Every model sees only the history of the
-    segments that chose it, all of them at once; the boosted model fits one model
-    when called.
+    segments that chose it, all of them at once. The boosted model is fitted once
+    per horizon, so that a near day is not forecast from features as old as the
+    longest horizon.
     """
     chosen = best.select("segment", "model")
     longest = max(horizons)
-    stacked = None
+    stacked = by_horizon = None
     for name in models:
         mine = daily.join(chosen.filter(F.col("model") == name).select("segment"), "segment", "left_semi")
-        if name == "boosted" and mine.isEmpty():
+        if name == "boosted":
+            if not mine.isEmpty():
+                for horizon in horizons:
+                    frame = _forecast_columns(boosted.direct_forecast(mine, horizon)).withColumn("model", F.lit(name))
+                    frame = frame.withColumn("horizon_days", F.lit(horizon))
+                    by_horizon = frame if by_horizon is None else by_horizon.unionByName(frame)
             continue
         frame = _forecast_columns(FORECASTERS[name](mine, longest)).withColumn("model", F.lit(name))
         stacked = frame if stacked is None else stacked.unionByName(frame)
-    if stacked is None:
+    if stacked is None and by_horizon is None:
         raise ValueError("no model to forecast with")
-    spread = baseline.by_horizon(stacked, horizons)
+    spread = by_horizon if stacked is None else baseline.by_horizon(stacked, horizons)
+    if stacked is not None and by_horizon is not None:
+        spread = spread.unionByName(by_horizon)
     return baseline.mark_preliminary(spread, daily, as_of, late_hours)

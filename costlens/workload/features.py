@@ -211,9 +211,15 @@ def k1(spark, sf):
     return complete_series(daily_by(spark, sf)).orderBy("segment", "ds")
 
 
-@query("s1_distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem")
+@query(
+    "s1_distinct_rows",
+    """SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM (SELECT DISTINCT * FROM (
+SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1))""",
+)
 def s1(spark, sf):
-    return table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount").distinct()
+    lines = table(spark, sf, "lineitem")
+    whole = lines.unionByName(lines.filter("l_linenumber = 1")).distinct()
+    return whole.withColumn("l_shipdate", F.to_date("l_shipdate"))
 
 
 @query(

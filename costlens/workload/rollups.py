@@ -153,11 +153,12 @@ def g10(spark, sf):
 
 @query(
     "g11_distinct_records",
-    """SELECT COUNT(*) AS distinct_records FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_shipdate
-FROM lineitem)""",
+    """SELECT COUNT(*) AS distinct_records FROM (SELECT DISTINCT * FROM (
+SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1))""",
 )
 def g11(spark, sf):
-    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_shipdate")
+    lines = table(spark, sf, "lineitem")
+    rows = lines.unionByName(lines.filter("l_linenumber = 1"))
     return rows.distinct().agg(F.count(F.lit(1)).alias("distinct_records"))
 
 
