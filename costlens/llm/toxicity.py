@@ -21,14 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.textops import FAMILIES, span_hashes
+from costlens.llm.textops import FAMILIES, U64, mix, span_hashes
 
-SAMPLE_ROWS = 12_000  # labelled rows that are learnt from, at most
+SAMPLE_ROWS = 6_000  # labelled rows that are learnt from, at most
 THRESHOLD = 0.3
 SPACE_BITS = 22  # hashed words and beginnings
 LEXICONS = 24  # voters of each kind of lexicon
 FEATURES = 4096
-PRECISION = 0.75  # share of toxic rows among those with a listed feature
+PRECISION = 0.8  # share of toxic rows among those with a listed feature
 PREFIXES = (4, 5, 6)
 EDGES = " \t\n\r.,;:!?\"'()[]{}<>*#$%&|-_=+/\\~`^@…“”‘’«»¡¿"
 
@@ -147,21 +147,47 @@ def lexicon(present: np.ndarray, toxic: np.ndarray, counts: np.ndarray) -> np.nd
     return order[(ratio[order] > needed) & (a[order] >= max(PRECISION, base) * n[order])]
 
 
+def distinct_rows(features: list[np.ndarray], bands: int = 3, width: int = 4) -> np.ndarray:
+    """Rows that are no near copy of an earlier one, by min-hashes of their features.
+
+    A copied toxic text would make each of its words look like evidence.
+    """
+    seeds = mix(np.arange(1, bands * width + 1, dtype=U64))
+    seen: set = set()
+    keep = []
+    for i, own in enumerate(features):
+        if len(own) > 8:
+            h = own.astype(U64)
+            least = [int(mix(h ^ s).min()) for s in seeds]
+            keys = [(b, *least[b * width : (b + 1) * width]) for b in range(bands)]
+            copy = any(k in seen for k in keys)
+            seen.update(keys)
+            if copy:
+                continue
+        keep.append(i)
+    return np.array(keep, dtype=np.int64)
+
+
 def fit(toxic: np.ndarray, features: list[np.ndarray], rates: np.ndarray) -> dict:
     """Classifier from described rows; ``features`` are sorted hashes of each."""
-    toxic = toxic.astype(float)
+    own = distinct_rows(features)
+    toxic, features, rates = toxic[own].astype(float), [features[i] for i in own], rates[own]
     if not len(toxic) or toxic.min() == toxic.max():
         chance = float(np.clip(toxic.mean() if len(toxic) else 0.0, 0.01, 0.99))
         return {"features": np.empty(0, np.int64), "weights": np.empty(0), "bias": float(np.log(chance / (1 - chance)))}
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    ids = np.concatenate(features).astype(np.int64)
+    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+    ids = np.concatenate(features)
     size = 1 << SPACE_BITS
     counts = np.bincount(ids, minlength=size)
     bad = np.bincount(ids, weights=toxic[row], minlength=size)
     seen = np.flatnonzero(counts)
     words = seen[lexicon(bad[seen], toxic, counts[seen])][:FEATURES]
     # Voters: every list takes each LEXICONS-th entry, so that all are of like strength.
-    voter = np.full(size, -1, dtype=np.int64)
+    # Only entries of the lists matter from here on.
+    listed = np.zeros(size, dtype=bool)
+    listed[words] = True
+    row, ids = row[listed[ids]], ids[listed[ids]]
+    voter = np.full(size, -1, dtype=np.int32)
     voter[words] = np.arange(len(words)) % LEXICONS
     hit = voter[ids]
     votes = np.zeros((len(toxic), LEXICONS), dtype=bool)
@@ -172,7 +198,7 @@ def fit(toxic: np.ndarray, features: list[np.ndarray], rates: np.ndarray) -> dic
     votes = votes[:, votes.any(axis=0) & ~votes.all(axis=0)]
     posterior = label_model(votes, 0.05 + 0.9 * toxic)[0] if votes.shape[1] else toxic
     # Linear classifier on the posteriors, over the features with most evidence for them.
-    place = np.full(size, -1, dtype=np.int64)
+    place = np.full(size, -1, dtype=np.int32)
     place[words] = np.arange(len(words))
     at = place[ids]
     r, c = row[at >= 0], at[at >= 0]
@@ -209,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .mapInPandas(_describe, "toxic int, features binary, patterns array<double>")
         .toPandas()
     )
-    features = [np.frombuffer(f, dtype=np.int32) for f in rows["features"]]
+    features = [np.frombuffer(f, dtype=np.int32) for f in rows.pop("features")]
     rates = np.array(rows["patterns"].to_list(), dtype=float).reshape(len(rows), 3)
     return fit(rows["toxic"].to_numpy(), features, rates)
 
