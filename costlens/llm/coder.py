@@ -27,8 +27,10 @@ BLOCK = 2048  # ids of a block
 ID_BITS = 16
 MASK32 = U64(0xFFFFFFFF)
 W32 = U64(32)
-LIMIT = 240  # sum at which counts are halved
+LIMIT = 240  # sum above which counts are halved
+REVIEW = 16  # steps between two looks at the sums
 WEIGHTS = (2, 1, 1)
+TRUST = np.array([[0, 1, 0], [0, 2, 1], [1, 3, 2], [1, 3, 3]])
 
 
 class _Model:
@@ -39,6 +41,7 @@ class _Model:
         self.row1, self.row2 = self.lane << SLOTS1, self.lane << SLOTS2
         self.next1 = np.full(lanes << SLOTS1, -1, dtype=np.int32)
         self.next2 = np.full(lanes << SLOTS2, -1, dtype=np.int32)
+        self.turn = 0
         self.counts = [np.ones((lanes * 16, 4), dtype=np.int32) for _ in range(3)]
         self.row = self.lane * 16
         self.last = np.zeros(lanes, dtype=np.int64)
@@ -63,11 +66,14 @@ class _Model:
         """Learns from one id of each lane; ended lanes learn rubbish harmlessly."""
         for counts, at in zip(self.counts, self.at):
             counts[at, event] += 8
-            full = counts[at].sum(axis=1) > LIMIT
-            if full.any():
-                counts[at[full]] = (counts[at[full]] + 1) >> 1
-        self.trust2 = np.where(self.p2 >= 0, np.where(self.p2 == ids, np.minimum(self.trust2 + 1, 3), self.trust2 >> 1), self.trust2)
-        self.trust1 = np.where(self.p1 >= 0, np.where(self.p1 == ids, np.minimum(self.trust1 + 1, 3), self.trust1 >> 1), self.trust1)
+        self.turn += 1
+        if self.turn % REVIEW == 0:
+            for counts in self.counts:
+                full = np.flatnonzero(counts.sum(axis=1) > LIMIT)
+                counts[full] = (counts[full] + 1) >> 1
+        # By trust (0 to 3) and outcome: wrong, right, no prediction.
+        self.trust2 = TRUST[self.trust2, np.where(self.p2 < 0, 2, self.p2 == ids)]
+        self.trust1 = TRUST[self.trust1, np.where(self.p1 < 0, 2, self.p1 == ids)]
         self.next1[self.slot1] = ids
         self.next2[self.slot2] = ids
         self.hash = ((self.last * 0x2F35 ^ ids * 0x9E37) >> 3) & (1 << SLOTS2) - 1
