@@ -30,12 +30,24 @@ _PLAIN = re.compile(r"\s\s|<\||\x01|İ|(?:\A|[\W_])[.,](?:\s|\Z)")
 _MARK = re.compile(r"\s[\u0300-\u036f\u0483-\u0487\u0591-\u05bd\u0610-\u061a\u064b-\u065f\u0900-\u0dff\u1100-\u11ff\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]|[\x1c-\x1f]")
 
 
+# The same for ASCII texts, where plain searches find the rest.
+_JOINED = re.compile(r"(?<![A-Za-z0-9])[.,](?=\s|\Z)")
+_RARE = ("  ", "\n\n", " \n", "\n ", "<|", "\x01", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+
+
+def _plain(text: str) -> bool:
+    """Whether marks and line feeds can be cut off as well."""
+    if text.isascii():
+        return not any(x in text for x in _RARE) and not _JOINED.search(text)
+    return not _PLAIN.search(text)
+
+
 def _byte_level(text: str) -> list[str] | None:
     """Pieces that begin with a space; a space after text always starts a token.
 
     A line feed between words and a mark behind a word are pieces of their own.
     """
-    if not _PLAIN.search(text):
+    if _plain(text):
         cut = text.replace(" ", "\x01 ").replace(",\x01", "\x01,\x01").replace("\n", "\x01\n\x01")
         return cut.replace(".\x01", "\x01.\x01").split("\x01")
     if _UNSAFE.search(text):
@@ -48,7 +60,7 @@ def _word_level(text: str) -> list[str] | None:
     """Runs without white space, which the tokenizer drops, and marks behind words."""
     if _MARK.search(text) or "<|" in text:
         return None
-    if not _PLAIN.search(text):
+    if _plain(text):
         text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
     return text.split()
 
@@ -93,18 +105,17 @@ def encoder(path: str, rule: str, memory: int = MEMORY) -> Callable[[list[str]],
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(held.number) > memory:
             held.clear()
-        numbers, lengths = [], []
+        pieces, lengths = [], []
         for text in texts:
-            pieces = cut(text)
-            if pieces is None:
-                pieces = [_Whole(text)]
-            found = list(map(held.number.get, pieces))
-            if None in found:
-                held.learn(dict.fromkeys(p for p, n in zip(pieces, found) if n is None))
-                found = list(map(held.number.get, pieces))
-            numbers.append(np.fromiter(found, np.int64, len(found)))
-            lengths.append(len(found))
-        return held.ids(numbers, lengths)
+            own = cut(text)
+            own = [_Whole(text)] if own is None else own
+            pieces += own
+            lengths.append(len(own))
+        found = list(map(held.number.get, pieces))
+        if None in found:
+            held.learn({p for p, n in zip(pieces, found) if n is None})
+            found = map(held.number.__getitem__, pieces)
+        return held.ids(np.fromiter(found, np.int64, len(pieces)), lengths)
 
     return encode
 
@@ -136,7 +147,7 @@ class _Pieces:
         pieces = list(pieces)
         coded: list = []
         for piece in pieces:
-            word = None if isinstance(piece, _Whole) else self.single(piece)
+            word = None if type(piece) is _Whole else self.single(piece)
             coded.append(None if word is None else [t.id for t in self.model.tokenize(word)])
         other = [i for i, c in enumerate(coded) if c is None]
         for i, x in zip(other, self.tokenizer.encode_batch_fast([str(pieces[i]) for i in other], add_special_tokens=False)):
@@ -153,13 +164,10 @@ class _Pieces:
         self.flat[begin:end] = list(itertools.chain.from_iterable(coded))
         self.number.update(zip(pieces, range(first, first + len(pieces))))
 
-    def ids(self, numbers: list[np.ndarray], lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, which: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
         offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
-        if not lengths:
-            return np.empty(0, np.uint32), offsets
-        which = np.concatenate(numbers)
         end = self.at[which]
-        start = np.where(which > 0, self.at[which - 1], 0)
+        start = np.where(which > 0, self.at[which - 1], 0)  # none before the first piece
         size = end - start
         total = np.concatenate([[0], np.cumsum(size)])
         take = np.arange(total[-1]) + np.repeat(start - total[:-1], size)
