@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.session import materialise
 
+TASK_LINKS = 50_000
+
 
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``id, component`` of every row that has a link; ``links`` has ``a, b``.
@@ -20,18 +24,22 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = materialise(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct()
     )
+    # A table of few links runs in few tasks.
+    tasks = max(1, math.ceil(edges.count() / TASK_LINKS))
     before = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks).withColumn("m", F.least("u", "m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
+        small = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
         pointed = (
             large.join(small, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.*")
             .filter("u <> v")
+            .coalesce(tasks)
             .distinct()
+            .coalesce(tasks)
         )
         edges = materialise(pointed)
         # Equal sums of two hashes mean the same set of edges.

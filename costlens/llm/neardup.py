@@ -1,23 +1,27 @@
 """Near-duplicate documents by a multi-index join over min-hash signatures.
 
-A document's signature is a row of symbols, the lowest bits of one min-hash each.
-It is split into chunks; two signatures that differ in at most ``chunks *
-(errors + 1) - 1`` symbols differ in at most ``errors`` symbols of some chunk
-(pigeonhole). Every way of leaving out that many symbols of a chunk makes a key, so
-all pairs below the distance share a key. At a similarity of 0.8 the distance of 48
-symbols is 9.6 on average; 23, the guaranteed distance, is five deviations more.
+A document's signature is a row of 8-bit symbols, one min-hash each. Its chunks are runs
+of six symbols; two signatures that differ in at most ``chunks * (errors + 1) - 1`` of
+these differ in at most ``errors`` symbols of some chunk (pigeonhole). Every way of
+leaving out that many symbols of a chunk makes a key, so all pairs below this distance
+share a key; with 12 chunks and one error it is 23 of 72. A pair at a similarity of 0.8
+shares none with a chance of 3 in a million. Pairs of a key whose whole signatures differ
+in more than ``DISTANCE`` of 144 symbols (4.5 deviations above the mean at 0.8) are put
+aside; all others are confirmed on the full shingle sets.
 
 Pairs of a key are never written out whole. In star rounds each document is compared
-with one document of its keys that lies in another component; once nearly everything
-has merged, the pairs that still cross components are all compared. Links are confirmed
-on the full shingle sets. Pairs inside a component need no comparison, so components
-are those of all links.
+with one document of its keys that lies in another component; after that nearly all
+linked documents share a component and need no comparison. Of pairs that still cross
+components, those of small keys are joined. Documents of large keys are cut into blocks
+of the largest key they have, each pair of blocks that meet in a key travels once with
+its sets, and only links come out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +33,12 @@ from costlens.llm.components import connected_components
 from costlens.llm.textops import FAMILIES, U64, batches, mix, span_hashes, window_hashes, word_bounds
 from costlens.session import materialise
 
-SYMBOLS, CHUNK, ERRORS, SYMBOL_BITS = 48, 4, 1, 16
-STAR_ROUNDS = 4
+LONGS, CHUNKS, CHUNK, ERRORS = 18, 12, 6, 1  # 8 symbols a long; a chunk lies in one
+SYMBOLS, SYMBOL_BITS = 8 * LONGS, 8
+DISTANCE = 50
+STAR_ROUNDS = 2
+LARGE_KEY, BLOCK = 256, 256
+TASK_ROWS, TASK_SETS = 100_000, 4_000  # of one task, where a table has become small
 
 
 def shingle_sets(texts, width: int) -> Iterator[np.ndarray]:
@@ -59,10 +67,10 @@ def signatures(sets: list[np.ndarray], symbols: int) -> np.ndarray:
     seeds = mix(np.arange(1, 2 * symbols + 1, dtype=U64))
     flat = np.concatenate(sets)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
-    out = np.empty((len(sets), symbols), dtype=np.int32)
+    out = np.empty((len(sets), symbols), dtype=np.uint8)
     for k in range(symbols):
         least = np.minimum.reduceat((flat ^ seeds[2 * k]) * (seeds[2 * k + 1] | U64(1)), at)
-        out[:, k] = (mix(least) >> U64(64 - SYMBOL_BITS)).astype(np.int32)
+        out[:, k] = mix(least) >> U64(64 - SYMBOL_BITS)
     return out
 
 
@@ -73,7 +81,7 @@ def _sketcher(width: int):
             full = [i for i, s in enumerate(sets) if len(s)]
             digest, signature = [None] * len(sets), [None] * len(sets)
             if full:
-                for i, row in zip(full, signatures([sets[i] for i in full], SYMBOLS)):
+                for i, row in zip(full, signatures([sets[i] for i in full], SYMBOLS).view(np.int64)):
                     digest[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     signature[i] = row
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets], "digest": digest, "signature": signature})
@@ -89,27 +97,56 @@ def _set_maker(width: int):
     return make
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmer(percent: int):
     def confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            keep = np.zeros(len(frame), dtype=bool)
-            for i, (x, y) in enumerate(zip(frame["x"], frame["y"])):
-                x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield frame.loc[keep, ["a", "b"]]
+            keep = [_similar(np.frombuffer(x, U64), np.frombuffer(y, U64), percent) for x, y in zip(frame["x"], frame["y"])]
+            yield frame.loc[np.array(keep, dtype=bool), ["a", "b"]]
 
     return confirm
 
 
+def _block_linker(percent: int):
+    def link(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        if len(left) and len(right):
+            other = np.stack(right["signature"].to_list()).astype(np.int64).view(np.uint8)
+            ids, n, component = (right[c].to_numpy() for c in ("id", "n", "component"))
+            sets = [np.frombuffer(x, U64) for x in right["shingles"]]
+            for i, size, part, own, raw in zip(left["id"], left["n"], left["component"], left["signature"], left["shingles"]):
+                apart = (other != np.asarray(own, dtype=np.int64).view(np.uint8)).sum(axis=1)
+                close = (component != part) & (apart <= DISTANCE) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+                mine = np.frombuffer(raw, U64)
+                links += [(min(i, ids[j]), max(i, ids[j])) for j in np.flatnonzero(close) if _similar(mine, sets[j], percent)]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return link
+
+
 def _keys(signature) -> F.Column:
     """Keys of a signature: each chunk with each choice of ``ERRORS`` symbols left out."""
-    keys = []
-    for c in range(SYMBOLS // CHUNK):
-        for held in itertools.combinations(range(CHUNK), CHUNK - ERRORS):
-            name = F.lit(c * 100 + sum(1 << i for i in held))
-            keys.append(F.xxhash64(name, *[signature[c * CHUNK + i] for i in held]))
-    return F.explode(F.array(*keys))
+    masks = [sum(0xFF << 8 * i for i in held) for held in itertools.combinations(range(CHUNK), CHUNK - ERRORS)]
+    each = F.transform(
+        F.sequence(F.lit(0), F.lit(CHUNKS - 1)),
+        lambda c: F.transform(F.array(*map(F.lit, masks)), lambda m: F.xxhash64(c, m, F.get(signature, c).bitwiseAND(m))),
+    )
+    return F.explode(F.flatten(each))
+
+
+def _distance(x, y) -> F.Column:
+    """Number of symbols in which two signatures differ."""
+    low, high, top = F.lit(0x7F7F7F7F7F7F7F), F.lit(0x80808080808080), F.lit(-(1 << 56))
+    total = F.lit(0)
+    for i in range(LONGS):
+        z = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        # The top bit of each of seven bytes is set if any bit of it is.
+        total = total + F.bit_count((z.bitwiseAND(low) + low).bitwiseOR(z).bitwiseAND(high)) + (z.bitwiseAND(top) != 0).cast("int")
+    return total
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -123,7 +160,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     is kept. Other columns are ignored; an empty table gives an empty result.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialise(given.mapInPandas(_sketcher(width), "doc_id long, n_shingles long, digest binary, signature array<int>"))
+    rows = materialise(given.mapInPandas(_sketcher(width), "doc_id long, n_shingles long, digest binary, signature array<long>"))
     classes = materialise(
         rows.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
@@ -132,7 +169,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     keyed = classes.select("id", "n", _keys(F.col("signature")).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
     members = materialise(keyed.join(shared, "key").distinct())
-    involved = members.select(F.col("id").alias("doc_id")).distinct()
+    # A small table runs in few tasks from here on; a large one in as many as before.
+    tasks = max(1, math.ceil(members.count() / TASK_ROWS))
+    members = members.coalesce(tasks)
+    involved = members.select(F.col("id").alias("doc_id")).distinct().coalesce(tasks)
     sets = materialise(
         given.join(involved, "doc_id", "left_semi").mapInPandas(_set_maker(width), "id long, shingles binary")
     )
@@ -140,55 +180,66 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     def confirmed(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        return pairs.join(y, "b").join(x, "a").mapInPandas(_confirmer(percent), "a long, b long")
-
-    # Copies of one set under repeated ids, and rows that repeat an id, are one node.
-    links = None
-    parts = members.select("id").distinct().select("id", F.col("id").alias("component"))
-    tested = None
-    for turn in range(STAR_ROUNDS + 1):
-        placed = materialise(members.join(parts, "id"))
-        if turn < STAR_ROUNDS:
-            rank = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-            centres = (
-                placed.groupBy("key")
-                .agg(F.min(F.struct(rank.alias("rank"), "id", "n", "component")).alias("centre"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-                .filter("lo < hi")
-                .select("key", "centre")
-            )
-            pairs = (
-                placed.join(centres, "key")
-                .filter("component <> centre.component AND 100 * least(n, centre.n) >= %d * greatest(n, centre.n)" % percent)
-                .groupBy("id")
-                .agg(F.min(F.struct("centre.rank", "centre.id")).alias("centre"))
-                .select(F.least("id", "centre.id").alias("a"), F.greatest("id", "centre.id").alias("b"))
-                .distinct()
-            )
-        else:
-            left = placed.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-            right = placed.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            crossing = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-            pairs = (
-                left.join(crossing, "key")
-                .join(right, "key")
-                .filter("a < b AND ca <> cb AND 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-                .select("a", "b")
-                .distinct()
-            )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        if pairs.isEmpty():
-            if turn == STAR_ROUNDS:
-                break
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        return pairs.join(y, "b").coalesce(set_tasks).join(x, "a").coalesce(set_tasks).mapInPandas(_confirmer(percent), "a long, b long")
+
+    def joined(links: DataFrame) -> DataFrame:
+        """Component of each class that shares a key."""
+        return materialise(
+            nodes.join(connected_components(links), "id", "left").select("id", F.coalesce("component", "id").alias("component")).coalesce(tasks)
+        )
+
+    nodes = involved.select(F.col("doc_id").alias("id"))
+    set_tasks = max(1, math.ceil(sets.count() / TASK_SETS))
+    sets = sets.coalesce(set_tasks)
+    parts, links = nodes.select("id", F.col("id").alias("component")), None
+    for turn in range(STAR_ROUNDS):
+        placed = members.join(parts, "id").coalesce(tasks)
+        rank = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
+        centres = (
+            placed.groupBy("key")
+            .agg(F.min(F.struct(rank.alias("rank"), "id", "n", "component")).alias("centre"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .filter("lo < hi")
+            .select("key", "centre")
+            .coalesce(tasks)
+        )
+        pairs = (
+            placed.join(centres, "key")
+            .filter(f"component <> centre.component AND 100 * least(n, centre.n) >= {percent} * greatest(n, centre.n)")
+            .coalesce(tasks)
+            .groupBy("id")
+            .agg(F.min(F.struct("centre.rank", "centre.id")).alias("centre"))
+            .select(F.least("id", "centre.id").alias("a"), F.greatest("id", "centre.id").alias("b"))
+            .coalesce(tasks)
+            .distinct()
+            .coalesce(tasks)
+        )
         found = materialise(confirmed(pairs))
         links = found if links is None else links.unionByName(found)
-        nodes = members.select("id").distinct()
-        parts = materialise(
-            nodes.join(connected_components(links), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-        )
+        parts = joined(links)
+
+    placed = members.join(parts, "id").coalesce(tasks)
+    crossing = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
+        .filter("lo < hi")
+        .select("key", "size")
+        .coalesce(tasks)
+    )
+    open_ = materialise(placed.join(crossing, "key").coalesce(tasks))
+    marks = classes.select("id", "signature")
+    small = open_.filter(F.col("size") <= LARGE_KEY).join(marks, "id")
+    x = small.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("signature").alias("sa"))
+    y = small.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("signature").alias("sb"))
+    near = (
+        x.join(y, "key")
+        .filter(f"a < b AND ca <> cb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        .filter(_distance(F.col("sa"), F.col("sb")) <= DISTANCE)
+        .select("a", "b")
+        .distinct()
+        .coalesce(tasks)
+    )
+    links = links.unionByName(materialise(confirmed(near))).unionByName(materialise(_large_links(open_, sets, marks, percent, tasks, set_tasks)))
+    parts = joined(links)
     ids = classes.select("digest", "id").join(parts, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     return rows.join(ids, "digest", "left").select(
         "doc_id",
@@ -196,3 +247,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def _large_links(members: DataFrame, sets: DataFrame, marks: DataFrame, percent: int, tasks: int, set_tasks: int) -> DataFrame:
+    """Links across components between documents that share a large key."""
+    large = members.filter(F.col("size") > LARGE_KEY).select("key", "id", "n", "component", "size")
+    home = large.groupBy("id", "n", "component").agg(F.max(F.struct("size", "key")).alias("home")).coalesce(tasks)
+    held = home.groupBy(F.col("home.key").alias("home_key")).agg(F.count(F.lit(1)).alias("held"))
+    cut = home.join(held, F.col("home.key") == F.col("home_key")).select(
+        "id", "n", "component", F.struct("home_key", F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / BLOCK)).alias("part")).alias("block")
+    )
+    cut = materialise(cut.coalesce(tasks))
+    met = large.select("key", "id").join(cut.select("id", "block"), "id").select("key", "block").coalesce(tasks).distinct().coalesce(tasks)
+    pairs = (
+        met.select("key", F.col("block").alias("x"))
+        .join(met.select("key", F.col("block").alias("y")), "key")
+        .filter("x <= y")
+        .select("x", "y")
+        .coalesce(tasks)
+        .distinct()
+        .coalesce(tasks)
+    )
+    full = cut.join(sets, "id").coalesce(set_tasks).join(marks, "id").coalesce(set_tasks)
+    # Every column is named anew: both sides come from one frame.
+    columns = ("id", "n", "component", "signature", "shingles")
+    sides = [
+        pairs.join(full, pairs[side] == full["block"]).select(
+            F.xxhash64("x", "y").alias("pair"), *[F.col(c).alias(f"{c}_{side}") for c in columns]
+        )
+        for side in ("x", "y")
+    ]
+    sides = [s.select(F.col("pair").alias("pair"), *[F.col(f"{c}_{n}").alias(c) for c in columns]) for s, n in zip(sides, "xy")]
+    return sides[0].groupBy("pair").cogroup(sides[1].groupBy("pair")).applyInPandas(_block_linker(percent), "a long, b long")
