@@ -8,6 +8,8 @@ so that the wanted share of all tokens is expected, decided by a hash of its id
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from costlens.session import materialise
 ROUNDS = 12
 FILL_ROUNDS = 6
 SHARE = 0.9
+TASK_CELLS = 100_000
 DIMENSIONS = ("source", "lang", "topic")
 UNKNOWN = "(none)"
 SCALE = 1 << 52
@@ -77,7 +80,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     out = cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for name, target in targets.items():
         out = out.join(target.withColumnRenamed("target", f"target_{name}"), name)
-    out = materialise(out)
+    # So few rows run in one task, where windows need no exchange.
+    tasks = max(1, math.ceil(cells.count() / TASK_CELLS))
+    out = materialise(out.coalesce(tasks))
     for turn in range(rounds):
         for name in targets:
             level = Window.partitionBy(name)
