@@ -97,7 +97,8 @@ def _router(pivots: np.ndarray, top: float, rings: pd.DataFrame, k: int, first:
                 visit &= ~_visited(frame["seen"], len(ring))
             row, col = np.nonzero(visit)
             out = pd.DataFrame({"query_id": frame["vec_id"].to_numpy()[row], "q": frame["v"].to_numpy()[row], "pivot": pivot[col], "ring": ring[col], "at": col.astype("int32")})
-            out["block"] = [list(range(blocks[p, r])) for p, r in zip(out["pivot"], out["ring"])]
+            # An object column also when no ring is left to visit.
+            out["block"] = pd.Series([list(range(blocks[p, r])) for p, r in zip(out["pivot"], out["ring"])], dtype=object)
             yield out
 
     return route
@@ -162,7 +163,8 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int
     top = float(shape["top"])
     drawn = base.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(SAMPLE, 200 * pivots)).toPandas()
     centres = choose_pivots(_matrix(drawn["v"], width["w"]), pivots)
-    placed = materialise(base.mapInPandas(_placer(centres, top), "vec_id long, v array<double>, pivot int, away double"))
+    # Copies go before any cut to ``k``: they share a block and would push others out of it.
+    placed = materialise(base.distinct().mapInPandas(_placer(centres, top), "vec_id long, v array<double>, pivot int, away double"))
     reach = placed.groupBy("pivot").agg(F.min("away").alias("inner"), F.max("away").alias("outer"))
     ring = F.least(F.lit(rings - 1), F.floor(rings * (F.col("away") - F.col("inner")) / F.greatest(F.col("outer") - F.col("inner"), F.lit(1e-9)))).cast("int")
     # At most ``pivots`` rows, and ``pivots * rings`` rings.
@@ -192,20 +194,21 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int
         )
         key = ["pivot", "ring", "block", "part"]
         hits = spread.groupBy(*key).cogroup(wide.groupBy(*key)).applyInPandas(_scorer(k), HITS)
-        return routes.select("query_id", "at"), hits
+        return routes.select("query_id", "q", "at"), hits
 
     def best(hits: DataFrame) -> DataFrame:
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return hits.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     seen, hits = visit(asked.select("vec_id", "v"), True)
     near = materialise(best(hits))
     floors = near.groupBy("query_id").agg(F.max(F.when(F.col("rank") == k, F.col("score"))).alias("floor"))
-    been = seen.groupBy("query_id").agg(F.collect_list("at").alias("seen"))
+    # By vector too: rings seen by one vector of an id are not seen by another.
+    been = seen.groupBy("query_id", "q").agg(F.collect_list("at").alias("seen"))
     again = (
         asked.join(floors, asked["vec_id"] == floors["query_id"], "left")
         .drop("query_id")
-        .join(been, asked["vec_id"] == been["query_id"], "left")
+        .join(been, (asked["vec_id"] == been["query_id"]) & (asked["v"] == been["q"]), "left")
         .select("vec_id", "v", "floor", "seen")
     )
     _, more = visit(again, False)

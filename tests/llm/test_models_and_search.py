@@ -115,6 +115,25 @@ def test_top_products(spark):
     assert top_products(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 7])
+def test_top_products_of_repeated_rows(spark, copies):
+    from costlens.llm.nearest import top_products
+
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(40)]
+    rows += [(40 + i, [float(9 - i), 0.0, 0.0, 0.0]) for i in range(5)] + [(7, [float(i), 1.0, 0.0, 0.0]) for i in range(3)]
+    df = spark.createDataFrame(rows * copies, "vec_id long, embedding array<double>")
+    got = {}
+    for r in top_products(df, df.filter("vec_id % 5 = 0 OR vec_id = 7"), pivots=1, rings=1).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    asked = {i for i, _ in rows if i % 5 == 0 or i == 7}
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    for q in asked:
+        scores = sorted((-int(256 * 256 * np.dot(u, v)), i) for j, u in distinct if j == q for i, v in distinct if i != q)[:5]
+        assert got.pop(q) == [(-s, i) for s, i in scores]
+    assert not got
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline
     from costlens.llm.toxicity import THRESHOLD, score_toxicity, train
