@@ -40,6 +40,7 @@ INLINE = {
 }
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 OUTSIDE = {"head", "nav", "footer", "aside", "form", "dialog", "menu"}
+WRAPS = {"form", "dialog"}  # of these, what also holds whole pages
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -352,14 +353,28 @@ def compose(draw: random.Random, good: list[str], bad: list[str]) -> tuple[str,
     page = "".join(part(k) for k in ("notice", "header", "menu", "advert", "form") if draw.random() < 0.45)
     tag = draw.choice(("article", "article", "main", "div", "section"))
     name = draw.choice(GOOD) if tag in ("div", "section") or draw.random() < 0.4 else ""
-    page += _element(tag, name, text(), draw)
+    main = _element(tag, name, text(), draw)
+    page += _element("dialog", draw.choice(("", "reader", "modal", "popup")), main, draw) if draw.random() < 0.08 else main
     page += "".join(part(k) for k in ("share", "comments", "side", "advert", "form", "footer", "notice") if draw.random() < 0.45)
-    return "<html><body>" + (f'<div class="{draw.choice(("wrap", "page", "container", "row"))}">{page}</div>' if draw.random() < 0.5 else page) + "</body></html>", labels
+    page = f'<div class="{draw.choice(("wrap", "page", "container", "row"))}">{page}</div>' if draw.random() < 0.5 else page
+    # Some servers set the whole page in one form.
+    page = _element("form", draw.choice(("", "", "form1", "aspnet form", "main form", "page", "form")), page, draw) if draw.random() < 0.2 else page
+    return f"<html><body>{page}</body></html>", labels
 
 
-def weak_label(block: Block) -> int | None:
-    """By the element that holds a block; none where that does not tell."""
+def wrapped(blocks: list[Block]) -> bool:
+    """Whether forms or dialogs hold more than half of a page's text."""
+    return 2 * sum(len(b.text) for b in blocks if WRAPS.intersection(b.tags)) > sum(len(b.text) for b in blocks)
+
+
+def weak_label(block: Block, wide: bool = False) -> int | None:
+    """By the element that holds a block; none where that does not tell.
+
+    In a ``wide`` page a form or dialog tells nothing, as it may hold the main text.
+    """
     for tag in reversed(block.tags):
+        if wide and tag in WRAPS:
+            continue
         if tag in OUTSIDE:
             return 0
         if tag in ("article", "main"):
@@ -372,7 +387,8 @@ def train_on(pages: list[str], layouts: int = LAYOUTS) -> dict:
     samples, good, bad = [], [], []
     for page in pages:
         blocks = leaf_blocks(page)
-        labels = [weak_label(b) for b in blocks]
+        wide = wrapped(blocks)
+        labels = [weak_label(b, wide) for b in blocks]
         good += [b.text[:2000] for b, y in zip(blocks, labels) if y == 1]
         bad += [b.text[:300] for b, y in zip(blocks, labels) if y == 0]
         if blocks and None not in labels and 1 in labels:
@@ -398,7 +414,7 @@ def main_text(net: dict, pages: list[str]) -> list[str]:
         x, mask = padded([vectors(parsed[i]) for i in part])
         chance = label(net, x, mask)
         for k, i in enumerate(part):
-            kept = [b.text for b, c in zip(parsed[i], chance[:, k]) if c >= 0.5 and not OUTSIDE.intersection(b.tags)]
+            kept = [b.text for b, c in zip(parsed[i], chance[:, k]) if c >= 0.5]
             out[i] = "\n\n".join(kept)
     return out
 

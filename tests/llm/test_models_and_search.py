@@ -115,6 +115,24 @@ def test_top_products(spark):
     assert top_products(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_main_text_in_forms_and_dialogs(spark, sf):
+    from costlens.llm.pages import leaf_blocks, main_text, train_on
+
+    html = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    net = train_on(html)
+    wanted = ["\n\n".join(b.text for b in leaf_blocks(h) if "article" in b.tags) for h in html]
+    wraps = [
+        ('<form method="post" action="./" id="form1">', "</form>", "<body>", "</body>"),
+        ('<dialog open>', "</dialog>", "<article>", "</article>"),
+    ]
+    for start, end, after, before in wraps:
+        set_anew = [(h.replace(after, after + start) if after == "<body>" else h.replace(after, start + after)) for h in html]
+        set_anew = [(h.replace(before, end + before) if before == "</body>" else h.replace(before, before + end)) for h in set_anew]
+        assert all(start in h for h in set_anew)
+        assert np.mean([a == b for a, b in zip(main_text(net, set_anew), wanted)]) > 0.9
+    assert np.mean([a == b for a, b in zip(main_text(net, html), wanted)]) > 0.97
+
+
 @pytest.mark.parametrize("copies", [2, 7])
 def test_top_products_of_repeated_rows(spark, copies):
     from costlens.llm.nearest import top_products
