@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 400  # pages that are learnt from, at most
 LAYOUTS = 900  # pages composed from their blocks
-PATH_SIZE, WORD_SIZE, MEASURES = 96, 32, 6
+PATH_SIZE, WORD_SIZE, MEASURES = 96, 128, 6
 HIDDEN = 16
-WORDS = 12  # words of a block that are hashed; its length is a measure
+KNOWN_WORDS = 500_000  # words whose places are kept in memory
 PAGES_AT_ONCE = 256
 
 RESULT = "page_id long, url string, text string, n_chars long"
@@ -59,6 +59,22 @@ def _slot(name: str, size: int) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % size
 
 
+_places: dict[str, int] = {}
+
+
+def word_counts(words: list[str]) -> np.ndarray:
+    """How many of the words fall into each place; all of them count."""
+    if len(_places) > KNOWN_WORDS:
+        _places.clear()
+    places = []
+    for w in words:
+        at = _places.get(w)
+        if at is None:
+            at = _places[w] = _slot(w, WORD_SIZE)
+        places.append(at)
+    return np.bincount(places, minlength=WORD_SIZE)
+
+
 def _slots(tag: str, attributes: str) -> tuple[int, ...]:
     """Places of an element in the path vector: its tag, and the words of its names."""
     out = [_slot("<" + tag, PATH_SIZE)]
@@ -141,9 +157,8 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     for i, b in enumerate(blocks):
         row = out[i]
         row[list(b.path)] = 1.0
-        words = b.text.split(" ", WORDS)[:WORDS]
-        for w in words:
-            row[PATH_SIZE + _slot(w, WORD_SIZE)] += 1.0 / len(words)
+        words = b.text.split(" ")
+        row[PATH_SIZE : PATH_SIZE + WORD_SIZE] = word_counts(words) / len(words)
         n = len(b.text)
         row[-MEASURES:] = (
             math.log1p(n) / 8,
@@ -151,7 +166,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
             min(1.0, sum(map(b.text.count, ".,;:!?")) * 10 / n),
             i / len(blocks),
             1 - (i + 1) / len(blocks),
-            len(words) / WORDS,
+            math.log1p(len(words)) / 6,
         )
     return out
 
@@ -389,8 +404,8 @@ def train_on(pages: list[str], layouts: int = LAYOUTS) -> dict:
         blocks = leaf_blocks(page)
         wide = wrapped(blocks)
         labels = [weak_label(b, wide) for b in blocks]
-        good += [b.text[:2000] for b, y in zip(blocks, labels) if y == 1]
-        bad += [b.text[:300] for b, y in zip(blocks, labels) if y == 0]
+        good += [b.text for b, y in zip(blocks, labels) if y == 1]
+        bad += [b.text for b, y in zip(blocks, labels) if y == 0]
         if blocks and None not in labels and 1 in labels:
             samples.append((vectors(blocks), np.array(labels, np.float32)))
     good, bad = good or ["Lorem ipsum dolor sit amet."], bad or ["Home", "About us", "All rights reserved."]

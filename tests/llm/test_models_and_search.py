@@ -133,6 +133,17 @@ def test_main_text_in_forms_and_dialogs(spark, sf):
     assert np.mean([a == b for a, b in zip(main_text(net, html), wanted)]) > 0.97
 
 
+def test_word_vector_reads_whole_blocks():
+    from costlens.llm.pages import PATH_SIZE, WORD_SIZE, leaf_blocks, vectors
+
+    start = " ".join(f"w{i}" for i in range(400))
+    a, b = (vectors(leaf_blocks(f"<p>{start} {end}</p>"))[0, PATH_SIZE : PATH_SIZE + WORD_SIZE] for end in ("cookie consent notice", "quiet river bank"))
+    assert not np.array_equal(a, b) and a.sum() == pytest.approx(1, abs=1e-5) == b.sum()
+    # The places hold all words, whatever their order.
+    back = vectors(leaf_blocks("<p>" + " ".join(reversed(f"{start} cookie consent notice".split())) + "</p>"))[0]
+    assert np.allclose(back[PATH_SIZE : PATH_SIZE + WORD_SIZE], a)
+
+
 @pytest.mark.parametrize("copies", [2, 7])
 def test_top_products_of_repeated_rows(spark, copies):
     from costlens.llm.nearest import top_products
