@@ -51,7 +51,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and topics meet the raked weights."""
+    """A sample of nine tenths of all tokens, drawn towards the raked weights.
+
+    So large a sample cannot meet them; see ``mix_sources`` and the README.
+    """
     return sample_mixture(docs)
 
 

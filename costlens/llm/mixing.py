@@ -17,6 +17,7 @@ from costlens.operators.attach import attach
 from costlens.session import materialise
 
 ROUNDS = 12
+MOST_ROUNDS, WITHIN = 240, 1e-6  # where raking goes on until marginals are that near, relatively
 FILL_ROUNDS = 6
 SHARE = 0.9
 TASK_CELLS = 100_000
@@ -69,13 +70,15 @@ def even_targets(cells: DataFrame, dimension: str, power: float = 0.5) -> DataFr
     return powered.select(dimension, (F.col("p") / F.sum("p").over(whole)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, within: float | None = None) -> DataFrame:
     """``cells`` with a raked ``weight``, whose marginals come near the targets.
 
     ``cells`` has the dimensions and ``tokens``, one row per cell; a table of targets has
     a dimension's levels and ``target``. A level without a target keeps no weight; a
     target without tokens cannot be met. Cells are few (levels of three attributes), so
-    every round is a chain of small windows, cut by a checkpoint.
+    every round is a chain of small windows, cut by a checkpoint. With ``within``, rounds
+    go on until each marginal is that near its target, relatively; targets that do not
+    settle raise ValueError.
     """
     out = cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for name, target in targets.items():
@@ -83,15 +86,31 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     # So few rows run in one task, where windows need no exchange.
     tasks = max(1, math.ceil(cells.count() / TASK_CELLS))
     out = materialise(out.coalesce(tasks))
-    for turn in range(rounds):
+    for turn in range(rounds if within is None else MOST_ROUNDS):
         for name in targets:
             level = Window.partitionBy(name)
             out = out.withColumn("weight", F.col("weight") * F.col(f"target_{name}") / F.sum("weight").over(level))
         if turn % 4 == 3:
             out = materialise(out)
+            if within is not None and _settled(out, targets, within):
+                return out
+    if within is not None:
+        raise ValueError(f"marginals do not settle within {within} in {MOST_ROUNDS} rounds")
     return out
 
 
+def _settled(raked: DataFrame, targets: dict[str, DataFrame], within: float) -> bool:
+    off = [F.abs(F.sum("weight").over(Window.partitionBy(d)) - F.col(f"target_{d}")) - within * F.col(f"target_{d}") for d in targets]
+    worst = raked.select(F.greatest(*off, F.lit(-1.0)).alias("off")).agg(F.max("off")).first()[0]
+    return worst is None or worst <= 0
+
+
+def full_share(raked: DataFrame) -> float:
+    """The largest share of tokens at which no chance exceeds 1, so that all weights are met."""
+    row = raked.agg(F.sum("weight").alias("w"), F.sum("tokens").alias("t"), F.max(F.col("weight") / F.col("tokens")).alias("most")).first()
+    return float(row["w"] / (row["t"] * row["most"])) if row["most"] else SHARE
+
+
 def chances(cells: DataFrame, share: float, rounds: int = FILL_ROUNDS) -> DataFrame:
     """Chance of keeping a document of each cell.
 
@@ -115,13 +134,18 @@ def draw(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(SCALE))
 
 
-def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
+def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float | None = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """Sample documents by calibrated probabilities; see ``rake`` and ``chances``.
 
     Adds ``tokens, topic_class, weight, chance`` and ``kept`` to ``doc_id``; one row per
     input row. A null source or language is a level of its own. A text without tokens is
     in no cell and is not kept. Equal rows share their fate. Without ``targets`` each
     marginal is drawn half-way (on a log scale) towards equal shares.
+
+    A large ``share`` misses targets: cells that should grow cannot give more than all
+    their documents. Without a ``share`` (None) the largest one is taken at which every
+    cell meets its weight, and raking goes on until the marginals settle; it may be small,
+    as one rare cell bounds it. ``marginals`` tells what a share reaches.
     """
     named = described(docs, F.col("doc_id"))
     return _fitted(named, targets, share, rounds).select(
@@ -134,18 +158,43 @@ def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, sh
     )
 
 
-def _fitted(named: DataFrame, targets: dict[str, DataFrame] | None, share: float, rounds: int) -> DataFrame:
+def _fitted(named: DataFrame, targets: dict[str, DataFrame] | None, share: float | None, rounds: int) -> DataFrame:
     """Described documents with the weight and chance of their cells."""
     cells = materialise(named.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
     goals = targets or {d: even_targets(cells, d) for d in DIMENSIONS}
-    return attach(named, chances(rake(cells, goals, rounds), share).select(*DIMENSIONS, "weight", "chance"), DIMENSIONS)
+    raked = rake(cells, goals, rounds, WITHIN if share is None else None)
+    share = full_share(raked) if share is None else share
+    return attach(named, chances(raked, share).select(*DIMENSIONS, "weight", "chance"), DIMENSIONS)
 
 
 def _kept() -> Column:
     return (F.col("tokens") > 0) & (F.col("draw") < F.coalesce("chance", F.lit(0.0)))
 
 
-def sample_mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE) -> DataFrame:
+def marginals(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float | None = SHARE) -> DataFrame:
+    """``dimension, level, wanted, expected, reached``: token shares of each level.
+
+    ``wanted`` is the target, ``expected`` what the chances give on average and
+    ``reached`` what the sample holds.
+    """
+    named = materialise(described(docs, F.col("doc_id")))
+    goals = targets or {d: even_targets(materialise(named.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))), d) for d in DIMENSIONS}
+    tokens, chance = F.col("tokens"), F.coalesce("chance", F.lit(0.0))
+    cells = _fitted(named, goals, share, ROUNDS).groupBy(*DIMENSIONS).agg(
+        F.sum(tokens * chance).alias("e"), F.sum(F.when(_kept(), tokens).otherwise(0)).cast("double").alias("r")
+    )
+    cells, whole, out = materialise(cells), Window.partitionBy(F.lit(1)), None
+    for d, goal in goals.items():
+        level = cells.groupBy(d).agg(F.sum("e").alias("e"), F.sum("r").alias("r"))
+        level = level.select(d, *[F.try_divide(c, F.sum(c).over(whole)).alias(c) for c in ("e", "r")])
+        part = level.join(goal, d).select(
+            F.lit(d).alias("dimension"), F.col(d).alias("level"), F.col("target").alias("wanted"), F.col("e").alias("expected"), F.col("r").alias("reached")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def sample_mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float | None = SHARE) -> DataFrame:
     """The documents that ``mix_sources`` keeps, with their own columns."""
     names = docs.columns
     named = described(docs, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))

@@ -260,3 +260,30 @@ def test_raked_marginals(spark):
     for d in DIMENSIONS:
         for r in raked.groupBy(d).sum("weight").join(goals[d], d).collect():
             assert r["sum(weight)"] == pytest.approx(r["target"], abs=1e-4)
+
+
+def test_sample_meets_marginals(spark, empty):
+    from pyspark.sql import functions as F
+
+    from costlens.llm.mixing import marginals, mix_sources, sample_mixture
+
+    # A hot source with a third of the tokens, and 20 others.
+    docs = spark.range(24000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("some words of document "), "id").alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.floor(F.col("id") / 3) % 20)).alias("source"),
+        F.when(F.col("id") % 10 == 1, "de").otherwise("en").alias("lang"),
+    )
+    rows = marginals(docs, share=None).collect()
+    assert len(rows) == 21 + 2 + 1
+    for r in rows:
+        assert r["expected"] == pytest.approx(r["wanted"], rel=1e-5) and r["reached"] == pytest.approx(r["wanted"], abs=0.015)
+    hot = next(r["wanted"] for r in rows if r["level"] == "hot")
+    sample = sample_mixture(docs, share=None)
+    assert sample.columns == docs.columns
+    assert sample.filter("source = 'hot'").count() / sample.count() == pytest.approx(hot, abs=0.015)
+    # The largest such share: one cell is kept whole.
+    assert mix_sources(docs, share=None).agg(F.max("chance")).first()[0] == pytest.approx(1)
+    # A share of nine tenths cannot meet them, and the report says so.
+    missed = next(r for r in marginals(docs).collect() if r["level"] == "hot")
+    assert missed["expected"] > 1.5 * missed["wanted"]
+    assert mix_sources(empty, share=None).count() == 0
