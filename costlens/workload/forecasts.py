@@ -91,7 +91,7 @@ def m6(spark, sf):
 
 @query("m7_cross_validation")
 def m7(spark, sf):
-    return seasonal.cross_validate(series_frame(spark, sf), initial=1095, period=180, horizon=90)
+    return seasonal.cross_validate(series_frame(spark, sf))
 
 
 @query("m8_holiday_effects")
@@ -103,11 +103,10 @@ def m8(spark, sf):
 
 @query("m9_arima_forecast")
 def m9(spark, sf):
-    models = arima.fit(series_frame(spark, sf), options=arima.ArimaOptions(max_p=3, max_q=2, seasonal_period=7))
-    return arima.predict(models, 30)
+    return arima.predict(arima.fit(series_frame(spark, sf)), 30)
 
 
-QUICK = boosted.BoostedOptions(n_estimators=10, max_depth=4)
+OPTIONS = boosted.BoostedOptions()
 
 
 @query(
@@ -123,42 +122,42 @@ def m10_split(spark, sf):
 @query("m10_boosted_metrics")
 def m10(spark, sf):
     daily = series_frame(spark, sf)
-    test = boosted.labelled_rows(daily, QUICK).filter(F.col("split") == "test")
-    scored = boosted.predict(boosted.fit(daily, QUICK), test)
+    test = boosted.labelled_rows(daily, OPTIONS).filter(F.col("split") == "test")
+    scored = boosted.predict(boosted.fit(daily, OPTIONS), test)
     return metrics(align_on_date(scored, daily), ["segment"])
 
 
 @query("m11_boosted_predictions")
 def m11(spark, sf):
     daily = series_frame(spark, sf)
-    return boosted.predict(boosted.fit(daily, QUICK), boosted.feature_rows(daily))
+    return boosted.predict(boosted.fit(daily, OPTIONS), boosted.feature_rows(daily))
 
 
 @query("m12_direct_forecast")
 def m12(spark, sf):
-    return boosted.direct_forecast(series_frame(spark, sf), 30, QUICK)
+    return boosted.direct_forecast(series_frame(spark, sf), 30, OPTIONS)
 
 
 @query("m13_feature_importance")
 def m13(spark, sf):
-    return boosted.feature_importance(boosted.fit(series_frame(spark, sf), QUICK), spark)
+    return boosted.feature_importance(boosted.fit(series_frame(spark, sf), OPTIONS), spark)
 
 
 @query("k4_top_features")
 def k4(spark, sf):
-    return boosted.feature_importance(boosted.fit(series_frame(spark, sf), QUICK), spark, 20)
+    return boosted.feature_importance(boosted.fit(series_frame(spark, sf), OPTIONS), spark, 20)
 
 
 @query("m14_grid_search")
 def m14(spark, sf):
-    _, tried = boosted.grid_search(series_frame(spark, sf), {"max_depth": [2, 4], "n_estimators": [5]}, QUICK)
+    _, tried = boosted.grid_search(series_frame(spark, sf), {"max_depth": [4, 6], "learning_rate": [0.05, 0.1]}, OPTIONS)
     return spark.createDataFrame(tried)
 
 
 @query("m15_learning_curve")
 def m15(spark, sf):
     daily = series_frame(spark, sf)
-    return boosted.learning_curve(boosted.fit(daily, QUICK), boosted.labelled_rows(daily, QUICK), spark)
+    return boosted.learning_curve(boosted.fit(daily, OPTIONS), boosted.labelled_rows(daily, OPTIONS), spark)
 
 
 @query(
@@ -193,6 +192,5 @@ def m18(spark, sf):
 @query("m16_best_model_forecasts")
 def m16_best(spark, sf):
     """Training run, model choice and forecasts of all segments."""
-    records = cost_records(spark, sf)
-    result = train(records, AS_OF, models=("naive", "seasonal_naive", "linear_trend", "seasonal"))
-    return forecast(result.daily, result.best, AS_OF, (30, 90), ("naive", "seasonal_naive", "linear_trend", "seasonal"))
+    result = train(cost_records(spark, sf), AS_OF)
+    return forecast(result.daily, result.best, AS_OF)

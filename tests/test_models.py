@@ -401,3 +401,22 @@ print("done")
     )
     out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
+
+
+def test_forecast_queries_use_declared_defaults(monkeypatch):
+    from costlens.models import boosted, seasonal
+    from costlens.workload import forecasts
+
+    assert forecasts.OPTIONS == boosted.BoostedOptions()
+    given = []
+    monkeypatch.setattr(forecasts, "series_frame", lambda *a: "series")
+    monkeypatch.setattr(forecasts, "cost_records", lambda *a: "records")
+    monkeypatch.setattr(seasonal, "cross_validate", lambda *a, **k: given.append((a, k)))
+    monkeypatch.setattr(forecasts.arima, "fit", lambda *a, **k: given.append((a, k)))
+    monkeypatch.setattr(forecasts.arima, "predict", lambda *a, **k: None)
+    monkeypatch.setattr(forecasts, "train", lambda *a, **k: given.append((a, k)) or type("R", (), {"daily": 0, "best": 1}))
+    monkeypatch.setattr(forecasts, "forecast", lambda *a, **k: given.append((a, k)))
+    for run in (forecasts.m7, forecasts.m9, forecasts.m16_best):
+        run(None, None)
+    as_of = forecasts.AS_OF
+    assert given == [(("series",), {}), (("series",), {}), (("records", as_of), {}), ((0, 1, as_of), {})]
