@@ -29,15 +29,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest ``doc_id``.
 
-    Rows without ``doc_id`` are all kept. Of rows that repeat the kept ``doc_id`` the
-    first by text is kept.
+    Rows without ``doc_id`` are all kept. Of rows that repeat a kept ``doc_id`` one is
+    kept for each text, null text included; texts of one id are not compared with each
+    other, and an id linked to a smaller one goes with all its texts.
     """
     groups = near_duplicates(docs, width=5, percent=80).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
     names = docs.columns
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("kept_id"), F.col("text").cast("string").alias("text"))
     repeated = whole.groupBy("kept_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND kept_id IS NOT NULL").select("kept_id")
     single = whole.join(groups, "kept_id", "left_semi").join(repeated, "kept_id", "left_anti")
-    first = whole.join(repeated, "kept_id", "left_semi").join(groups, "kept_id", "left_semi").groupBy("kept_id").agg(F.min_by("row", "text").alias("row"))
+    first = whole.join(repeated, "kept_id", "left_semi").join(groups, "kept_id", "left_semi").groupBy("kept_id", "text").agg(F.first("row").alias("row"))
     none = whole.filter("kept_id IS NULL")
     return single.select("row.*").unionByName(first.select("row.*")).unionByName(none.select("row.*"))
 

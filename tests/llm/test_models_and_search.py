@@ -163,6 +163,16 @@ def test_top_products_of_repeated_rows(spark, copies):
     assert not got
 
 
+def test_repeated_ids_keep_their_texts(spark, sf):
+    import corpus_pipeline
+
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, None, "a"), (1, None, "a"), (2, long, "b"), (2, "quite another text of its own", "c"), (2, long, "b"), (3, None, "d"), (None, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_duplicate_removal(spark, docs, sf).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, set(rows)))
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline
     from costlens.llm.toxicity import THRESHOLD, score_toxicity, train
