@@ -165,3 +165,12 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.pages import extract_main_text
 
     return extract_main_text(table(spark, sf, "pages"))
+
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from costlens.llm.piececounts import count_tokens
+
+    return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
