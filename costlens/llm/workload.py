@@ -174,3 +174,50 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.piececounts import count_tokens
 
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT doc, lang, source, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs)
+), kept AS MATERIALIZED (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), sizes AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(c) AS HUGEINT) AS n FROM kept GROUP BY lang
+), groups AS MATERIALIZED (
+  SELECT DISTINCT lang, source FROM docs
+), counted AS MATERIALIZED (
+  SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS c FROM words w SEMI JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), totals AS (
+  SELECT lang, source, CAST(sum(c) AS HUGEINT) AS n FROM counted GROUP BY ALL
+), rates AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    1 + (1000000000 * (coalesce(c.c, 0) + 2)) // (coalesce(t.n, 0) + 2 * s.v) AS p,
+    1 + (1000000000 * (k.c + 2)) // (s.n + 2 * s.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+  FROM rates a JOIN rates b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM rates WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op13_source_divergence", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.divergence import audit_sources
+
+    return audit_sources(table(spark, sf, "documents"))
