@@ -14,68 +14,144 @@ visited pair by pair, in blocks of terms.
 
 from __future__ import annotations
 
+import collections
 import math
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlens.session import materialise
+from costlens.llm.bitsets import gather
+from costlens.llm.textops import FAMILIES, batches, codes, distinct_spans, span_hashes, word_bounds
+from costlens.session import materialise, scratch_path
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-SPACE = r"[\x09-\x0D\x20]+"
+CHUNK = re.compile(r"[^\x09-\x0D\x20]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCUMENTS = 10
 TOP = 10
-BROADCAST_ROWS = 100_000  # open chunks that are sent to every task; more are shuffled
+BROADCAST_ROWS = 100_000  # terms that are sent to every task; more are shuffled
+BATCH = 1 << 22  # bytes of text counted at once
+LONG = 1 << 24  # code points from which a text is counted on its own
 BLOCK_ROWS = 400_000  # counts of the groups in one block of terms
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """Occurrences ``n`` and documents ``docs`` of each chunk by ``lang`` and ``source``.
+class Chunks:
+    """The white-space chunks of a batch of texts, told apart exactly."""
 
-    ``docs`` has ``lang``, ``source`` and ``chunks``, the chunks of each document in turn.
+    def __init__(self, buffer: np.ndarray, offsets: np.ndarray):
+        starts, ends = word_bounds(buffer)
+        kept, number = distinct_spans(buffer, starts, ends, span_hashes(buffer, starts, ends, FAMILIES[0]))
+        doc = np.searchsorted(offsets, starts, side="right") - 1
+        pair, self.n = np.unique(doc * len(kept) + number, return_counts=True)
+        self.doc, self.number = np.divmod(pair, len(kept)) if len(kept) else (pair, pair)
+        self.form = np.array([buffer[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts[kept].tolist(), ends[kept].tolist())], dtype=object)
+
+
+def read_chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``doc, number, n, form``: which text holds which of the distinct forms how often.
+
+    A very long text is counted on its own, a chunk at a time.
     """
-    every = docs.select("lang", "source", F.explode("chunks").alias("chunk"), F.lit(1).alias("n"), F.lit(0).alias("docs"))
-    once = docs.select("lang", "source", F.explode(F.array_distinct("chunks")).alias("chunk"), F.lit(0).alias("n"), F.lit(1).alias("docs"))
-    return every.unionByName(once).filter("chunk <> ''").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    short = [i for i, t in enumerate(texts) if len(t) <= LONG]
+    for i in sorted(set(range(len(texts))).difference(short)):
+        found = collections.Counter(m[0] for m in CHUNK.finditer(texts[i]))
+        form = np.array([*found, None], dtype=object)[:-1]
+        yield np.full(len(form), i), np.arange(len(form)), np.fromiter(found.values(), np.int64, len(form)), form
+    for first, last, buffer, offsets in batches([texts[i] for i in short], BATCH):
+        held = Chunks(buffer, offsets)
+        yield np.array(short[first:last])[held.doc], held.number, held.n, held.form
+
+
+def count_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Occurrences and documents of each chunk by language and source."""
+    for frame in frames:
+        group, names = codes(zip(frame["lang"], frame["source"]))
+        for doc, number, n, form in read_chunks(frame["text"].tolist()):
+            if not len(doc):
+                continue
+            key, where = np.unique(group[doc] * len(form) + number, return_inverse=True)
+            total = np.zeros(len(key), dtype=np.int64)
+            np.add.at(total, where, n)
+            langs, sources = zip(*[names[i] for i in (key // len(form)).tolist()])
+            yield pd.DataFrame({"lang": langs, "source": sources, "chunk": form[key % len(form)], "n": total, "docs": np.bincount(where)})
+
+
+def chunk_table(docs: DataFrame) -> DataFrame:
+    """One row for each distinct chunk: its ``terms`` and where it occurs.
+
+    ``langs`` has the documents of each language that hold the chunk and, by source, its
+    occurrences, so a row is as long as the list of groups at most. The terms are found
+    here, once for each chunk.
+    """
+    counts = docs.select("lang", "source", "text").mapInPandas(count_chunks, "lang string, source string, chunk string, n long, docs long")
+    counts = counts.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    by_lang = counts.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("sources"))
+    rows = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs", "sources")).alias("langs"))
+    return rows.withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))).filter(F.size("terms") > 0)
 
 
-def chunk_terms(counts: DataFrame) -> DataFrame:
-    """Terms of each distinct chunk and how often it holds them."""
-    found = F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)))
-    terms = counts.select("chunk").distinct().select("chunk", found.alias("term"))
-    return terms.groupBy("chunk", F.translate("term", UPPER, LOWER).alias("term")).agg(F.count(F.lit(1)).alias("m"))
+def chunk_key(lang: list[str], chunk: list[str]) -> np.ndarray:
+    """Hash of each language and chunk."""
+    raw = [f"{a}\0{b}".encode("utf-8", "surrogatepass") for a, b in zip(lang, chunk)]
+    ends = np.cumsum([len(x) for x in raw], dtype=np.int64)
+    return span_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), ends - [len(x) for x in raw], ends, FAMILIES[1])
 
 
-def kept_terms(docs: DataFrame, found: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
+def kept_terms(docs: DataFrame, table: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
     """``lang, term`` in at least ``least`` documents of the language.
 
     A term's documents number at least those of its commonest chunk and at most those of
-    all its chunks together. Terms in between are counted exactly: their chunks, each in
-    few documents, are joined with the chunks of the documents.
+    all its chunks together. The chunks of terms in between, each of them in few
+    documents, are looked up in the documents again. Bits of their hashes keep other
+    chunks from being written out; a join on the chunks themselves decides.
     """
-    chunks = found.groupBy("lang", "term", "chunk").agg(F.sum("docs").alias("docs"))
-    bounds = chunks.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
+    found = table.select("chunk", F.explode(F.array_distinct("terms")).alias("term"), "langs").select("chunk", "term", F.inline(F.transform("langs", lambda x: F.struct(x["lang"].alias("lang"), x["docs"].alias("docs")))))
+    bounds = found.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
+    bounds = stored(bounds.filter(F.col("high") >= least), "terms")
     sure = bounds.filter(F.col("low") >= least).select("lang", "term")
-    open_terms = bounds.filter((F.col("low") < least) & (F.col("high") >= least)).select("lang", "term")
-    open_chunks = materialise(chunks.join(open_terms, ["lang", "term"]).select("lang", "chunk", "term"))
-    n = open_chunks.count()
+    open_terms = bounds.filter(F.col("low") < least).select("lang", "term")
+    side = F.broadcast(open_terms) if open_terms.count() <= broadcast_rows else open_terms
+    open_chunks = stored(found.filter(F.col("docs") < least).join(side, ["lang", "term"]).select("lang", "chunk", "term"), "open")
+
+    def keys(frames):
+        for frame in frames:
+            yield pd.DataFrame({"key": chunk_key(frame["lang"], frame["chunk"]).view(np.int64)})
+
+    bits, n = gather(open_chunks.select("lang", "chunk").distinct().mapInPandas(keys, "key long"))
     if n == 0:
         return sure
-    names = F.broadcast(open_chunks) if n <= broadcast_rows else open_chunks
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def look_up(frames):
+        for frame in frames:
+            lang, names = codes(frame["lang"])
+            names = np.array([*names, None], dtype=object)
+            for doc, number, _, form in read_chunks(frame["text"].tolist()):
+                if not len(doc):
+                    continue
+                pair, where = np.unique(lang[doc] * len(form) + number, return_inverse=True)
+                hit = held.value.has(chunk_key(names[pair // len(form)], form[pair % len(form)]))[where]
+                own = frame.iloc[doc[hit]]
+                yield pd.DataFrame({"lang": own["lang"], "key": own["key"], "check": own["check"], "chunk": form[number[hit]]})
+
     # Equal rows share a key; each of them brings its own copy of every chunk.
-    copies = (
-        docs.select("lang", "key", "check", F.explode(F.array_distinct("chunks")).alias("chunk"))
-        .join(names, ["lang", "chunk"])
-        .groupBy("lang", "key", "check", "term", "chunk")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    exact = copies.groupBy("lang", "key", "check", "term").agg(F.max("copies").alias("docs")).groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
+    copies = docs.mapInPandas(look_up, "lang string, key long, check long, chunk string").groupBy("lang", "key", "check", "chunk").agg(F.count(F.lit(1)).alias("copies"))
+    of_doc = copies.join(open_chunks, ["lang", "chunk"]).groupBy("lang", "key", "check", "term").agg(F.max("copies").alias("docs"))
+    exact = of_doc.groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
     return sure.unionByName(exact.filter(F.col("docs") >= least).select("lang", "term"))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, far smaller than a checkpoint of them."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rate(count, total):
     """``1 + floor(1e9 * (count + 2) / total)`` in whole numbers, three digits at a time."""
     left, out = count + F.lit(2), F.lit(0).cast("long")
@@ -109,8 +185,8 @@ def shared_terms(frame: pd.DataFrame) -> pd.DataFrame:
     so memory follows the rows and the pairs of groups, never the pairs of rows.
     """
     group = frame["group"].to_numpy(np.int64)
-    codes, place = np.unique(group, return_inverse=True)
-    _, term = np.unique((frame["lang"] + "\0" + frame["term"]).to_numpy(object), return_inverse=True)
+    groups, place = np.unique(group, return_inverse=True)
+    term, _ = codes(zip(frame["lang"], frame["term"]))
     order = np.lexsort((place, term))
     term, place = term[order], place[order]
     p, none = frame["p"].to_numpy(np.int64)[order], frame["p0"].to_numpy(np.int64)[order]
@@ -123,7 +199,7 @@ def shared_terms(frame: pd.DataFrame) -> pd.DataFrame:
             break
         right = left + d
         more = _gap(p[left], p[right]) - _gap(p[left], none[right]) - _gap(none[left], p[right]) + _gap(none[left], none[right])
-        keys.append(place[left] * len(codes) + place[right])
+        keys.append(place[left] * len(groups) + place[right])
         values.append(more)
         held += len(left)
         if held > 1 << 22:
@@ -132,7 +208,7 @@ def shared_terms(frame: pd.DataFrame) -> pd.DataFrame:
     if not keys:
         return pd.DataFrame({"group": [], "other": [], "value": []}, dtype="int64")
     key, total = _added(keys, values)
-    one, two = codes[key // len(codes)], codes[key % len(codes)]
+    one, two = groups[key // len(groups)], groups[key % len(groups)]
     return pd.DataFrame({"group": np.append(one, two), "other": np.append(two, one), "value": np.append(total, total)})
 
 
@@ -151,20 +227,20 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP,
     in byte order. Counts stay exact while a group has fewer than 9e15 term occurrences.
     The result, and so the work for it, has a row for each pair of sources.
     """
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     named = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        F.split(text, SPACE).alias("chunks"),
+        text,
         F.xxhash64(F.col("doc_id"), text).alias("key"),
         F.xxhash64(F.lit(1), F.col("doc_id"), text).alias("check"),
     )
-    counts = materialise(chunk_counts(named))
-    found = counts.join(chunk_terms(counts), "chunk")
-    kept = kept_terms(named, found, least, broadcast_rows)
-    terms = found.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("m")).alias("count"))
-    terms = materialise(terms.join(kept, ["lang", "term"], "left_semi"))
+    chunks = stored(chunk_table(named), "chunks")
+    kept = stored(kept_terms(named.drop("source"), chunks, least, broadcast_rows), "kept")
+    side = F.broadcast(kept) if kept.count() <= broadcast_rows else kept
+    spread = chunks.select(F.inline("langs"), "terms").select("lang", "sources", F.explode("terms").alias("term")).join(side, ["lang", "term"], "left_semi")
+    terms = spread.select("lang", "term", F.inline("sources")).groupBy("lang", "source", "term").agg(F.sum("n").alias("count"))
+    terms = stored(terms, "counts")
 
     per_lang = terms.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
     sizes = per_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.textops import FAMILIES, span_hashes
+from costlens.llm.textops import FAMILIES, distinct_spans, ragged_cells, span_hashes
 
 NONE = np.int32(1 << 30)  # rank of a pair that no piece is made of
 WINDOW = 1 << 20  # characters worked on at once
@@ -193,29 +193,13 @@ def count_points(merges: Merges, points: np.ndarray, joins: np.ndarray, owners:
     starts, ends = starts[many], ends[many]
     if not len(starts):
         return total
-    _, kept, number = np.unique(span_hashes(points, starts, ends, FAMILIES[0]), return_index=True, return_inverse=True)
-    # Runs that share a hash but not their characters are merged on their own.
     lengths = ends - starts
-    same = lengths == lengths[kept][number]
-    cells = _cells(starts[same], lengths[same])
-    like = _cells(starts[kept][number][same], lengths[same])
-    equal = np.logical_and.reduceat(points[cells] == points[like], np.cumsum(lengths[same]) - lengths[same])
-    same[np.flatnonzero(same)[~equal]] = False
-    if not same.all():
-        other = np.flatnonzero(~same)
-        number[other] = len(kept) + np.arange(len(other))
-        kept = np.concatenate([kept, other])
-    tokens = merge_runs(merges, merges.symbol[points[_cells(starts[kept], lengths[kept])]], lengths[kept])
+    kept, number = distinct_spans(points, starts, ends, span_hashes(points, starts, ends, FAMILIES[0]))
+    tokens = merge_runs(merges, merges.symbol[points[ragged_cells(starts[kept], lengths[kept])]], lengths[kept])
     np.add.at(total, owners[starts], tokens[number])
     return total
 
 
-def _cells(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Positions of all cells of ragged rows, one row after the other."""
-    first = np.cumsum(lengths) - lengths
-    return np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths)
-
-
 def count_texts(merges: Merges, texts: list[str]) -> np.ndarray:
     """Tokens of each text, about ``WINDOW`` characters at a time.
 

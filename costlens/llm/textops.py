@@ -7,7 +7,7 @@ alone, so that every task of a job gives a word the same hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -71,6 +71,37 @@ def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
+def codes(values: Iterable) -> tuple[np.ndarray, list]:
+    """Number of each value and the distinct values; strings may hold null characters."""
+    known: dict = {}
+    number = [known.setdefault(v, len(known)) for v in values]
+    return np.array(number, dtype=np.int64), list(known)
+
+
+def ragged_cells(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of all cells of ragged rows, one row after the other."""
+    first = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths)
+
+
+def distinct_spans(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of at least one cell that stand for the others, and the number of each span's.
+
+    Spans are told apart by ``hashes`` and then compared cell by cell; one that shares
+    the hash of another but not its cells stands for itself.
+    """
+    _, kept, number = np.unique(hashes, return_index=True, return_inverse=True)
+    lengths = ends - starts
+    same = lengths == lengths[kept][number]
+    if same.any():
+        cells, like = (ragged_cells(at[same], lengths[same]) for at in (starts, starts[kept][number]))
+        equal = np.logical_and.reduceat(buffer[cells] == buffer[like], np.cumsum(lengths[same]) - lengths[same])
+        same[np.flatnonzero(same)[~equal]] = False
+    other = np.flatnonzero(~same)
+    number[other] = len(kept) + np.arange(len(other))
+    return np.concatenate([kept, other]), number
+
+
 def window_hashes(units: np.ndarray, width: int, base: int) -> np.ndarray:
     """Polynomial hash of every run of ``width`` consecutive unit hashes."""
     if len(units) < width:
