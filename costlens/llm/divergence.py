@@ -76,8 +76,8 @@ def count_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             key, where = np.unique(group[doc] * len(form) + number, return_inverse=True)
             total = np.zeros(len(key), dtype=np.int64)
             np.add.at(total, where, n)
-            langs, sources = zip(*[names[i] for i in (key // len(form)).tolist()])
-            yield pd.DataFrame({"lang": langs, "source": sources, "chunk": form[key % len(form)], "n": total, "docs": np.bincount(where)})
+            of = pd.DataFrame([names[i] for i in (key // len(form)).tolist()], columns=["lang", "source"], dtype=object)
+            yield of.assign(chunk=pd.Series(form[key % len(form)], dtype=object), n=total, docs=np.bincount(where))
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
@@ -135,8 +135,8 @@ def kept_terms(docs: DataFrame, table: DataFrame, least: int, broadcast_rows: in
                     continue
                 pair, where = np.unique(lang[doc] * len(form) + number, return_inverse=True)
                 hit = held.value.has(chunk_key(names[pair // len(form)], form[pair % len(form)]))[where]
-                own = frame.iloc[doc[hit]]
-                yield pd.DataFrame({"lang": own["lang"], "key": own["key"], "check": own["check"], "chunk": form[number[hit]]})
+                own = frame.iloc[doc[hit]].reset_index(drop=True)
+                yield pd.DataFrame({"lang": own["lang"], "key": own["key"], "check": own["check"], "chunk": pd.Series(form[number[hit]], dtype=object)})
 
     # Equal rows share a key; each of them brings its own copy of every chunk.
     copies = docs.mapInPandas(look_up, "lang string, key long, check long, chunk string").groupBy("lang", "key", "check", "chunk").agg(F.count(F.lit(1)).alias("copies"))

@@ -221,3 +221,46 @@ def op13(spark: SparkSession, sf: str) -> DataFrame:
     from costlens.llm.divergence import audit_sources
 
     return audit_sources(table(spark, sf, "documents"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), words AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), phrases AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k AS size, CAST(count(*) AS HUGEINT) AS f
+  FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+), known AS MATERIALIZED (
+  SELECT *, string_split(phrase, ' ') AS w FROM phrases
+), inner_ AS (
+  SELECT DISTINCT b.lang, array_to_string(b.w[i : i + k - 1], ' ') AS phrase, b.f
+  FROM known b, (SELECT unnest([2, 3, 4]) AS k), (SELECT unnest([1, 2, 3, 4]) AS i) WHERE k < b.size AND i + k - 1 <= b.size
+), cuts AS (
+  SELECT p.lang, p.phrase, p.f AS a, s.n, k, l.f AS l, r.f AS r, (1000 * p.f * s.n) // (l.f * r.f) AS score
+  FROM known p JOIN (SELECT unnest([1, 2, 3, 4]) AS k) ON k < p.size JOIN sizes s ON s.lang = p.lang
+  JOIN known l ON l.lang = p.lang AND l.phrase = array_to_string(p.w[1 : k], ' ')
+  JOIN known r ON r.lang = p.lang AND r.phrase = array_to_string(p.w[k + 1 : p.size], ' ')
+  WHERE NOT EXISTS (SELECT 1 FROM inner_ x WHERE x.lang = p.lang AND x.phrase = p.phrase AND 100 * x.f >= 100 * p.f)
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS turn FROM cuts
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM lowest WHERE turn = 1
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    from costlens.llm.collocations import mine_collocations
+
+    return mine_collocations(table(spark, sf, "documents"))
