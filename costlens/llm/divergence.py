@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.bitsets import gather
-from costlens.llm.textops import FAMILIES, batches, codes, distinct_spans, span_hashes, word_bounds
+from costlens.llm.textops import FAMILIES, batches, codes, distinct_spans, mix, span_hashes, word_bounds
 from costlens.session import materialise, scratch_path
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -36,113 +36,154 @@ TOP = 10
 BROADCAST_ROWS = 100_000  # terms that are sent to every task; more are shuffled
 BATCH = 1 << 22  # bytes of text counted at once
 LONG = 1 << 24  # code points from which a text is counted on its own
-BLOCK_ROWS = 400_000  # counts of the groups in one block of terms
+BLOCK_ROWS = 100_000  # counts of the groups in one block of terms
 
 
 class Chunks:
-    """The white-space chunks of a batch of texts, told apart exactly."""
+    """The distinct white-space chunks of a batch of texts and which text holds which.
 
-    def __init__(self, buffer: np.ndarray, offsets: np.ndarray):
+    Text ``doc[i]`` holds chunk ``number[i]`` ``n[i]`` times; ``hash`` is each chunk's.
+    """
+
+    def __init__(self, doc, number, n, hashes, forms):
+        self.doc, self.number, self.n, self.hash, self.forms = doc, number, n, hashes, forms
+
+    @classmethod
+    def of_batch(cls, rows: np.ndarray, buffer: np.ndarray, offsets: np.ndarray) -> Chunks:
         starts, ends = word_bounds(buffer)
-        kept, number = distinct_spans(buffer, starts, ends, span_hashes(buffer, starts, ends, FAMILIES[0]))
+        hashes = span_hashes(buffer, starts, ends, FAMILIES[0])
+        kept, number = distinct_spans(buffer, starts, ends, hashes)
         doc = np.searchsorted(offsets, starts, side="right") - 1
-        pair, self.n = np.unique(doc * len(kept) + number, return_counts=True)
-        self.doc, self.number = np.divmod(pair, len(kept)) if len(kept) else (pair, pair)
-        self.form = np.array([buffer[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts[kept].tolist(), ends[kept].tolist())], dtype=object)
+        pair, n = np.unique(doc * max(1, len(kept)) + number, return_counts=True)
+        doc, number = np.divmod(pair, max(1, len(kept)))
 
+        def forms(which: np.ndarray) -> list[str]:
+            raw = buffer.tobytes()
+            return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[kept[which]].tolist(), ends[kept[which]].tolist())]
 
-def read_chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``doc, number, n, form``: which text holds which of the distinct forms how often.
+        return cls(rows[doc], number, n, hashes[kept], forms)
 
-    A very long text is counted on its own, a chunk at a time.
-    """
+    @classmethod
+    def of_text(cls, row: int, text: str) -> Chunks:
+        """A very long text, a chunk at a time."""
+        found = collections.Counter(m[0] for m in CHUNK.finditer(text))
+        form = list(found)
+        n = np.fromiter(found.values(), np.int64, len(form))
+        return cls(np.full(len(form), row), np.arange(len(form)), n, chunk_hashes(form), lambda which: [form[i] for i in which.tolist()])
+
+    def grouped(self, group: np.ndarray, rows: np.ndarray | slice = slice(None)):
+        """``group, number`` of the pairs of a text's group and chunk, and each row's pair."""
+        pair, where = np.unique(group[self.doc[rows]] * max(1, len(self.hash)) + self.number[rows], return_inverse=True)
+        return (*np.divmod(pair, max(1, len(self.hash))), where)
+
+
+def chunk_hashes(forms: list[str]) -> np.ndarray:
+    raw = [x.encode("utf-8", "surrogatepass") for x in forms]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    ends = np.cumsum(sizes)
+    return span_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), ends - sizes, ends, FAMILIES[0])
+
+
+def read_chunks(texts: list[str]) -> Iterator[Chunks]:
     short = [i for i, t in enumerate(texts) if len(t) <= LONG]
     for i in sorted(set(range(len(texts))).difference(short)):
-        found = collections.Counter(m[0] for m in CHUNK.finditer(texts[i]))
-        form = np.array([*found, None], dtype=object)[:-1]
-        yield np.full(len(form), i), np.arange(len(form)), np.fromiter(found.values(), np.int64, len(form)), form
+        yield Chunks.of_text(i, texts[i])
     for first, last, buffer, offsets in batches([texts[i] for i in short], BATCH):
-        held = Chunks(buffer, offsets)
-        yield np.array(short[first:last])[held.doc], held.number, held.n, held.form
+        yield Chunks.of_batch(np.array(short[first:last]), buffer, offsets)
 
 
-def count_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Occurrences and documents of each chunk by language and source."""
+def count_documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents that hold each chunk, by language."""
     for frame in frames:
-        group, names = codes(zip(frame["lang"], frame["source"]))
-        for doc, number, n, form in read_chunks(frame["text"].tolist()):
-            if not len(doc):
-                continue
-            key, where = np.unique(group[doc] * len(form) + number, return_inverse=True)
-            total = np.zeros(len(key), dtype=np.int64)
-            np.add.at(total, where, n)
-            of = pd.DataFrame([names[i] for i in (key // len(form)).tolist()], columns=["lang", "source"], dtype=object)
-            yield of.assign(chunk=pd.Series(form[key % len(form)], dtype=object), n=total, docs=np.bincount(where))
+        lang, names = codes(frame["lang"])
+        for held in read_chunks(frame["text"].tolist()):
+            if len(held.doc):
+                of, number, where = held.grouped(lang)
+                yield pd.DataFrame({"chunk": strings(held.forms(number)), "lang": strings([names[i] for i in of.tolist()]), "docs": np.bincount(where)})
+
+
+def strings(values: list[str]) -> pd.Series:
+    return pd.Series(values, dtype=object)
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """One row for each distinct chunk: its ``terms`` and where it occurs.
+    """One row for each distinct chunk: its ``terms`` in turn and the documents of each language.
 
-    ``langs`` has the documents of each language that hold the chunk and, by source, its
-    occurrences, so a row is as long as the list of groups at most. The terms are found
-    here, once for each chunk.
+    The terms are found here, once for each chunk.
     """
-    counts = docs.select("lang", "source", "text").mapInPandas(count_chunks, "lang string, source string, chunk string, n long, docs long")
-    counts = counts.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    by_lang = counts.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("sources"))
-    rows = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs", "sources")).alias("langs"))
+    counts = docs.select("lang", "text").mapInPandas(count_documents, "chunk string, lang string, docs long")
+    counts = counts.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+    rows = counts.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("langs"))
     return rows.withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))).filter(F.size("terms") > 0)
 
 
-def chunk_key(lang: list[str], chunk: list[str]) -> np.ndarray:
-    """Hash of each language and chunk."""
-    raw = [f"{a}\0{b}".encode("utf-8", "surrogatepass") for a, b in zip(lang, chunk)]
-    ends = np.cumsum([len(x) for x in raw], dtype=np.int64)
-    return span_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), ends - [len(x) for x in raw], ends, FAMILIES[1])
+def salted(hashes: np.ndarray, lang: np.ndarray, names: list[str]) -> np.ndarray:
+    """Hash of each chunk in its language."""
+    return mix(hashes ^ mix(chunk_hashes(["x" + n for n in names]))[lang])
 
 
-def kept_terms(docs: DataFrame, table: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
-    """``lang, term`` in at least ``least`` documents of the language.
+def chunk_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        key = salted(chunk_hashes(frame["chunk"].tolist()), *codes(frame["lang"]))
+        yield pd.DataFrame({"key": key.view(np.int64)})
+
+
+def term_counts(docs: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
+    """``lang, source, term, count`` of terms in at least ``least`` documents of the language.
 
     A term's documents number at least those of its commonest chunk and at most those of
-    all its chunks together. The chunks of terms in between, each of them in few
-    documents, are looked up in the documents again. Bits of their hashes keep other
-    chunks from being written out; a join on the chunks themselves decides.
+    all its chunks together (a chunk that holds it twice counts twice there). A second
+    scan counts, by source, the chunks of terms that may be kept, and notes which
+    documents hold the chunks of terms that the bounds leave open, each of them in few
+    documents. Bits of hashes keep other chunks from being written out; joins on the
+    chunks themselves decide.
     """
-    found = table.select("chunk", F.explode(F.array_distinct("terms")).alias("term"), "langs").select("chunk", "term", F.inline(F.transform("langs", lambda x: F.struct(x["lang"].alias("lang"), x["docs"].alias("docs")))))
-    bounds = found.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
-    bounds = stored(bounds.filter(F.col("high") >= least), "terms")
-    sure = bounds.filter(F.col("low") >= least).select("lang", "term")
-    open_terms = bounds.filter(F.col("low") < least).select("lang", "term")
-    side = F.broadcast(open_terms) if open_terms.count() <= broadcast_rows else open_terms
-    open_chunks = stored(found.filter(F.col("docs") < least).join(side, ["lang", "term"]).select("lang", "chunk", "term"), "open")
-
-    def keys(frames):
-        for frame in frames:
-            yield pd.DataFrame({"key": chunk_key(frame["lang"], frame["chunk"]).view(np.int64)})
-
-    bits, n = gather(open_chunks.select("lang", "chunk").distinct().mapInPandas(keys, "key long"))
-    if n == 0:
-        return sure
-    held = docs.sparkSession.sparkContext.broadcast(bits)
+    spark = docs.sparkSession
+    table = stored(chunk_table(docs), "chunks")
+    found = table.select("chunk", F.explode("terms").alias("term"), "langs").select("chunk", "term", F.inline("langs"))
+    bounds = stored(found.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= least), "bounds")
+    side = F.broadcast(bounds) if bounds.count() <= broadcast_rows else bounds
+    # A row for each time a chunk holds a term.
+    may = stored(found.join(side, ["lang", "term"]).select("lang", "chunk", "term", (F.col("low") < least).alias("open")), "candidates")
+    every, _ = gather(may.select("lang", "chunk").distinct().mapInPandas(chunk_keys, "key long"))
+    some, _ = gather(may.filter("open").select("lang", "chunk").distinct().mapInPandas(chunk_keys, "key long"))
+    sets = spark.sparkContext.broadcast((every, some))
 
     def look_up(frames):
         for frame in frames:
-            lang, names = codes(frame["lang"])
-            names = np.array([*names, None], dtype=object)
-            for doc, number, _, form in read_chunks(frame["text"].tolist()):
-                if not len(doc):
+            group, names = codes(zip(frame["lang"], frame["source"]))
+            lang = np.array(codes(x for x, _ in names)[0], dtype=np.int64)
+            langs = list(dict.fromkeys(x for x, _ in names))
+            for held in read_chunks(frame["text"].tolist()):
+                if not len(held.doc):
                     continue
-                pair, where = np.unique(lang[doc] * len(form) + number, return_inverse=True)
-                hit = held.value.has(chunk_key(names[pair // len(form)], form[pair % len(form)]))[where]
-                own = frame.iloc[doc[hit]].reset_index(drop=True)
-                yield pd.DataFrame({"lang": own["lang"], "key": own["key"], "check": own["check"], "chunk": pd.Series(form[number[hit]], dtype=object)})
-
+                of, number, where = held.grouped(group)
+                key = salted(held.hash[number], lang[of], langs)
+                total = np.zeros(len(of), dtype=np.int64)
+                np.add.at(total, where, held.n)
+                hit = np.flatnonzero(sets.value[0].has(key))
+                yield _rows([names[i] for i in of[hit].tolist()], held.forms(number[hit]), total[hit], None, None)
+                hit = np.flatnonzero(sets.value[1].has(key)[where])
+                own = frame.iloc[held.doc[hit]]
+                yield _rows([names[i] for i in group[held.doc[hit]].tolist()], held.forms(held.number[hit]), np.ones(len(hit), dtype=np.int64), own["key"], own["check"])
+
+    keys = ["lang", "source", "chunk", "key", "check"]
+    seen = docs.mapInPandas(look_up, "lang string, source string, chunk string, key long, check long, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    seen = stored(seen, "seen")
     # Equal rows share a key; each of them brings its own copy of every chunk.
-    copies = docs.mapInPandas(look_up, "lang string, key long, check long, chunk string").groupBy("lang", "key", "check", "chunk").agg(F.count(F.lit(1)).alias("copies"))
-    of_doc = copies.join(open_chunks, ["lang", "chunk"]).groupBy("lang", "key", "check", "term").agg(F.max("copies").alias("docs"))
-    exact = of_doc.groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
-    return sure.unionByName(exact.filter(F.col("docs") >= least).select("lang", "term"))
+    open_chunks = may.filter("open").select("lang", "chunk", "term").distinct()
+    of_doc = seen.filter("key IS NOT NULL").join(open_chunks, ["lang", "chunk"]).groupBy("lang", "source", "key", "check", "term").agg(F.max("n").alias("docs"))
+    exact = of_doc.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
+    kept = stored(bounds.filter(F.col("low") >= least).select("lang", "term").unionByName(exact.select("lang", "term")), "kept")
+    side = F.broadcast(kept) if kept.count() <= broadcast_rows else kept
+    of_chunk = may.drop("open").join(side, ["lang", "term"], "left_semi")
+    counts = seen.filter("key IS NULL").select("lang", "source", "chunk", "n").join(of_chunk, ["lang", "chunk"])
+    return stored(counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("count")), "counts")
+
+
+def _rows(groups: list[tuple[str, str]], chunks: list[str], n: np.ndarray, key: pd.Series | None, check: pd.Series | None) -> pd.DataFrame:
+    marks = {c: pd.array([None] * len(n) if v is None else v.to_numpy(), dtype="Int64") for c, v in (("key", key), ("check", check))}
+    return pd.DataFrame({"lang": strings([g[0] for g in groups]), "source": strings([g[1] for g in groups]), "chunk": strings(chunks), **marks, "n": n})
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -235,12 +276,7 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP,
         F.xxhash64(F.col("doc_id"), text).alias("key"),
         F.xxhash64(F.lit(1), F.col("doc_id"), text).alias("check"),
     )
-    chunks = stored(chunk_table(named), "chunks")
-    kept = stored(kept_terms(named.drop("source"), chunks, least, broadcast_rows), "kept")
-    side = F.broadcast(kept) if kept.count() <= broadcast_rows else kept
-    spread = chunks.select(F.inline("langs"), "terms").select("lang", "sources", F.explode("terms").alias("term")).join(side, ["lang", "term"], "left_semi")
-    terms = spread.select("lang", "term", F.inline("sources")).groupBy("lang", "source", "term").agg(F.sum("n").alias("count"))
-    terms = stored(terms, "counts")
+    terms = term_counts(named, least, broadcast_rows)
 
     per_lang = terms.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
     sizes = per_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))

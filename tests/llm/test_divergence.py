@@ -57,11 +57,12 @@ def mixed_rows(odd_rows):
     return rows + rows[-20:]
 
 
-@pytest.mark.parametrize("broadcast_rows, block", [(0, 50), (100_000, 400_000)])
-def test_audit(spark, mixed_rows, monkeypatch, broadcast_rows, block):
+@pytest.mark.parametrize("broadcast_rows, block, long", [(0, 50, 80), (100_000, 400_000, 1 << 24)])
+def test_audit(spark, mixed_rows, monkeypatch, broadcast_rows, block, long):
     from costlens.llm import divergence
 
     monkeypatch.setattr(divergence, "BLOCK_ROWS", block)
+    monkeypatch.setattr(divergence, "LONG", long)
     docs = spark.createDataFrame([(*r, "g", "n", "k") for r in mixed_rows], "doc_id long, text string, lang string, source string, `group` string, v string, chunk string")
     for least in (3, 10):
         assert got(divergence.audit_sources(docs.repartition(4), least, broadcast_rows=broadcast_rows)) == plain(mixed_rows, least)
