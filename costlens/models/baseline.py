@@ -48,54 +48,78 @@ def _spread(fitted: DataFrame, periods: int, keys: Sequence[str], yhat) -> DataF
     """Repeat a one-row-per-segment fit over the next ``periods`` days."""
     step = F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("step")
     rows = fitted.select("*", step)
-    return rows.select(*keys, F.date_add("_last", F.col("step")).alias("ds"), yhat(F.col("step")).alias("yhat"))
+    return rows.select(*keys, F.date_add("last", F.col("step")).alias("ds"), yhat(F.col("step")).alias("yhat"))
 
 
-def naive(history: DataFrame, periods: int, keys: Sequence[str] = ("segment",)) -> DataFrame:
-    """The last known value, repeated."""
+# Each baseline is fitted to one row per segment, which is all that its forecasts need.
+
+
+def fit_naive(history: DataFrame, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """``keys, level, last``: the last known value and its day."""
     known = history.filter(nan_to_null(F.col("y")).isNotNull())
-    fitted = known.groupBy(*keys).agg(F.max_by("y", "ds").alias("_y"), F.max("ds").alias("_last"))
-    return _spread(fitted, periods, keys, lambda step: F.col("_y"))
+    return known.groupBy(*keys).agg(F.max_by("y", "ds").alias("level"), F.max("ds").alias("last"))
 
 
-def moving_average(history: DataFrame, periods: int, window: int = 7, keys: Sequence[str] = ("segment",)) -> DataFrame:
-    """The mean of the last ``window`` known values, repeated."""
+def fit_moving_average(history: DataFrame, window: int = 7, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """``keys, level, last``: the mean of the last ``window`` known values."""
     known = history.filter(nan_to_null(F.col("y")).isNotNull())
     newest = F.row_number().over(W.partitionBy(*keys).orderBy(F.col("ds").desc()))
-    fitted = (
-        known.withColumn("_position", newest)
-        .filter(F.col("_position") <= window)
-        .groupBy(*keys)
-        .agg(F.avg("y").alias("_y"), F.max("ds").alias("_last"))
+    held = known.withColumn("_position", newest).filter(F.col("_position") <= window)
+    return held.groupBy(*keys).agg(F.avg("y").alias("level"), F.max("ds").alias("last"))
+
+
+def project_level(fitted: DataFrame, periods: int, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    return _spread(fitted, periods, keys, lambda step: F.col("level"))
+
+
+def fit_seasonal_naive(history: DataFrame, season: int = 7, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """``keys, last, cycle``: the values of the last ``season`` days in order of date,
+    null for a day that is not known."""
+    last = history.groupBy(*keys).agg(F.max("ds").alias("last"))
+    near = history.join(last, list(keys)).filter(F.col("ds") > F.date_sub("last", season))
+    at = season - F.datediff("last", "ds")
+    by_day = near.groupBy(*keys, "last").agg(F.map_from_entries(F.collect_list(F.struct(at.alias("at"), F.col("y").alias("y")))).alias("_by_day"))
+    cycle = F.transform(F.sequence(F.lit(1), F.lit(season)), lambda i: F.try_element_at("_by_day", i))
+    return by_day.select(*keys, "last", cycle.alias("cycle"))
+
+
+def project_seasonal_naive(fitted: DataFrame, periods: int, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    return _spread(fitted, periods, keys, lambda step: F.get("cycle", F.pmod(step - 1, F.size("cycle"))))
+
+
+def fit_linear_trend(history: DataFrame, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """``keys, slope, intercept, last`` of the least-squares line over days."""
+    day = F.unix_date(F.col("ds")).cast("double")
+    y = nan_to_null(F.col("y"))
+    return history.groupBy(*keys).agg(
+        F.regr_slope(y, day).alias("slope"), F.regr_intercept(y, day).alias("intercept"), F.max("ds").alias("last")
     )
-    return _spread(fitted, periods, keys, lambda step: F.col("_y"))
+
+
+def project_linear_trend(fitted: DataFrame, periods: int, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    line = lambda step: F.col("intercept") + F.col("slope") * (F.unix_date("last") + step).cast("double")
+    return _spread(fitted, periods, keys, line)
+
+
+def naive(history: DataFrame, periods: int, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """The last known value, repeated."""
+    return project_level(fit_naive(history, keys), periods, keys)
+
+
+def moving_average(history: DataFrame, periods: int, window: int = 7, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """The mean of the last ``window`` known values, repeated."""
+    return project_level(fit_moving_average(history, window, keys), periods, keys)
 
 
 def seasonal_naive(history: DataFrame, periods: int, season: int = 7, keys: Sequence[str] = ("segment",)) -> DataFrame:
     """The value of the same position in the last full season, by date; null
     when that day is not known."""
-    dates = future_dates(history, periods, "D", keys)
-    back = (F.ceil(F.col("step") / F.lit(float(season))) * season).cast("int")
-    wanted = dates.withColumn("_source", F.date_sub("ds", back))
-    known = history.select(*keys, F.col("ds").alias("_source"), F.col("y").alias("yhat"))
-    return wanted.join(known, [*keys, "_source"], "left").select(*keys, "ds", "yhat")
+    return project_seasonal_naive(fit_seasonal_naive(history, season, keys), periods, keys)
 
 
 def linear_trend(history: DataFrame, periods: int, keys: Sequence[str] = ("segment",)) -> DataFrame:
     """Least-squares line through the history, continued."""
-    day = F.unix_date(F.col("ds")).cast("double")
-    y = nan_to_null(F.col("y"))
-    fitted = history.groupBy(*keys).agg(
-        F.regr_slope(y, day).alias("_slope"),
-        F.regr_intercept(y, day).alias("_intercept"),
-        F.max("ds").alias("_last"),
-    )
-    return _spread(
-        fitted,
-        periods,
-        keys,
-        lambda step: F.col("_intercept") + F.col("_slope") * (F.unix_date("_last") + step).cast("double"),
-    )
+    return project_linear_trend(fit_linear_trend(history, keys), periods, keys)
 
 
 def rolling_naive(history: DataFrame, keys: Sequence[str] = ("segment",), lag: int = 1) -> DataFrame:

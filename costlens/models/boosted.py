@@ -80,21 +80,33 @@ SEGMENT = ("segment_mean", "segment_std", "segment_trend")
 
 @dataclass
 class BoostedModel:
+    """Trees, their features and the statistics of the segments.
+
+    A direct model (``fit_direct``) also has its horizon and ``tail``, the last days of
+    every series that its forecasts look back to.
+    """
+
     trees: GBTRegressionModel
     features: list[str]
     statistics: DataFrame
+    horizon: int | None = None
+    tail: DataFrame | None = None
 
     def save(self, path: str) -> None:
         """Everything that prediction needs, below one path."""
         self.trees.write().overwrite().save(f"{path}/trees")
         self.statistics.write.mode("overwrite").parquet(f"{path}/statistics")
-        named = self.statistics.sparkSession.createDataFrame([(self.features,)], "features array<string>")
+        named = self.statistics.sparkSession.createDataFrame([(self.features, self.horizon)], "features array<string>, horizon int")
         named.write.mode("overwrite").parquet(f"{path}/features")
+        if self.tail is not None:
+            self.tail.write.mode("overwrite").parquet(f"{path}/tail")
 
     @classmethod
     def load(cls, spark, path: str) -> BoostedModel:
-        features = list(spark.read.parquet(f"{path}/features").first()["features"])
-        return cls(GBTRegressionModel.load(f"{path}/trees"), features, spark.read.parquet(f"{path}/statistics"))
+        named = spark.read.parquet(f"{path}/features").first()
+        tail = None if named["horizon"] is None else spark.read.parquet(f"{path}/tail")
+        trees = GBTRegressionModel.load(f"{path}/trees")
+        return cls(trees, list(named["features"]), spark.read.parquet(f"{path}/statistics"), named["horizon"], tail)
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -142,9 +154,15 @@ def labelled_rows(daily: DataFrame, options: BoostedOptions, keys: Sequence[str]
 
 
 def fit(
-    daily: DataFrame, options: BoostedOptions = BoostedOptions(), keys: Sequence[str] = ("segment",)
+    daily: DataFrame,
+    options: BoostedOptions = BoostedOptions(),
+    keys: Sequence[str] = ("segment",),
+    horizon: int | None = None,
 ) -> BoostedModel:
-    """Fit on the training days, with early stopping on the validation days."""
+    """Fit on the training days, with early stopping on the validation days; with a
+    ``horizon``, fit a direct model of that many days ahead on all days."""
+    if horizon is not None:
+        return fit_direct(daily, horizon, options, keys)
     return _fit_rows(labelled_rows(daily, options, keys), options, keys)
 
 
@@ -155,7 +173,8 @@ def _fit_rows(rows: DataFrame, options: BoostedOptions, keys: Sequence[str]) ->
     used = frame.filter(F.col("split").isin("train", "validation") & F.col("y").isNotNull()).withColumn(
         "is_validation", F.col("split") == "validation"
     )
-    vectors = assembler(names).transform(used).select("features", F.col("y").cast("double").alias("y"), "is_validation")
+    # Written once; the trees read it at every level.
+    vectors = materialise(assembler(names).transform(used).select("features", F.col("y").cast("double").alias("y"), "is_validation"))
     early = options.validation > 0
     trees = options.regressor("is_validation" if early else None).fit(vectors)
     return BoostedModel(trees, names, statistics)
@@ -215,25 +234,56 @@ def learning_curve(model: BoostedModel, rows: DataFrame, spark) -> DataFrame:
     )
 
 
-def direct_forecast(
+def direct_rows(
+    history: DataFrame, horizon: int, keys: Sequence[str] = ("segment",), windows: Sequence[int] = WINDOWS
+) -> tuple[DataFrame, int]:
+    """Feature rows of the history and of the ``horizon`` days after it, marked
+    ``future`` in ``split``, and the days that the features look back. No feature is
+    younger than ``horizon`` days."""
+    ahead = future_dates(history, horizon, "D", keys).select(*keys, "ds", F.lit(None).cast("double").alias("y"), F.lit("future").alias("split"))
+    window = days(keys)
+    lags = (horizon, horizon + 1, horizon + 6, horizon + 29)
+    columns = {f"y_lag_{k}": F.lag("y", k).over(window) for k in lags}
+    for w in windows:
+        columns[f"y_rolling_mean_{w}"] = F.avg("y").over(window.rowsBetween(-(horizon + w - 1), -horizon))
+    past = history.withColumn("split", F.when(F.col("y").isNull(), "unknown").otherwise("train"))
+    rows = temporal_features(past.unionByName(ahead)).withColumns(columns)
+    return fill_features(rows, list(columns)), max(*lags, horizon + max(windows, default=0))
+
+
+def fit_direct(
     daily: DataFrame,
     horizon: int,
     options: BoostedOptions = BoostedOptions(),
     keys: Sequence[str] = ("segment",),
     windows: Sequence[int] = WINDOWS,
-) -> DataFrame:
-    """Forecast the next ``horizon`` days with one model whose features are at
-    least ``horizon`` days old, so no forecast feeds another."""
+) -> BoostedModel:
+    """One model whose features are at least ``horizon`` days old, so that no forecast
+    feeds another, and the days that its forecasts look back to."""
     if horizon < 1:
         raise ValueError("horizon must be at least one day")
     history = daily.select(*keys, "ds", F.col("y").cast("double").alias("y"))
-    ahead = future_dates(history, horizon, "D", keys).select(*keys, "ds", F.lit(None).cast("double").alias("y"))
-    window = days(keys)
-    columns = {f"y_lag_{k}": F.lag("y", k).over(window) for k in (horizon, horizon + 1, horizon + 6, horizon + 29)}
-    for w in windows:
-        frame = window.rowsBetween(-(horizon + w - 1), -horizon)
-        columns[f"y_rolling_mean_{w}"] = F.avg("y").over(frame)
-    rows = temporal_features(history.unionByName(ahead)).withColumns(columns)
-    rows = fill_features(rows, list(columns)).withColumn("split", F.when(F.col("y").isNull(), "future").otherwise("train"))
+    rows, reach = direct_rows(history, horizon, keys, windows)
     model = _fit_rows(rows, BoostedOptions(**{**options.__dict__, "validation": 0.0}), keys)
+    newest = F.row_number().over(days(keys).orderBy(F.col("ds").desc()))
+    tail = history.withColumn("_age", newest).filter(F.col("_age") <= reach).drop("_age")
+    return BoostedModel(model.trees, model.features, model.statistics, horizon, materialise(tail))
+
+
+def project(model: BoostedModel, keys: Sequence[str] = ("segment",)) -> DataFrame:
+    """``keys, ds, yhat`` of the days after the history of a direct model."""
+    windows = [int(name.rsplit("_", 1)[1]) for name in model.features if name.startswith("y_rolling_mean_")]
+    rows, _ = direct_rows(model.tail, model.horizon, keys, windows)
     return predict(model, rows.filter(F.col("split") == "future"), keys)
+
+
+def direct_forecast(
+    daily: DataFrame,
+    horizon: int,
+    options: BoostedOptions = BoostedOptions(),
+    keys: Sequence[str] = ("segment",),
+    windows: Sequence[int] = WINDOWS,
+) -> DataFrame:
+    """Forecast the next ``horizon`` days with one model whose features are at
+    least ``horizon`` days old, so no forecast feeds another."""
+    return project(fit_direct(daily, horizon, options, keys, windows), keys)

@@ -6,6 +6,10 @@ created_at. ``stage_events``: name, version, stage, at.
 
 from __future__ import annotations
 
+import errno
+import os
+import urllib.parse
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -114,10 +118,27 @@ def version_tags(frame: DataFrame) -> DataFrame:
             text("mape"),
             F.lit("r2"),
             text("r2"),
+            *([F.lit("created_at"), F.col("created_at").cast("string")] if "created_at" in frame.columns else []),
         ),
     )
 
 
+def promotion_events(view: DataFrame, chosen: DataFrame, stage: str, at: str) -> DataFrame:
+    """The stage events that put the ``chosen`` versions (``name, version``) into a stage.
+
+    Into production, every other production version of the same names goes to the
+    archive. All names at once, by joins.
+    """
+    when = F.lit(at).cast("timestamp")
+    chosen = chosen.select("name", "version").distinct()
+    known = view.join(chosen, ["name", "version"], "left_semi").select("name", "version", F.lit(stage).alias("stage"), when.alias("at"))
+    if stage != PRODUCTION:
+        return known
+    before = view.filter(F.col("stage") == PRODUCTION).join(chosen.select("name").distinct(), "name", "left_semi")
+    archived = before.join(chosen, ["name", "version"], "left_anti").select("name", "version", F.lit(ARCHIVED).alias("stage"), when.alias("at"))
+    return known.unionByName(archived)
+
+
 def rollback_events(view: DataFrame, name: str, target: str, at: str) -> DataFrame:
     """The stage events of a rollback: every other Production version to
     Archived, the target version to Production."""
@@ -135,12 +156,45 @@ def rollback_events(view: DataFrame, name: str, target: str, at: str) -> DataFra
 # ---- the tables -----------------------------------------------------------
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty marker file; false if somebody else has.
+
+    The file system decides: an exclusive create on a local or mounted one, and Hadoop's
+    create without overwriting elsewhere, which HDFS and object stores with conditional
+    writes do in one step.
+    """
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.getScheme() == "file":
+        local = system.makeQualified(place).toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except OSError as error:
+            if error.errno != errno.EEXIST:
+                raise
+            return False
+        return True
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError:
+        if not system.exists(place):
+            raise
+        return False
+    return True
+
+
 class VersionTables:
     """The two tables under one folder. Calls that return a version or a path
     read a single value; everything else stays a DataFrame.
 
-    ``register`` takes the next number by reading the highest one. Parallel
-    writers of the same model name need a table format with transactions.
+    Writers may register in parallel, under one name too: a number belongs to the writer
+    whose marker file was created, and each append has a folder of its own, so that no
+    writer's commit touches another's. Numbers of a name go up; a number may stay unused
+    when its writer fails or meets another one.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -149,14 +203,39 @@ class VersionTables:
 
     def _read(self, table: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.format(self.fmt).schema(schema).load(f"{self.root}/{table}")
+            reader = self.spark.read.format(self.fmt).schema(schema)
+            if self.fmt != "delta":
+                reader = reader.option("recursiveFileLookup", True)
+            return reader.load(f"{self.root}/{table}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
     def _append(self, rows: DataFrame, table: str) -> None:
-        rows.write.mode("append").format(self.fmt).save(f"{self.root}/{table}")
+        # Parallel writers of one folder would remove each other's unfinished files.
+        path = f"{self.root}/{table}" if self.fmt == "delta" else f"{self.root}/{table}/{uuid.uuid4().hex}"
+        rows.write.mode("append").format(self.fmt).save(path)
+
+    def _exists(self, pattern: str) -> bool:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        system = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = system.globStatus(place)
+        return found is not None and len(found) > 0
+
+    def _claim(self, name: str | None, first: int) -> int:
+        """The next free number of a name, or one that is free under every name.
+
+        Both kinds of claims are made first and looked for afterwards, so of two that
+        meet at least one sees the other and goes on.
+        """
+        number, claims = first, f"{self.root}/claims"
+        while True:
+            mine = "all" if name is None else "name-" + urllib.parse.quote(name, safe="")
+            others = f"{claims}/name-*/{number}" if name is None else f"{claims}/all/{number}"
+            if claim(self.spark, f"{claims}/{mine}/{number}") and not self._exists(others):
+                return number
+            number += 1
 
     def versions(self) -> DataFrame:
         return self._read("model_versions", VERSION_SCHEMA)
@@ -179,7 +258,7 @@ class VersionTables:
     ) -> str:
         """Append a version and return its number."""
         highest = self.versions().filter(F.col("name") == name).agg(F.max(F.col("version").cast("int"))).first()[0]
-        version = str((highest or 0) + 1)
+        version = str(self._claim(name, (highest or 0) + 1))
         row = self.spark.createDataFrame(
             [(name, version, model_type, category, {k: float(v) for k, v in metrics.items()}, dict(tags or {}), path)],
             T.StructType(VERSION_SCHEMA.fields[:-1]),
@@ -187,6 +266,29 @@ class VersionTables:
         self._append(row, "model_versions")
         return version
 
+    def register_all(self, models: DataFrame, at: str) -> str:
+        """Append a version of many models at once and return its number, one that is new
+        to all of them. ``models`` has ``name, model_type, category, metrics, tags, path``."""
+        highest = self.versions().join(models.select("name").distinct(), "name", "left_semi").agg(F.max(F.col("version").cast("int"))).first()[0]
+        version = str(self._claim(None, (highest or 0) + 1))
+        rows = models.withColumns({"version": F.lit(version), "created_at": F.lit(at).cast("timestamp")})
+        self._append(rows.select([f.name for f in VERSION_SCHEMA]), "model_versions")
+        return version
+
+    def promote_all(self, version: str, stage: str, at: str, names: DataFrame | None = None) -> None:
+        """Put a version of many models (all that have it, or those in ``names``) into a stage."""
+        chosen = self.versions().filter(F.col("version") == version).select("name", "version")
+        if names is not None:
+            chosen = chosen.join(names.select("name").distinct(), "name", "left_semi")
+        if chosen.isEmpty():
+            raise ValueError(f"no model has version {version}")
+        self._append(promotion_events(self.view(), chosen, stage, at), "stage_events")
+
+    def models_in(self, stage: str = PRODUCTION) -> DataFrame:
+        """The newest version of every name in a stage, with type, category and path."""
+        view = self.view()
+        return view.join(latest_versions(view, stage), ["name", "stage", "version"], "left_semi")
+
     def promote(self, name: str, version: str, stage: str, at: str) -> None:
         if self.versions().filter((F.col("name") == name) & (F.col("version") == version)).isEmpty():
             raise ValueError(f"{name} has no version {version}")

@@ -1,6 +1,6 @@
-"""Whole runs: training and comparison, forecasting, monitoring."""
-from costlens.plans.forecasting import forecast
+"""Whole runs: training and comparison, registration, forecasting, monitoring."""
+from costlens.plans.forecasting import forecast, forecast_stored
 from costlens.plans.monitoring import monitor
-from costlens.plans.training import TrainingResult, segment_series, train
+from costlens.plans.training import TrainingResult, register_best, segment_series, train
 
-__all__ = ["TrainingResult", "forecast", "monitor", "segment_series", "train"]
+__all__ = ["TrainingResult", "forecast", "forecast_stored", "monitor", "register_best", "segment_series", "train"]

@@ -2,32 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.models import arima, baseline, boosted, seasonal
-from costlens.plans.training import MODELS, _forecast_columns
+from costlens.models import baseline, stored
+from costlens.models.stored import MODELS, FittedModel, ModelOptions
+from costlens.operators.versions import PRODUCTION, VersionTables
+from costlens.plans.training import HORIZONS
+from costlens.session import materialise
 
-HORIZONS = (30, 90, 180, 365)
 
-
-def _seasonal(history: DataFrame, periods: int) -> DataFrame:
-    return seasonal.predict(seasonal.fit(history), baseline.future_dates(history, periods))
-
-
-def _arima(history: DataFrame, periods: int) -> DataFrame:
-    return arima.predict(arima.fit(history), periods)
-
-
-FORECASTERS: dict[str, Callable[[DataFrame, int], DataFrame]] = {
-    "naive": baseline.naive,
-    "seasonal_naive": baseline.seasonal_naive,
-    "linear_trend": baseline.linear_trend,
-    "seasonal": _seasonal,
-    "arima": _arima,
-}
+def project(models: Iterable[FittedModel], as_of: str, horizons: Sequence[int] = HORIZONS, late_hours: int = 48) -> DataFrame:
+    """``segment, model, ds, yhat, yhat_lower, yhat_upper, horizon_days, is_preliminary``
+    of fitted models, each for its own segments."""
+    out = None
+    for model in models:
+        frame = model.forecast(horizons).withColumn("model", F.lit(model.kind))
+        out = frame if out is None else out.unionByName(frame)
+    if out is None:
+        raise ValueError("no model to forecast with")
+    out = materialise(out)
+    # The history of a segment ends on the day before its first forecast.
+    ends = out.groupBy("segment").agg(F.date_sub(F.min("ds"), 1).alias("ds"))
+    return baseline.mark_preliminary(out, ends, as_of, late_hours)
 
 
 def forecast(
@@ -37,9 +36,9 @@ def forecast(
     horizons: Sequence[int] = HORIZONS,
     models: Sequence[str] = MODELS,
     late_hours: int = 48,
+    options: ModelOptions = ModelOptions(),
 ) -> DataFrame:
-    """``segment, model, ds, yhat, yhat_lower, yhat_upper, horizon_days,
-    is_preliminary``.
+    """Fit and forecast in one go.
 
     ``best`` is ``segment, model``. Every model sees only the history of the
     segments that chose it, all of them at once. The boosted model is fitted once
@@ -47,22 +46,32 @@ def forecast(
     longest horizon.
     """
     chosen = best.select("segment", "model")
-    longest = max(horizons)
-    stacked = by_horizon = None
+    fitted = []
     for name in models:
         mine = daily.join(chosen.filter(F.col("model") == name).select("segment"), "segment", "left_semi")
-        if name == "boosted":
-            if not mine.isEmpty():
-                for horizon in horizons:
-                    frame = _forecast_columns(boosted.direct_forecast(mine, horizon)).withColumn("model", F.lit(name))
-                    frame = frame.withColumn("horizon_days", F.lit(horizon))
-                    by_horizon = frame if by_horizon is None else by_horizon.unionByName(frame)
-            continue
-        frame = _forecast_columns(FORECASTERS[name](mine, longest)).withColumn("model", F.lit(name))
-        stacked = frame if stacked is None else stacked.unionByName(frame)
-    if stacked is None and by_horizon is None:
-        raise ValueError("no model to forecast with")
-    spread = by_horizon if stacked is None else baseline.by_horizon(stacked, horizons)
-    if stacked is not None and by_horizon is not None:
-        spread = spread.unionByName(by_horizon)
-    return baseline.mark_preliminary(spread, daily, as_of, late_hours)
+        if not mine.isEmpty():
+            fitted.append(stored.fit(name, mine, horizons, options))
+    return project(fitted, as_of, horizons, late_hours)
+
+
+def forecast_stored(
+    tables: VersionTables,
+    as_of: str,
+    stage: str = PRODUCTION,
+    horizons: Sequence[int] = HORIZONS,
+    late_hours: int = 48,
+    prefix: str = "cost/",
+) -> DataFrame:
+    """Forecasts of the registered models in a stage, without any fitting.
+
+    Each segment uses the newest version of its model. Models of one kind that were
+    stored together are loaded and run together; the driver sees their folders only, a
+    few per training run that still has a model in the stage.
+    """
+    spark = tables.spark
+    found = tables.models_in(stage).filter(F.col("name").startswith(prefix)).select(F.col("category").alias("segment"), "path")
+    paths = [r["path"] for r in found.select("path").distinct().orderBy("path").collect()]
+    if not paths:
+        raise ValueError(f"no model in stage {stage}")
+    models = [FittedModel.load(spark, path).only(found.filter(F.col("path") == path).select("segment")) for path in paths]
+    return project(models, as_of, horizons, late_hours)

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.models import arima, baseline, boosted, seasonal
+from costlens.models import arima, baseline, boosted, seasonal, stored
+from costlens.models.stored import MODELS, ModelOptions
 from costlens.operators.aggregate import segment_daily_costs
-from costlens.operators.evaluate import best_model, compare_models
+from costlens.operators.evaluate import METRICS, best_model, compare_models
 from costlens.operators.prepare import densify, fill_missing, split_by_fraction
 from costlens.operators.quality import quality_report
+from costlens.operators.versions import VersionTables, version_tags
 from costlens.session import materialise
 
 log = logging.getLogger(__name__)
 
-MODELS = ("naive", "seasonal_naive", "linear_trend", "seasonal", "arima", "boosted")
+HORIZONS = (30, 90, 180, 365)
 
 
 @dataclass
@@ -32,6 +35,9 @@ class TrainingResult:
     arima_models: DataFrame | None = None
     boosted_model: boosted.BoostedModel | None = None
     failures: dict[str, str] = field(default_factory=dict)
+    options: ModelOptions = ModelOptions()
+    # Rows without a day belong to no series: their number and cost.
+    undated: DataFrame | None = None
 
 
 def segment_series(records: DataFrame, levels: Sequence[str] = ("total", "category")) -> DataFrame:
@@ -79,7 +85,8 @@ def train(
 
     frames: dict[str, DataFrame] = {}
     failures: dict[str, str] = {}
-    result = TrainingResult(quality_report(records, as_of), daily, daily, daily, daily, failures=failures)
+    options = ModelOptions(seasonal=seasonal_options, arima=arima_options, boosted=boosted_options)
+    result = TrainingResult(quality_report(records, as_of), daily, daily, daily, daily, failures=failures, options=options, undated=undated_rows(records))
 
     def seasonal_forecast() -> DataFrame:
         result.coefficients = materialise(seasonal.fit(history, options=seasonal_options))
@@ -92,8 +99,8 @@ def train(
 
     def boosted_forecast() -> DataFrame:
         # From the same last day as the others: no test day sees another.
-        result.boosted_model = boosted.fit(history, boosted_options)
-        return boosted.direct_forecast(history, periods, boosted_options)
+        result.boosted_model = boosted.fit(history, boosted_options, horizon=periods)
+        return boosted.project(result.boosted_model)
 
     makers = {
         "naive": lambda: baseline.naive(history, periods),
@@ -106,7 +113,7 @@ def train(
     for name in (m for m in MODELS if m in models):
         try:
             # Run here, so that a model that fails ends alone.
-            frames[name] = materialise(_forecast_columns(makers[name]()))
+            frames[name] = materialise(stored.forecast_columns(makers[name]()))
         except Exception as error:  # noqa: BLE001 - one model must not end the run
             log.warning("%s failed: %s", name, error)
             failures[name] = str(error)
@@ -124,8 +131,52 @@ def train(
     return result
 
 
-def _forecast_columns(frame: DataFrame) -> DataFrame:
-    bounds = [
-        F.col(c) if c in frame.columns else F.lit(None).cast("double").alias(c) for c in ("yhat_lower", "yhat_upper")
-    ]
-    return frame.select("segment", "ds", "yhat", *bounds)
+def undated_rows(records: DataFrame, date_col: str = "usage_date", cost_col: str = "cost_in_billing_currency") -> DataFrame:
+    """``rows, cost`` of the records without a day, which no series can hold."""
+    return records.filter(F.col(date_col).isNull()).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(cost_col), F.lit(0.0)).cast("double").alias("cost")
+    )
+
+
+def fit_best(result: TrainingResult, horizons: Sequence[int] = HORIZONS) -> dict[str, stored.FittedModel]:
+    """The model that won in each segment, fitted again to all its days with the options
+    of the training run. One fit per kind serves all segments that chose it."""
+    chosen = materialise(result.best.select("segment", "model"))
+    models = {}
+    for row in chosen.select("model").distinct().orderBy("model").collect():
+        mine = result.daily.join(chosen.filter(F.col("model") == row["model"]).select("segment"), "segment", "left_semi")
+        models[row["model"]] = stored.fit(row["model"], mine, horizons, result.options)
+    return models
+
+
+def register_best(
+    result: TrainingResult,
+    tables: VersionTables,
+    at: str,
+    horizons: Sequence[int] = HORIZONS,
+    prefix: str = "cost/",
+    data_version: str = "1",
+) -> str:
+    """Fit, store and register the best model of every segment; returns the version.
+
+    The models of one kind lie in one folder, which all their segments name as path. A
+    version row per segment carries kind, metrics and tags. All rows have one number.
+    """
+    spark = result.daily.sparkSession
+    root = f"{tables.root}/models/{uuid.uuid4().hex}"
+    models = fit_best(result, horizons)
+    for kind, model in models.items():
+        model.save(spark, f"{root}/{kind}")
+    last = result.daily.groupBy("segment").agg(F.max("ds").alias("training_date"))
+    metrics = F.map_from_arrays(F.array(*[F.lit(m) for m in METRICS]), F.array(*[F.col(m).cast("double") for m in METRICS]))
+    rows = result.best.join(last, "segment").select(
+        F.concat(F.lit(prefix), "segment").alias("name"),
+        F.col("model").alias("model_type"),
+        F.col("segment").alias("category"),
+        metrics.alias("metrics"),
+        F.concat(F.lit(f"{root}/"), "model").alias("path"),
+        "training_date",
+        F.lit(data_version).alias("data_version"),
+        F.lit(at).alias("created_at"),
+    )
+    return tables.register_all(version_tags(rows), at)

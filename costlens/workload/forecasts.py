@@ -193,4 +193,4 @@ def m18(spark, sf):
 def m16_best(spark, sf):
     """Training run, model choice and forecasts of all segments."""
     result = train(cost_records(spark, sf), AS_OF)
-    return forecast(result.daily, result.best, AS_OF)
+    return forecast(result.daily, result.best, AS_OF, options=result.options)

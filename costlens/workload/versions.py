@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from costlens.models import seasonal
 from costlens.operators import versions as v
+from costlens.plans import forecast_stored, register_best, train
 from costlens.session import scratch_path
-from costlens.workload.base import query, table
+from costlens.sources import cost_records
+from costlens.workload.base import AS_OF, COST, query, sig7, sig7_sql, table
 from costlens.workload.evaluation import series_frame
 from costlens.workload.monitoring import _utc
 
@@ -168,3 +170,73 @@ def v1(spark, sf):
     tables.promote("seasonal", "2", v.PRODUCTION, "2001-11-08 00:00:00")
     tables.rollback("seasonal", "1", "2001-11-09 00:00:00")
     return spark.read.parquet(tables.path_of("seasonal"))
+
+
+# The training run in SQL: gapless series of the total and of every category, 85 of 100
+# days known, three baselines over the rest, the smallest error chooses, and the chosen
+# one forecasts from the last day.
+TRAINED = f"""{COST}, d0 AS (
+  SELECT 'Total' AS segment, usage_date AS ds, SUM(cost_in_billing_currency) AS y FROM cost GROUP BY 2
+  UNION ALL SELECT COALESCE(meter_category, 'Unknown'), usage_date, SUM(cost_in_billing_currency) FROM cost GROUP BY 1, 2
+), spine AS (SELECT segment, CAST(unnest(generate_series(MIN(ds), MAX(ds), INTERVAL 1 DAY)) AS DATE) AS ds FROM d0 GROUP BY segment
+), dense AS MATERIALIZED (
+  SELECT segment, ds, COALESCE(y, 0) AS y, (ds - DATE '1970-01-01')::DOUBLE AS x,
+    ROW_NUMBER() OVER (PARTITION BY segment ORDER BY ds) AS i, COUNT(*) OVER (PARTITION BY segment) AS n
+  FROM spine LEFT JOIN d0 USING (segment, ds)
+), cut AS (SELECT *, i <= floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) AS known FROM dense
+), past AS (SELECT segment, FALSE AS final, ds, x, y FROM cut WHERE known UNION ALL SELECT segment, TRUE, ds, x, y FROM cut
+), fits AS MATERIALIZED (
+  SELECT segment, final, MAX(ds) AS last, arg_max(y, ds) AS level, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM past GROUP BY 1, 2
+), ahead AS (
+  SELECT f.*, CAST(last + CAST(s AS INT) AS DATE) AS ds, s AS step FROM fits f, (SELECT unnest(range(1, 1001)) AS s)
+), told AS (
+  SELECT segment, final, ds, step, 'naive' AS model, level AS yhat FROM ahead
+  UNION ALL SELECT segment, final, ds, step, 'linear_trend', b + a * (ds - DATE '1970-01-01') FROM ahead
+  UNION ALL SELECT h.segment, h.final, h.ds, step, 'seasonal_naive', d.y FROM ahead h
+    LEFT JOIN dense d ON d.segment = h.segment AND d.ds = CAST(h.ds - CAST(ceil(step / 7.0) * 7 AS INT) AS DATE)
+), errors AS (
+  SELECT t.segment, model, AVG(ABS((c.y - yhat) / (c.y + 1e-8))) * 100 AS mape
+  FROM told t JOIN cut c ON c.segment = t.segment AND c.ds = t.ds AND NOT c.known WHERE NOT t.final AND yhat IS NOT NULL GROUP BY 1, 2
+), best AS (SELECT segment, arg_min(model, struct_pack(m := mape, n := model)) AS model FROM errors GROUP BY 1)"""
+
+
+def _trained(spark, sf):
+    records = cost_records(spark, sf, ["usage_date", "cost_in_billing_currency", "quantity", "effective_price", "meter_category"])
+    return train(records, AS_OF, models=("naive", "seasonal_naive", "linear_trend"))
+
+
+@query(
+    "v3_production_forecasts",
+    f"""WITH {TRAINED} SELECT t.segment, t.model, t.ds, {sig7_sql("yhat")} AS yhat, CAST(h AS INT) AS horizon_days
+FROM told t JOIN best b ON b.segment = t.segment AND b.model = t.model, (SELECT unnest([30, 90]) AS h) WHERE final AND step <= h""",
+)
+def v3(spark, sf):
+    """Train, register the best model of every segment, promote, load, forecast."""
+    tables = v.VersionTables(spark, scratch_path(spark, "registry"))
+    version = register_best(_trained(spark, sf), tables, "2001-11-08 00:00:00", horizons=(30, 90))
+    tables.promote_all(version, v.PRODUCTION, "2001-11-08 01:00:00")
+    out = forecast_stored(tables, AS_OF, horizons=(30, 90))
+    return sig7(out.select("segment", "model", "ds", "yhat", "horizon_days"), "yhat")
+
+
+@query(
+    "v1_registered_models",
+    f"""WITH {TRAINED} SELECT 'cost/' || b.segment AS name, version, b.model AS model_type, b.segment AS category,
+  CASE WHEN version = '2' THEN 'Production' ELSE 'Archived' END AS stage, {sig7_sql("mape")} AS mape,
+  CAST(last AS VARCHAR) AS training_date, '2001-11-08 00:00:00' AS tagged_at
+FROM best b JOIN errors e ON e.segment = b.segment AND e.model = b.model JOIN fits f ON f.segment = b.segment AND final, (SELECT unnest(['1', '2']) AS version)""",
+)
+def v1_registered(spark, sf):
+    """Two training runs registered and promoted in turn: the registry afterwards."""
+    tables = v.VersionTables(spark, scratch_path(spark, "registry"))
+    result = _trained(spark, sf)
+    for hour in (1, 2):
+        version = register_best(result, tables, "2001-11-08 00:00:00", horizons=(30,))
+        tables.promote_all(version, v.PRODUCTION, f"2001-11-08 0{hour}:00:00")
+    return sig7(
+        tables.view().select(
+            "name", "version", "model_type", "category", "stage", F.col("metrics")["mape"].alias("mape"),
+            F.col("tags")["training_date"].alias("training_date"), F.col("tags")["created_at"].alias("tagged_at"),
+        ),
+        "mape",
+    )

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from costlens.models.arima import ArimaOptions
 from costlens.models.boosted import BoostedOptions
@@ -99,3 +100,51 @@ def test_a_failing_model_ends_alone(spark, records, monkeypatch):
     result = train(records, as_of="2024-12-31 00:00:00", models=("naive", "seasonal", "linear_trend"))
     assert set(result.failures) == {"seasonal"}
     assert {r["model"] for r in result.comparison.select("model").distinct().collect()} == {"naive", "linear_trend"}
+
+
+@pytest.mark.parametrize("kind", ["naive", "seasonal_naive", "linear_trend", "seasonal", "arima", "boosted"])
+def test_a_loaded_model_forecasts_what_the_fitted_one_does(spark, result, tmp_path, kind):
+    from costlens.models import stored
+
+    fitted = stored.fit(kind, result.daily, (7, 30), result.options)
+    fitted.save(spark, str(tmp_path / "model"))
+    loaded = stored.FittedModel.load(spark, str(tmp_path / "model"))
+    rows = lambda model: sorted(map(tuple, model.forecast((7, 30)).collect()))
+    got = rows(loaded)
+    assert got == rows(fitted) and len(got) == 3 * 37
+    one = loaded.only(result.daily.filter("segment = 'Total'").select("segment").distinct())
+    assert sorted(map(tuple, one.forecast((7, 30)).collect())) == [r for r in got if r[0] == "Total"]
+
+
+def test_registered_models_forecast_without_a_fit(spark, result, tmp_path, monkeypatch):
+    from costlens.models import stored
+    from costlens.operators.versions import PRODUCTION, STAGING, VersionTables
+    from costlens.plans import forecast_stored, register_best
+
+    tables = VersionTables(spark, str(tmp_path / "registry"))
+    version = register_best(result, tables, AS_OF, horizons=(7, 30))
+    with pytest.raises(ValueError):
+        forecast_stored(tables, AS_OF, horizons=(7, 30))
+    tables.promote_all(version, PRODUCTION, AS_OF)
+    wanted = sorted(map(tuple, forecast(result.daily, result.best, AS_OF, (7, 30), options=result.options).collect()))
+
+    def never(*args, **kwargs):
+        raise AssertionError("fitted again")
+
+    monkeypatch.setattr(stored, "fit", never)
+    assert sorted(map(tuple, forecast_stored(tables, AS_OF, horizons=(7, 30)).collect())) == wanted
+    row = tables.models_in().filter("category = 'Total'").first()
+    best = {r["segment"]: r for r in result.best.collect()}["Total"]
+    assert (row["name"], row["model_type"], row["tags"]["created_at"]) == ("cost/Total", best["model"], AS_OF)
+    assert row["metrics"]["mape"] == pytest.approx(best["mape"])
+    tables.promote_all(version, STAGING, "2025-01-16 00:00:00")
+    assert forecast_stored(tables, AS_OF, STAGING, (7,)).count() == 21
+
+
+def test_rows_without_a_day_are_reported(spark, records):
+    from costlens.plans.training import undated_rows
+
+    lost = records.limit(3).withColumn("usage_date", F.lit(None).cast("date"))
+    row = undated_rows(records.unionByName(lost)).first()
+    assert row["rows"] == 3 and row["cost"] > 0
+    assert tuple(undated_rows(records).first()) == (0, 0.0)

@@ -95,3 +95,46 @@ def test_rollback_archives_every_other_production_version(spark):
     view = spark.createDataFrame([("m", "1", "Archived"), ("m", "2", "Production"), ("m", "3", "Production")], "name string, version string, stage string")
     events = v.rollback_events(view, "m", "1", "2024-01-05 00:00:00")
     assert {(r["version"], r["stage"]) for r in events.collect()} == {("1", "Production"), ("2", "Archived"), ("3", "Archived")}
+
+
+def test_parallel_writers_get_numbers_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "registry")
+    many = spark.createDataFrame(
+        [(n, "naive", n, {"mape": 1.0}, {"k": "v"}, f"/m/{n}") for n in ("cost", "other")],
+        "name string, model_type string, category string, metrics map<string,double>, tags map<string,string>, path string",
+    )
+
+    def one(i):
+        tables = v.VersionTables(spark, root)
+        return tables.register_all(many, AT.format(1)) if i % 3 == 0 else tables.register("cost", "seasonal", {"mape": 1.0}, f"/m/{i}", AT.format(1))
+
+    with ThreadPoolExecutor(6) as pool:
+        given = list(pool.map(one, range(9)))
+    assert len(set(given)) == 9
+    rows = v.VersionTables(spark, root).versions().collect()
+    assert sorted(r["version"] for r in rows if r["name"] == "cost") == sorted(given)
+    assert len([r for r in rows if r["name"] == "other"]) == 3
+
+
+def test_names_of_any_kind_are_claimed(spark, tmp_path):
+    tables = v.VersionTables(spark, str(tmp_path / "registry"))
+    assert [tables.register(n, "naive", {}, "/m", AT.format(1)) for n in ("a/b c*", "a/b c*", "é?")] == ["1", "2", "1"]
+
+
+def test_promoting_many_archives_the_versions_before(spark, tmp_path):
+    tables = v.VersionTables(spark, str(tmp_path / "registry"))
+    rows = lambda names: spark.createDataFrame(
+        [(n, "naive", n, {"mape": 1.0}, {"k": "v"}, "/m") for n in names],
+        "name string, model_type string, category string, metrics map<string,double>, tags map<string,string>, path string",
+    )
+    first = tables.register_all(rows(["a", "b"]), AT.format(1))
+    tables.promote_all(first, v.PRODUCTION, AT.format(2))
+    second = tables.register_all(rows(["a", "b", "c"]), AT.format(3))
+    tables.promote_all(second, v.PRODUCTION, AT.format(4), rows(["a", "c"]))
+    stages = {(r["name"], r["version"]): r["stage"] for r in tables.view().collect()}
+    assert stages == {("a", "1"): "Archived", ("b", "1"): "Production", ("a", "2"): "Production", ("b", "2"): "None", ("c", "2"): "Production"}
+    assert {(r["name"], r["version"]) for r in tables.models_in().collect()} == {("a", "2"), ("b", "1"), ("c", "2")}
+    with pytest.raises(ValueError):
+        tables.promote_all("99", v.STAGING, AT.format(5))
