@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.bitsets import gather
-from costlens.llm.textops import FAMILIES, batches, codes, distinct_spans, mix, span_hashes, word_bounds
+from costlens.llm.textops import FAMILIES, U64, batches, codes, distinct_spans, mix, span_hashes, word_bounds
 from costlens.session import materialise, scratch_path
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -35,6 +35,7 @@ LEAST_DOCUMENTS = 10
 TOP = 10
 BROADCAST_ROWS = 100_000  # terms that are sent to every task; more are shuffled
 BATCH = 1 << 22  # bytes of text counted at once
+NO_DOC = 0
 LONG = 1 << 24  # code points from which a text is counted on its own
 BLOCK_ROWS = 100_000  # counts of the groups in one block of terms
 
@@ -42,11 +43,11 @@ BLOCK_ROWS = 100_000  # counts of the groups in one block of terms
 class Chunks:
     """The distinct white-space chunks of a batch of texts and which text holds which.
 
-    Text ``doc[i]`` holds chunk ``number[i]`` ``n[i]`` times; ``hash`` is each chunk's.
+    Text ``doc[i]`` holds chunk ``number[i]`` ``n[i]`` times; ``hashes`` are two of each chunk.
     """
 
     def __init__(self, doc, number, n, hashes, forms):
-        self.doc, self.number, self.n, self.hash, self.forms = doc, number, n, hashes, forms
+        self.doc, self.number, self.n, self.hashes, self.forms = doc, number, n, hashes, forms
 
     @classmethod
     def of_batch(cls, rows: np.ndarray, buffer: np.ndarray, offsets: np.ndarray) -> Chunks:
@@ -61,7 +62,7 @@ class Chunks:
             raw = buffer.tobytes()
             return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[kept[which]].tolist(), ends[kept[which]].tolist())]
 
-        return cls(rows[doc], number, n, hashes[kept], forms)
+        return cls(rows[doc], number, n, (hashes[kept], span_hashes(buffer, starts[kept], ends[kept], FAMILIES[1])), forms)
 
     @classmethod
     def of_text(cls, row: int, text: str) -> Chunks:
@@ -71,17 +72,19 @@ class Chunks:
         n = np.fromiter(found.values(), np.int64, len(form))
         return cls(np.full(len(form), row), np.arange(len(form)), n, chunk_hashes(form), lambda which: [form[i] for i in which.tolist()])
 
-    def grouped(self, group: np.ndarray, rows: np.ndarray | slice = slice(None)):
+    def grouped(self, group: np.ndarray):
         """``group, number`` of the pairs of a text's group and chunk, and each row's pair."""
-        pair, where = np.unique(group[self.doc[rows]] * max(1, len(self.hash)) + self.number[rows], return_inverse=True)
-        return (*np.divmod(pair, max(1, len(self.hash))), where)
+        size = max(1, len(self.hashes[0]))
+        pair, where = np.unique(group[self.doc] * size + self.number, return_inverse=True)
+        return (*np.divmod(pair, size), where)
 
 
-def chunk_hashes(forms: list[str]) -> np.ndarray:
+def chunk_hashes(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = [x.encode("utf-8", "surrogatepass") for x in forms]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     ends = np.cumsum(sizes)
-    return span_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), ends - sizes, ends, FAMILIES[0])
+    buffer = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    return tuple(span_hashes(buffer, ends - sizes, ends, family) for family in FAMILIES)
 
 
 def read_chunks(texts: list[str]) -> Iterator[Chunks]:
@@ -117,26 +120,30 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return rows.withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))).filter(F.size("terms") > 0)
 
 
-def salted(hashes: np.ndarray, lang: np.ndarray, names: list[str]) -> np.ndarray:
-    """Hash of each chunk in its language."""
-    return mix(hashes ^ mix(chunk_hashes(["x" + n for n in names]))[lang])
+def salted(hashes: tuple[np.ndarray, np.ndarray], lang: np.ndarray) -> list[np.ndarray]:
+    """128 bits for each chunk in its language, given by a hash."""
+    salt = mix(lang.view(U64))
+    return [mix(h ^ s).view(np.int64) for h, s in zip(hashes, (salt, mix(salt)))]
 
 
-def chunk_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def with_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        key = salted(chunk_hashes(frame["chunk"].tolist()), *codes(frame["lang"]))
-        yield pd.DataFrame({"key": key.view(np.int64)})
+        key, check = salted(chunk_hashes(frame["chunk"].tolist()), frame["lid"].to_numpy(np.int64))
+        yield frame.drop(columns=["chunk", "lid"]).assign(key=key, check=check)
 
 
 def term_counts(docs: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
-    """``lang, source, term, count`` of terms in at least ``least`` documents of the language.
+    """``gid, lang, term, count`` of terms in at least ``least`` documents of the language.
+
+    ``docs`` has ``lang, text``, hashes ``lid`` of the language and ``gid`` of the group,
+    and ``doc, copy``, two hashes of the row.
 
     A term's documents number at least those of its commonest chunk and at most those of
     all its chunks together (a chunk that holds it twice counts twice there). A second
-    scan counts, by source, the chunks of terms that may be kept, and notes which
+    scan counts, by group, the chunks of terms that may be kept, and notes which
     documents hold the chunks of terms that the bounds leave open, each of them in few
-    documents. Bits of hashes keep other chunks from being written out; joins on the
-    chunks themselves decide.
+    documents. It writes 128-bit hashes in place of chunks, and bits of these keep most
+    other chunks from being written at all.
     """
     spark = docs.sparkSession
     table = stored(chunk_table(docs), "chunks")
@@ -144,46 +151,43 @@ def term_counts(docs: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
     bounds = stored(found.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= least), "bounds")
     side = F.broadcast(bounds) if bounds.count() <= broadcast_rows else bounds
     # A row for each time a chunk holds a term.
-    may = stored(found.join(side, ["lang", "term"]).select("lang", "chunk", "term", (F.col("low") < least).alias("open")), "candidates")
-    every, _ = gather(may.select("lang", "chunk").distinct().mapInPandas(chunk_keys, "key long"))
-    some, _ = gather(may.filter("open").select("lang", "chunk").distinct().mapInPandas(chunk_keys, "key long"))
+    may = found.join(side, ["lang", "term"]).select("lang", F.xxhash64("lang").alias("lid"), "chunk", "term", (F.col("low") < least).alias("open"))
+    may = stored(may.mapInPandas(with_keys, "lang string, term string, open boolean, key long, check long"), "candidates")
+    every, _ = gather(may.select("key").distinct())
+    some, _ = gather(may.filter("open").select("key").distinct())
     sets = spark.sparkContext.broadcast((every, some))
 
     def look_up(frames):
         for frame in frames:
-            group, names = codes(zip(frame["lang"], frame["source"]))
-            lang = np.array(codes(x for x, _ in names)[0], dtype=np.int64)
-            langs = list(dict.fromkeys(x for x, _ in names))
+            gids, first, group = np.unique(frame["gid"].to_numpy(np.int64), return_index=True, return_inverse=True)
+            lids = frame["lid"].to_numpy(np.int64)[first]
+            doc, copy = (frame[c].to_numpy(np.int64) for c in ("doc", "copy"))
             for held in read_chunks(frame["text"].tolist()):
                 if not len(held.doc):
                     continue
                 of, number, where = held.grouped(group)
-                key = salted(held.hash[number], lang[of], langs)
+                key, check = salted(tuple(h[number] for h in held.hashes), lids[of])
                 total = np.zeros(len(of), dtype=np.int64)
                 np.add.at(total, where, held.n)
-                hit = np.flatnonzero(sets.value[0].has(key))
-                yield _rows([names[i] for i in of[hit].tolist()], held.forms(number[hit]), total[hit], None, None)
-                hit = np.flatnonzero(sets.value[1].has(key)[where])
-                own = frame.iloc[held.doc[hit]]
-                yield _rows([names[i] for i in group[held.doc[hit]].tolist()], held.forms(held.number[hit]), np.ones(len(hit), dtype=np.int64), own["key"], own["check"])
-
-    keys = ["lang", "source", "chunk", "key", "check"]
-    seen = docs.mapInPandas(look_up, "lang string, source string, chunk string, key long, check long, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
-    seen = stored(seen, "seen")
-    # Equal rows share a key; each of them brings its own copy of every chunk.
-    open_chunks = may.filter("open").select("lang", "chunk", "term").distinct()
-    of_doc = seen.filter("key IS NOT NULL").join(open_chunks, ["lang", "chunk"]).groupBy("lang", "source", "key", "check", "term").agg(F.max("n").alias("docs"))
+                hit = np.flatnonzero(sets.value[0].has(key.view(U64)))
+                yield pd.DataFrame({"gid": gids[of[hit]], "key": key[hit], "check": check[hit], "doc": NO_DOC, "copy": NO_DOC, "n": total[hit]})
+                hit = np.flatnonzero(sets.value[1].has(key.view(U64))[where])
+                own, at = held.doc[hit], where[hit]
+                yield pd.DataFrame({"gid": NO_DOC, "key": key[at], "check": check[at], "doc": doc[own], "copy": copy[own], "n": np.int64(1)})
+
+    names = ["gid", "key", "check", "doc", "copy"]
+    seen = docs.select("gid", "lid", "doc", "copy", "text").mapInPandas(look_up, ", ".join(f"{c} long" for c in [*names, "n"]))
+    seen = stored(seen.groupBy(*names).agg(F.sum("n").alias("n")), "seen")
+    by_group, by_doc = seen.filter(F.col("copy") == NO_DOC), seen.filter(F.col("copy") != NO_DOC)
+    # Equal rows share both hashes; each of them brings its own copy of every chunk.
+    open_chunks = may.filter("open").select("lang", "term", "key", "check").distinct()
+    of_doc = by_doc.join(open_chunks, ["key", "check"]).groupBy("lang", "doc", "copy", "term").agg(F.max("n").alias("docs"))
     exact = of_doc.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
     kept = stored(bounds.filter(F.col("low") >= least).select("lang", "term").unionByName(exact.select("lang", "term")), "kept")
     side = F.broadcast(kept) if kept.count() <= broadcast_rows else kept
     of_chunk = may.drop("open").join(side, ["lang", "term"], "left_semi")
-    counts = seen.filter("key IS NULL").select("lang", "source", "chunk", "n").join(of_chunk, ["lang", "chunk"])
-    return stored(counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("count")), "counts")
-
-
-def _rows(groups: list[tuple[str, str]], chunks: list[str], n: np.ndarray, key: pd.Series | None, check: pd.Series | None) -> pd.DataFrame:
-    marks = {c: pd.array([None] * len(n) if v is None else v.to_numpy(), dtype="Int64") for c, v in (("key", key), ("check", check))}
-    return pd.DataFrame({"lang": strings([g[0] for g in groups]), "source": strings([g[1] for g in groups]), "chunk": strings(chunks), **marks, "n": n})
+    counts = by_group.select("gid", "key", "check", "n").join(of_chunk, ["key", "check"])
+    return counts.groupBy("gid", "lang", "term").agg(F.sum("n").alias("count"))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -269,20 +273,19 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP,
     The result, and so the work for it, has a row for each pair of sources.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    named = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        text,
-        F.xxhash64(F.col("doc_id"), text).alias("key"),
-        F.xxhash64(F.lit(1), F.col("doc_id"), text).alias("check"),
-    )
-    terms = term_counts(named, least, broadcast_rows)
+    lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
+    named = docs.select(lang, source, text, F.xxhash64(F.col("doc_id"), text).alias("doc"), F.xxhash64(F.lit(1), F.col("doc_id"), text).bitwiseOR(F.lit(1)).alias("copy"))
+    named = named.withColumns({"lid": F.xxhash64("lang"), "gid": F.xxhash64("lang", "source")})
+    names = stored(named.select("lang", "source", "gid").distinct(), "groups")
+    if not names.groupBy("gid").count().filter("count > 1").isEmpty():
+        raise ValueError("two groups share a hash")
+    terms = stored(term_counts(named, least, broadcast_rows).join(names, ["gid", "lang"]).drop("gid"), "counts")
 
     per_lang = terms.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
     sizes = per_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))
     own = terms.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n", "v", "lang_n")}
-    groups = named.select("lang", "source").distinct().join(own, ["lang", "source"], "left").join(sizes, "lang", "left").withColumns(zero)
+    groups = names.select("lang", "source").join(own, ["lang", "source"], "left").join(sizes, "lang", "left").withColumns(zero)
     # A number for each group, so that blocks of terms need not carry names.
     groups = groups.withColumns({"total": F.col("n") + 2 * F.col("v"), "group": F.monotonically_increasing_id()})
     groups = materialise(groups.withColumn("p0", F.when(F.col("v") > 0, rate(F.lit(0), F.col("total"))).otherwise(F.lit(1))))
