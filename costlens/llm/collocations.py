@@ -1,17 +1,17 @@
 """Phrase collocations by sampling: Toivonen's method over word sequences.
 
 A sample of the documents proposes phrases that may be frequent. A pass over all
-documents then counts, exactly, each proposed phrase and its negative border: every
-phrase that was not proposed although the phrases without its first and without its last
-word were. A border phrase that turns out frequent breaks the closure; such phrases are
-added to the proposal, and a further pass counts them and the border they open, until
-no border phrase is frequent. Then every frequent phrase has been counted.
+documents then counts each proposed phrase and its negative border: every phrase that was
+not proposed although the phrases without its first and without its last word were. A
+border phrase that turns out frequent breaks the closure; such phrases are added to the
+proposal, and a further pass counts the border they open, until no border phrase is
+frequent. Then every frequent phrase has been counted.
 
 The proposal reaches the tasks as a set of bits of bounded size, one for each hash of a
 phrase. Strange phrases that share a bit are counted as well, which costs work and
-changes no count. Proposed phrases are counted as texts. Border phrases, most of them
-rare, are counted by a 64-bit key only: two that share a key may break the closure for
-nothing, and the next pass counts them as texts.
+changes no count. Phrases are first counted by a 64-bit key. The next pass, which the
+broken border needs anyway, counts the texts of the frequent keys; only these exact
+counts are results, so two phrases that share a key do no harm.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SAMPLE = 8  # one document of so many proposes phrases
-CAUTION = 0.5  # share of its expected count at which a sampled phrase is proposed
-SLICE = 1 << 21  # bytes of text worked on at once
+CAUTION = 0.25  # share of its expected count at which a sampled phrase is proposed
+SLICE = 1 << 20  # bytes of text worked on at once
 UNKNOWN = "und"
-TEXT, BORDER, NEW_WORD, TOTAL = range(4)
+TEXT, KEY, TOTAL = range(3)
 COUNTED = "key long, kind int, item string, n long"
 
 _SPACE, _STOP = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
@@ -44,6 +44,7 @@ _CLASS[list(_SPACE)] = 1
 _CLASS[list(_STOP)] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_SPACES = re.compile("[\x20\x09]+")
 _EDGE = re.compile(rb"[\x20\x09.,;:!?\x0a-\x0d]")
 _FOLLOWING = re.compile(rb"(?:[\x20\x09]*[^\x20\x09.,;:!?\x0a-\x0d]+){0,%d}" % (LONGEST - 1))
 
@@ -77,9 +78,11 @@ class Words:
         salt = mix(span_hashes(*_packed(names), FAMILIES[1]) + U64(1))
         self.lang, self.names = number[doc], names
         word = span_hashes(buffer, starts, ends, FAMILIES[0])
-        self.kept, self.number = distinct_spans(buffer, starts, ends, word)
-        self.form = [buffer[starts[i] : ends[i]].tobytes().decode("utf-8", "surrogatepass") for i in self.kept]
+        self.number = distinct_spans(buffer, starts, ends, word)[1]
         self.hash = mix(word ^ salt[self.lang])
+        self.starts, self.ends, self.raw = starts, ends, buffer.tobytes()
+        # Words that one space parts from the next: their phrase stands in the text as it is.
+        self.close = np.append(starts[1:] - ends[:-1] == 1, False) & (buffer[np.minimum(ends, len(buffer) - 1)] == 0x20)
 
     def keys(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Key of the phrase that begins at each word, and whether it lies in one piece."""
@@ -98,8 +101,15 @@ class Words:
         # A phrase that only shares its key stays a row of its own.
         counts = np.append(np.bincount(number[same], minlength=len(kept)), np.ones((~same).sum(), dtype=np.int64))
         rows = np.append(at[kept], at[~same])
-        forms = [" ".join([self.form[w] for w in words]) for words in self.number[rows[:, None] + np.arange(width)].tolist()]
-        return np.append(keys[kept], keys[~same]), [f"{self.names[c]}\t{f}" for c, f in zip(self.lang[rows].tolist(), forms)], counts
+        firsts, lasts = self.starts[rows].tolist(), self.ends[rows + width - 1].tolist()
+        forms = [self.raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(firsts, lasts)]
+        whole = np.ones(len(rows), dtype=bool)
+        for k in range(width - 1):
+            whole &= self.close[rows + k]
+        for i in np.flatnonzero(~whole).tolist():
+            forms[i] = _SPACES.sub(" ", forms[i])
+        names = [f"{x}\t" for x in self.names]
+        return np.append(keys[kept], keys[~same]), [names[c] + f for c, f in zip(self.lang[rows].tolist(), forms)], counts
 
 
 def _packed(names) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,9 +144,10 @@ def propose(words: Words) -> pd.DataFrame:
 def count(words: Words, old: Bits | None, new: Bits) -> Iterator[pd.DataFrame]:
     """What a pass counts in one batch.
 
-    ``new`` holds phrases proposed for this pass, ``old`` those of earlier passes (none in
-    the first). A phrase is counted if both phrases one word shorter were proposed and one
-    of them is new, or if it is new itself.
+    The first pass (``old`` is none) counts by key every word and every phrase whose two
+    parts one word shorter are in ``new``, the proposal. A later one counts the texts of
+    the phrases in ``new``, found frequent by the pass before, and by key the phrases of
+    which at least one part was not in ``old``.
     """
 
     def rows(kind, keys, items, n):
@@ -149,26 +160,22 @@ def count(words: Words, old: Bits | None, new: Bits) -> Iterator[pd.DataFrame]:
             return
         fresh = new.has(keys)
         known = old.has(keys) if old is not None else np.zeros(len(keys), dtype=bool)
-        proposed = fresh | known
         at = np.flatnonzero(inside & words.owned[: len(keys)])
         if width == 1:
-            if old is None:
-                found, items, n = words.phrases(at, keys[at], 1)
-                yield rows(TEXT, found[new.has(found)], [i for i, x in zip(items, new.has(found)) if x], n[new.has(found)])
-                strange = ~new.has(found)
-                yield rows(NEW_WORD, found[strange], [i for i, x in zip(items, strange) if x], n[strange])
-                total = np.bincount(words.lang[at], minlength=len(words.names))
-                yield rows(TOTAL, np.zeros(len(total), dtype=np.int64), [f"{x}\t" for x in words.names], total)
+            both = np.ones(len(at), dtype=bool)
+            opened = both if old is None else ~both
         else:
             both = before[0][at] & before[0][at + 1]
             opened = both & ~(before[1][at] & before[1][at + 1])
-            text = (both & fresh[at]) | (opened & proposed[at])
-            if text.any():
-                yield rows(TEXT, *words.phrases(at[text], keys[at[text]], width))
-            border = opened & ~proposed[at]
-            found, n = np.unique(keys[at[border]], return_counts=True)
-            yield rows(BORDER, found, None, n)
-        before = (proposed, known)
+        if old is None and width == 1:
+            total = np.bincount(words.lang[at], minlength=len(words.names))
+            yield rows(TOTAL, np.zeros(len(total), dtype=np.int64), [f"{x}\t" for x in words.names], total)
+        text = at[both & fresh[at]] if old is not None else at[:0]
+        if len(text):
+            yield rows(TEXT, *words.phrases(text, keys[text], width))
+        found, n = np.unique(keys[at[opened]], return_counts=True)
+        yield rows(KEY, found, None, n)
+        before = (fresh | known, known)
 
 
 def _given(docs: DataFrame) -> DataFrame:
@@ -180,8 +187,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
     """``lang, phrase, n`` of all phrases of up to five words that occur ``least`` times.
 
     The row of the empty phrase holds the number of words of each language. Each pass
-    writes its frequent rows to the shared folder; passes after the first are few, since
-    each one adds at least a word to the longest phrase of an open border.
+    writes its frequent rows to the shared folder. There are two passes, and one more for
+    each time that a broken border opens a frequent phrase; since such a phrase is a word
+    longer than one of the pass before, there are seven at most.
     """
     spark = docs.sparkSession
     given = _given(docs)
@@ -209,9 +217,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
         path = scratch_path(spark, "phrases")
         rows.filter((F.col("n") >= least) | (F.col("kind") == TOTAL)).write.parquet(path)
         found = spark.read.schema(COUNTED).parquet(path)
-        passes.append(found.filter(F.col("kind") != BORDER).select("item", "n"))
-        broken = found.filter(F.col("kind").isin(BORDER, NEW_WORD)).select("key").distinct()
-        opened, n = gather(broken, most_bits)
+        passes.append(found.filter(F.col("kind") != KEY).select("item", "n"))
+        frequent = found.filter(F.col("kind") == KEY).select("key").distinct()
+        opened, n = gather(frequent, most_bits)
         if n == 0:
             break
         old, new = (new if old is None else joined(old, new)), opened
