@@ -201,8 +201,7 @@ TRAINED = f"""{COST}, d0 AS (
 
 
 def _trained(spark, sf):
-    records = cost_records(spark, sf, ["usage_date", "cost_in_billing_currency", "quantity", "effective_price", "meter_category"])
-    return train(records, AS_OF, models=("naive", "seasonal_naive", "linear_trend"))
+    return train(cost_records(spark, sf), AS_OF, models=("naive", "seasonal_naive", "linear_trend"))
 
 
 @query(
