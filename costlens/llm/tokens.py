@@ -57,7 +57,13 @@ def _byte_level(text: str) -> list[str] | None:
 
 
 def _word_level(text: str) -> list[str] | None:
-    """Runs without white space, which the tokenizer drops, and marks behind words."""
+    """Runs without white space, which the tokenizer drops, and marks behind words.
+
+    Cuts are made in the form that the tokenizer sees: a letter that normalisation takes
+    apart ends in a mark, which belongs with a full stop behind it.
+    """
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
     if _MARK.search(text) or "<|" in text:
         return None
     if _plain(text):

@@ -287,3 +287,20 @@ def test_sample_meets_marginals(spark, empty):
     missed = next(r for r in marginals(docs).collect() if r["level"] == "hot")
     assert missed["expected"] > 1.5 * missed["wanted"]
     assert mix_sources(empty, share=None).count() == 0
+
+
+@pytest.mark.parametrize("name, rule", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_letters_that_normalisation_takes_apart(name, rule):
+    """Bengali, Hindi, Hebrew and Tibetan letters end in a mark once normalised."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from costlens.llm.tokens import encoder
+
+    draw = random.Random(8)
+    parts = ["য়", "ड़", "אַ", "གྷ", "x", "Word", " ", " ", ". ", ", ", ".\n", ".", "é", "é"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(8000)] + ["xয়. y"]
+    ids, at = encoder(public_tokenizers.path(name), rule)(texts)
+    whole = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch(texts, add_special_tokens=False)
+    assert all(ids[a:b].tolist() == w.ids for a, b, w in zip(at[:-1], at[1:], whole))
