@@ -16,9 +16,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from costlens.functions.checks import within
 from costlens.models.baseline import future_dates
+from costlens.models.intervals import conformal_radius
 from costlens.operators.attach import attach
 from costlens.operators.evaluate import align_on_date, metrics
 from costlens.operators.features import (
@@ -50,6 +52,8 @@ class BoostedOptions:
     test: float = 0.2
     validation: float = 0.1
     seed: int = 42
+    # Share of the last days that a direct model leaves out to measure its errors.
+    calibration: float = 0.1
 
     def __post_init__(self):
         within("n_estimators", self.n_estimators, 1)
@@ -82,8 +86,9 @@ SEGMENT = ("segment_mean", "segment_std", "segment_trend")
 class BoostedModel:
     """Trees, their features and the statistics of the segments.
 
-    A direct model (``fit_direct``) also has its horizon and ``tail``, the last days of
-    every series that its forecasts look back to.
+    A direct model (``fit_direct``) also has its horizon, ``tail``, the last days of
+    every series that its forecasts look back to, and ``radius``, half the width of the
+    interval of each segment.
     """
 
     trees: GBTRegressionModel
@@ -91,6 +96,7 @@ class BoostedModel:
     statistics: DataFrame
     horizon: int | None = None
     tail: DataFrame | None = None
+    radius: DataFrame | None = None
 
     def save(self, path: str) -> None:
         """Everything that prediction needs, below one path."""
@@ -100,13 +106,14 @@ class BoostedModel:
         named.write.mode("overwrite").parquet(f"{path}/features")
         if self.tail is not None:
             self.tail.write.mode("overwrite").parquet(f"{path}/tail")
+            self.radius.write.mode("overwrite").parquet(f"{path}/radius")
 
     @classmethod
     def load(cls, spark, path: str) -> BoostedModel:
         named = spark.read.parquet(f"{path}/features").first()
-        tail = None if named["horizon"] is None else spark.read.parquet(f"{path}/tail")
+        tail, radius = (None if named["horizon"] is None else spark.read.parquet(f"{path}/{part}") for part in ("tail", "radius"))
         trees = GBTRegressionModel.load(f"{path}/trees")
-        return cls(trees, list(named["features"]), spark.read.parquet(f"{path}/statistics"), named["horizon"], tail)
+        return cls(trees, list(named["features"]), spark.read.parquet(f"{path}/statistics"), named["horizon"], tail, radius)
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -158,11 +165,12 @@ def fit(
     options: BoostedOptions = BoostedOptions(),
     keys: Sequence[str] = ("segment",),
     horizon: int | None = None,
+    width: float = 0.95,
 ) -> BoostedModel:
     """Fit on the training days, with early stopping on the validation days; with a
-    ``horizon``, fit a direct model of that many days ahead on all days."""
+    ``horizon``, fit a direct model of that many days ahead."""
     if horizon is not None:
-        return fit_direct(daily, horizon, options, keys)
+        return fit_direct(daily, horizon, options, keys, width=width)
     return _fit_rows(labelled_rows(daily, options, keys), options, keys)
 
 
@@ -257,24 +265,43 @@ def fit_direct(
     options: BoostedOptions = BoostedOptions(),
     keys: Sequence[str] = ("segment",),
     windows: Sequence[int] = WINDOWS,
+    width: float = 0.95,
 ) -> BoostedModel:
     """One model whose features are at least ``horizon`` days old, so that no forecast
-    feeds another, and the days that its forecasts look back to."""
+    feeds another, and the days that its forecasts look back to.
+
+    The trees see no day of the last ``options.calibration`` share of a series; there
+    each forecast is one from an origin ``horizon`` days before, and its errors give the
+    split-conformal interval of the segment. All steps share it, as their features are of
+    one age. Without such a share, or such days, bounds are infinite.
+    """
     if horizon < 1:
         raise ValueError("horizon must be at least one day")
     history = daily.select(*keys, "ds", F.col("y").cast("double").alias("y"))
     rows, reach = direct_rows(history, horizon, keys, windows)
+    if options.calibration > 0:
+        days_known = F.sum(F.when(F.col("split") == "train", 1)).over(W.partitionBy(*keys))
+        place = F.sum(F.when(F.col("split") == "train", 1)).over(days(keys))
+        held = (F.col("split") == "train") & (place > F.floor(days_known * F.lit(1.0 - options.calibration))) & (days_known > 1)
+        rows = rows.withColumn("split", F.when(held, "calibration").otherwise(F.col("split")))
+    rows = materialise(rows.filter("split <> 'future'"))
     model = _fit_rows(rows, BoostedOptions(**{**options.__dict__, "validation": 0.0}), keys)
+    measured = rows.filter(F.col("split") == "calibration")
+    errors = predict(model, measured, keys).join(measured.select(*keys, "ds", "y"), [*keys, "ds"])
+    radius = conformal_radius(errors.withColumn("error", F.abs(F.col("y") - F.col("yhat"))), keys, width)
     newest = F.row_number().over(days(keys).orderBy(F.col("ds").desc()))
     tail = history.withColumn("_age", newest).filter(F.col("_age") <= reach).drop("_age")
-    return BoostedModel(model.trees, model.features, model.statistics, horizon, materialise(tail))
+    return BoostedModel(model.trees, model.features, model.statistics, horizon, materialise(tail), materialise(radius))
 
 
 def project(model: BoostedModel, keys: Sequence[str] = ("segment",)) -> DataFrame:
-    """``keys, ds, yhat`` of the days after the history of a direct model."""
+    """``keys, ds, yhat, yhat_lower, yhat_upper`` of the days after the history of a
+    direct model."""
     windows = [int(name.rsplit("_", 1)[1]) for name in model.features if name.startswith("y_rolling_mean_")]
     rows, _ = direct_rows(model.tail, model.horizon, keys, windows)
-    return predict(model, rows.filter(F.col("split") == "future"), keys)
+    told = predict(model, rows.filter(F.col("split") == "future"), keys).join(model.radius, list(keys), "left")
+    reach = F.coalesce("radius", F.lit(float("inf")))
+    return told.select(*keys, "ds", "yhat", (F.col("yhat") - reach).alias("yhat_lower"), (F.col("yhat") + reach).alias("yhat_upper"))
 
 
 def direct_forecast(

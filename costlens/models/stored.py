@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.models import arima, baseline, boosted, seasonal
+from costlens.models import arima, baseline, boosted, intervals, seasonal
 from costlens.session import materialise
 
 MODELS = ("naive", "seasonal_naive", "linear_trend", "seasonal", "arima", "boosted")
@@ -26,6 +26,7 @@ class ModelOptions:
     """Options of all kinds of models; the defaults are the declared ones."""
 
     season: int = 7
+    width: float = 0.95  # of the intervals, but for the seasonal model's own
     seasonal: seasonal.SeasonalOptions = seasonal.SeasonalOptions()
     arima: arima.ArimaOptions = arima.ArimaOptions()
     boosted: boosted.BoostedOptions = boosted.BoostedOptions()
@@ -61,12 +62,13 @@ class FittedModel:
     def only(self, segments: DataFrame) -> FittedModel:
         """The same model for some of its segments (``segment``, distinct)."""
         keep = lambda df: df.join(segments, "segment", "left_semi")
-        direct = {h: boosted.BoostedModel(m.trees, m.features, m.statistics, m.horizon, keep(m.tail)) for h, m in self.direct.items()}
+        direct = {h: boosted.BoostedModel(m.trees, m.features, m.statistics, m.horizon, keep(m.tail), m.radius) for h, m in self.direct.items()}
         return FittedModel(self.kind, None if self.state is None else keep(self.state), direct, self.width)
 
     def forecast(self, horizons: Sequence[int]) -> DataFrame:
         """``segment, ds, yhat, yhat_lower, yhat_upper, horizon_days`` of the days after
-        the history; a kind without a forecast interval of its own has null bounds."""
+        the history. Seasonal and ARIMA models have intervals of their own, the others
+        split-conformal ones."""
         if self.direct:
             missing = set(horizons) - set(self.direct)
             if missing:
@@ -95,17 +97,21 @@ def _project_seasonal(state: DataFrame, periods: int, width: float) -> DataFrame
     return seasonal.predict(state.drop("last"), dates, interval_width=width)
 
 
+def _with_radii(kind: str, state: DataFrame, history: DataFrame, options: ModelOptions) -> DataFrame:
+    return state.join(intervals.radii(history, kind, options.width, options.season), list(SEGMENT), "left")
+
+
 _FIT: dict[str, Callable[[DataFrame, ModelOptions], DataFrame]] = {
-    "naive": lambda history, options: baseline.fit_naive(history),
-    "seasonal_naive": lambda history, options: baseline.fit_seasonal_naive(history, options.season),
-    "linear_trend": lambda history, options: baseline.fit_linear_trend(history),
+    "naive": lambda history, options: _with_radii("naive", baseline.fit_naive(history), history, options),
+    "seasonal_naive": lambda history, options: _with_radii("seasonal_naive", baseline.fit_seasonal_naive(history, options.season), history, options),
+    "linear_trend": lambda history, options: _with_radii("linear_trend", baseline.fit_linear_trend(history), history, options),
     "seasonal": _fit_seasonal,
     "arima": lambda history, options: arima.fit(history, options=options.arima),
 }
 _PROJECT: dict[str, Callable[[DataFrame, int, float], DataFrame]] = {
-    "naive": lambda state, periods, width: baseline.project_level(state, periods),
-    "seasonal_naive": lambda state, periods, width: baseline.project_seasonal_naive(state, periods),
-    "linear_trend": lambda state, periods, width: baseline.project_linear_trend(state, periods),
+    "naive": lambda state, periods, width: intervals.with_bounds(baseline.project_level(state, periods), state),
+    "seasonal_naive": lambda state, periods, width: intervals.with_bounds(baseline.project_seasonal_naive(state, periods), state),
+    "linear_trend": lambda state, periods, width: intervals.with_bounds(baseline.project_linear_trend(state, periods), state),
     "seasonal": _project_seasonal,
     "arima": lambda state, periods, width: arima.predict(state, periods, confidence=width),
 }
@@ -120,10 +126,10 @@ def fit(kind: str, history: DataFrame, horizons: Sequence[int], options: ModelOp
     """
     if kind not in MODELS:
         raise ValueError(f"unknown model: {kind}")
-    width = options.seasonal.interval_width if kind == "seasonal" else 0.95
+    width = options.seasonal.interval_width if kind == "seasonal" else options.width
     if kind != "boosted":
         return FittedModel(kind, materialise(_FIT[kind](history, options)), {}, width)
-    one = lambda horizon: boosted.fit(history, options.boosted, horizon=horizon)
+    one = lambda horizon: boosted.fit(history, options.boosted, horizon=horizon, width=width)
     distinct = sorted(set(horizons))
     if len(distinct) == 1:
         return FittedModel(kind, None, {distinct[0]: one(distinct[0])}, width)

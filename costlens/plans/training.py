@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.models import arima, baseline, boosted, seasonal, stored
+from costlens.models import arima, boosted, seasonal, stored
 from costlens.models.stored import MODELS, ModelOptions
 from costlens.operators.aggregate import segment_daily_costs
 from costlens.operators.evaluate import METRICS, best_model, compare_models
@@ -102,10 +102,13 @@ def train(
         result.boosted_model = boosted.fit(history, boosted_options, horizon=periods)
         return boosted.project(result.boosted_model)
 
+    def baseline_forecast(kind: str) -> DataFrame:
+        return stored.fit(kind, history, (periods,), options).forecast((periods,))
+
     makers = {
-        "naive": lambda: baseline.naive(history, periods),
-        "seasonal_naive": lambda: baseline.seasonal_naive(history, periods),
-        "linear_trend": lambda: baseline.linear_trend(history, periods),
+        "naive": lambda: baseline_forecast("naive"),
+        "seasonal_naive": lambda: baseline_forecast("seasonal_naive"),
+        "linear_trend": lambda: baseline_forecast("linear_trend"),
         "seasonal": seasonal_forecast,
         "arima": arima_forecast,
         "boosted": boosted_forecast,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from costlens.models import arima, baseline, boosted, seasonal
+from costlens.models import arima, baseline, boosted, intervals, seasonal, stored
 from costlens.operators.evaluate import align_on_date, best_model, metrics
 from costlens.operators.prepare import split_boosted
 from costlens.plans import forecast, train
@@ -194,3 +194,78 @@ def m16_best(spark, sf):
     """Training run, model choice and forecasts of all segments."""
     result = train(cost_records(spark, sf), AS_OF)
     return forecast(result.daily, result.best, AS_OF, options=result.options)
+
+
+def errors_sql(model: str, steps) -> str:
+    """Absolute errors of a baseline over rolling origins, one SELECT per step."""
+    parts = []
+    for s in steps:
+        k = -(-s // 7) * 7 if model == "seasonal_naive" else s
+        told = f"LAG(b, {k}) OVER w + LAG(a, {k}) OVER w * x" if model == "linear_trend" else f"LAG(y, {k}) OVER w"
+        parts.append(
+            f"SELECT segment, ds, '{model}' AS model, {s} AS step, CASE WHEN ds - LAG(ds, {k}) OVER w = {k} THEN ABS(y - ({told})) END AS error FROM lines WINDOW w AS ({DAYS})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+LINES = f"""{SERIES}, days0 AS (SELECT segment, ds, y, (ds - MIN(ds) OVER (PARTITION BY segment))::DOUBLE AS x FROM series),
+lines AS MATERIALIZED (SELECT *, regr_slope(y, x) OVER w AS a, regr_intercept(y, x) OVER w AS b FROM days0
+  WINDOW w AS ({DAYS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def radius_sql(source: str, width: float) -> str:
+    return f"""SELECT segment, model, step, error AS radius FROM (SELECT *, COUNT(*) OVER (PARTITION BY segment, model, step) AS n,
+    ROW_NUMBER() OVER (PARTITION BY segment, model, step ORDER BY error) AS place FROM {source})
+  WHERE place = LEAST(CEIL((n + 1) * {width}::DOUBLE), n)"""
+
+
+COVERED_STEPS = (1, 7, 28)
+BASELINES = ("naive", "seasonal_naive", "linear_trend")
+
+
+@query(
+    "g16_conformal_coverage",
+    f"""WITH {LINES}, e AS ({' UNION ALL '.join(errors_sql(m, COVERED_STEPS) for m in BASELINES)}),
+ends AS (SELECT segment, MIN(ds) + CAST(floor((MAX(ds) - MIN(ds)) * 0.8::DOUBLE) AS INT) AS cut FROM series GROUP BY 1),
+dated AS (SELECT e.*, ds <= cut AS past FROM e JOIN ends USING (segment) WHERE error IS NOT NULL),
+known AS (SELECT * FROM dated WHERE past), r AS ({radius_sql('known', 0.9)})
+SELECT model, step, COUNT(*) AS n, COUNT_IF(error <= radius)::BIGINT AS inside, {sig7_sql('AVG((error <= radius)::INT)')} AS coverage
+FROM dated d JOIN r USING (segment, model, step) WHERE NOT past GROUP BY 1, 2""",
+)
+def g16_conformal(spark, sf):
+    """How many of the last days lie inside 90 % intervals measured on the days before."""
+    daily = series_frame(spark, sf)
+    ends = daily.groupBy("segment").agg(F.date_add(F.min("ds"), F.floor(F.datediff(F.max("ds"), F.min("ds")) * F.lit(0.8)).cast("int")).alias("cut"))
+    out = None
+    for model in BASELINES:
+        errors = intervals.rolling_errors(daily, model, COVERED_STEPS).join(ends, "segment").withColumn("past", F.col("ds") <= F.col("cut"))
+        radius = intervals.conformal_radius(errors.filter("past"), ["segment", "step"], 0.9).drop("n")
+        inside = F.col("error") <= F.col("radius")
+        frame = errors.filter("NOT past").join(radius, ["segment", "step"]).groupBy("step").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("inside"), F.avg(inside.cast("double")).alias("coverage")
+        )
+        frame = frame.withColumn("model", F.lit(model))
+        out = frame if out is None else out.unionByName(frame)
+    return sig7(out, "coverage")
+
+
+@query(
+    "a5_forecast_bounds",
+    f"""WITH {LINES}, {STEPS}, e AS (SELECT * FROM ({errors_sql('naive', intervals.STEPS)} UNION ALL {errors_sql('seasonal_naive', intervals.STEPS)}) WHERE error IS NOT NULL),
+r AS MATERIALIZED ({radius_sql('e', 0.95)}), v AS (SELECT segment, arg_max(y, ds) AS level FROM series GROUP BY 1),
+told AS (SELECT segment, 'naive' AS model, ds, step, level AS yhat FROM fut JOIN v USING (segment)
+  UNION ALL SELECT f.segment, 'seasonal_naive', f.ds, step, y FROM fut f LEFT JOIN series s ON f.segment = s.segment AND s.ds = f.ds - CAST(ceil(step / 7.0) * 7 AS INT)),
+far AS (SELECT segment, model, MAX(step) AS top, arg_max(radius, step) AS top_radius FROM r GROUP BY 1, 2),
+near AS (SELECT t.segment, t.model, t.step, arg_min(radius, r.step) AS radius FROM told t JOIN r ON r.segment = t.segment AND r.model = t.model AND r.step >= t.step GROUP BY 1, 2, 3),
+b AS (SELECT t.*, COALESCE(n.radius, top_radius * sqrt(t.step / top), 'inf'::DOUBLE) AS reach FROM told t
+  LEFT JOIN near n ON n.segment = t.segment AND n.model = t.model AND n.step = t.step LEFT JOIN far f ON f.segment = t.segment AND f.model = t.model)
+SELECT segment, model, ds, {sig7_sql('yhat')} AS yhat, {sig7_sql('yhat - reach')} AS yhat_lower, {sig7_sql('yhat + reach')} AS yhat_upper FROM b""",
+)
+def a5_bounds(spark, sf):
+    """Forecasts of two baselines with their split-conformal intervals."""
+    daily = series_frame(spark, sf)
+    out = None
+    for kind in ("naive", "seasonal_naive"):
+        frame = stored.fit(kind, daily, (90,)).forecast((90,)).drop("horizon_days").withColumn("model", F.lit(kind))
+        out = frame if out is None else out.unionByName(frame)
+    return sig7(out, "yhat", "yhat_lower", "yhat_upper")
