@@ -27,9 +27,10 @@ class Bits:
         return ((self.bytes[place >> U64(3)] >> (place & U64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def gather(keys: DataFrame, most: int = MOST_BITS) -> tuple[Bits, int]:
-    """The bits of ``key`` and the number of rows; at most ``2**most`` bits reach the driver."""
-    n = keys.count()
+def gather(keys: DataFrame, most: int = MOST_BITS, n: int | None = None) -> tuple[Bits, int]:
+    """The bits of ``key`` and the number of rows (counted unless given); at most
+    ``2**most`` bits reach the driver."""
+    n = keys.count() if n is None else n
     bits = min(most, max(16, (16 * n).bit_length()))
     place = F.shiftrightunsigned("key", 64 - bits)
     words = keys.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("word"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from costlens.llm.bitsets import gather
 from costlens.llm.textops import FAMILIES, U64, batches, codes, distinct_spans, mix, span_hashes, word_bounds
-from costlens.session import materialise, scratch_path
+from costlens.session import scratch_path
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 CHUNK = re.compile(r"[^\x09-\x0D\x20]+")
@@ -98,11 +98,11 @@ def read_chunks(texts: list[str]) -> Iterator[Chunks]:
 def count_documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents that hold each chunk, by language."""
     for frame in frames:
-        lang, names = codes(frame["lang"])
+        lids, lang = np.unique(frame["lid"].to_numpy(np.int64), return_inverse=True)
         for held in read_chunks(frame["text"].tolist()):
             if len(held.doc):
                 of, number, where = held.grouped(lang)
-                yield pd.DataFrame({"chunk": strings(held.forms(number)), "lang": strings([names[i] for i in of.tolist()]), "docs": np.bincount(where)})
+                yield pd.DataFrame({"chunk": strings(held.forms(number)), "lid": lids[of], "docs": np.bincount(where)})
 
 
 def strings(values: list[str]) -> pd.Series:
@@ -114,47 +114,48 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 
     The terms are found here, once for each chunk.
     """
-    counts = docs.select("lang", "text").mapInPandas(count_documents, "chunk string, lang string, docs long")
-    counts = counts.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-    rows = counts.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("langs"))
+    counts = docs.select("lid", "text").mapInPandas(count_documents, "chunk string, lid long, docs long")
+    counts = counts.groupBy("chunk", "lid").agg(F.sum("docs").alias("docs"))
+    rows = counts.groupBy("chunk").agg(F.collect_list(F.struct("lid", "docs")).alias("langs"))
     return rows.withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))).filter(F.size("terms") > 0)
 
 
-def salted(hashes: tuple[np.ndarray, np.ndarray], lang: np.ndarray) -> list[np.ndarray]:
-    """128 bits for each chunk in its language, given by a hash."""
+def salted(hashes: tuple[np.ndarray, np.ndarray], lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits for each chunk in its language, given by a hash."""
     salt = mix(lang.view(U64))
-    return [mix(h ^ s).view(np.int64) for h, s in zip(hashes, (salt, mix(salt)))]
+    return mix(hashes[0] ^ salt).view(np.int64), (mix(hashes[1] ^ mix(salt)) >> U64(32)).astype(np.uint32).view(np.int32)
 
 
 def with_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         key, check = salted(chunk_hashes(frame["chunk"].tolist()), frame["lid"].to_numpy(np.int64))
-        yield frame.drop(columns=["chunk", "lid"]).assign(key=key, check=check)
+        yield frame.drop(columns=["chunk"]).assign(key=key, check=check)
 
 
 def term_counts(docs: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
-    """``gid, lang, term, count`` of terms in at least ``least`` documents of the language.
+    """``gid, lid, term, count`` of terms in at least ``least`` documents of the language.
 
-    ``docs`` has ``lang, text``, hashes ``lid`` of the language and ``gid`` of the group,
-    and ``doc, copy``, two hashes of the row.
+    ``docs`` has ``text``, hashes ``lid`` of the language and ``gid`` of the group, and
+    ``doc, copy``, two hashes of the row.
 
     A term's documents number at least those of its commonest chunk and at most those of
     all its chunks together (a chunk that holds it twice counts twice there). A second
     scan counts, by group, the chunks of terms that may be kept, and notes which
     documents hold the chunks of terms that the bounds leave open, each of them in few
-    documents. It writes 128-bit hashes in place of chunks, and bits of these keep most
+    documents. It writes 96-bit hashes in place of chunks, and bits of these keep most
     other chunks from being written at all.
     """
     spark = docs.sparkSession
     table = stored(chunk_table(docs), "chunks")
     found = table.select("chunk", F.explode("terms").alias("term"), "langs").select("chunk", "term", F.inline("langs"))
-    bounds = stored(found.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= least), "bounds")
+    bounds = stored(found.groupBy("lid", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= least), "bounds")
     side = F.broadcast(bounds) if bounds.count() <= broadcast_rows else bounds
     # A row for each time a chunk holds a term.
-    may = found.join(side, ["lang", "term"]).select("lang", F.xxhash64("lang").alias("lid"), "chunk", "term", (F.col("low") < least).alias("open"))
-    may = stored(may.mapInPandas(with_keys, "lang string, term string, open boolean, key long, check long"), "candidates")
-    every, _ = gather(may.select("key").distinct())
-    some, _ = gather(may.filter("open").select("key").distinct())
+    may = found.join(side, ["lid", "term"]).select("lid", "chunk", "term", (F.col("low") < least).alias("open"))
+    may = stored(may.mapInPandas(with_keys, "lid long, term string, open boolean, key long, check int"), "candidates")
+    several = may.agg(F.count(F.lit(1)).alias("every"), F.count_if("open").alias("open")).first()
+    every, _ = gather(may.select("key"), n=several["every"])
+    some, _ = gather(may.filter("open").select("key"), n=several["open"])
     sets = spark.sparkContext.broadcast((every, some))
 
     def look_up(frames):
@@ -176,18 +177,18 @@ def term_counts(docs: DataFrame, least: int, broadcast_rows: int) -> DataFrame:
                 yield pd.DataFrame({"gid": NO_DOC, "key": key[at], "check": check[at], "doc": doc[own], "copy": copy[own], "n": np.int64(1)})
 
     names = ["gid", "key", "check", "doc", "copy"]
-    seen = docs.select("gid", "lid", "doc", "copy", "text").mapInPandas(look_up, ", ".join(f"{c} long" for c in [*names, "n"]))
+    seen = docs.select("gid", "lid", "doc", "copy", "text").mapInPandas(look_up, "gid long, key long, check int, doc long, copy long, n long")
     seen = stored(seen.groupBy(*names).agg(F.sum("n").alias("n")), "seen")
     by_group, by_doc = seen.filter(F.col("copy") == NO_DOC), seen.filter(F.col("copy") != NO_DOC)
     # Equal rows share both hashes; each of them brings its own copy of every chunk.
-    open_chunks = may.filter("open").select("lang", "term", "key", "check").distinct()
-    of_doc = by_doc.join(open_chunks, ["key", "check"]).groupBy("lang", "doc", "copy", "term").agg(F.max("n").alias("docs"))
-    exact = of_doc.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
-    kept = stored(bounds.filter(F.col("low") >= least).select("lang", "term").unionByName(exact.select("lang", "term")), "kept")
+    open_chunks = may.filter("open").select("lid", "term", "key", "check").distinct()
+    of_doc = by_doc.join(open_chunks, ["key", "check"]).groupBy("lid", "doc", "copy", "term").agg(F.max("n").alias("docs"))
+    exact = of_doc.groupBy("lid", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
+    kept = stored(bounds.filter(F.col("low") >= least).select("lid", "term").unionByName(exact.select("lid", "term")), "kept")
     side = F.broadcast(kept) if kept.count() <= broadcast_rows else kept
-    of_chunk = may.drop("open").join(side, ["lang", "term"], "left_semi")
+    of_chunk = may.drop("open").join(side, ["lid", "term"], "left_semi")
     counts = by_group.select("gid", "key", "check", "n").join(of_chunk, ["key", "check"])
-    return counts.groupBy("gid", "lang", "term").agg(F.sum("n").alias("count"))
+    return counts.groupBy("gid", "lid", "term").agg(F.sum("n").alias("count"))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -231,7 +232,7 @@ def shared_terms(frame: pd.DataFrame) -> pd.DataFrame:
     """
     group = frame["group"].to_numpy(np.int64)
     groups, place = np.unique(group, return_inverse=True)
-    term, _ = codes(zip(frame["lang"], frame["term"]))
+    term, _ = codes(zip(frame["lid"].tolist(), frame["term"]))
     order = np.lexsort((place, term))
     term, place = term[order], place[order]
     p, none = frame["p"].to_numpy(np.int64)[order], frame["p0"].to_numpy(np.int64)[order]
@@ -276,26 +277,28 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP,
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
     named = docs.select(lang, source, text, F.xxhash64(F.col("doc_id"), text).alias("doc"), F.xxhash64(F.lit(1), F.col("doc_id"), text).bitwiseOR(F.lit(1)).alias("copy"))
     named = named.withColumns({"lid": F.xxhash64("lang"), "gid": F.xxhash64("lang", "source")})
-    names = stored(named.select("lang", "source", "gid").distinct(), "groups")
-    if not names.groupBy("gid").count().filter("count > 1").isEmpty():
-        raise ValueError("two groups share a hash")
-    terms = stored(term_counts(named, least, broadcast_rows).join(names, ["gid", "lang"]).drop("gid"), "counts")
-
-    per_lang = terms.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
-    sizes = per_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))
-    own = terms.groupBy("lang", "source").agg(F.sum("count").alias("n"))
+    names = stored(named.select("lang", "source", "gid", "lid").distinct(), "groups")
+    for held, number in (("lang", "lid"), (F.struct("lang", "source"), "gid")):
+        if not names.groupBy(number).agg(F.count_distinct(held).alias("n")).filter("n > 1").isEmpty():
+            raise ValueError("two groups share a hash")
+    terms = stored(term_counts(named, least, broadcast_rows), "counts")
+
+    per_lang = stored(terms.groupBy("lid", "term").agg(F.sum("count").alias("lang_count")), "languages")
+    sizes = per_lang.groupBy("lid").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))
+    own = terms.groupBy("gid").agg(F.sum("count").alias("n"))
     zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n", "v", "lang_n")}
-    groups = names.select("lang", "source").join(own, ["lang", "source"], "left").join(sizes, "lang", "left").withColumns(zero)
-    # A number for each group, so that blocks of terms need not carry names.
-    groups = groups.withColumns({"total": F.col("n") + 2 * F.col("v"), "group": F.monotonically_increasing_id()})
-    groups = materialise(groups.withColumn("p0", F.when(F.col("v") > 0, rate(F.lit(0), F.col("total"))).otherwise(F.lit(1))))
+    groups = names.join(own, "gid", "left").join(sizes, "lid", "left").withColumns(zero).withColumnRenamed("gid", "group")
+    groups = groups.withColumn("total", F.col("n") + 2 * F.col("v"))
+    # Stored, so that Spark knows its size and broadcasts it while it is small.
+    groups = stored(groups.withColumn("p0", F.when(F.col("v") > 0, rate(F.lit(0), F.col("total"))).otherwise(F.lit(1).cast("long"))), "rates")
+    numbers = groups.select("group", "lang", "source", "v", "lang_n", "total", "p0")
 
-    rated = terms.join(groups, ["lang", "source"]).withColumn("p", rate(F.col("count"), F.col("total")))
+    rated = terms.withColumnRenamed("gid", "group").join(numbers, "group").withColumn("p", rate(F.col("count"), F.col("total")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     shape = ["lang", "source", "part", "item", "value"]
 
     q = rate(F.col("lang_count"), F.col("lang_n") + 2 * F.col("v"))
-    marked = rated.join(per_lang, ["lang", "term"]).withColumn("q", q).filter(F.col("p") > F.col("q"))
+    marked = rated.join(per_lang, ["lid", "term"]).withColumn("q", q).filter(F.col("p") > F.col("q"))
     telling = marked.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value"))
     telling = telling.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
@@ -312,8 +315,8 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP,
     )
     lacking = lacking.unionByName(lacking.select(F.col("other").alias("group"), F.col("group").alias("other"), "value"))
     blocks = max(1, math.ceil(terms.count() / BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("lang", "term"), F.lit(blocks)).alias("block")
-    shared = rated.select("lang", "term", "group", "p", "p0", block).groupBy("block").applyInPandas(shared_terms, "group long, other long, value long")
+    block = F.pmod(F.xxhash64("lid", "term"), F.lit(blocks)).alias("block")
+    shared = rated.select("lid", "term", "group", "p", "p0", block).groupBy("block").applyInPandas(shared_terms, "group long, other long, value long")
     summed = base.unionByName(lacking).unionByName(shared).groupBy("group", "other").agg(F.sum("value").alias("value"))
     names = groups.select("group", "lang", "source")
     others = groups.select(F.col("group").alias("other"), F.col("source").alias("item"))
