@@ -32,7 +32,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SAMPLE = 8  # one document of so many proposes phrases
-CAUTION = 0.25  # share of its expected count at which a sampled phrase is proposed
+CAUTION = 0.5  # share of its expected count at which a sampled phrase is proposed
 SLICE = 1 << 20  # bytes of text worked on at once
 UNKNOWN = "und"
 TEXT, KEY, TOTAL = range(3)
@@ -147,7 +147,8 @@ def count(words: Words, old: Bits | None, new: Bits) -> Iterator[pd.DataFrame]:
     The first pass (``old`` is none) counts by key every word and every phrase whose two
     parts one word shorter are in ``new``, the proposal. A later one counts the texts of
     the phrases in ``new``, found frequent by the pass before, and by key the phrases of
-    which at least one part was not in ``old``.
+    which at least one part was not in ``old``; these count as proposed at once, so that
+    a broken border is followed to its longest phrases in one pass.
     """
 
     def rows(kind, keys, items, n):
@@ -167,6 +168,8 @@ def count(words: Words, old: Bits | None, new: Bits) -> Iterator[pd.DataFrame]:
         else:
             both = before[0][at] & before[0][at + 1]
             opened = both & ~(before[1][at] & before[1][at + 1])
+            if old is not None:
+                opened &= ~fresh[at]
         if old is None and width == 1:
             total = np.bincount(words.lang[at], minlength=len(words.names))
             yield rows(TOTAL, np.zeros(len(total), dtype=np.int64), [f"{x}\t" for x in words.names], total)
@@ -175,7 +178,10 @@ def count(words: Words, old: Bits | None, new: Bits) -> Iterator[pd.DataFrame]:
             yield rows(TEXT, *words.phrases(text, keys[text], width))
         found, n = np.unique(keys[at[opened]], return_counts=True)
         yield rows(KEY, found, None, n)
-        before = (fresh | known, known)
+        reached = fresh | known
+        if old is not None:
+            reached[at[opened]] = True
+        before = (reached, known)
 
 
 def _given(docs: DataFrame) -> DataFrame:
@@ -187,9 +193,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
     """``lang, phrase, n`` of all phrases of up to five words that occur ``least`` times.
 
     The row of the empty phrase holds the number of words of each language. Each pass
-    writes its frequent rows to the shared folder. There are two passes, and one more for
-    each time that a broken border opens a frequent phrase; since such a phrase is a word
-    longer than one of the pass before, there are seven at most.
+    writes its frequent rows to the shared folder. There are two passes, and a third one
+    if a broken border has opened frequent phrases.
     """
     spark = docs.sparkSession
     given = _given(docs)

@@ -71,7 +71,7 @@ def test_odd_rows(odd_docs, no_docs, odd_rows):
 
 
 def test_passes_end_with_a_closed_border(spark):
-    """A phrase of five words that no sampled document holds takes a pass for each word."""
+    """A phrase of five words that no sampled document holds."""
     from costlens.llm.collocations import frequent_phrases
 
     docs = spark.createDataFrame([(1, "a b c d e. " * 5, "en")], "doc_id long, text string, lang string")
