@@ -62,11 +62,13 @@ def conformal_radius(errors: DataFrame, by: Sequence[str], width: float, sketch:
     New errors of the same kind stay below it with a probability of at least ``width``.
     Errors are merged on the map side into one sketch per group.
     """
-    held = errors.groupBy(*by).agg(F.count("error").alias("n"), F.kll_sketch_agg_double("error", F.lit(sketch)).alias("_sketch"))
-    rank = F.least(F.ceil((F.col("n") + 1) * F.lit(float(width))), F.col("n"))
-    # Half a rank lower lies between two errors of the sketch.
-    at = (rank - F.lit(0.5)) / F.col("n")
-    return held.filter("n > 0").select(*by, "n", F.kll_sketch_get_quantile_double("_sketch", at).alias("radius"))
+    held = errors.groupBy(*by).agg(
+        F.count("error").alias("n"), F.max("error").alias("_largest"), F.kll_sketch_agg_double("error", F.lit(sketch)).alias("_sketch")
+    )
+    # With an infinite error more, the wanted one stands at the rank ``width`` of n + 1.
+    infinite = errors.sparkSession.range(1).agg(F.kll_sketch_agg_double(F.lit(float("inf")), F.lit(sketch)).alias("s")).scalar()
+    at = F.kll_sketch_get_quantile_double(F.kll_sketch_merge_double("_sketch", infinite), F.lit(float(width)))
+    return held.filter("n > 0").select(*by, "n", F.least(at, "_largest").alias("radius"))
 
 
 def radii(history: DataFrame, model: str, width: float, season: int = 7, keys: Sequence[str] = ("segment",)) -> DataFrame:

@@ -12,6 +12,7 @@ from costlens.functions.calendar import hours_between
 from costlens.functions.checks import within
 from costlens.functions.nulls import is_missing, present
 from costlens.operators.aggregate import DATE, TARGET, count_if
+from costlens.operators.duplicates import count_distinct_rows
 
 KEY_COLUMNS = (DATE, TARGET, "meter_category", "resource_location", "billing_currency_code")
 MISSING_WARNING_PCT = 5.0
@@ -111,17 +112,12 @@ def accuracy(
 
 
 def consistency(df: DataFrame) -> DataFrame:
-    """One row: total, distinct and duplicate records.
+    """One row: total, distinct and duplicate records, over all columns.
 
-    Equal rows are combined on the map side before the shuffle, so a large
-    group of copies travels as one row per task.
+    Rows are told apart by a hash first, so a row moves only if its hash repeats.
     """
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     return (
-        copies.agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("total_records"),
-            F.count(F.lit(1)).alias("distinct_records"),
-        )
+        count_distinct_rows(df)
         .withColumn("duplicate_count", F.col("total_records") - F.col("distinct_records"))
         .withColumn("duplicate_pct", _pct(F.col("duplicate_count"), F.col("total_records")))
     )
@@ -155,8 +151,8 @@ def quality_report(
 ) -> DataFrame:
     """All four checks and the weighted score as one row.
 
-    Completeness, accuracy and timeliness share a single scan; only the
-    duplicate count needs every column and a shuffle of its own.
+    Completeness, accuracy and timeliness share a single scan; the duplicate count
+    reads every column and moves a hash per row.
     """
     used = present(columns, df)
     known = currency_col if currency_col in df.columns else None

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from costlens.functions.calendar import hours_between, months_by_days
 from costlens.operators import features as f
+from costlens.operators.duplicates import distinct_rows
 from costlens.operators.prepare import complete_series, difference
 from costlens.sources import cost_records
 from costlens.workload.base import COST, DAYS, SERIES, TOTAL, daily_by, daily_total, query, rounded, sig7, sig7_sql, table
@@ -218,7 +219,7 @@ SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1))
 )
 def s1(spark, sf):
     lines = table(spark, sf, "lineitem")
-    whole = lines.unionByName(lines.filter("l_linenumber = 1")).distinct()
+    whole = distinct_rows(lines.unionByName(lines.filter("l_linenumber = 1")))
     return whole.withColumn("l_shipdate", F.to_date("l_shipdate"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from costlens.operators import aggregate as agg
+from costlens.operators.duplicates import count_distinct_rows
 from costlens.operators.drift import describe_baseline
 from costlens.operators.order_stats import exact_quantiles
 from costlens.operators.prepare import difference
@@ -159,7 +160,7 @@ SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1))
 def g11(spark, sf):
     lines = table(spark, sf, "lineitem")
     rows = lines.unionByName(lines.filter("l_linenumber = 1"))
-    return rows.distinct().agg(F.count(F.lit(1)).alias("distinct_records"))
+    return count_distinct_rows(rows).select("distinct_records")
 
 
 @query(

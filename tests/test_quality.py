@@ -142,3 +142,38 @@ def test_optional_measures(spark):
 def test_bounds(spark, call):
     with pytest.raises(ValueError):
         call(frame(spark, []))
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_copies_of_whole_rows(spark, monkeypatch, limit):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from costlens.operators import duplicates
+
+    day, nan = dt.date(2024, 1, 1), float("nan")
+    rows = [(1, "a", 1.5, day, [1, 2], {"x": 1, "y": 2}), (1, "a", 1.5, day, [1, 2], {"y": 2, "x": 1}), (2, None, None, None, None, None), (2, None, None, None, None, None), (3, "", 0.0, day, [], {}), (3, "", -0.0, day, [], {}), (4, "a", nan, day, [None], None), (4, "a", nan, day, [None], None), (5, "b", 1.0, day, None, None)]
+    frame = spark.createDataFrame(rows, "i int, s string, d double, t date, a array<int>, m map<string,int>").repartition(3)
+    plain = frame.drop("m").withColumn("odd`name", F.lit(1))
+    for df in (plain, frame.withColumn("m", F.array_sort(F.map_entries("m")))):
+        row = duplicates.count_distinct_rows(df, limit).first()
+        assert (row["total_records"], row["distinct_records"]) == (9, 5)
+        assert sorted(r["i"] for r in duplicates.distinct_rows(df, limit).collect()) == [1, 2, 3, 4, 5]
+    assert frame.select(duplicates.row_hash(frame)).distinct().count() == 5
+    assert tuple(duplicates.count_distinct_rows(plain.limit(0), limit).first()) == (0, 0)
+    assert duplicates.distinct_rows(plain.limit(0), limit).count() == 0
+    # Rows that share a hash are compared column by column.
+    monkeypatch.setattr(duplicates, "row_hash", lambda df: F.lit(7).cast("long"))
+    assert duplicates.count_distinct_rows(plain, limit).first()["distinct_records"] == 5
+    assert duplicates.distinct_rows(plain, limit).count() == 5
+
+
+def test_rows_without_copies_move_as_hashes(spark):
+    """The exchange of a table without copies has a hash and a count, no columns."""
+    from costlens.operators import duplicates
+
+    frame = spark.range(1000).selectExpr("id", "repeat('wide', 200) AS text", "id % 7 AS k")
+    hashes = frame.select(duplicates.row_hash(frame).alias(duplicates.KEY)).groupBy(duplicates.KEY).count()
+    assert {f.name for f in hashes.schema} == {duplicates.KEY, "count"}
+    assert duplicates.count_distinct_rows(frame).first()["distinct_records"] == 1000
