@@ -135,5 +135,6 @@ def fit(kind: str, history: DataFrame, horizons: Sequence[int], options: ModelOp
         return FittedModel(kind, None, {distinct[0]: one(distinct[0])}, width)
     with ThreadPoolExecutor(max_workers=min(4, len(distinct))) as pool:
         # Each thread takes its own copy of the session's local properties.
-        running = [pool.submit(inheritable_thread_target(lambda h=h: one(h))) for h in distinct]
+        own = inheritable_thread_target(history.sparkSession)
+        running = [pool.submit(own(lambda h=h: one(h))) for h in distinct]
         return FittedModel(kind, None, dict(zip(distinct, (r.result() for r in running))), width)
