@@ -209,7 +209,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
 
     keys = materialise(drawn.mapInPandas(proposing, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= asked).select("key"))
     new, _ = gather(keys, most_bits)
-    old, passes = None, []
+    old, passes, counted = None, [], []
     while True:
         held = spark.sparkContext.broadcast((old, new))
 
@@ -223,7 +223,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
         rows.filter((F.col("n") >= least) | (F.col("kind") == TOTAL)).write.parquet(path)
         found = spark.read.schema(COUNTED).parquet(path)
         passes.append(found.filter(F.col("kind") != KEY).select("item", "n"))
-        frequent = found.filter(F.col("kind") == KEY).select("key").distinct()
+        frequent = found.filter(F.col("kind") == KEY).select("key", "n")
+        for texts in counted:
+            # A phrase of that key and count has its text already: its bit was set by chance.
+            frequent = frequent.join(texts, ["key", "n"], "left_anti")
+        counted.append(found.filter(F.col("kind") == TEXT).select("key", "n").distinct())
+        frequent = frequent.select("key").distinct()
         opened, n = gather(frequent, most_bits)
         if n == 0:
             break
