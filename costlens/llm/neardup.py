@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.components import connected_components
@@ -39,6 +39,7 @@ DISTANCE = 50
 STAR_ROUNDS = 2
 LARGE_KEY, BLOCK = 256, 256
 TASK_ROWS, TASK_SETS = 100_000, 4_000  # of one task, where a table has become small
+SLICE = 256  # texts whose sets a worker holds at once
 
 
 def shingle_sets(texts, width: int) -> Iterator[np.ndarray]:
@@ -74,9 +75,15 @@ def signatures(sets: list[np.ndarray], symbols: int) -> np.ndarray:
     return out
 
 
+def _slices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for at in range(0, len(frame), SLICE):
+            yield frame.iloc[at : at + SLICE]
+
+
 def _sketcher(width: int):
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _slices(frames):
             sets = list(shingle_sets(frame["text"], width))
             full = [i for i, s in enumerate(sets) if len(s)]
             digest, signature = [None] * len(sets), [None] * len(sets)
@@ -84,15 +91,16 @@ def _sketcher(width: int):
                 for i, row in zip(full, signatures([sets[i] for i in full], SYMBOLS).view(np.int64)):
                     digest[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     signature[i] = row
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets], "digest": digest, "signature": signature})
+            doc_id = frame["doc_id"].astype("Int64").reset_index(drop=True)
+            yield pd.DataFrame({"doc_id": doc_id, "n_shingles": [len(s) for s in sets], "digest": digest, "signature": signature})
 
     return sketch
 
 
 def _set_maker(width: int):
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"id": frame["doc_id"], "shingles": [s.tobytes() for s in shingle_sets(frame["text"], width)]})
+        for frame in _slices(frames):
+            yield pd.DataFrame({"id": frame["doc_id"].to_numpy(), "shingles": [s.tobytes() for s in shingle_sets(frame["text"], width)]})
 
     return make
 
@@ -138,6 +146,18 @@ def _keys(signature) -> F.Column:
     return F.explode(F.flatten(each))
 
 
+def shared_keys(classes: DataFrame) -> DataFrame:
+    """``key, id, n`` of every key that classes of several ids have.
+
+    Keys are made and shuffled once. Nearly all of them are unique, so adding them up in
+    tasks before the shuffle would only fill memory.
+    """
+    keyed = classes.select(_keys(F.col("signature")).alias("key"), "id", "n")
+    same = Window.partitionBy("key")
+    met = keyed.select("*", F.min("id").over(same).alias("lo"), F.max("id").over(same).alias("hi")).filter("lo < hi")
+    return met.select("key", "id", "n").distinct()
+
+
 def _distance(x, y) -> F.Column:
     """Number of symbols in which two signatures differ."""
     low, high, top = F.lit(0x7F7F7F7F7F7F7F), F.lit(0x80808080808080), F.lit(-(1 << 56))
@@ -166,9 +186,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .groupBy("digest")
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
     )
-    keyed = classes.select("id", "n", _keys(F.col("signature")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
-    members = materialise(keyed.join(shared, "key").distinct())
+    members = materialise(shared_keys(classes))
     # A small table runs in few tasks from here on; a large one in as many as before.
     tasks = max(1, math.ceil(members.count() / TASK_ROWS))
     members = members.coalesce(tasks)

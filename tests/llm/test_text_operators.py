@@ -152,6 +152,35 @@ def test_near_duplicates(docs, empty, monkeypatch, large):
         assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_sketches_hold_few_texts_at_once():
+    import pandas as pd
+
+    from costlens.llm import neardup
+
+    texts = [None, "", *[" ".join(BASE[i % 24 :]) + f" {i}" for i in range(2 * neardup.SLICE)]]
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    out = list(neardup._sketcher(4)(iter([frame])))
+    assert max(map(len, out)) <= neardup.SLICE
+    assert pd.concat(out)["doc_id"].tolist() == list(range(len(texts)))
+    assert [n for o in out for n in o["n_shingles"]] == [len(s) for s in neardup.shingle_sets(texts, 4)]
+
+
+def test_keys_are_shuffled_once_and_never_added_up(spark):
+    from costlens.llm import neardup
+
+    rows = [(i, 5, [i // 2 if k < 3 else 1000 * i + k for k in range(neardup.LONGS)]) for i in range(20)] + [(7, 5, list(range(50, 50 + neardup.LONGS)))]
+    classes = spark.createDataFrame(rows, "id long, n int, signature array<long>")
+    got = neardup.shared_keys(classes)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Generate") == 1
+    keyed = classes.select("id", "n", neardup._keys(classes["signature"]).alias("key")).collect()
+    ids = collections.defaultdict(set)
+    for r in keyed:
+        ids[r["key"]].add(r["id"])
+    wanted = {(r["key"], r["id"], r["n"]) for r in keyed if len(ids[r["key"]]) > 1}
+    assert wanted and sorted(map(tuple, got.collect())) == sorted(wanted)
+
+
 def test_components_of_chains(spark):
     from costlens.llm.components import connected_components
 
