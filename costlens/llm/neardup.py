@@ -12,7 +12,8 @@ aside; all others are confirmed on the full shingle sets.
 Pairs of a key are never written out whole. In star rounds each document is compared
 with one document of its keys that lies in another component; after that nearly all
 linked documents share a component and need no comparison. Of pairs that still cross
-components, those of small keys are joined. Documents of large keys are cut into blocks
+components, those of small keys (256 documents at most) are compared inside the tasks that
+hold the keys. Documents of large keys are cut into blocks
 of the largest key they have, each pair of blocks that meet in a key travels once with
 its sets, and only links come out.
 """
@@ -39,6 +40,7 @@ DISTANCE = 50
 STAR_ROUNDS = 2
 LARGE_KEY, BLOCK = 256, 256
 TASK_ROWS, TASK_SETS = 100_000, 4_000  # of one task, where a table has become small
+TASK_BUCKETS = 20  # of keys; the documents of a bucket are compared together
 SLICE = 256  # texts whose sets a worker holds at once
 
 
@@ -136,6 +138,34 @@ def _block_linker(percent: int):
     return link
 
 
+def _near_pairs(percent: int):
+    """Pairs of ids across components that share a key, with near signatures.
+
+    Rows of a bucket are sorted by key and compared ``d`` places apart for all keys at
+    once, so memory follows the rows and the pairs that are near.
+    """
+
+    def find(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("key", ignore_index=True)
+        key, ids, n, component = (frame[c].to_numpy(np.int64) for c in ("key", "id", "n", "component"))
+        marks = np.stack(frame["signature"].to_list()).astype(np.int64).view(np.uint8)
+        end = np.searchsorted(key, key, side="right")
+        left, d, found = np.arange(len(key)), 0, [np.empty((0, 2), np.int64)]
+        while True:
+            d += 1
+            left = left[left + d < end[left]]
+            if not len(left):
+                break
+            right = left + d
+            open_ = (component[left] != component[right]) & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right]))
+            x, y = left[open_], right[open_]
+            near = (marks[x] != marks[y]).sum(axis=1) <= DISTANCE
+            found.append(np.sort(np.column_stack([ids[x[near]], ids[y[near]]]), axis=1))
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    return find
+
+
 def _keys(signature) -> F.Column:
     """Keys of a signature: each chunk with each choice of ``ERRORS`` symbols left out."""
     masks = [sum(0xFF << 8 * i for i in held) for held in itertools.combinations(range(CHUNK), CHUNK - ERRORS)]
@@ -158,17 +188,6 @@ def shared_keys(classes: DataFrame) -> DataFrame:
     return met.select("key", "id", "n").distinct()
 
 
-def _distance(x, y) -> F.Column:
-    """Number of symbols in which two signatures differ."""
-    low, high, top = F.lit(0x7F7F7F7F7F7F7F), F.lit(0x80808080808080), F.lit(-(1 << 56))
-    total = F.lit(0)
-    for i in range(LONGS):
-        z = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
-        # The top bit of each of seven bytes is set if any bit of it is.
-        total = total + F.bit_count((z.bitwiseAND(low) + low).bitwiseOR(z).bitwiseAND(high)) + (z.bitwiseAND(top) != 0).cast("int")
-    return total
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Group documents linked by word-shingle similarity of ``percent`` or more.
 
@@ -245,17 +264,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     open_ = materialise(placed.join(crossing, "key").coalesce(tasks))
     marks = classes.select("id", "signature")
-    small = open_.filter(F.col("size") <= LARGE_KEY).join(marks, "id")
-    x = small.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("signature").alias("sa"))
-    y = small.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("signature").alias("sb"))
-    near = (
-        x.join(y, "key")
-        .filter(f"a < b AND ca <> cb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        .filter(_distance(F.col("sa"), F.col("sb")) <= DISTANCE)
-        .select("a", "b")
-        .distinct()
-        .coalesce(tasks)
-    )
+    bucket = F.pmod(F.xxhash64("key"), F.lit(tasks * TASK_BUCKETS)).alias("bucket")
+    small = open_.filter(F.col("size") <= LARGE_KEY).join(marks, "id").select(bucket, "key", "id", "n", "component", "signature")
+    near = small.groupBy("bucket").applyInPandas(_near_pairs(percent), "a long, b long").distinct().coalesce(tasks)
     links = links.unionByName(materialise(confirmed(near))).unionByName(materialise(_large_links(open_, sets, marks, percent, tasks, set_tasks)))
     parts = joined(links)
     ids = classes.select("digest", "id").join(parts, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))

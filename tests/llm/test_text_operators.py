@@ -181,6 +181,34 @@ def test_keys_are_shuffled_once_and_never_added_up(spark):
     assert wanted and sorted(map(tuple, got.collect())) == sorted(wanted)
 
 
+def test_near_pairs_of_keys():
+    import itertools
+
+    import pandas as pd
+
+    from costlens.llm import neardup
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, neardup.SYMBOLS, dtype=np.uint8)
+    marks = {}
+    for i in range(40):
+        own = base.copy()
+        at = rng.permutation(neardup.SYMBOLS)[: 2 * i]
+        own[at] += 1
+        marks[i] = own
+    rows = [(k, i, 10 + i // 4, i % 3) for k in range(6) for i in range(40) if k == 0 or rng.random() < 0.2]
+    rng.shuffle(rows)
+    frame = pd.DataFrame(rows, columns=["key", "id", "n", "component"]).assign(bucket=0)
+    frame["signature"] = [marks[i].view(np.int64) for i in frame["id"]]
+    wanted = set()
+    for (k, i, n, c), (l, j, m, e) in itertools.combinations(rows, 2):
+        if k == l and c != e and 100 * min(n, m) >= 80 * max(n, m) and (marks[i] != marks[j]).sum() <= neardup.DISTANCE:
+            wanted.add((min(i, j), max(i, j)))
+    got = neardup._near_pairs(80)(frame)
+    assert 0 < len(wanted) < 700 and sorted(map(tuple, got.to_numpy().tolist())) == sorted(wanted)
+    assert not len(neardup._near_pairs(80)(frame[frame["component"] == 0]))
+
+
 def test_components_of_chains(spark):
     from costlens.llm.components import connected_components
 
