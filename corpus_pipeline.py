@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costlens.llm.bitsets import membership
 from costlens.llm.mixing import sample_mixture
 from costlens.llm.neardup import near_duplicates
 from costlens.llm.packing import pack_documents
 from costlens.llm.pii import mask_personal_data
 from costlens.llm.toxicity import reject_toxic
-from costlens.session import scratch_path
+from costlens.session import materialise, scratch_path
 
 
 
@@ -33,14 +34,18 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     kept for each text, null text included; texts of one id are not compared with each
     other, and an id linked to a smaller one goes with all its texts.
     """
-    groups = near_duplicates(docs, width=5, percent=80).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
-    names = docs.columns
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("kept_id"), F.col("text").cast("string").alias("text"))
-    repeated = whole.groupBy("kept_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND kept_id IS NOT NULL").select("kept_id")
-    single = whole.join(groups, "kept_id", "left_semi").join(repeated, "kept_id", "left_anti")
-    first = whole.join(repeated, "kept_id", "left_semi").join(groups, "kept_id", "left_semi").groupBy("kept_id", "text").agg(F.first("row").alias("row"))
-    none = whole.filter("kept_id IS NULL")
-    return single.select("row.*").unionByName(first.select("row.*")).unionByName(none.select("row.*"))
+    key = F.col("doc_id").cast("long")
+    marked = near_duplicates(docs, width=5, percent=80).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
+    # Ids that go, and kept ones of several rows; documents of all other ids stay where they are.
+    odd = materialise(marked.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("NOT kept OR n > 1"))
+    repeated = odd.filter("kept").select("id")
+    may_be_odd, may_repeat = (membership(ids.select(F.xxhash64("id").alias("key")))(F.xxhash64(key)) for ids in (odd, repeated))
+    sure = docs.filter(key.isNull() | ~may_be_odd)
+    single = docs.filter(key.isNotNull() & may_be_odd).join(odd, key == odd["id"], "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    several = docs.filter(key.isNotNull() & may_repeat).select(row, key.alias("id"), F.col("text").cast("string").alias("text")).join(repeated, "id", "left_semi")
+    first = several.groupBy("id", "text").agg(F.first("row").alias("row")).select("row.*")
+    return sure.unionByName(single).unionByName(first)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm.textops import U64
@@ -40,6 +43,23 @@ def gather(keys: DataFrame, most: int = MOST_BITS, n: int | None = None) -> tupl
     return Bits(bits, held), n
 
 
+def held(keys: DataFrame) -> Broadcast:
+    """Broadcast bits of ``key``. A hash that is no member passes with a chance of one in
+    128 at most, while there are fewer than ``2**MOST_BITS`` bits."""
+    return keys.sparkSession.sparkContext.broadcast(gather(keys, n=8 * keys.count())[0])
+
+
+def membership(keys: DataFrame) -> Callable[[Column], Column]:
+    """Test of a column of hashes against the rows of ``key``; it never misses a member."""
+    sets = held(keys)
+
+    @F.pandas_udf("boolean")
+    def may(values: pd.Series) -> pd.Series:
+        return pd.Series(sets.value.has(values.to_numpy(np.int64).view(U64)))
+
+    return may
+
+
 def joined(one: Bits, two: Bits) -> Bits:
     """Both sets; the smaller one's bits stand for all places that begin with them."""
     small, large = sorted((one, two), key=lambda b: b.bits)

@@ -27,9 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from costlens.llm.bitsets import held
 from costlens.llm.components import connected_components
 from costlens.llm.textops import FAMILIES, U64, batches, mix, span_hashes, window_hashes, word_bounds
 from costlens.session import materialise
@@ -99,9 +101,11 @@ def _sketcher(width: int):
     return sketch
 
 
-def _set_maker(width: int):
+def _set_maker(width: int, wanted: Broadcast):
+    """Sets of the texts whose ``key`` may be wanted."""
+
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _slices(frames):
+        for frame in _slices(frame[wanted.value.has(frame["key"].to_numpy(np.int64).view(U64))] for frame in frames):
             yield pd.DataFrame({"id": frame["doc_id"].to_numpy(), "shingles": [s.tobytes() for s in shingle_sets(frame["text"], width)]})
 
     return make
@@ -209,10 +213,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # A small table runs in few tasks from here on; a large one in as many as before.
     tasks = max(1, math.ceil(members.count() / TASK_ROWS))
     members = members.coalesce(tasks)
-    involved = members.select(F.col("id").alias("doc_id")).distinct().coalesce(tasks)
-    sets = materialise(
-        given.join(involved, "doc_id", "left_semi").mapInPandas(_set_maker(width), "id long, shingles binary")
-    )
+    involved = materialise(members.select(F.col("id").alias("doc_id")).distinct().coalesce(tasks))
+    # Texts stay where they are: a set more, of an id that only shares its bit, is joined with nothing.
+    wanted = held(involved.select(F.xxhash64("doc_id").alias("key")))
+    named = given.filter("doc_id IS NOT NULL").withColumn("key", F.xxhash64("doc_id"))
+    sets = materialise(named.mapInPandas(_set_maker(width, wanted), "id long, shingles binary"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))

@@ -173,6 +173,23 @@ def test_repeated_ids_keep_their_texts(spark, sf):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, set(rows)))
 
 
+@pytest.mark.parametrize("bits", [3, 27])
+def test_copies_go_whatever_the_bits_let_through(spark, sf, monkeypatch, bits):
+    import corpus_pipeline
+    from costlens.llm import bitsets
+
+    gather = bitsets.gather
+    monkeypatch.setattr(bitsets, "gather", lambda keys, n: gather(keys, max(6, bits), n))
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, " ".join(f"{i}x{k}" for k in range(9)), "a") for i in range(50)]
+    rows += [(100, long, "a"), (101, long + " end", "b"), (102, long, "c"), (101, "a text of an id that goes", "d"), (3, None, "e"), (3, None, "f"), (None, long, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    out = corpus_pipeline.near_duplicate_removal(spark, docs, sf)
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    wanted = {(i, t) for i, t, _ in rows if i not in (101, 102)}
+    assert out.columns == docs.columns and len(got) == len(wanted) and set(got) == wanted
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline
     from costlens.llm.toxicity import THRESHOLD, score_toxicity, train

@@ -165,6 +165,16 @@ def test_sketches_hold_few_texts_at_once():
     assert [n for o in out for n in o["n_shingles"]] == [len(s) for s in neardup.shingle_sets(texts, 4)]
 
 
+def test_sets_are_made_without_a_shuffle_of_texts(docs, monkeypatch):
+    from costlens.llm import neardup
+
+    plans, real = [], neardup.materialise
+    monkeypatch.setattr(neardup, "materialise", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    neardup.near_duplicates(docs, width=4)
+    made = [p for p in plans if "make(doc_id" in p]
+    assert len(made) == 1 and "Exchange hashpartitioning" not in made[0] and "Join" not in made[0]
+
+
 def test_keys_are_shuffled_once_and_never_added_up(spark):
     from costlens.llm import neardup
 
