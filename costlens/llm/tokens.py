@@ -1,8 +1,9 @@
 """Token ids of whole texts, with a bounded memory of pieces seen before.
 
 A text is cut at places where its tokenizer always starts afresh, so that a piece has
-the same ids alone as inside the text. Each distinct piece is given to the tokenizers
-library once per worker as long as the memory holds it; a text whose white space or
+the same ids alone as inside the text. Pieces are found and looked up for many texts at
+once; each distinct piece is given to the tokenizers library once per worker as long as
+the memory holds it; a text whose white space or
 special strings make cuts unsafe goes to the library whole.
 """
 
@@ -17,7 +18,10 @@ from collections.abc import Callable
 
 import numpy as np
 
+from costlens.llm.textops import FAMILIES, U64, distinct_spans, ragged_cells, span_hashes
+
 MEMORY = 800_000  # pieces a worker remembers
+PIECE_BYTES = 16  # of all remembered pieces, on average
 
 # A special string, or white space followed by a space and by more white space or the
 # end, which the byte-level rule takes together.
@@ -30,54 +34,112 @@ _PLAIN = re.compile(r"\s\s|<\||\x01|İ|(?:\A|[\W_])[.,](?:\s|\Z)")
 _MARK = re.compile(r"\s[\u0300-\u036f\u0483-\u0487\u0591-\u05bd\u0610-\u061a\u064b-\u065f\u0900-\u0dff\u1100-\u11ff\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]|[\x1c-\x1f]")
 
 
-# The same for ASCII texts, where plain searches find the rest.
-_JOINED = re.compile(r"(?<![A-Za-z0-9])[.,](?=\s|\Z)")
-_RARE = ("  ", "\n\n", " \n", "\n ", "<|", "\x01", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
-
+PLAIN, CUT, WHOLE = 2, 1, 0  # cut at white space and marks, at spaces only, or nowhere
 
-def _plain(text: str) -> bool:
-    """Whether marks and line feeds can be cut off as well."""
-    if text.isascii():
-        return not any(x in text for x in _RARE) and not _JOINED.search(text)
-    return not _PLAIN.search(text)
+# First bytes of characters that the plain rule may refuse, and second bytes of these.
+_STRANGE = ((0xC2, (0x85, 0xA0)), (0xC4, (0xB0,)), (0xE1, (0x9A,)), (0xE2, (0x80, 0x81)), (0xE3, (0x80,)))
+# What it refuses in all texts: 1 white space of which two in a row, 2 always.
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[[0x20, 0x0A]] = 1
+_CLASS[[0x01, 0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = 2
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[0x2C, 0x2E]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
-def _byte_level(text: str) -> list[str] | None:
-    """Pieces that begin with a space; a space after text always starts a token.
+def _byte_form(text: str) -> tuple[str, int]:
+    """A text of pieces that begin with a space; a space after text always starts a token."""
+    return text, PLAIN if not _PLAIN.search(text) else WHOLE if _UNSAFE.search(text) else CUT
 
-    A line feed between words and a mark behind a word are pieces of their own.
-    """
-    if _plain(text):
-        cut = text.replace(" ", "\x01 ").replace(",\x01", "\x01,\x01").replace("\n", "\x01\n\x01")
-        return cut.replace(".\x01", "\x01.\x01").split("\x01")
-    if _UNSAFE.search(text):
-        return None
-    parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
 
-
-def _word_level(text: str) -> list[str] | None:
+def _word_form(text: str) -> tuple[str, int]:
     """Runs without white space, which the tokenizer drops, and marks behind words.
 
     Cuts are made in the form that the tokenizer sees: a letter that normalisation takes
     apart ends in a mark, which belongs with a full stop behind it.
     """
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-    if _MARK.search(text) or "<|" in text:
-        return None
-    if _plain(text):
-        text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
-    return text.split()
+    form = unicodedata.normalize("NFC", text)
+    if _MARK.search(form) or "<|" in form:
+        return text, WHOLE
+    if not _PLAIN.search(form):
+        form = form.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
+    return " ".join(form.split()), CUT
+
+
+def _joined(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, their offsets, and marks on the first and last byte of each."""
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    buffer = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    first, last = np.zeros(len(buffer), dtype=bool), np.zeros(len(buffer), dtype=bool)
+    first[offsets[:-1][sizes > 0]] = True
+    last[offsets[1:][sizes > 0] - 1] = True
+    return buffer, offsets, first, last
+
+
+def _all_plain(raw: list[bytes]) -> np.ndarray:
+    """Texts in which ``_PLAIN`` finds nothing for sure, all at once; every such ASCII text,
+    and others unless they hold strange white space or marks behind strange letters."""
+    buffer, offsets, first, last = _joined(raw)
+    kind = _CLASS[buffer]
+    space = kind == 1
+    bad = kind == 2
+    follows = ~last[:-1]
+    bad[:-1] |= ((space[:-1] & space[1:]) | ((buffer[:-1] == 0x3C) & (buffer[1:] == 0x7C))) & follows
+    for lead, second in _STRANGE:
+        at = np.flatnonzero(buffer[:-1] == lead)
+        bad[at] |= np.isin(buffer[at + 1], second)
+    alone = _STOP[buffer]
+    alone[:-1] &= space[1:] | last[:-1]
+    alone = np.flatnonzero(alone)
+    # Behind an ASCII letter or digit, or a letter of the first 256 characters.
+    one, two = buffer[np.maximum(alone - 1, 0)], buffer[np.maximum(alone - 2, 0)]
+    behind = ~first[alone] & (_LETTER[one] | ((one >= 0x80) & (two == 0xC3) & (one != 0x97) & (one != 0xB7)))
+    plain = np.ones(len(raw), dtype=bool)
+    for found in (np.flatnonzero(bad), alone[~behind]):
+        plain[np.searchsorted(offsets, found, side="right") - 1] = False
+    return plain
+
+
+def _spans(raw: list[bytes], kinds: np.ndarray, spaces: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, start and end of their pieces, and the pieces before each text.
+
+    With ``spaces`` pieces hold the white space too and a piece may begin with a space;
+    a line feed between words and a mark behind a word are pieces of their own.
+    """
+    buffer, offsets, first, last = _joined(raw)
+    kind = np.repeat(kinds.astype(np.uint8), np.diff(offsets))
+    plain = kind == PLAIN
+    space, line = (buffer == 0x20) & (kind != WHOLE), (buffer == 0x0A) & plain
+    mark = np.zeros(len(buffer), dtype=bool)
+    mark[:-1] = plain[:-1] & ~last[:-1] & (((buffer[:-1] == 0x2C) & space[1:]) | ((buffer[:-1] == 0x2E) & (space[1:] | line[1:])))
+    begin = first | mark
+    if spaces:
+        begin |= space | line
+        begin[1:] |= line[:-1]
+        starts = np.flatnonzero(begin)
+        ends = np.append(starts[1:], len(buffer))[: len(starts)]
+    else:
+        inside = ~(space | line)
+        begin[1:] |= ~inside[:-1]
+        begin &= inside
+        last[:-1] |= ~inside[1:] | begin[1:]
+        starts, ends = np.flatnonzero(begin), np.flatnonzero(last & inside) + 1
+    return buffer, starts, ends, np.searchsorted(starts, offsets)
 
 
 def _byte_word(piece: str) -> str | None:
     """A piece that is a single token candidate, as the model sees it."""
     core = piece[1:] if piece[:1] == " " else piece
+    if piece.isascii():
+        return (core if core is piece else "\u0120" + core) if core.isalpha() else None
     return piece.encode().decode("latin-1").translate(_BYTES) if core.isalpha() else None
 
 
 def _word_word(piece: str) -> str | None:
+    if piece.isascii():
+        return piece.lower() if piece.isalpha() else None
     # A final sigma depends on its place, and a letter may fall apart in lower case.
     lower = unicodedata.normalize("NFC", piece).lower()
     return lower.encode().decode("latin-1").translate(_BYTES) if piece.isalpha() and lower.isalpha() and "\u03a3" not in piece else None
@@ -87,7 +149,9 @@ def _word_word(piece: str) -> str | None:
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _OWN)}
 
-RULES = {"byte": (_byte_level, _byte_word), "word": (_word_level, _word_word)}
+# Form of a text that is not plain for sure, whether this goes for ASCII texts alone, whether
+# pieces hold white space, form of a piece.
+RULES = {"byte": (_byte_form, False, True, _byte_word), "word": (_word_form, True, False, _word_word)}
 
 
 def _shelf() -> dict:
@@ -103,79 +167,101 @@ def encoder(path: str, rule: str, memory: int = MEMORY) -> Callable[[list[str]],
     from tokenizers import Tokenizer
 
     shelf = _shelf()
+    form, ascii_only, spaces, single = RULES[rule]
     held = shelf.get((path, rule))
     if held is None:
-        held = shelf[(path, rule)] = _Pieces(Tokenizer.from_file(path), RULES[rule][1])
-    cut = RULES[rule][0]
+        held = shelf[(path, rule)] = _Pieces(Tokenizer.from_file(path), single)
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(held.number) > memory:
+        if held.n > memory or held.end > PIECE_BYTES * memory:
             held.clear()
-        pieces, lengths = [], []
-        for text in texts:
-            own = cut(text)
-            own = [_Whole(text)] if own is None else own
-            pieces += own
-            lengths.append(len(own))
-        found = list(map(held.number.get, pieces))
-        if None in found:
-            held.learn({p for p, n in zip(pieces, found) if n is None})
-            found = map(held.number.__getitem__, pieces)
-        return held.ids(np.fromiter(found, np.int64, len(pieces)), lengths)
+        raw = [b"" if ascii_only and not t.isascii() else t.encode("utf-8", "surrogatepass") for t in texts]
+        sure = _all_plain(raw) & np.fromiter((t.isascii() or not ascii_only for t in texts), bool, len(texts))
+        kinds = np.where(sure, PLAIN, CUT)
+        for i in np.flatnonzero(kinds == CUT).tolist():
+            own, kinds[i] = form(texts[i])
+            raw[i] = own.encode("utf-8", "surrogatepass")
+        buffer, starts, ends, before = _spans(raw, kinds, spaces)
+        return held.ids(held.numbers(buffer, starts, ends), before)
 
     return encode
 
 
-class _Whole(str):
-    """A text given to the library whole; never confused with a piece."""
-
-    __slots__ = ()
-
-    def __hash__(self):
-        return hash(("whole", str(self)))
-
-    def __eq__(self, other):
-        return isinstance(other, _Whole) and str(self) == str(other)
+def _grown(held: np.ndarray, size: int) -> np.ndarray:
+    """Room for ``size`` cells at least, what is held first."""
+    while size > len(held):
+        held = np.concatenate([held, np.empty_like(held)])
+    return held
 
 
 class _Pieces:
+    """Pieces seen before: their bytes, found by a hash and then compared, and their ids."""
+
     def __init__(self, tokenizer, single: Callable[[str], str | None]):
         self.tokenizer, self.model, self.single = tokenizer, tokenizer.model, single
         self.clear()
 
     def clear(self):
-        self.number: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, dtype=np.uint32)
-        self.at = np.zeros(1 << 16, dtype=np.int64)  # end of each piece's ids
-        self.n = 0
-
-    def learn(self, pieces) -> None:
-        pieces = list(pieces)
+        self.n = self.end = 0
+        self.known, self.place = np.empty(0, U64), np.empty(0, np.int64)  # hashes in order and their pieces
+        self.raw, self.raw_at = np.empty(1 << 16, np.uint8), np.zeros(1 << 16, np.int64)
+        self.flat, self.at = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+
+    def numbers(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Number of the piece of each span; new ones are learnt."""
+        if not len(starts):
+            return np.empty(0, np.int64)
+        hashes = span_hashes(buffer, starts, ends, FAMILIES[0])
+        kept, which = distinct_spans(buffer, starts, ends, hashes)
+        hashes, starts, ends = hashes[kept], starts[kept], ends[kept]
+        number = self._find(buffer, starts, ends, hashes)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self.n + np.arange(len(new))
+            self._learn(buffer, starts[new], ends[new], hashes[new])
+        return number[which]
+
+    def _find(self, buffer, starts, ends, hashes) -> np.ndarray:
+        number = np.full(len(hashes), -1, dtype=np.int64)
+        if self.n:
+            at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+            place, sizes = self.place[at], ends - starts
+            hit = np.flatnonzero((self.known[at] == hashes) & (self.raw_at[place + 1] - self.raw_at[place] == sizes))
+            if len(hit):
+                sizes = sizes[hit]
+                equal = buffer[ragged_cells(starts[hit], sizes)] == self.raw[ragged_cells(self.raw_at[place[hit]], sizes)]
+                hit = hit[np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes)]
+                number[hit] = place[hit]
+        return number
+
+    def _learn(self, buffer, starts, ends, hashes) -> None:
+        raw = buffer.tobytes()
+        pieces = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist())]
         coded: list = []
+        tokenize, single = self.model.tokenize, self.single
         for piece in pieces:
-            word = None if type(piece) is _Whole else self.single(piece)
-            coded.append(None if word is None else [t.id for t in self.model.tokenize(word)])
+            word = single(piece)
+            coded.append(None if word is None else [t.id for t in tokenize(word)])
         other = [i for i, c in enumerate(coded) if c is None]
-        for i, x in zip(other, self.tokenizer.encode_batch_fast([str(pieces[i]) for i in other], add_special_tokens=False)):
+        for i, x in zip(other, self.tokenizer.encode_batch_fast([pieces[i] for i in other], add_special_tokens=False)):
             coded[i] = x.ids
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        first = len(self.number)
-        begin = self.at[first - 1] if first else 0
-        while first + len(pieces) > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        self.at[first : first + len(pieces)] = begin + np.cumsum(sizes)
-        end = int(begin + sizes.sum())
-        while end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[begin:end] = list(itertools.chain.from_iterable(coded))
-        self.number.update(zip(pieces, range(first, first + len(pieces))))
-
-    def ids(self, which: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
-        end = self.at[which]
-        start = np.where(which > 0, self.at[which - 1], 0)  # none before the first piece
-        size = end - start
-        total = np.concatenate([[0], np.cumsum(size)])
-        take = np.arange(total[-1]) + np.repeat(start - total[:-1], size)
-        offsets[1:] = total[np.cumsum(lengths)]
-        return self.flat[take], offsets
+        n = self.n + len(pieces)
+        self.at, self.raw_at = _grown(self.at, n + 1), _grown(self.raw_at, n + 1)
+        self.at[self.n + 1 : n + 1] = self.at[self.n] + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+        self.raw_at[self.n + 1 : n + 1] = self.raw_at[self.n] + np.cumsum(ends - starts)
+        self.flat, self.raw = _grown(self.flat, self.at[n]), _grown(self.raw, self.raw_at[n])
+        self.flat[self.at[self.n] : self.at[n]] = list(itertools.chain.from_iterable(coded))
+        self.raw[self.raw_at[self.n] : self.raw_at[n]] = buffer[ragged_cells(starts, ends - starts)]
+        # Of pieces with one hash the first is found again; others are learnt each time.
+        found, first = np.unique(hashes, return_index=True)
+        at = np.searchsorted(self.known, found)
+        fresh = self.known[np.minimum(at, len(self.known) - 1)] != found if len(self.known) else np.ones(len(found), dtype=bool)
+        self.known = np.insert(self.known, at[fresh], found[fresh])
+        self.place = np.insert(self.place, at[fresh], self.n + first[fresh])
+        self.n, self.end = n, int(self.raw_at[n])
+
+    def ids(self, which: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in turn, and where those of each text begin and end."""
+        start = self.at[which]
+        size = self.at[which + 1] - start
+        return self.flat[ragged_cells(start, size)], np.concatenate([[0], np.cumsum(size)])[before]

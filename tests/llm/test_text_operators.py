@@ -304,6 +304,23 @@ def test_pieces_have_the_ids_of_whole_texts(name, rule):
     assert all(ids[a:b].tolist() == w.ids for a, b, w in zip(at[:-1], at[1:], whole))
 
 
+def test_plain_texts_are_told_all_at_once():
+    """What is taken without a look by the rule is what the rule takes."""
+    import random
+
+    from costlens.llm import tokens
+
+    draw = random.Random(7)
+    parts = [" ", "  ", "\n", "\t", "Word, ", "end. ", ".", ",", "é", "×", "ß,", "÷. ", "\x01", "İ", "日", "\u3000", "\xa0", "\x85", "\u2009", "é. ", "x", "y<|z", "<", "|", "ñ,", "😀.", "_, "]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 5))) for _ in range(20000)]
+    sure = tokens._all_plain([t.encode() for t in texts]).tolist()
+    rule = [not tokens._PLAIN.search(t) for t in texts]
+    assert all(r for s, r in zip(sure, rule) if s)
+    assert all(s or not t.isascii() or any(c in t for c in "\t\r") for t, s, r in zip(texts, sure, rule) if r)
+    held = tokens._Pieces(None, None)
+    assert held.known.nbytes + held.raw.nbytes + held.flat.nbytes < 1 << 20
+
+
 def test_mixture(docs, empty):
     from costlens.llm.mixing import mix_sources, sample_mixture
 
