@@ -9,13 +9,15 @@ frequent. Then every frequent phrase has been counted.
 
 The proposal reaches the tasks as a set of bits of bounded size, one for each hash of a
 phrase. Strange phrases that share a bit are counted as well, which costs work and
-changes no count. Phrases are first counted by a 64-bit key. The next pass, which the
+changes no count. Phrases are first counted by a key of 64 bits, in the first pass by its
+first 40. The next pass, which the
 broken border needs anyway, counts the texts of the frequent keys; only these exact
 counts are results, so two phrases that share a key do no harm.
 """
 
 from __future__ import annotations
 
+import collections
 import re
 from collections.abc import Iterator
 
@@ -25,7 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.bitsets import MOST_BITS, Bits, gather, joined
-from costlens.llm.textops import FAMILIES, U64, batches, codes, distinct_spans, mix, span_hashes, window_hashes
+from costlens.llm.keycounts import PACKED, RANGE_BYTES, frequent, pack, range_bits, unpack
+from costlens.llm.textops import FAMILIES, U64, batches, codes, distinct_spans, mix, span_hashes, text_bytes, window_hashes
 from costlens.session import materialise, scratch_path
 
 LONGEST = 5
@@ -36,6 +39,7 @@ CAUTION = 0.5  # share of its expected count at which a sampled phrase is propos
 SLICE = 1 << 20  # bytes of text worked on at once
 UNKNOWN = "und"
 TEXT, KEY, TOTAL = range(3)
+TOTAL_RANGE = -1
 COUNTED = "key long, kind int, item string, n long"
 
 _SPACE, _STOP = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
@@ -131,14 +135,12 @@ def read_words(frame: pd.DataFrame) -> Iterator[Words]:
         yield Words(buffer, offsets, np.array(own[first:last], dtype=np.int64), langs[first:last])
 
 
-def propose(words: Words) -> pd.DataFrame:
+def propose(words: Words) -> Iterator[pd.DataFrame]:
     """Keys of all phrases of a sampled batch and their counts."""
-    out = []
     for width in range(1, LONGEST + 1):
         keys, inside = words.keys(width)
         found, n = np.unique(keys[inside & words.owned[: len(keys)]], return_counts=True)
-        out.append(pd.DataFrame({"key": found.view(np.int64), "n": n}))
-    return pd.concat(out)
+        yield pd.DataFrame({"key": found.view(np.int64), "n": n})
 
 
 def count(words: Words, old: Bits | None, new: Bits) -> Iterator[pd.DataFrame]:
@@ -202,12 +204,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
     given = given.select("lang", "text")
     asked = max(1, int(least / sample * CAUTION))
 
+    bits = range_bits(text_bytes(given)[1])
+    few = range_bits((1 << bits) * RANGE_BYTES // sample)
+
     def proposing(frames):
-        for frame in frames:
-            for words in read_words(frame):
-                yield propose(words)
+        yield from pack(((own["key"].to_numpy().view(U64), own["n"].to_numpy()) for frame in frames for words in read_words(frame) for own in propose(words)), few)
 
-    keys = materialise(drawn.mapInPandas(proposing, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= asked).select("key"))
+    keys = materialise(frequent(drawn.mapInPandas(proposing, PACKED), few, asked).select("key"))
     new, _ = gather(keys, most_bits)
     old, passes, counted = None, [], []
     while True:
@@ -218,18 +221,39 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
                 for words in read_words(frame):
                     yield from count(words, *held.value)
 
-        rows = given.mapInPandas(counting, COUNTED).groupBy("key", "kind", "item").agg(F.sum("n").alias("n"))
+        def packing(frames, held=held):
+            totals: collections.Counter = collections.Counter()
+
+            def keys():
+                for frame in frames:
+                    for words in read_words(frame):
+                        for rows in count(words, *held.value):
+                            if (rows["kind"] == TOTAL).all():
+                                totals.update(dict(zip(rows["item"], rows["n"].tolist())))
+                            else:
+                                yield rows["key"].to_numpy().view(U64), rows["n"].to_numpy()
+
+            for out in pack(keys(), bits):
+                yield out.assign(item=None, n=0)
+            yield pd.DataFrame({"range": TOTAL_RANGE, "keys": None, "counts": None, "item": pd.Series(list(totals), dtype=object), "n": pd.Series(list(totals.values()), dtype="int64")})
+
         path = scratch_path(spark, "phrases")
-        rows.filter((F.col("n") >= least) | (F.col("kind") == TOTAL)).write.parquet(path)
+        if old is None:
+            # Nearly all of these keys are rare; they travel packed. Totals are small.
+            rows = first_counts(given.mapInPandas(packing, PACKED + ", item string, n long"), bits, least)
+        else:
+            rows = given.mapInPandas(counting, COUNTED).groupBy("key", "kind", "item").agg(F.sum("n").alias("n"))
+            rows = rows.filter((F.col("n") >= least) | (F.col("kind") == TOTAL))
+        rows.write.parquet(path)
         found = spark.read.schema(COUNTED).parquet(path)
         passes.append(found.filter(F.col("kind") != KEY).select("item", "n"))
-        frequent = found.filter(F.col("kind") == KEY).select("key", "n")
+        often = found.filter(F.col("kind") == KEY).select("key", "n")
         for texts in counted:
             # A phrase of that key and count has its text already: its bit was set by chance.
-            frequent = frequent.join(texts, ["key", "n"], "left_anti")
+            often = often.join(texts, ["key", "n"], "left_anti")
         counted.append(found.filter(F.col("kind") == TEXT).select("key", "n").distinct())
-        frequent = frequent.select("key").distinct()
-        opened, n = gather(frequent, most_bits)
+        often = often.select("key").distinct()
+        opened, n = gather(often, most_bits)
         if n == 0:
             break
         old, new = (new if old is None else joined(old, new)), opened
@@ -242,6 +266,19 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
     return every.select(F.expr("substring(item, 1, length(item) - length(substring_index(item, '\t', -1)) - 1)").alias("lang"), phrase.alias("phrase"), "n")
 
 
+def first_counts(packed: DataFrame, bits: int, least: int) -> DataFrame:
+    """Rows of ``COUNTED`` from the packed rows of the first pass."""
+
+    def add(place: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        if place[0] == TOTAL_RANGE:
+            n = frame.groupby("item", sort=False)["n"].sum()
+            return pd.DataFrame({"key": 0, "kind": TOTAL, "item": pd.Series(list(n.index), dtype=object), "n": n.to_numpy()})
+        found = unpack(int(place[0]), frame, bits, least)
+        return found.assign(kind=KEY, item=None)[["key", "kind", "item", "n"]]
+
+    return packed.groupBy("range").applyInPandas(add, COUNTED)
+
+
 def mine_collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample: int = SAMPLE, most_bits: int = MOST_BITS) -> DataFrame:
     """The ``top`` phrases of each language whose words occur together more than by chance.
 

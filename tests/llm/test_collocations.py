@@ -92,3 +92,27 @@ def test_bits(spark):
         sets.append(bits)
     assert joined(*sets).has(keys.view(np.uint64)).all()
     assert sets[0].has(keys[3000:].view(np.uint64)).mean() < 0.1
+
+
+@pytest.mark.parametrize("bits", [0, 5])
+def test_packed_counts(spark, monkeypatch, bits):
+    """Counts of hashes survive packing, in less than half the bytes of hash and count."""
+    import numpy as np
+    import pandas as pd
+    from costlens.llm import keycounts
+
+    monkeypatch.setattr(keycounts, "HELD", 20_000)
+    rng = np.random.default_rng(4)
+    keys = np.append(rng.integers(0, 1 << 63, 60_000, dtype=np.uint64) << np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64))
+    n = rng.integers(1, 400, len(keys))
+    parts = [(keys[a : a + 7000], n[a : a + 7000]) for a in range(0, len(keys), 7000)] + [(keys[:50], n[:50])]
+    frame = pd.concat(list(keycounts.pack(iter(parts), bits)))
+    assert frame["keys"].map(len).sum() + frame["counts"].map(len).sum() < 8 * len(keys)
+    packed = spark.createDataFrame(frame, keycounts.PACKED)
+    wanted = collections.Counter()
+    for k, c in parts:
+        for x, y in zip((k >> np.uint64(24)).tolist(), c.tolist()):
+            wanted[x] += y
+    got = {(r["key"] % (1 << 64)) >> 24: r["n"] for r in keycounts.frequent(packed, bits, 300).collect()}
+    assert got == {k: c for k, c in wanted.items() if c >= 300}
+    assert keycounts.range_bits(0) == 0 and keycounts.range_bits(3 * keycounts.RANGE_BYTES) == 2
