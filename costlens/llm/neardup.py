@@ -13,7 +13,7 @@ Pairs of a key are never written out whole. In star rounds each document is comp
 with one document of its keys that lies in another component; after that nearly all
 linked documents share a component and need no comparison. Of pairs that still cross
 components, those of small keys (256 documents at most) are compared inside the tasks that
-hold the keys. Documents of large keys are cut into blocks
+hold the keys, and a near pair comes out of the first key it shares alone. Documents of large keys are cut into blocks
 of the largest key they have, each pair of blocks that meet in a key travels once with
 its sets, and only links come out.
 """
@@ -37,6 +37,7 @@ from costlens.llm.textops import FAMILIES, U64, batches, mix, span_hashes, windo
 from costlens.session import materialise
 
 LONGS, CHUNKS, CHUNK, ERRORS = 18, 12, 6, 1  # 8 symbols a long; a chunk lies in one
+HELD_SYMBOLS = list(itertools.combinations(range(CHUNK), CHUNK - ERRORS))  # of a chunk, by key
 SYMBOLS, SYMBOL_BITS = 8 * LONGS, 8
 DISTANCE = 50
 STAR_ROUNDS = 2
@@ -142,11 +143,19 @@ def _block_linker(percent: int):
     return link
 
 
-def _near_pairs(percent: int):
+def first_slots(apart: np.ndarray) -> np.ndarray:
+    """Place, from 1, of the first key that two signatures share; ``apart`` tells their symbols apart."""
+    chunks = apart[:, : 8 * CHUNKS].reshape(len(apart), CHUNKS, 8)
+    shared = np.stack([~chunks[:, :, list(held)].any(axis=2) for held in HELD_SYMBOLS], axis=2)
+    return shared.reshape(len(apart), CHUNKS * len(HELD_SYMBOLS)).argmax(axis=1) + 1
+
+
+def _near_pairs(percent: int, once: bool = False):
     """Pairs of ids across components that share a key, with near signatures.
 
     Rows of a bucket are sorted by key and compared ``d`` places apart for all keys at
-    once, so memory follows the rows and the pairs that are near.
+    once, so memory follows the rows and the pairs that are near. With ``once`` a pair is
+    found in the first of all keys it shares alone; ``slot`` is the place of the key.
     """
 
     def find(frame: pd.DataFrame) -> pd.DataFrame:
@@ -163,21 +172,28 @@ def _near_pairs(percent: int):
             right = left + d
             open_ = (component[left] != component[right]) & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right]))
             x, y = left[open_], right[open_]
-            near = (marks[x] != marks[y]).sum(axis=1) <= DISTANCE
+            apart = marks[x] != marks[y]
+            near = apart.sum(axis=1) <= DISTANCE
+            if once:
+                near[near] = frame["slot"].to_numpy()[x[near]] == first_slots(apart[near])
             found.append(np.sort(np.column_stack([ids[x[near]], ids[y[near]]]), axis=1))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     return find
 
 
-def _keys(signature) -> F.Column:
-    """Keys of a signature: each chunk with each choice of ``ERRORS`` symbols left out."""
-    masks = [sum(0xFF << 8 * i for i in held) for held in itertools.combinations(range(CHUNK), CHUNK - ERRORS)]
+def _key_list(signature) -> F.Column:
+    """Keys of a signature in turn: each chunk with each choice of ``ERRORS`` symbols left out."""
+    masks = [sum(0xFF << 8 * i for i in held) for held in HELD_SYMBOLS]
     each = F.transform(
         F.sequence(F.lit(0), F.lit(CHUNKS - 1)),
         lambda c: F.transform(F.array(*map(F.lit, masks)), lambda m: F.xxhash64(c, m, F.get(signature, c).bitwiseAND(m))),
     )
-    return F.explode(F.flatten(each))
+    return F.flatten(each)
+
+
+def _keys(signature) -> F.Column:
+    return F.explode(_key_list(signature))
 
 
 def shared_keys(classes: DataFrame) -> DataFrame:
@@ -270,8 +286,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     open_ = materialise(placed.join(crossing, "key").coalesce(tasks))
     marks = classes.select("id", "signature")
     bucket = F.pmod(F.xxhash64("key"), F.lit(tasks * TASK_BUCKETS)).alias("bucket")
-    small = open_.filter(F.col("size") <= LARGE_KEY).join(marks, "id").select(bucket, "key", "id", "n", "component", "signature")
-    near = small.groupBy("bucket").applyInPandas(_near_pairs(percent), "a long, b long").distinct().coalesce(tasks)
+    small = open_.filter(F.col("size") <= LARGE_KEY).join(marks, "id").select(
+        bucket, "key", "id", "n", "component", "signature", F.array_position(_key_list(F.col("signature")), F.col("key")).alias("slot")
+    )
+    near = small.groupBy("bucket").applyInPandas(_near_pairs(percent, once=True), "a long, b long").distinct().coalesce(tasks)
     links = links.unionByName(materialise(confirmed(near))).unionByName(materialise(_large_links(open_, sets, marks, percent, tasks, set_tasks)))
     parts = joined(links)
     ids = classes.select("digest", "id").join(parts, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))

@@ -219,6 +219,29 @@ def test_near_pairs_of_keys():
     assert not len(neardup._near_pairs(80)(frame[frame["component"] == 0]))
 
 
+def test_a_near_pair_is_found_in_one_key_alone(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from costlens.llm import neardup
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, neardup.SYMBOLS, dtype=np.uint8)
+    rows = []
+    for i in range(40):
+        own = base.copy()
+        own[rng.permutation(neardup.SYMBOLS)[: i // 2]] += 1
+        rows.append((i, own.view(np.int64).tolist()))
+    listed = spark.createDataFrame(rows, "id long, signature array<long>").select("*", neardup._keys(F.col("signature")).alias("key"))
+    frame = listed.withColumn("slot", F.array_position(neardup._key_list(F.col("signature")), F.col("key"))).toPandas()
+    frame = frame.assign(n=10, component=frame["id"])
+    buckets = [frame[frame["slot"] % 3 == k] for k in range(3)]
+    every = pd.concat([neardup._near_pairs(80)(b) for b in buckets])
+    once = pd.concat([neardup._near_pairs(80, once=True)(b) for b in buckets])
+    assert len(every) > len(every.drop_duplicates()) == len(once) > 500
+    assert set(map(tuple, once.to_numpy().tolist())) == set(map(tuple, every.to_numpy().tolist()))
+
+
 def test_components_of_chains(spark):
     from costlens.llm.components import connected_components
 
