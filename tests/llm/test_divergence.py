@@ -82,3 +82,49 @@ def test_rates_beyond_64_bits(spark):
     cases = [(0, 3), (10**13, 3 * 10**13), (7 * 10**14, 8 * 10**15), (12, 14)]
     frame = spark.createDataFrame(cases, "c long, total long")
     assert [r[0] for r in frame.select(rate(F.col("c"), F.col("total"))).collect()] == [1 + 10**9 * (c + 2) // t for c, t in cases]
+
+
+def test_chunks_of_a_batch_take_little_memory():
+    """Arrays of a batch hold a few hundred bytes a word, so a batch must be small."""
+    import tracemalloc
+
+    from costlens.llm.divergence import read_chunks
+
+    texts = [" ".join(f"w{(i * 7919 + k) % 5003}" for k in range(400)) for i in range(4000)]
+    next(read_chunks(texts[:2]))
+    tracemalloc.start()
+    for _ in read_chunks(texts):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
+def test_equal_spans_follow_each_other():
+    import numpy as np
+
+    from costlens.llm.divergence import in_order, joined_forms
+
+    long = "x" * 70
+    forms = ["ab", "b", "ab", long + "a", "ä" * 40, long + "b", "b", long + "a", "ä" * 40, "12345678", "12345679", "12345678", long + "a"]
+    buffer, starts, ends = joined_forms(forms)
+    hashes = np.array([{f: i for i, f in enumerate(forms)}[f] << 40 for f in forms], dtype=np.uint64)
+    order, same = in_order(buffer, starts, ends - starts, hashes)
+    in_turn = [forms[i] for i in order]
+    assert same.tolist() == [i > 0 and in_turn[i] == in_turn[i - 1] for i in range(len(forms))] and same.sum() == 6
+    # Spans that share a hash are still told apart.
+    order, same = in_order(buffer, starts, ends - starts, np.zeros(len(forms), dtype=np.uint64))
+    assert order.tolist() == list(range(len(forms))) and not same.any()
+
+
+def test_counts_by_group_across_flushes(spark, monkeypatch):
+    """Chunks of one word in many forms, of many batches, in two groups of one language."""
+    from costlens.llm import divergence
+
+    monkeypatch.setattr(divergence, "BATCH", 64)
+    monkeypatch.setattr(divergence, "HELD", 256)
+    monkeypatch.setattr(divergence, "RANGE_BYTES", 1024)
+    forms = ("go", "Go,", "(go)", "go-go", "GO!", "go;go", "stay")
+    rows = [(i, f"{forms[i % 7]} {forms[i % 3]} u{chr(97 + i % 26)}{i} once", "en", f"s{i % 2}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(2)
+    assert got(divergence.audit_sources(docs)) == plain(rows, 10)
