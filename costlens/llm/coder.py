@@ -29,8 +29,9 @@ MASK32 = U64(0xFFFFFFFF)
 W32 = U64(32)
 LIMIT = 240  # sum above which counts are halved
 REVIEW = 16  # steps between two looks at the sums
-WEIGHTS = (2, 1, 1)
 TRUST = np.array([[0, 1, 0], [0, 2, 1], [1, 3, 2], [1, 3, 3]])
+# The same for both trusts at once: 4 times that of order 2 and that of order 1, then both outcomes.
+TRUSTS = (TRUST[:, None, :, None] * 4 + TRUST[None, :, None, :]).reshape(-1)
 
 
 class _Model:
@@ -42,56 +43,89 @@ class _Model:
         self.next1 = np.full(lanes << SLOTS1, -1, dtype=np.int32)
         self.next2 = np.full(lanes << SLOTS2, -1, dtype=np.int32)
         self.turn = 0
-        self.counts = [np.ones((lanes * 16, 4), dtype=np.int32) for _ in range(3)]
-        self.row = self.lane * 16
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.hash = np.zeros(lanes, dtype=np.int64)
-        self.trust1 = np.zeros(lanes, dtype=np.int64)
-        self.trust2 = np.zeros(lanes, dtype=np.int64)
+        # Counts of the three contexts, one after the other, 16 rows a lane.
+        self.counts = np.ones((3 * lanes * 16, 4), dtype=np.int32)
+        self.flat = self.counts.reshape(-1)
+        self.row = (np.arange(3)[:, None] * lanes + self.lane) * 16
+        self.at = np.empty_like(self.row)
+        self.up = np.zeros((5, lanes), dtype=np.int64)
+        self.last = np.zeros(lanes, dtype=np.uint32)
+        self.slot2 = self.row2
+        self.trust = np.zeros(lanes, dtype=np.int64)
         self.events = np.zeros(lanes, dtype=np.int64)
 
-    def predict(self):
-        """Sets the predicted ids, and returns cumulative event frequencies, 4 by lanes."""
-        self.slot1 = self.row1 + ((self.last * 0x9E35) >> 5 & (1 << SLOTS1) - 1)
-        self.slot2 = self.row2 + self.hash
-        self.p1, self.p2 = self.next1[self.slot1], self.next2[self.slot2]
-        state = (self.p1 >= 0) + 2 * (self.p2 >= 0) + (self.p1 == self.p2) * 4
-        self.at = (self.row + self.trust2 * 4 + self.trust1, self.row + state, self.row + self.events)
-        f = self.counts[0][self.at[0]] * WEIGHTS[0]
-        f += self.counts[1][self.at[1]]
-        f += self.counts[2][self.at[2]]
-        return np.cumsum(f, axis=1, dtype=np.int64).T
-
-    def update(self, ids: np.ndarray, event: np.ndarray) -> None:
-        """Learns from one id of each lane; ended lanes learn rubbish harmlessly."""
-        for counts, at in zip(self.counts, self.at):
-            counts[at, event] += 8
+    def predict(self) -> np.ndarray:
+        """Sets the predicted ids, and returns zeros and the cumulative event frequencies, 5 by lanes."""
+        slot = self.last * np.uint32(0x9E35)
+        slot >>= np.uint32(5)
+        slot &= np.uint32((1 << SLOTS1) - 1)
+        self.slot1 = self.row1 + slot
+        self.p1, self.p2 = self.next1.take(self.slot1), self.next2.take(self.slot2)
+        self.none1, self.none2 = (self.p1 < 0).view(np.uint8), (self.p2 < 0).view(np.uint8)
+        state = (self.p1 == self.p2).view(np.uint8) * np.uint8(4)
+        state += np.uint8(3)
+        state -= self.none1
+        state -= self.none2
+        state -= self.none2
+        at, up = self.at, self.up
+        np.add(self.row[0], self.trust, out=at[0])
+        np.add(self.row[1], state, out=at[1])
+        np.add(self.row[2], self.events, out=at[2])
+        held = self.counts.take(at, axis=0)
+        f = held[0]
+        f += f
+        f += held[1]
+        f += held[2]
+        up[1] = f[:, 0]
+        for k in (1, 2, 3):
+            np.add(up[k], f[:, k], out=up[k + 1])
+        return up
+
+    def update(self, ids: np.ndarray, event: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
+        """Learns from one id (``int32``) of each lane, which the order-1 and order-2
+        predictions did or did not hit; ended lanes learn rubbish harmlessly."""
+        at = self.at
+        at <<= 2
+        at += event
+        self.flat[at] += np.int32(8)
         self.turn += 1
         if self.turn % REVIEW == 0:
-            for counts in self.counts:
-                full = np.flatnonzero(counts.sum(axis=1) > LIMIT)
-                counts[full] = (counts[full] + 1) >> 1
+            c = self.counts
+            full = np.flatnonzero(c[:, 0] + c[:, 1] + c[:, 2] + c[:, 3] > LIMIT)
+            c[full] = (c[full] + 1) >> 1
         # By trust (0 to 3) and outcome: wrong, right, no prediction.
-        self.trust2 = TRUST[self.trust2, np.where(self.p2 < 0, 2, self.p2 == ids)]
-        self.trust1 = TRUST[self.trust1, np.where(self.p1 < 0, 2, self.p1 == ids)]
+        outcome = (hit2.view(np.uint8) + self.none2 + self.none2) * np.uint8(3)
+        outcome += hit1.view(np.uint8)
+        outcome += self.none1
+        outcome += self.none1
+        self.trust *= 9
+        self.trust += outcome
+        self.trust = TRUSTS.take(self.trust)
         self.next1[self.slot1] = ids
         self.next2[self.slot2] = ids
-        self.hash = ((self.last * 0x2F35 ^ ids * 0x9E37) >> 3) & (1 << SLOTS2) - 1
-        self.last = ids
-        self.events = (self.events << 2 | event) & 15
+        new = ids.view(np.uint32)
+        mixed = self.last * np.uint32(0x2F35)
+        mixed ^= new * np.uint32(0x9E37)
+        mixed >>= np.uint32(3)
+        mixed &= np.uint32((1 << SLOTS2) - 1)
+        self.slot2 = self.row2 + mixed
+        self.last = new
+        self.events <<= 2
+        self.events |= event
+        self.events &= 15
 
 
 def _appearance(ids: np.ndarray, lengths: np.ndarray):
     """Per id: whether new in its block, its place among the block's ids, ids seen so far."""
     new = np.zeros(ids.shape, dtype=bool)
-    place = np.zeros(ids.shape, dtype=np.int64)
+    place = np.zeros(ids.shape, dtype=np.uint32)
     for i, n in enumerate(lengths):
         _, first, inverse = np.unique(ids[i, :n], return_index=True, return_inverse=True)
         new[i, first] = True
         rank = np.empty(len(first), dtype=np.int64)
         rank[np.argsort(first)] = np.arange(len(first))
         place[i, :n] = rank[inverse]
-    seen = np.cumsum(new, axis=1) - new
+    seen = np.cumsum(new, axis=1, dtype=np.uint32) - new
     return new, place, seen
 
 
@@ -99,45 +133,71 @@ def encode(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """Code each row of ``ids`` (blocks by positions), of which ``lengths`` ids count."""
     lanes, steps = ids.shape
     new, place, seen = _appearance(ids, lengths)
-    columns = [np.ascontiguousarray(x.T) for x in (ids.astype(np.int64), new, place, seen)]
+    ids = ids.astype(np.int32)
+    np.copyto(place, ids, where=new, casting="unsafe")
+    seen = np.maximum(seen, 1)
+    seen[new] = 1 << ID_BITS
+    # Ids, whether new, the number to code for an id that is not predicted, and of how many.
+    columns = [np.ascontiguousarray(x.T) for x in (ids, new, place, seen)]
+    del new, place, seen
     model = _Model(lanes)
     low, span = np.zeros(lanes, U64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U64)
     words = np.zeros((lanes, steps + 2), dtype="<u4")
     filled = np.zeros(lanes, dtype=np.int64)
+    shortest = min(lengths, default=0)
     for t in range(steps):
-        x, fresh, at, known = (c[t] for c in columns)
+        x, fresh, number, among = (c[t] for c in columns)
         up = model.predict()
-        event = np.where(model.p2 == x, 0, np.where(model.p1 == x, 1, np.where(fresh, 3, 2)))
-        top = up[event, model.lane]
-        bottom = np.where(event > 0, up[event - 1, model.lane], 0)
-        live = t < lengths
-        part = span // up[3].astype(U64)
-        low2 = low + part * bottom.astype(U64)
-        span2 = part * (top - bottom).astype(U64)
-        number = np.where(event == 2, at, np.where(event == 3, x, 0))
-        among = np.maximum(np.where(event == 2, known, np.where(event == 3, 1 << ID_BITS, 1)), 1)
-        span2 //= among.astype(U64)
-        low2 += span2 * number.astype(U64)
-        low, span = np.where(live, low2, low), np.where(live, span2, span)
-        out, low_out, low, span = _settle(low, span)
-        out &= live
-        words[model.lane[out], filled[out]] = low_out[out]
-        filled += out
-        model.update(x, event)
+        hit1, hit2 = model.p1 == x, model.p2 == x
+        event = fresh + 2
+        event[hit1] = 1
+        event[hit2] = 0
+        low2, part = _event(low, span, up, event, model.lane)
+        deep = event > 1
+        part //= np.where(deep, among, np.uint32(1))
+        low2 += part * (number * deep)
+        out, low_out, low, span = _settled(low, span, low2, part, None if t < shortest else t < lengths)
+        words[out, filled[out]] = low_out[out]
+        filled[out] += 1
+        model.update(x, event, hit1, hit2)
     # The upper word of any value inside the last interval, then zeros.
     words[model.lane, filled] = low >> W32
     words[model.lane, filled + 1] = low & MASK32
     return [words[i, : n + 2].tobytes() for i, n in enumerate(filled)]
 
 
-def _settle(low: np.ndarray, span: np.ndarray):
-    """Shift out the upper word where it is decided or the interval is too narrow."""
-    decided = (low ^ (low + span)) >> W32 == 0
-    narrow = ~decided & (span <= MASK32)
+def _event(low: np.ndarray, span: np.ndarray, up: np.ndarray, event: np.ndarray, lane: np.ndarray, part: np.ndarray | None = None):
+    """The interval of each lane's event: its low end and its span."""
+    at = event * len(lane)
+    at += lane
+    flat = up.reshape(-1).view(U64)
+    bottom = flat.take(at)
+    at += len(lane)
+    top = flat.take(at)
+    if part is None:
+        part = span // flat[4 * len(lane) :]
+    top -= bottom
+    bottom *= part
+    bottom += low
+    top *= part
+    return bottom, top
+
+
+def _settled(low, span, low2, span2, live: np.ndarray | None):
+    """The lanes (``live`` ones, or all) that shift out the upper word, these words, and the
+    intervals after that. A word is shifted out where it is decided or the interval is too narrow."""
+    if live is not None:
+        low2, span2 = np.where(live, low2, low), np.where(live, span2, span)
+    out = (low2 ^ (low2 + span2)) <= MASK32
+    narrow = span2 <= MASK32
+    narrow &= ~out
     if narrow.any():
-        span = np.where(narrow, (U64(0) - low) & MASK32, span)
-    out = decided | narrow
-    return out, low >> W32, np.where(out, low << W32, low), np.where(out, span << W32, span)
+        span2 = np.where(narrow, (U64(0) - low2) & MASK32, span2)
+        out |= narrow
+    if live is not None:
+        out &= live
+    shift = out * W32
+    return np.flatnonzero(out), low2 >> W32, low2 << shift, span2 << shift
 
 
 def decode(blocks: list[bytes], lengths: np.ndarray) -> np.ndarray:
@@ -152,31 +212,39 @@ def decode(blocks: list[bytes], lengths: np.ndarray) -> np.ndarray:
     code = words[:, 0].astype(U64) << W32 | words[:, 1].astype(U64)
     read = np.full(lanes, 2, dtype=np.int64)
     known = np.zeros(lanes, dtype=np.int64)
-    listed = np.zeros((lanes, steps + 1), dtype=np.int64)
+    listed = np.zeros((lanes, steps + 1), dtype=np.int32)
+    place = model.lane * (steps + 1)
     ids = np.zeros((steps, lanes), dtype=np.int64)
+    shortest = min(lengths, default=0)
     for t in range(steps):
-        live = t < lengths
+        live = None if t < shortest else t < lengths
         up = model.predict()
-        part = span // up[3].astype(U64)
-        value = np.minimum(((code - low) // part).astype(np.int64), up[3] - 1)
-        event = (value >= up[0]).astype(np.int64) + (value >= up[1]) + (value >= up[2])
-        top = up[event, model.lane]
-        bottom = np.where(event > 0, up[event - 1, model.lane], 0)
-        low2 = low + part * bottom.astype(U64)
-        span2 = part * (top - bottom).astype(U64)
-        among = np.maximum(np.where(event == 2, known, np.where(event == 3, 1 << ID_BITS, 1)), 1)
-        span2 //= among.astype(U64)
-        number = np.minimum(((code - low2) // span2).astype(np.int64), among - 1)
-        low2 += span2 * number.astype(U64)
-        x = np.where(event == 0, model.p2, np.where(event == 1, model.p1, np.where(event == 2, listed[model.lane, np.minimum(number, steps)], number)))
-        x = np.where(live, x, 0).astype(np.int64)
+        total = up[4].view(U64)
+        part = span // total
+        value = code - low
+        value //= part
+        value = np.minimum(value, total - U64(1)).view(np.int64)
+        event = (value >= up[1]).astype(np.int64)
+        event += value >= up[2]
+        event += value >= up[3]
+        low2, span2 = _event(low, span, up, event, model.lane, part)
+        among = np.where(event < 2, 1, np.where(event == 3, 1 << ID_BITS, np.maximum(known, 1))).view(U64)
+        span2 //= among
+        number = code - low2
+        number //= span2
+        number = np.minimum(number, among - U64(1))
+        low2 += span2 * number
+        number = number.view(np.int64)
+        x = np.where(event == 3, number, listed.reshape(-1).take(place + np.minimum(number, steps))).astype(np.int32)
+        x = np.where(event == 0, model.p2, np.where(event == 1, model.p1, x))
+        if live is not None:
+            x = np.where(live, x, np.int32(0))
         ids[t] = x
-        low, span = np.where(live, low2, low), np.where(live, span2, span)
-        out, _, low, span = _settle(low, span)
-        code = np.where(out, code << W32 | words[model.lane, np.minimum(read, width - 1)], code)
-        read += out
-        fresh = live & (event == 3)
-        listed[model.lane[fresh], known[fresh]] = x[fresh]
-        known += fresh
-        model.update(x, event)
+        out, _, low, span = _settled(low, span, low2, span2, live)
+        code[out] = code[out] << W32 | words[out, np.minimum(read[out], width - 1)]
+        read[out] += 1
+        fresh = np.flatnonzero(event == 3 if live is None else live & (event == 3))
+        listed[fresh, known[fresh]] = x[fresh]
+        known[fresh] += 1
+        model.update(x, event, model.p1 == x, model.p2 == x)
     return np.ascontiguousarray(ids.T)

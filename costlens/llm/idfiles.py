@@ -31,8 +31,8 @@ from costlens.llm.tokens import encoder
 from costlens.session import materialise
 
 MAGIC = b"IDS1"
-SHARD_IDS = coder.BLOCK * 1024
-RANGE_BYTES = 6 << 20
+SHARD_IDS = coder.BLOCK * 2048  # more blocks a call cost less time each
+RANGE_BYTES = 9 << 20  # of text, whose ids make one shard as a rule
 SLICE = 200
 
 MANIFEST = "part int, turn int, n_docs long, n_ids long, n_bytes long"

@@ -409,3 +409,21 @@ def test_letters_that_normalisation_takes_apart(name, rule):
     ids, at = encoder(public_tokenizers.path(name), rule)(texts)
     whole = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch(texts, add_special_tokens=False)
     assert all(ids[a:b].tolist() == w.ids for a, b, w in zip(at[:-1], at[1:], whole))
+
+
+def test_coder_holds_few_bytes_for_an_id():
+    """Many blocks go through the coder at once, so what it holds for each id must be little."""
+    import tracemalloc
+
+    import numpy as np
+
+    from costlens.llm import coder
+
+    grid = np.random.default_rng(5).integers(0, 500, (512, coder.BLOCK))
+    lengths = np.full(len(grid), coder.BLOCK)
+    tracemalloc.start()
+    raw = coder.encode(grid, lengths)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 56 * grid.size
+    assert (coder.decode(raw[:3], lengths[:3]) == grid[:3]).all()
