@@ -2,7 +2,7 @@
 
 A shard file holds, all little-endian:
 
-    magic ``IDS1``, number of documents and of blocks (u32), crc32 of the tables (u32)
+    magic ``IDS2``, number of documents and of blocks (u32), crc32 of the tables (u32)
     tables: doc_id (i64), whether it is null (u8) and number of ids (u64) per document;
             ids, bytes and crc32 (u32 each) per block
     the coded blocks one after another
@@ -30,7 +30,7 @@ from costlens.llm.textops import text_bytes
 from costlens.llm.tokens import encoder
 from costlens.session import materialise
 
-MAGIC = b"IDS1"
+MAGIC = b"IDS2"
 SHARD_IDS = coder.BLOCK * 2048  # more blocks a call cost less time each
 RANGE_BYTES = 9 << 20  # of text, whose ids make one shard as a rule
 SLICE = 200

@@ -427,3 +427,33 @@ def test_coder_holds_few_bytes_for_an_id():
     tracemalloc.stop()
     assert peak < 56 * grid.size
     assert (coder.decode(raw[:3], lengths[:3]) == grid[:3]).all()
+
+
+def test_coder_steps_hold_little_and_carry():
+    """Time goes with what the steps touch: packed counts, narrow tables, none for the encoder."""
+    import tracemalloc
+
+    import numpy as np
+
+    from costlens.llm import coder
+
+    rng = np.random.default_rng(6)
+    grid = rng.integers(0, 500, (512, coder.BLOCK))
+    lengths = np.full(len(grid), coder.BLOCK)
+    peaks = []
+    for run, given in ((coder.encode, grid), (coder.decode, coder.encode(grid, lengths))):
+        tracemalloc.start()
+        last = run(given, lengths)
+        peaks.append(tracemalloc.get_traced_memory()[1] / grid.size)
+        tracemalloc.stop()
+    assert (last == grid).all()
+    assert peaks[0] < 22 and peaks[1] < 22, peaks
+    # Carries run through words of ones; id 0 and blocks of one id; blocks of other lengths end earlier.
+    words = np.array([5, 0xFFFFFFFF, 0xFFFFFFFF, 0, 9, 0], "<u4")
+    coder._emit(words, np.array([3, 5]), np.array([1 << 32 | 7, 8], np.uint64))
+    assert words.tolist() == [6, 0, 0, 7, 9, 8]
+    for top in (1, 2, 60, 65536):
+        lengths = rng.integers(0, coder.BLOCK + 1, 40)
+        grid = rng.integers(0, top, (40, coder.BLOCK)) * (np.arange(coder.BLOCK) < lengths[:, None])
+        back = coder.decode(coder.encode(grid, lengths), lengths)
+        assert (back == grid[:, : back.shape[1]]).all()
