@@ -18,10 +18,11 @@ from collections.abc import Callable
 
 import numpy as np
 
-from costlens.llm.textops import FAMILIES, U64, distinct_spans, ragged_cells, span_hashes
+from costlens.llm.textops import FAMILIES, U64, distinct_spans, mix, ragged_cells, span_hashes
 
 MEMORY = 800_000  # pieces a worker remembers
 PIECE_BYTES = 16  # of all remembered pieces, on average
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)  # bits of the first bytes
 
 # A special string, or white space followed by a space and by more white space or the
 # end, which the byte-level rule takes together.
@@ -46,6 +47,11 @@ _STOP = np.zeros(256, dtype=bool)
 _STOP[[0x2C, 0x2E]] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, dtype=bool)  # ASCII other than letters, digits, white space and control characters
+_SIGN[[b for b in range(33, 127) if not _LETTER[b]]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+MARKS = 0xCC  # first byte of the first character that combines with others
 
 
 def _byte_form(text: str) -> tuple[str, int]:
@@ -78,15 +84,18 @@ def _joined(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return buffer, offsets, first, last
 
 
-def _all_plain(raw: list[bytes]) -> np.ndarray:
+def _all_plain(raw: list[bytes], marks: bool = False) -> np.ndarray:
     """Texts in which ``_PLAIN`` finds nothing for sure, all at once; every such ASCII text,
-    and others unless they hold strange white space or marks behind strange letters."""
+    and others unless they hold strange white space or marks behind strange letters. With
+    ``marks`` neither does ``_MARK`` find anything in them."""
     buffer, offsets, first, last = _joined(raw)
     kind = _CLASS[buffer]
     space = kind == 1
     bad = kind == 2
     follows = ~last[:-1]
     bad[:-1] |= ((space[:-1] & space[1:]) | ((buffer[:-1] == 0x3C) & (buffer[1:] == 0x7C))) & follows
+    if marks:
+        bad[:-1] |= (space[:-1] & (buffer[1:] >= MARKS)) & follows
     for lead, second in _STRANGE:
         at = np.flatnonzero(buffer[:-1] == lead)
         bad[at] |= np.isin(buffer[at + 1], second)
@@ -106,7 +115,9 @@ def _spans(raw: list[bytes], kinds: np.ndarray, spaces: bool) -> tuple[np.ndarra
     """Bytes of all texts, start and end of their pieces, and the pieces before each text.
 
     With ``spaces`` pieces hold the white space too and a piece may begin with a space;
-    a line feed between words and a mark behind a word are pieces of their own.
+    a line feed between words and a mark behind a word are pieces of their own. Without,
+    a piece also ends between a letter and a sign, and letters A to Z become small in plain
+    texts, unless characters that combine with others are near.
     """
     buffer, offsets, first, last = _joined(raw)
     kind = np.repeat(kinds.astype(np.uint8), np.diff(offsets))
@@ -122,6 +133,12 @@ def _spans(raw: list[bytes], kinds: np.ndarray, spaces: bool) -> tuple[np.ndarra
         ends = np.append(starts[1:], len(buffer))[: len(starts)]
     else:
         inside = ~(space | line)
+        high = np.zeros(len(raw), dtype=bool)
+        high[np.searchsorted(offsets, np.flatnonzero(buffer >= MARKS), side="right") - 1] = True
+        easy = np.repeat((kinds == PLAIN) & ~high, np.diff(offsets))
+        buffer = np.where(easy, _LOWER[buffer], buffer)
+        small = easy & (buffer >= 97) & (buffer <= 122)
+        begin[1:] |= small[:-1] & _SIGN[buffer[1:]] & ~last[:-1]
         begin[1:] |= ~inside[:-1]
         begin &= inside
         last[:-1] |= ~inside[1:] | begin[1:]
@@ -149,7 +166,7 @@ def _word_word(piece: str) -> str | None:
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _OWN)}
 
-# Form of a text that is not plain for sure, whether this goes for ASCII texts alone, whether
+# Form of a text that is not plain for sure, whether only normalised texts can be, whether
 # pieces hold white space, form of a piece.
 RULES = {"byte": (_byte_form, False, True, _byte_word), "word": (_word_form, True, False, _word_word)}
 
@@ -167,16 +184,17 @@ def encoder(path: str, rule: str, memory: int = MEMORY) -> Callable[[list[str]],
     from tokenizers import Tokenizer
 
     shelf = _shelf()
-    form, ascii_only, spaces, single = RULES[rule]
+    form, normal, spaces, single = RULES[rule]
     held = shelf.get((path, rule))
     if held is None:
         held = shelf[(path, rule)] = _Pieces(Tokenizer.from_file(path), single)
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if held.n > memory or held.end > PIECE_BYTES * memory:
-            held.clear()
-        raw = [b"" if ascii_only and not t.isascii() else t.encode("utf-8", "surrogatepass") for t in texts]
-        sure = _all_plain(raw) & np.fromiter((t.isascii() or not ascii_only for t in texts), bool, len(texts))
+            held.forget(memory)
+        fit = [not normal or t.isascii() or unicodedata.is_normalized("NFC", t) for t in texts]
+        raw = [t.encode("utf-8", "surrogatepass") if f else b"" for t, f in zip(texts, fit)]
+        sure = _all_plain(raw, normal) & np.array(fit, dtype=bool)
         kinds = np.where(sure, PLAIN, CUT)
         for i in np.flatnonzero(kinds == CUT).tolist():
             own, kinds[i] = form(texts[i])
@@ -194,8 +212,24 @@ def _grown(held: np.ndarray, size: int) -> np.ndarray:
     return held
 
 
+def _keys(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two numbers of 64 bits and the size of each span. They tell spans of up to 16 bytes
+    apart: the first and the last 8 bytes; the first number of a longer one is a hash."""
+    sizes = ends - starts
+    padded = np.concatenate([buffer, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray((len(buffer) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    head = eight[starts] & _FIRST[np.minimum(sizes, 8)]
+    tail = eight[np.maximum(ends - 8, 0)]
+    tail[sizes <= 8] = 0
+    long = np.flatnonzero(sizes > 16)
+    if len(long):
+        ends = np.cumsum(sizes[long])
+        head[long] = span_hashes(buffer[ragged_cells(starts[long], sizes[long])], ends - sizes[long], ends, FAMILIES[0])
+    return head, tail, sizes.astype(np.int32)
+
+
 class _Pieces:
-    """Pieces seen before: their bytes, found by a hash and then compared, and their ids."""
+    """Pieces seen before, found in an open table by their keys; long ones are then compared."""
 
     def __init__(self, tokenizer, single: Callable[[str], str | None]):
         self.tokenizer, self.model, self.single = tokenizer, tokenizer.model, single
@@ -203,38 +237,62 @@ class _Pieces:
 
     def clear(self):
         self.n = self.end = 0
-        self.known, self.place = np.empty(0, U64), np.empty(0, np.int64)  # hashes in order and their pieces
+        self.head, self.tail = np.empty(1 << 16, U64), np.empty(1 << 16, U64)
+        self.size, self.used = np.empty(1 << 16, np.int32), np.zeros(1 << 16, bool)
         self.raw, self.raw_at = np.empty(1 << 16, np.uint8), np.zeros(1 << 16, np.int64)
         self.flat, self.at = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.table = np.full(1 << 18, -1, dtype=np.int32)
+
+    def forget(self, memory: int) -> None:
+        """Keep what was seen again since the last time, if that leaves room."""
+        kept = np.flatnonzero(self.used[: self.n])
+        sizes, counts = self.size[kept], self.at[kept + 1] - self.at[kept]
+        if 4 * len(kept) > 3 * memory or 4 * int(sizes.sum()) > 3 * PIECE_BYTES * memory:
+            return self.clear()
+        keys = self.head[kept], self.tail[kept], sizes
+        raw, flat = self.raw[ragged_cells(self.raw_at[kept], sizes)], self.flat[ragged_cells(self.at[kept], counts)]
+        self.clear()
+        self._add(keys, raw, flat, counts)
 
     def numbers(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Number of the piece of each span; new ones are learnt."""
         if not len(starts):
             return np.empty(0, np.int64)
-        hashes = span_hashes(buffer, starts, ends, FAMILIES[0])
-        kept, which = distinct_spans(buffer, starts, ends, hashes)
-        hashes, starts, ends = hashes[kept], starts[kept], ends[kept]
-        number = self._find(buffer, starts, ends, hashes)
+        keys = _keys(buffer, starts, ends)
+        number = self._find(buffer, starts, keys)
+        self.used[number[number >= 0]] = True
         new = np.flatnonzero(number < 0)
         if len(new):
-            number[new] = self.n + np.arange(len(new))
-            self._learn(buffer, starts[new], ends[new], hashes[new])
-        return number[which]
-
-    def _find(self, buffer, starts, ends, hashes) -> np.ndarray:
-        number = np.full(len(hashes), -1, dtype=np.int64)
-        if self.n:
-            at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-            place, sizes = self.place[at], ends - starts
-            hit = np.flatnonzero((self.known[at] == hashes) & (self.raw_at[place + 1] - self.raw_at[place] == sizes))
-            if len(hit):
-                sizes = sizes[hit]
-                equal = buffer[ragged_cells(starts[hit], sizes)] == self.raw[ragged_cells(self.raw_at[place[hit]], sizes)]
-                hit = hit[np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes)]
-                number[hit] = place[hit]
+            starts, ends, keys = starts[new], ends[new], [k[new] for k in keys]
+            kept, which = distinct_spans(buffer, starts, ends, self._hash(keys))
+            number[new] = self.n + which
+            self._learn(buffer, starts[kept], ends[kept], [k[kept] for k in keys])
+        return number
+
+    @staticmethod
+    def _hash(keys) -> np.ndarray:
+        head, tail, size = keys
+        return mix(head ^ tail * U64(FAMILIES[0]) ^ size.astype(U64) << U64(56))
+
+    def _find(self, buffer, starts, keys) -> np.ndarray:
+        number = np.full(len(starts), -1, dtype=np.int64)
+        end = len(self.table) - 1
+        at, todo = self._hash(keys).view(np.int64) & end, np.arange(len(starts))
+        while len(todo):
+            found = self.table[at]
+            same = (found >= 0) & (self.head[found] == keys[0]) & (self.tail[found] == keys[1]) & (self.size[found] == keys[2])
+            number[todo[same]] = found[same]
+            on = np.flatnonzero((found >= 0) & ~same)
+            at, todo, keys = at[on] + 1 & end, todo[on], [k[on] for k in keys]
+        long = np.flatnonzero(number >= 0)
+        long = long[self.size[number[long]] > 16]
+        if len(long):
+            sizes = self.size[number[long]].astype(np.int64)
+            equal = buffer[ragged_cells(starts[long], sizes)] == self.raw[ragged_cells(self.raw_at[number[long]], sizes)]
+            number[long[~np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes)]] = -1
         return number
 
-    def _learn(self, buffer, starts, ends, hashes) -> None:
+    def _learn(self, buffer, starts, ends, keys) -> None:
         raw = buffer.tobytes()
         pieces = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist())]
         coded: list = []
@@ -245,20 +303,35 @@ class _Pieces:
         other = [i for i, c in enumerate(coded) if c is None]
         for i, x in zip(other, self.tokenizer.encode_batch_fast([pieces[i] for i in other], add_special_tokens=False)):
             coded[i] = x.ids
-        n = self.n + len(pieces)
-        self.at, self.raw_at = _grown(self.at, n + 1), _grown(self.raw_at, n + 1)
-        self.at[self.n + 1 : n + 1] = self.at[self.n] + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
-        self.raw_at[self.n + 1 : n + 1] = self.raw_at[self.n] + np.cumsum(ends - starts)
+        counts = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.fromiter(itertools.chain.from_iterable(coded), np.uint32, int(counts.sum()))
+        self._add(keys, buffer[ragged_cells(starts, ends - starts)], flat, counts)
+
+    def _add(self, keys, raw, flat, counts) -> None:
+        """Take in pieces that are not held, given their keys, bytes, ids and ids each."""
+        first, n = self.n, self.n + len(counts)
+        for name, some in zip(("head", "tail", "size"), keys):
+            setattr(self, name, _grown(getattr(self, name), n))
+            getattr(self, name)[first:n] = some
+        self.at, self.raw_at, self.used = _grown(self.at, n + 1), _grown(self.raw_at, n + 1), _grown(self.used, n)
+        self.used[first:n] = False
+        self.at[first + 1 : n + 1] = self.at[first] + np.cumsum(counts)
+        self.raw_at[first + 1 : n + 1] = self.raw_at[first] + np.cumsum(keys[2])
         self.flat, self.raw = _grown(self.flat, self.at[n]), _grown(self.raw, self.raw_at[n])
-        self.flat[self.at[self.n] : self.at[n]] = list(itertools.chain.from_iterable(coded))
-        self.raw[self.raw_at[self.n] : self.raw_at[n]] = buffer[ragged_cells(starts, ends - starts)]
-        # Of pieces with one hash the first is found again; others are learnt each time.
-        found, first = np.unique(hashes, return_index=True)
-        at = np.searchsorted(self.known, found)
-        fresh = self.known[np.minimum(at, len(self.known) - 1)] != found if len(self.known) else np.ones(len(found), dtype=bool)
-        self.known = np.insert(self.known, at[fresh], found[fresh])
-        self.place = np.insert(self.place, at[fresh], self.n + first[fresh])
+        self.flat[self.at[first] : self.at[n]] = flat
+        self.raw[self.raw_at[first] : self.raw_at[n]] = raw
         self.n, self.end = n, int(self.raw_at[n])
+        if 2 * n > len(self.table):
+            self.table = np.full(1 << (4 * n).bit_length(), -1, dtype=np.int32)
+            first = 0
+        # Of long pieces with the same keys the first is found again; others are learnt each time.
+        end, todo = len(self.table) - 1, np.arange(first, n)
+        at = self._hash((self.head[first:n], self.tail[first:n], self.size[first:n])).view(np.int64) & end
+        while len(todo):
+            free = self.table[at] < 0
+            self.table[at[free]] = todo[free]
+            on = np.flatnonzero(self.table[at] != todo)
+            at, todo = at[on] + 1 & end, todo[on]
 
     def ids(self, which: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces in turn, and where those of each text begin and end."""

@@ -457,3 +457,46 @@ def test_coder_steps_hold_little_and_carry():
         grid = rng.integers(0, top, (40, coder.BLOCK)) * (np.arange(coder.BLOCK) < lengths[:, None])
         back = coder.decode(coder.encode(grid, lengths), lengths)
         assert (back == grid[:, : back.shape[1]]).all()
+
+
+@pytest.mark.parametrize("name, rule", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_pieces_of_signs_capitals_and_long_words(name, rule):
+    """Ids as of whole texts, with a memory so small that it forgets all the time."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from costlens.llm.tokens import encoder
+
+    draw = random.Random(9)
+    parts = ["Word", "word", "wORD", "***", "&&&", "'s", "'S", "'st", "don't", "I'M", ",", ".", "!", "_", "-", "é", "É", "Ñ.", "ß***", "\u212a", "T\u0308", "T", "\u0308", "Σ", "İ", "д", "12", "3.4", "x@y.z"]
+    parts += ["a" * 17, "A" * 17, "a" * 8, "a" * 9, "a" * 16, "x" + "a" * 30, "<", "|", "\x00", "a\x00", " ", " ", " ", "\n", "\xa0", "\u2019", "’s"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(12000)]
+    whole = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch(texts, add_special_tokens=False)
+    encode = encoder(public_tokenizers.path(name), rule, memory=300)
+    for a in range(0, len(texts), 200):
+        ids, at = encode(texts[a : a + 200])
+        assert all(ids[x:y].tolist() == w.ids for x, y, w in zip(at[:-1], at[1:], whole[a : a + 200]))
+
+
+def test_few_pieces_are_learnt():
+    """A word with signs behind it or a capital is no new piece, nor one seen again before the memory was full."""
+    from costlens.llm import tokens
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode = tokens.encoder(path, "word", memory=400)
+    held = tokens._shelf()[(path, "word")]
+    held.clear()
+    encode(["Garten&&& garten, Garten garten***", "Größe größe. Größe", "größe"])
+    # garten, größe, and the signs &&& , *** .
+    assert held.n <= 6
+    letters = "abcdefghij"
+    for a in range(0, 800, 200):
+        encode([" ".join(letters[i // 100] + letters[i // 10 % 10] + letters[i % 10] + "xqz" for i in range(a, a + 200)), "garten größe"])
+    learnt = []
+    learn = held._learn
+    held._learn = lambda *given: learnt.append(given) or learn(*given)
+    encode(["garten größe"])
+    del held._learn
+    held.clear()
+    assert not learnt
